@@ -457,7 +457,7 @@ def _page_url(grp: str = "grp", day: str = "day", url_name_col: str = "url_name"
     )
 
 
-_ANCHOR_SQL = "(?is)<a\\b[^>]*?\\bhref\\s*=\\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
+_ANCHOR_SQL = "(?is)<a\\b[^>]*?\\bhref\\s*=\\s*[\"'']([^\"'']*)[\"''][^>]*>(.*?)</a>"
 
 
 def _unescape_sql(s: str) -> str:

@@ -15,6 +15,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -39,7 +40,7 @@ def build_session(master: str | None = None, app: str = "gaugeflow",
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of SESSION_CONF to an existing session."""
     for key, value in SESSION_CONF.items():
-        if key == "spark.ui.enabled":
+        if key.startswith("spark.ui."):
             continue
         spark.conf.set(key, value)
 
