@@ -83,8 +83,10 @@ def link_codes(pages: DataFrame) -> DataFrame:
 
 
 def link_status(codes: DataFrame) -> DataFrame:
-    """(group, station_url_name, status): 'success' for 200 else invalid."""
-    return codes.select("group", "station_url_name", link_status_expr("http_status").alias("status"))
+    """Replace ``http_status`` by ``status``: 'success' for 200 else
+    'Error: link invalid'. Other columns pass through."""
+    keep = [c for c in codes.columns if c != "http_status"]
+    return codes.select(*keep, link_status_expr("http_status").alias("status"))
 
 
 def valid_links(links: DataFrame, status: DataFrame) -> DataFrame:

@@ -78,11 +78,12 @@ def overwrite_partitions(df: DataFrame, path: str, touched: DataFrame | None = N
     """
     spark = df.sparkSession
     tmp = staging_path(spark, "partitions")
-    with_partitions(df).write.partitionBy(*PARTITION_COLUMNS).parquet(tmp)
-    staged = spark.read.parquet(tmp).drop(*PARTITION_COLUMNS)
-    _partitioned_write_dynamic(staged, path)
+    full = with_partitions(df)
+    full.write.partitionBy(*PARTITION_COLUMNS).parquet(tmp)
+    staged_all = spark.read.schema(full.schema).parquet(tmp)
+    _partitioned_write_dynamic(staged_all.drop(*PARTITION_COLUMNS), path)
     if touched is not None:
-        written = spark.read.parquet(tmp).select(*PARTITION_COLUMNS).distinct()
+        written = staged_all.select(*PARTITION_COLUMNS).distinct()
         emptied = touched.select(*PARTITION_COLUMNS).distinct().subtract(written)
         # Bounded: at most one row per (month, bucket) folder.
         for row in emptied.toLocalIterator():

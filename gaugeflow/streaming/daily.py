@@ -47,6 +47,8 @@ def upsert_daily(batch: DataFrame, path: str) -> None:
 
     spark = batch.sparkSession
     batch = batch.checkpoint()
+    if batch.isEmpty():
+        return
     touched = with_partitions(batch).select("month", "sbucket").distinct()
     stored = with_partitions(read_daily(spark, path)).join(F.broadcast(touched), ["month", "sbucket"], "left_semi")
     keep = stored.drop("month", "sbucket").join(broadcast_if_small(batch.select(*DAILY_KEYS)), DAILY_KEYS, "left_anti")
