@@ -38,6 +38,7 @@ from gaugeflow.operators.reshape import to_long
 from gaugeflow.plans.normalize import normalize_pages
 from gaugeflow.plans.stations import station_table, refresh_stations
 from gaugeflow.plans.update import update_hourly
+from gaugeflow.session import checkpoint_root
 from gaugeflow.sources.html import js_locations, nav_links, parse_locations
 
 AS_OF = dt.date(2024, 1, 30)
@@ -298,7 +299,11 @@ def _update_runs(spark, sf_dir):
     empty = spark.createDataFrame([], "STATION_NUMBER string, STATION_NAME string, Date date, Time string, "
                                       "Value double, Parameter string, Code string, Comments string")
     first = update_hourly(before, st, empty, AS_OF, base_url=S.BASE_URL)
-    stored = first.new_rows
+    # The first run's output is what the table holds afterwards: materialise
+    # it once (reliable checkpoint in spark.checkpoint.dir) instead of
+    # re-deriving it in every later plan.
+    checkpoint_root(spark)
+    stored = first.new_rows.checkpoint()
     second = update_hourly(after, st, stored, AS_OF, base_url=S.BASE_URL)
     return stored.unionByName(second.new_rows), second
 

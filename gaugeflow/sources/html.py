@@ -41,7 +41,7 @@ def html_table_rows(html, cls: str = DATA_TABLE_CLASS) -> Column:
     included, which is the column count a table reader would produce.
     """
     table = data_table(html, cls)
-    raw_rows = F.regexp_extract_all(table, F.lit(_ROW), 1)
+    raw_rows = F.coalesce(F.regexp_extract_all(table, F.lit(_ROW), 1), F.array().cast("array<string>"))
     cells = F.transform(raw_rows, lambda r: F.regexp_extract_all(r, F.lit(_CELL), 1))
     width = F.coalesce(F.array_max(F.transform(cells, F.size)), F.lit(0))
     data = F.filter(
