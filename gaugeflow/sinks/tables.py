@@ -77,6 +77,10 @@ def overwrite_partitions(df: DataFrame, path: str, touched: DataFrame | None = N
     ``df``'s rows; folders among them that ``df`` leaves empty are deleted.
     """
     spark = df.sparkSession
+    if touched is not None:
+        # ``touched`` may be derived from the table being rewritten: pin it
+        # (reliable checkpoint) before any file of that table is replaced.
+        touched = touched.select(*PARTITION_COLUMNS).distinct().checkpoint()
     tmp = staging_path(spark, "partitions")
     full = with_partitions(df)
     full.write.partitionBy(*PARTITION_COLUMNS).parquet(tmp)
@@ -84,7 +88,7 @@ def overwrite_partitions(df: DataFrame, path: str, touched: DataFrame | None = N
     _partitioned_write_dynamic(staged_all.drop(*PARTITION_COLUMNS), path)
     if touched is not None:
         written = staged_all.select(*PARTITION_COLUMNS).distinct()
-        emptied = touched.select(*PARTITION_COLUMNS).distinct().subtract(written)
+        emptied = touched.subtract(written)
         # Bounded: at most one row per (month, bucket) folder.
         for row in emptied.toLocalIterator():
             _delete(spark, f"{path}/month={row['month']}/sbucket={row['sbucket']}")
