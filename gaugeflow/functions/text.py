@@ -17,6 +17,8 @@ _ESTIMATED_RE = r"\*\*Estimated"
 _DIGITS = r"\d(?:_?\d)*"
 _NUMBER_RE = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
 _SPECIAL_RE = r"(?i)^[+-]?(?:nan|inf|infinity)$"
+# Plain decimal text, optionally tagged: parsed without the slow path.
+_PLAIN_NUMBER_RE = r"^-?\d+(?:\.\d+)?(?:\*\*Estimated)?$"
 # Thousands separators between digit groups.
 _THOUSANDS_RE = r"(?<=\d),(?=\d{3}(?:\D|$))"
 
@@ -51,10 +53,17 @@ def html_text(col) -> Column:
     return html_unescape(F.regexp_replace(_c(col), r"<[^>]*>", ""))
 
 
+_PLAIN_CELL_RE = rf"[<&\r\n]|^{SPACE}|{SPACE}$|{SPACE}{{2}}"
+
+
 def cell_text(col) -> Column:
-    """Text of a table cell as an HTML table reader returns it: stripped,
-    runs of newlines or of two or more spaces collapsed to one space."""
-    return F.regexp_replace(py_strip(html_text(col)), rf"[\r\n]+|{SPACE}{{2,}}", " ")
+    """Text of a table cell as an HTML table reader returns it: tags removed,
+    entities decoded, stripped, runs of newlines or of two or more spaces
+    collapsed to one space. Cells without markup or odd whitespace (the
+    common case) are returned as they are after one cheap check."""
+    c = _c(col)
+    full = F.regexp_replace(py_strip(html_text(c)), rf"[\r\n]+|{SPACE}{{2,}}", " ")
+    return F.when(c.rlike(_PLAIN_CELL_RE), full).otherwise(c)
 
 
 def is_estimated(col) -> Column:
@@ -79,6 +88,7 @@ def numeric_value(col) -> Column:
     (the caller rejects the page) instead of a silently wrong number.
     """
     raw = _c(col)
+    plain = raw.rlike(_PLAIN_NUMBER_RE)
     text = py_strip(F.regexp_replace(raw, _ESTIMATED_RE, ""))
     text = F.regexp_replace(text, _THOUSANDS_RE, "")
     is_missing = raw.isNull() | py_strip(raw).isin(NA_TEXTS)
@@ -89,12 +99,13 @@ def numeric_value(col) -> Column:
         .otherwise(F.lit(float("inf")))
     )
     value = (
-        F.when(is_missing, F.lit(None).cast("double"))
+        F.when(plain, F.replace(raw, F.lit(ESTIMATED_TAG), F.lit("")).try_cast("double"))
+        .when(is_missing, F.lit(None).cast("double"))
         .when(text.rlike(_NUMBER_RE), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
         .when(text.rlike(_SPECIAL_RE), special_value)
     )
     error = F.when(
-        ~is_missing & ~text.rlike(_NUMBER_RE) & ~text.rlike(_SPECIAL_RE),
+        ~plain & ~is_missing & ~text.rlike(_NUMBER_RE) & ~text.rlike(_SPECIAL_RE),
         F.concat(F.lit("could not convert string to float: '"), text, F.lit("'")),
     )
     return F.struct(value.alias("value"), error.alias("error"))

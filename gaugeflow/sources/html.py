@@ -46,7 +46,7 @@ def html_table_rows(html, cls: str = DATA_TABLE_CLASS) -> Column:
     width = F.coalesce(F.array_max(F.transform(cells, F.size)), F.lit(0))
     data = F.filter(
         F.zip_with(raw_rows, cells, lambda r, c: F.struct(r.alias("r"), c.alias("c"))),
-        lambda x: F.lower(x["r"]).contains("<td"),
+        lambda x: (F.instr(x["r"], "<td") > 0) | (F.instr(x["r"], "<TD") > 0) | (F.instr(x["r"], "<Td") > 0),
     )
     rows = F.transform(data, lambda x: F.transform(x["c"], cell_text))
     return F.struct(width.cast("int").alias("width"), rows.alias("rows"))
