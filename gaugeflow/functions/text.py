@@ -34,7 +34,8 @@ def py_strip(col) -> Column:
 
 def html_unescape(col) -> Column:
     """Decode the named and numeric entities that occur in plain page text."""
-    c = _c(col)
+    src = _c(col)
+    c = src
     for entity, char in [
         ("&lt;", "<"),
         ("&gt;", ">"),
@@ -45,12 +46,14 @@ def html_unescape(col) -> Column:
         ("&amp;", "&"),
     ]:
         c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    return F.when(F.instr(src, "&") > 0, c).otherwise(src)
 
 
 def html_text(col) -> Column:
     """Text content of an HTML fragment: tags removed, entities decoded."""
-    return html_unescape(F.regexp_replace(_c(col), r"<[^>]*>", ""))
+    src = _c(col)
+    full = html_unescape(F.regexp_replace(src, r"<[^>]*>", ""))
+    return F.when((F.instr(src, "<") > 0) | (F.instr(src, "&") > 0), full).otherwise(src)
 
 
 _PLAIN_CELL_RE = rf"[<&\r\n]|^{SPACE}|{SPACE}$|{SPACE}{{2}}"

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.operators.joins import BROADCAST_MAX_ROWS, is_small
+from gaugeflow.operators.joins import is_small
+
+# Stored rows up to which the anti-join broadcasts the stored side
+# (about 100 bytes a row: ~100 MB per executor).
+BROADCAST_MAX_ROWS = 1_000_000
 
 # Groups of identical new rows larger than this are expanded by chunks that
 # are spread over tasks, so one hot group never lands in one task.

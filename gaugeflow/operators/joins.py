@@ -1,4 +1,13 @@
-"""Joins against the station dimension and the size-checked broadcast."""
+"""Joins against the station dimension and the size-checked broadcast.
+
+Dimension joins carry no broadcast hint: Spark broadcasts a side only when
+its estimated size (file statistics) or, with AQE, its measured shuffle
+size is under ``spark.sql.autoBroadcastJoinThreshold`` /
+``spark.sql.adaptive.autoBroadcastJoinThreshold``, and otherwise plans a
+sort-merge join whose skewed partitions AQE splits. An explicit
+``broadcast`` is only placed behind ``is_small`` (a bounded row count) where
+the library itself must choose a plan shape (the J1 anti-join strategy).
+"""
 
 from __future__ import annotations
 
@@ -42,17 +51,18 @@ def station_lookup(stations: DataFrame, key: str = "station_url_name") -> DataFr
 
 
 def attach_station(rows: DataFrame, stations: DataFrame, key: str = "station_url_name") -> DataFrame:
-    """Left-join station name and number onto rows by ``key``.
+    """Left-join station name and number onto rows by ``key`` (a dimension
+    join; see the module note on strategy).
 
     Rows whose key has no station get null name and number; callers treat
     that as a lookup error of the page.
     """
-    return rows.join(broadcast_if_small(station_lookup(stations, key)), key, "left")
+    return rows.join(station_lookup(stations, key), key, "left")
 
 
 def attach_coords(stations: DataFrame, coords: DataFrame) -> DataFrame:
     """Left-join (lat, long) by station_id; unmatched stations get nulls."""
-    return stations.join(broadcast_if_small(coords), "station_id", "left")
+    return stations.join(coords, "station_id", "left")
 
 
 def new_stations(fresh: DataFrame, current: DataFrame | None) -> DataFrame:

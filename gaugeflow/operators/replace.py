@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from gaugeflow.operators.aggregate import distinct_parameters
-from gaugeflow.operators.joins import broadcast_if_small
 
 
 def replace_rows(current: DataFrame, new: DataFrame) -> DataFrame:
@@ -14,8 +13,9 @@ def replace_rows(current: DataFrame, new: DataFrame) -> DataFrame:
 
     Only parameters that the new archive holds are replaced; a station's
     other parameters stay. The pair set is distinct (partial aggregation
-    first) and broadcast once its size is proven small.
+    first); Spark broadcasts it when its measured size is under the
+    broadcast threshold and shuffles both sides otherwise.
     """
     pairs = distinct_parameters(new)
-    kept = current.join(broadcast_if_small(pairs), ["STATION_NUMBER", "Parameter"], "left_anti")
+    kept = current.join(pairs, ["STATION_NUMBER", "Parameter"], "left_anti")
     return kept.select(*current.columns).unionByName(new.select(*current.columns))

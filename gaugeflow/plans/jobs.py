@@ -73,8 +73,9 @@ def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: st
     keys = new.select("STATION_NUMBER", "Parameter").distinct()
     # Folders to rewrite: those holding rows of a replaced pair, and those
     # the new rows go to.
-    old_parts = with_partitions(current.join(F.broadcast(keys), ["STATION_NUMBER", "Parameter"], "left_semi"))
+    old_parts = with_partitions(current.join(keys, ["STATION_NUMBER", "Parameter"], "left_semi"))
     touched = old_parts.select("month", "sbucket").unionByName(with_partitions(new).select("month", "sbucket")).distinct()
+    # (month, bucket) pairs: at most one row per table folder, so broadcast.
     scoped = with_partitions(current).join(F.broadcast(touched), ["month", "sbucket"], "left_semi").drop("month", "sbucket")
     from gaugeflow.operators.replace import replace_rows
 

@@ -34,5 +34,6 @@ def touched_daily(hourly: DataFrame, new_rows: DataFrame) -> DataFrame:
     from gaugeflow.sinks.tables import with_partitions
 
     touched = with_partitions(new_rows).select("month", "sbucket").distinct()
+    # (month, bucket) pairs: at most one row per table folder, so broadcast.
     scoped = with_partitions(hourly).join(F.broadcast(touched), ["month", "sbucket"], "left_semi")
     return daily_two_level(scoped.drop("month", "sbucket"))

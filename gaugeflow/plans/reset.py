@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from gaugeflow.operators.joins import broadcast_if_small
 from gaugeflow.operators.links import all_links
 from gaugeflow.operators.replace import replace_rows
 from gaugeflow.plans.normalize import normalize_pages
@@ -30,7 +29,7 @@ def reset_stations(pages: DataFrame, stations: DataFrame, current: DataFrame, ba
     """
     links = all_links(stations, base_url)
     wanted = pages.join(
-        broadcast_if_small(links.select("group", "station_url_name")), ["group", "station_url_name"], "left_semi"
+        links.select("group", "station_url_name"), ["group", "station_url_name"], "left_semi"
     )
     norm = normalize_pages(wanted, stations)
     return ResetResult(

@@ -12,7 +12,7 @@ from gaugeflow.functions.dates import parse_site_date
 from gaugeflow.functions.ids import coord_station_id, station_id, url_name
 from gaugeflow.operators.aggregate import pivot_params
 from gaugeflow.operators.filters import drop_unserved, relevant_params
-from gaugeflow.operators.joins import attach_coords, broadcast_if_small, new_stations
+from gaugeflow.operators.joins import attach_coords, new_stations
 from gaugeflow.operators.reshape import reorder, snake_names
 from gaugeflow.operators.stations import availability_flags, cast_coords
 from gaugeflow.sources.html import js_locations, nav_links, parse_locations
@@ -69,7 +69,7 @@ def station_table(wide: DataFrame, ranges: DataFrame, coords: DataFrame) -> Data
         parse_site_date(F.col("start_text")).alias("start_date"),
         parse_site_date(F.col("end_text")).alias("end_date"),
     )
-    st = st.join(broadcast_if_small(dates), "station_url_name", "left")
+    st = st.join(dates, "station_url_name", "left")
     st = attach_coords(st, coords)
     st = availability_flags(st, ["water_temperature", "staff_gauge", "voltage", "barometric_pressure"])
     return reorder(st, STATION_COLUMNS)

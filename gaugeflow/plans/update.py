@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from gaugeflow.constants import LOOKBACK_DAYS, STATUS_LINK_INVALID, STATUS_SUCCESS
 from gaugeflow.operators.dedup import new_rows as anti_new_rows
 from gaugeflow.operators.filters import lookback
-from gaugeflow.operators.joins import broadcast_if_small
 from gaugeflow.operators.links import all_links
 from gaugeflow.plans.normalize import normalize_pages
 
@@ -51,7 +50,7 @@ def update_hourly(pages: DataFrame, stations: DataFrame, stored: DataFrame, as_o
     """
     links = all_links(stations, base_url)
     wanted = pages.join(
-        broadcast_if_small(links.select("group", "station_url_name")), ["group", "station_url_name"], "left_semi"
+        links.select("group", "station_url_name"), ["group", "station_url_name"], "left_semi"
     )
     norm = normalize_pages(wanted, stations)
     current = lookback(stored, as_of, days)

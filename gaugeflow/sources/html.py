@@ -61,38 +61,36 @@ def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
     Output: ``keep`` columns + ``section_pos, title, link_pos, label, href``;
     ``link_pos`` numbers the links of a page in document order from 1.
     Sections and links are numbered inside the page row (array functions),
-    so no shuffle is needed.
+    so no shuffle is needed; each regular expression runs once per page,
+    section or anchor.
     """
     keep = keep if keep is not None else [c for c in pages.columns if c != html]
     title_split = r"(?is)<p\b[^>]*" + _CLASS.format(cls=NAV_TITLE_CLASS) + r"[^>]*>"
+    h = F.col(html)
+    # Pages without a titled section are one untitled section (no split).
+    sections = F.when(F.instr(h, NAV_TITLE_CLASS) > 0, F.split(h, title_split)).otherwise(F.array(h))
 
     def section(sec: Column, pos: Column) -> Column:
         titled = pos > 0
-        title = F.when(titled, html_text(F.regexp_extract(sec, r"(?is)^(.*?)</p>", 1)))
+        title = F.when(titled, F.regexp_extract(sec, r"(?is)^(.*?)</p>", 1))
         body = F.when(titled, F.regexp_extract(sec, r"(?is)<ul\b[^>]*>(.*?)</ul>", 1)).otherwise(sec)
-        anchors = F.arrays_zip(
-            F.regexp_extract_all(body, F.lit(_ANCHOR), 1).alias("href"),
-            F.regexp_extract_all(body, F.lit(_ANCHOR), 2).alias("label"),
-        )
-        return F.transform(
-            anchors,
-            lambda a: F.struct(
-                pos.alias("section_pos"),
-                title.alias("title"),
-                html_text(a["label"]).alias("label"),
-                html_unescape(a["href"]).alias("href"),
-            ),
-        )
+        return F.struct(pos.alias("pos"), title.alias("title"), F.regexp_extract_all(body, F.lit(_ANCHOR), 0).alias("anchors"))
 
-    links = F.flatten(F.transform(F.split(F.col(html), title_split), section))
-    exploded = pages.select(*keep, F.posexplode(links).alias("p", "l"))
-    return exploded.select(
+    per_section = pages.select(*keep, F.transform(sections, section).alias("_s"))
+    flat = F.flatten(
+        F.transform(
+            F.col("_s"),
+            lambda s: F.transform(s["anchors"], lambda a: F.struct(s["pos"].alias("pos"), s["title"].alias("title"), a.alias("a"))),
+        )
+    )
+    links = per_section.select(*keep, F.posexplode(flat).alias("p", "l"))
+    return links.select(
         *keep,
-        F.col("l.section_pos").cast("int").alias("section_pos"),
-        F.col("l.title").alias("title"),
+        F.col("l.pos").cast("int").alias("section_pos"),
+        html_text(F.col("l.title")).alias("title"),
         (F.col("p") + 1).cast("int").alias("link_pos"),
-        F.col("l.label").alias("label"),
-        F.col("l.href").alias("href"),
+        html_text(F.regexp_extract(F.col("l.a"), _ANCHOR, 2)).alias("label"),
+        html_unescape(F.regexp_extract(F.col("l.a"), _ANCHOR, 1)).alias("href"),
     )
 
 

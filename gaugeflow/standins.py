@@ -39,7 +39,6 @@ from gaugeflow.constants import (
     DATA_TABLE_CLASS,
     ADMIN_TITLE,
 )
-from gaugeflow.operators.joins import broadcast_if_small
 
 BASE_URL = "http://stations.example/"
 
@@ -115,7 +114,7 @@ def stations(customer: DataFrame, base_url: str = BASE_URL) -> DataFrame:
 
 def hourly(events: DataFrame, customer: DataFrame) -> DataFrame:
     """Hourly rows (HOURLY schema) from events: one row per event."""
-    names = broadcast_if_small(customer.select(F.col("c_custkey").alias("user_id"), F.col("c_name")))
+    names = customer.select(F.col("c_custkey").alias("user_id"), F.col("c_name"))
     e = events.join(names, "user_id", "left")
     return e.select(
         F.concat(F.lit("P_"), F.col("user_id").cast("string")).alias("STATION_NUMBER"),
@@ -136,12 +135,10 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
     One page per (group, station, day) holding one table row per event of
     that station and day whose parameter belongs to the group.
     """
-    cust = broadcast_if_small(
-        customer.select(
-            F.col("c_custkey").alias("user_id"),
-            F.replace(F.col("c_name"), F.lit("#"), F.lit("")).alias("station_url_name"),
-            F.col("c_acctbal"),
-        )
+    cust = customer.select(
+        F.col("c_custkey").alias("user_id"),
+        F.replace(F.col("c_name"), F.lit("#"), F.lit("")).alias("station_url_name"),
+        F.col("c_acctbal"),
     )
     param = _map(EVENT_PARAMETER, F.col("event_type"))
     layout = {p: v for p, v in PARAMETER_LAYOUT.items()}
@@ -209,7 +206,7 @@ def nav_pages(orders: DataFrame, customer: DataFrame) -> DataFrame:
     customer) with one link labelled by the order priority, and an Admin
     section.
     """
-    names = broadcast_if_small(customer.select(F.col("c_custkey").alias("o_custkey"), "c_name"))
+    names = customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
     o = orders.join(names, "o_custkey")
     label = _map(PRIORITY_LABEL, F.col("o_orderpriority"))
     page = _map(LABEL_PAGE, label)
@@ -235,7 +232,10 @@ def nav_pages(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.lit("<li>" + title + ADMIN_TITLE + '</p><ul><li><a href="Admin/Login.aspx">Login</a></li></ul></li>'),
         F.lit("</ul></div></div></body></html>"),
     )
-    return o.select(F.col("o_orderkey").alias("page_id"), F.lit("http://stations.example/").alias("url"), html.alias("html"))
+    # Landed pages arrive in many files; spread them like that (the orders
+    # file of the test tables is a single split).
+    pages = o.select(F.col("o_orderkey").alias("page_id"), F.lit("http://stations.example/").alias("url"), html.alias("html"))
+    return pages.repartition("page_id")
 
 
 def location_pages(dim: DataFrame, key: str, name: str, lat: str, long: str,
@@ -270,7 +270,7 @@ def location_pages(dim: DataFrame, key: str, name: str, lat: str, long: str,
 def series_ranges(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Date range texts per station url name as the site reports them:
     first order date in 12-hour text, last in 24-hour text."""
-    names = broadcast_if_small(customer.select(F.col("c_custkey").alias("o_custkey"), "c_name"))
+    names = customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
     o = orders.join(names, "o_custkey")
     r = o.groupBy("c_name").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
     return r.select(

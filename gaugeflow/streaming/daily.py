@@ -42,7 +42,6 @@ def daily_updates(hourly_stream: DataFrame, late_days: int = LOOKBACK_DAYS) -> D
 
 def upsert_daily(batch: DataFrame, path: str) -> None:
     """Replace the batch's keys in the daily table at ``path``."""
-    from gaugeflow.operators.joins import broadcast_if_small
     from gaugeflow.sinks.tables import overwrite_partitions, with_partitions
 
     spark = batch.sparkSession
@@ -50,8 +49,9 @@ def upsert_daily(batch: DataFrame, path: str) -> None:
     if batch.isEmpty():
         return
     touched = with_partitions(batch).select("month", "sbucket").distinct()
+    # (month, bucket) pairs: at most one row per table folder, so broadcast.
     stored = with_partitions(read_daily(spark, path)).join(F.broadcast(touched), ["month", "sbucket"], "left_semi")
-    keep = stored.drop("month", "sbucket").join(broadcast_if_small(batch.select(*DAILY_KEYS)), DAILY_KEYS, "left_anti")
+    keep = stored.drop("month", "sbucket").join(batch.select(*DAILY_KEYS), DAILY_KEYS, "left_anti")
     overwrite_partitions(keep.unionByName(batch), path, touched)
 
 
