@@ -60,7 +60,9 @@ def run_marts(spark: SparkSession, wh: Warehouse, as_of, days: int = RECENT_DAYS
     hourly = read_hourly(spark, wh.hourly)
     marts = build_marts(hourly, as_of, days)
     overwrite_all = with_partitions(marts.daily)
-    overwrite_all.write.mode("overwrite").partitionBy("month", "sbucket").parquet(wh.daily)
+    overwrite_all.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "month", "sbucket"
+    ).parquet(wh.daily)
     replace_table(marts.hourly_recent, wh.hourly_recent, stage=False)
 
 

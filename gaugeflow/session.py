@@ -13,9 +13,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Remove reliable-checkpoint files once their DataFrame is unreachable.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -38,11 +39,10 @@ def build_session(master: str | None = None, app: str = "gaugeflow",
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable part of SESSION_CONF to an existing session."""
+    """Apply the runtime-settable (SQL) part of SESSION_CONF to an existing session."""
     for key, value in SESSION_CONF.items():
-        if key.startswith("spark.ui."):
-            continue
-        spark.conf.set(key, value)
+        if key.startswith("spark.sql."):
+            spark.conf.set(key, value)
 
 
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
