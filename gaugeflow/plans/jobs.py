@@ -19,8 +19,11 @@ from gaugeflow.plans.marts import build_marts, touched_daily
 from gaugeflow.plans.reset import reset_stations
 from gaugeflow.plans.stations import refresh_stations
 from gaugeflow.plans.update import update_hourly
+from gaugeflow.operators.replace import replace_rows
 from gaugeflow.sinks.tables import (
     append_hourly,
+    folder_ids,
+    in_folders,
     overwrite_partitions,
     replace_table,
     reset_tables,
@@ -49,10 +52,11 @@ def run_update(spark: SparkSession, wh: Warehouse, pages: DataFrame, as_of, days
 
 def refresh_daily(spark: SparkSession, wh: Warehouse, new_rows: DataFrame) -> None:
     """Recompute the daily mart for the (month, bucket) folders new rows touched."""
-    hourly = read_hourly(spark, wh.hourly)
-    part = touched_daily(hourly, new_rows)
-    touched = with_partitions(new_rows).select("month", "sbucket").distinct()
-    overwrite_partitions(part, wh.daily, touched)
+    folders = folder_ids(with_partitions(new_rows))
+    if not folders:
+        return
+    hourly = read_hourly(spark, wh.hourly, keep_partitions=True)
+    overwrite_partitions(touched_daily(hourly, folders), wh.daily, folders)
 
 
 def run_marts(spark: SparkSession, wh: Warehouse, as_of, days: int = RECENT_DAYS) -> None:
@@ -69,19 +73,18 @@ def run_marts(spark: SparkSession, wh: Warehouse, as_of, days: int = RECENT_DAYS
 def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: str = "") -> DataFrame:
     """C3 + K4: replace station archives, rewriting only touched folders."""
     stations = read_station_metadata(spark, wh.station_metadata)
-    current = read_hourly(spark, wh.hourly)
-    result = reset_stations(pages, stations, current, base_url)
+    current = read_hourly(spark, wh.hourly, keep_partitions=True)
+    result = reset_stations(pages, stations, current.drop("month", "sbucket"), base_url)
     new = result.new_rows.checkpoint()
     keys = new.select("STATION_NUMBER", "Parameter").distinct()
-    # Folders to rewrite: those holding rows of a replaced pair, and those
-    # the new rows go to.
-    old_parts = with_partitions(current.join(keys, ["STATION_NUMBER", "Parameter"], "left_semi"))
-    touched = old_parts.select("month", "sbucket").unionByName(with_partitions(new).select("month", "sbucket")).distinct()
-    # (month, bucket) pairs: at most one row per table folder, so broadcast.
-    scoped = with_partitions(current).join(F.broadcast(touched), ["month", "sbucket"], "left_semi").drop("month", "sbucket")
-    from gaugeflow.operators.replace import replace_rows
-
-    overwrite_partitions(replace_rows(scoped, new), wh.hourly, touched)
+    new_folders = folder_ids(with_partitions(new))
+    # Folders holding rows of a replaced (station, parameter): only the
+    # replaced stations' buckets are scanned, reading two columns.
+    buckets = sorted({b for _, b in new_folders})
+    old = current.where(F.col("sbucket").isin(buckets)).join(keys, ["STATION_NUMBER", "Parameter"], "left_semi")
+    folders = sorted(set(new_folders) | set(folder_ids(old)))
+    scoped = current.where(in_folders(folders)).drop("month", "sbucket")
+    overwrite_partitions(replace_rows(scoped, new), wh.hourly, folders)
     write_report(result.status, wh.report, dt.datetime.now().isoformat(), "reset")
     return new
 

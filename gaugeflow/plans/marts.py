@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gaugeflow.constants import RECENT_DAYS
 from gaugeflow.operators.aggregate import daily_two_level
@@ -23,17 +22,16 @@ def build_marts(hourly: DataFrame, as_of, days: int = RECENT_DAYS) -> Marts:
     return Marts(daily=daily_two_level(hourly), hourly_recent=recent(hourly, as_of, days))
 
 
-def touched_daily(hourly: DataFrame, new_rows: DataFrame) -> DataFrame:
-    """Daily rows of every (month, station bucket) that ``new_rows`` touch,
-    recomputed from ``hourly``.
+def touched_daily(stored: DataFrame, folders: list[tuple[str, int]]) -> DataFrame:
+    """Daily rows of the given (month, station bucket) folders, recomputed
+    from the stored hourly table (read with its partition columns).
 
-    The touched pairs are a small distinct set joined back to the stored
-    table on its partition columns, so only those folders are scanned
-    (dynamic partition pruning) instead of the whole history.
+    The folder ids become a partition filter, so only those folders are
+    listed and scanned instead of the whole history. Every key of the daily
+    table lives in exactly one hourly folder, so the result replaces those
+    daily folders exactly.
     """
-    from gaugeflow.sinks.tables import with_partitions
+    from gaugeflow.sinks.tables import in_folders
 
-    touched = with_partitions(new_rows).select("month", "sbucket").distinct()
-    # (month, bucket) pairs: at most one row per table folder, so broadcast.
-    scoped = with_partitions(hourly).join(F.broadcast(touched), ["month", "sbucket"], "left_semi")
-    return daily_two_level(scoped.drop("month", "sbucket"))
+    scoped = stored.where(in_folders(folders)).drop("month", "sbucket")
+    return daily_two_level(scoped)

@@ -30,6 +30,24 @@ def with_partitions(df: DataFrame) -> DataFrame:
     return df.withColumn("month", F.date_format("Date", "yyyy-MM")).withColumn("sbucket", station_bucket())
 
 
+def folder_ids(df: DataFrame) -> list[tuple[str, int]]:
+    """Distinct (month, sbucket) folder ids of ``df`` (which has those
+    columns). The list is bounded by the table's folder count (months x
+    buckets), not by its rows; it becomes a literal partition filter."""
+    return sorted({(r["month"], r["sbucket"]) for r in df.select(*PARTITION_COLUMNS).distinct().collect()})
+
+
+def in_folders(ids: list[tuple[str, int]]) -> Column:
+    """Partition predicate selecting the given (month, sbucket) folders; it is
+    evaluated on folder names at planning time, so other folders are not
+    listed or read."""
+    if not ids:
+        return F.lit(False)
+    months = sorted({m for m, _ in ids})
+    pairs = F.struct(F.col("month"), F.col("sbucket"))
+    return F.col("month").isin(months) & pairs.isin([F.struct(F.lit(m), F.lit(b)) for m, b in ids])
+
+
 def _partitioned_write(df: DataFrame, path: str, mode: str) -> None:
     # One shuffle before the write so each (month, bucket, day) goes to one
     # task: few files per folder instead of one per task and folder.
@@ -69,29 +87,24 @@ def replace_table(df: DataFrame, path: str, stage: bool = True) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, touched: DataFrame | None = None) -> None:
+def overwrite_partitions(df: DataFrame, path: str, touched: list[tuple[str, int]] | None = None) -> None:
     """Rewrite only the (month, sbucket) folders present in ``df`` (dynamic
-    partition overwrite), staged through the checkpoint folder.
+    partition overwrite), staged through the checkpoint folder so the table
+    can be rewritten from its own rows.
 
-    ``touched``: (month, sbucket) pairs that must end up holding exactly
-    ``df``'s rows; folders among them that ``df`` leaves empty are deleted.
+    ``touched``: folder ids that must end up holding exactly ``df``'s rows;
+    those that ``df`` leaves empty are deleted.
     """
     spark = df.sparkSession
-    if touched is not None:
-        # ``touched`` may be derived from the table being rewritten: pin it
-        # (reliable checkpoint) before any file of that table is replaced.
-        touched = touched.select(*PARTITION_COLUMNS).distinct().checkpoint()
     tmp = staging_path(spark, "partitions")
     full = with_partitions(df)
     full.write.partitionBy(*PARTITION_COLUMNS).parquet(tmp)
     staged_all = spark.read.schema(full.schema).parquet(tmp)
     _partitioned_write_dynamic(staged_all.drop(*PARTITION_COLUMNS), path)
     if touched is not None:
-        written = staged_all.select(*PARTITION_COLUMNS).distinct()
-        emptied = touched.subtract(written)
-        # Bounded: at most one row per (month, bucket) folder.
-        for row in emptied.toLocalIterator():
-            _delete(spark, f"{path}/month={row['month']}/sbucket={row['sbucket']}")
+        written = set(folder_ids(staged_all))
+        for month, bucket in sorted(set(touched) - written):
+            _delete(spark, f"{path}/month={month}/sbucket={bucket}")
 
 
 def _partitioned_write_dynamic(df: DataFrame, path: str) -> None:

@@ -71,20 +71,24 @@ def read_station_metadata(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, STATIONS, path)
 
 
-def read_hourly(spark: SparkSession, path: str, as_of=None, days: int | None = None) -> DataFrame:
+def read_hourly(spark: SparkSession, path: str, as_of=None, days: int | None = None,
+                keep_partitions: bool = False) -> DataFrame:
     """Stored hourly rows; with ``as_of``/``days`` only ``Date >= as_of - days``.
 
     The bound prunes month partitions and is pushed to the Parquet scan.
+    ``keep_partitions`` keeps the stored ``month``/``sbucket`` columns (for
+    partition filters of jobs that rewrite folders).
     """
     df = _read(spark, HOURLY_STORED, path)
     if as_of is not None and days is not None:
         start = window_start(as_of, days)
         df = df.where((F.col("month") >= F.lit(start.strftime("%Y-%m"))) & (F.col("Date") >= F.lit(start)))
-    return df.select(*HOURLY_COLUMNS)
+    return df.select(*HOURLY_COLUMNS, *(PARTITION_COLUMNS if keep_partitions else []))
 
 
-def read_daily(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, DAILY_STORED, path).select(*[f.name for f in DAILY.fields])
+def read_daily(spark: SparkSession, path: str, keep_partitions: bool = False) -> DataFrame:
+    cols = [f.name for f in DAILY.fields] + (PARTITION_COLUMNS if keep_partitions else [])
+    return _read(spark, DAILY_STORED, path).select(*cols)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -42,17 +42,16 @@ def daily_updates(hourly_stream: DataFrame, late_days: int = LOOKBACK_DAYS) -> D
 
 def upsert_daily(batch: DataFrame, path: str) -> None:
     """Replace the batch's keys in the daily table at ``path``."""
-    from gaugeflow.sinks.tables import overwrite_partitions, with_partitions
+    from gaugeflow.sinks.tables import folder_ids, in_folders, overwrite_partitions, with_partitions
 
     spark = batch.sparkSession
     batch = batch.checkpoint()
-    if batch.isEmpty():
+    folders = folder_ids(with_partitions(batch))
+    if not folders:
         return
-    touched = with_partitions(batch).select("month", "sbucket").distinct()
-    # (month, bucket) pairs: at most one row per table folder, so broadcast.
-    stored = with_partitions(read_daily(spark, path)).join(F.broadcast(touched), ["month", "sbucket"], "left_semi")
-    keep = stored.drop("month", "sbucket").join(batch.select(*DAILY_KEYS), DAILY_KEYS, "left_anti")
-    overwrite_partitions(keep.unionByName(batch), path, touched)
+    stored = read_daily(spark, path, keep_partitions=True).where(in_folders(folders)).drop("month", "sbucket")
+    keep = stored.join(batch.select(*DAILY_KEYS), DAILY_KEYS, "left_anti")
+    overwrite_partitions(keep.unionByName(batch), path, folders)
 
 
 def stream_daily(hourly_stream: DataFrame, path: str, checkpoint: str) -> None:
