@@ -48,17 +48,23 @@ def in_folders(ids: list[tuple[str, int]]) -> Column:
     return F.col("month").isin(months) & pairs.isin([F.struct(F.lit(m), F.lit(b)) for m, b in ids])
 
 
+_WRITE_ORDER = ["month", "sbucket", "STATION_NUMBER", "Date", "Time"]
+
+
+def _clustered(df: DataFrame) -> DataFrame:
+    """Range-partition rows on (folder, station, date, time) before a write.
+
+    Each task then writes one contiguous key range: a folder gets files from
+    few tasks (no file per task and folder), files are sorted for row-group
+    statistics, and a hot station is split over several tasks because the
+    range bounds come from a sample of the keys (a hash on folder or day
+    would send it to one task)."""
+    order = [c for c in _WRITE_ORDER if c in PARTITION_COLUMNS or c in df.columns]
+    return with_partitions(df).repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def _partitioned_write(df: DataFrame, path: str, mode: str) -> None:
-    # One shuffle before the write so each (month, bucket, day) goes to one
-    # task: few files per folder instead of one per task and folder.
-    (
-        with_partitions(df)
-        .repartition("month", "sbucket", "Date")
-        .sortWithinPartitions("month", "sbucket", "STATION_NUMBER", "Date")
-        .write.mode(mode)
-        .partitionBy(*PARTITION_COLUMNS)
-        .parquet(path)
-    )
+    _clustered(df).write.mode(mode).partitionBy(*PARTITION_COLUMNS).parquet(path)
 
 
 def append_hourly(rows: DataFrame, path: str) -> None:
@@ -109,9 +115,7 @@ def overwrite_partitions(df: DataFrame, path: str, touched: list[tuple[str, int]
 
 def _partitioned_write_dynamic(df: DataFrame, path: str) -> None:
     (
-        with_partitions(df)
-        .repartition("month", "sbucket", "Date")
-        .sortWithinPartitions("month", "sbucket", "STATION_NUMBER", "Date")
+        _clustered(df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLUMNS)
