@@ -172,7 +172,7 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
         F.col("group"),
     )
     pages = e.groupBy("group", "station_url_name", "day").agg(
-        F.array_sort(F.collect_list(F.struct("ts", "event_id", "row"))).alias("rows"),
+        F.sort_array(F.collect_list(F.struct("ts", "event_id", "row"))).alias("rows"),
         F.min("c_acctbal").alias("c_acctbal"),
     )
     html = F.concat(
@@ -255,7 +255,7 @@ def location_pages(dim: DataFrame, key: str, name: str, lat: str, long: str,
     )
     chunk = F.floor(F.col(key) / LOCATIONS_PER_SCRIPT)
     scripts = dim.select(chunk.alias("chunk"), F.col(key).alias("k"), entry.alias("entry")).groupBy("chunk").agg(
-        F.array_sort(F.collect_list(F.struct("k", "entry"))).alias("entries")
+        F.sort_array(F.collect_list(F.struct("k", "entry"))).alias("entries")
     )
     body = F.array_join(F.transform("entries", lambda e: e["entry"]), ",\n    ")
     html = F.concat(
