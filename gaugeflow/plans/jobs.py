@@ -101,6 +101,19 @@ def run_refresh(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series
     return new_ids
 
 
+def refresh_and_backfill(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_ranges: DataFrame,
+                         archive_pages: DataFrame, base_url: str = "") -> DataFrame:
+    """Station refresh as run before every update: rebuild the dimension,
+    then load the whole archive of the stations that are new (only their
+    landed archive pages are parsed). Returns the new station ids."""
+    new_ids = run_refresh(spark, wh, nav_pages, series_ranges, base_url)
+    stations = read_station_metadata(spark, wh.station_metadata)
+    new_names = stations.join(new_ids, "station_id", "left_semi").select("station_url_name")
+    pages = archive_pages.join(new_names, "station_url_name", "left_semi")
+    run_reset(spark, wh, pages, base_url)
+    return new_ids
+
+
 def full_reset(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_ranges: DataFrame,
                archive_pages: DataFrame, as_of, base_url: str = "") -> None:
     """Empty all tables, rebuild stations, load every archive, build marts."""
@@ -110,4 +123,5 @@ def full_reset(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_
     run_marts(spark, wh, as_of)
 
 
-__all__ = ["run_update", "run_marts", "run_reset", "run_refresh", "full_reset", "refresh_daily", "window_start"]
+__all__ = ["run_update", "run_marts", "run_reset", "run_refresh", "refresh_and_backfill", "full_reset",
+           "refresh_daily", "window_start"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow import standins as S
 from gaugeflow.operators.aggregate import daily_two_level
-from gaugeflow.plans.jobs import full_reset, run_marts, run_refresh, run_reset, run_update
+from gaugeflow.plans.jobs import full_reset, refresh_and_backfill, run_marts, run_refresh, run_reset, run_update
 from gaugeflow.sinks.tables import folder_ids, overwrite_partitions, reset_tables, with_partitions
 from gaugeflow.sources.tables import Warehouse, read_daily, read_hourly, read_station_metadata, read_stations
 
@@ -103,3 +103,20 @@ def test_refresh_and_full_reset(spark, tmp_dir):
     # full reset: the stations of the refreshed dimension receive their archives
     full_reset(spark, wh, nav, ranges, S.data_pages(ev, cu, base_url=S.BASE_URL), dt.date(2024, 1, 30), S.BASE_URL)
     assert read_hourly(spark, wh.hourly).count() >= 0
+
+
+def test_refresh_and_backfill_loads_only_new_stations(spark, tmp_dir):
+    wh = Warehouse(tmp_dir)
+    t = tables(spark)
+    cu, orders, ev = t["customer"], t["orders"], t["events"]
+    nav = S.nav_pages(orders, cu)
+    ranges = S.series_ranges(orders, cu)
+    reset_tables(spark, wh)
+    # a previous dimension that already knows some stations
+    run_refresh(spark, wh, S.nav_pages(orders.where(F.col("o_custkey") >= 3), cu), ranges, S.BASE_URL)
+    known = {r.station_url_name for r in read_station_metadata(spark, wh.station_metadata).collect()}
+    new_ids = refresh_and_backfill(spark, wh, nav, ranges, S.data_pages(ev, cu), S.BASE_URL)
+    loaded = {r.STATION_NAME.replace("#", "") for r in read_hourly(spark, wh.hourly).select("STATION_NAME").distinct().collect()}
+    assert {r.station_id for r in new_ids.collect()} == {"P_CUSTOMER#000000000", "P_CUSTOMER#000000001", "P_CUSTOMER#000000002"}
+    assert loaded and loaded <= {"Customer000000000", "Customer000000001", "Customer000000002"}
+    assert not (loaded & known)
