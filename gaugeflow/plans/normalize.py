@@ -5,8 +5,9 @@ into rows and cells with array functions, the estimated code, numbers and
 times are parsed per cell, and the page's first error is found with
 ``exists``/``filter`` over its own arrays. A page is therefore accepted or
 rejected as a whole without grouping rows back together (no shuffle); only
-then are accepted pages exploded into rows. The station lookup is a
-size-checked broadcast join at page level.
+then are accepted pages exploded into rows. The station lookup is a join at
+page level against the station dimension (broadcast by Spark when the
+dimension's measured size is under the broadcast threshold).
 """
 
 from __future__ import annotations

@@ -61,8 +61,8 @@ def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
     Output: ``keep`` columns + ``section_pos, title, link_pos, label, href``;
     ``link_pos`` numbers the links of a page in document order from 1.
     Sections and links are numbered inside the page row (array functions),
-    so no shuffle is needed; each regular expression runs once per page,
-    section or anchor.
+    so no shuffle is needed; the page text is split once, and the other
+    expressions run on the section or anchor texts only.
     """
     keep = keep if keep is not None else [c for c in pages.columns if c != html]
     title_split = r"(?is)<p\b[^>]*" + _CLASS.format(cls=NAV_TITLE_CLASS) + r"[^>]*>"
