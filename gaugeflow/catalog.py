@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow import standins as S
-from gaugeflow.constants import NAV_LABELS, VARIABLES
+from gaugeflow.constants import VARIABLES
 from gaugeflow.functions import (
     coord_station_id,
     estimated_code,
@@ -36,7 +36,7 @@ from gaugeflow.operators.links import all_links, all_valid, link_codes, link_sta
 from gaugeflow.operators.replace import replace_rows
 from gaugeflow.operators.reshape import to_long
 from gaugeflow.plans.normalize import normalize_pages
-from gaugeflow.plans.stations import station_table, refresh_stations
+from gaugeflow.plans.stations import refresh_stations
 from gaugeflow.plans.update import update_hourly
 from gaugeflow.session import checkpoint_root
 from gaugeflow.sources.html import js_locations, nav_links, parse_locations
