@@ -68,7 +68,17 @@ def parse_pages(pages: DataFrame, stations: DataFrame) -> DataFrame:
         names.alias("names"),
         F.transform(F.col("_t.rows"), _parse_row(F.coalesce(names, F.array().cast("array<string>")))).alias("parsed"),
     )
-    value_errors = F.flatten(F.transform(F.col("parsed"), lambda r: F.filter(F.transform(r["vals"], lambda v: v["error"]), lambda e: e.isNotNull())))
+    # Columns are converted one after the other, so the first bad cell is
+    # searched column by column (all rows of column 1 before column 2).
+    value_errors = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), F.greatest(F.size(F.coalesce(F.col("names"), F.array())), F.lit(1))),
+            lambda j: F.filter(
+                F.transform(F.col("parsed"), lambda r: F.try_element_at(r["vals"], j)["error"]),
+                lambda e: e.isNotNull(),
+            ),
+        )
+    )
     bad_time = F.filter(F.col("parsed"), lambda r: r["ts"].isNull())
     error = F.coalesce(
         F.when(F.col("width") == 0, F.lit("No tables found")),

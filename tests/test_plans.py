@@ -89,3 +89,11 @@ def test_rows_older_than_lookback_are_appended_again(spark):
     first = update_hourly(pages, st, empty, as_of, base_url="http://h/").new_rows.checkpoint()
     again = update_hourly(pages, st, first, as_of, days=30, base_url="http://h/").new_rows
     assert again.count() == 2
+
+
+def test_first_error_is_column_major(spark):
+    # row 1 has a bad second cell, row 2 a bad first cell: columns are
+    # converted in order, so the first column's bad cell is reported
+    rows, status = run(spark, [page("Hydrometric", [("Jan 04, 2024 10:00", "1", "bad2"), ("Jan 04, 2024 11:00", "bad1", "2")])])
+    assert rows == []
+    assert status[("Hydrometric", "http://h/Hydrometric/Sarita")][0] == "Error: could not convert string to float: 'bad1'"
