@@ -21,7 +21,9 @@ from gaugeflow.plans.stations import refresh_stations
 from gaugeflow.plans.update import update_hourly
 from gaugeflow.operators.replace import replace_rows
 from gaugeflow.sinks.tables import (
+    STATION_BUCKETS,
     append_hourly,
+    drop_months_before,
     folder_ids,
     in_folders,
     overwrite_partitions,
@@ -35,8 +37,8 @@ from gaugeflow.sources.tables import Warehouse, read_hourly, read_station_metada
 
 
 def run_update(spark: SparkSession, wh: Warehouse, pages: DataFrame, as_of, days: int = LOOKBACK_DAYS,
-               base_url: str = "") -> DataFrame:
-    """C2 + K1 + K7, then the touched part of the daily mart."""
+               base_url: str = "", recent_days: int = RECENT_DAYS) -> DataFrame:
+    """C2 + K1 + K7, then the changed parts of the daily and recent marts."""
     stations = read_station_metadata(spark, wh.station_metadata)
     stored = read_hourly(spark, wh.hourly, as_of, days)
     result = update_hourly(pages, stations, stored, as_of, days, base_url)
@@ -47,6 +49,7 @@ def run_update(spark: SparkSession, wh: Warehouse, pages: DataFrame, as_of, days
     write_report(result.status, wh.report, dt.datetime.now().isoformat(), "update")
     result.parsed.unpersist()
     refresh_daily(spark, wh, new)
+    refresh_recent(spark, wh, as_of, new, recent_days)
     return new
 
 
@@ -60,14 +63,33 @@ def refresh_daily(spark: SparkSession, wh: Warehouse, new_rows: DataFrame) -> No
 
 
 def run_marts(spark: SparkSession, wh: Warehouse, as_of, days: int = RECENT_DAYS) -> None:
-    """C5 + K5: rebuild daily and hourly_recent from the whole hourly table."""
+    """C5 + K5: rebuild daily and hourly_recent from the whole hourly table
+    (the from-scratch path; updates maintain both incrementally)."""
     hourly = read_hourly(spark, wh.hourly)
     marts = build_marts(hourly, as_of, days)
-    overwrite_all = with_partitions(marts.daily)
-    overwrite_all.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        "month", "sbucket"
-    ).parquet(wh.daily)
-    replace_table(marts.hourly_recent, wh.hourly_recent, stage=False)
+    for df, path in [(marts.daily, wh.daily), (marts.hourly_recent, wh.hourly_recent)]:
+        with_partitions(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            "month", "sbucket"
+        ).parquet(path)
+
+
+def refresh_recent(spark: SparkSession, wh: Warehouse, as_of, new_rows: DataFrame, days: int = RECENT_DAYS) -> None:
+    """Keep hourly_recent equal to ``Date >= as_of - days`` of hourly.
+
+    Only folders that change are written: those new rows touched inside the
+    window and the window's first month (whose older days fall out); months
+    entirely before the window are dropped. Assumes the table was consistent
+    after the previous run (``run_marts`` builds it from scratch).
+    """
+    start = window_start(as_of, days)
+    first = start.strftime("%Y-%m")
+    touched = [f for f in folder_ids(with_partitions(new_rows)) if f[0] >= first]
+    boundary = [(first, b) for b in range(STATION_BUCKETS)]
+    folders = sorted(set(touched) | set(boundary))
+    hourly = read_hourly(spark, wh.hourly, keep_partitions=True)
+    rows = hourly.where(in_folders(folders) & (F.col("Date") >= F.lit(start))).drop("month", "sbucket")
+    overwrite_partitions(rows, wh.hourly_recent, folders)
+    drop_months_before(spark, wh.hourly_recent, first)
 
 
 def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: str = "") -> DataFrame:
@@ -124,4 +146,4 @@ def full_reset(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_
 
 
 __all__ = ["run_update", "run_marts", "run_reset", "run_refresh", "refresh_and_backfill", "full_reset",
-           "refresh_daily", "window_start"]
+           "refresh_daily", "refresh_recent", "window_start"]

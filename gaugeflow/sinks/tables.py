@@ -123,6 +123,24 @@ def _partitioned_write_dynamic(df: DataFrame, path: str) -> None:
     )
 
 
+def drop_months_before(spark: SparkSession, path: str, month: str) -> list[str]:
+    """Delete the ``month=...`` folders of a partitioned table older than
+    ``month`` (``yyyy-MM``); returns the months removed. Only the folder
+    names are listed (one entry per month), no data is read."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    removed = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("month=") and name[len("month="):] < month:
+            fs.delete(status.getPath(), True)
+            removed.append(name[len("month="):])
+    return removed
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -150,5 +168,5 @@ def reset_tables(spark: SparkSession, wh: Warehouse) -> None:
 
     create_empty(spark, HOURLY, wh.hourly, partitioned=True)
     create_empty(spark, DAILY, wh.daily, partitioned=True)
-    create_empty(spark, HOURLY, wh.hourly_recent)
+    create_empty(spark, HOURLY, wh.hourly_recent, partitioned=True)
     create_empty(spark, STATIONS, wh.station_metadata)

@@ -31,10 +31,15 @@ def test_update_then_marts(spark, tmp_dir):
     as_of = dt.date(2024, 1, 30)
     p1 = S.data_pages(ev.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")), t["customer"])
     p2 = S.data_pages(ev.where(F.col("ts") >= F.lit("2024-01-13").cast("timestamp_ntz")), t["customer"])
-    n1 = run_update(spark, wh, p1, as_of, base_url=S.BASE_URL).count()
-    n2 = run_update(spark, wh, p2, as_of, base_url=S.BASE_URL).count()
+    n1 = run_update(spark, wh, p1, as_of, base_url=S.BASE_URL, recent_days=10).count()
+    n2 = run_update(spark, wh, p2, as_of, base_url=S.BASE_URL, recent_days=10).count()
     hourly = read_hourly(spark, wh.hourly)
     assert hourly.count() == n1 + n2
+    # incremental recent mart == window filter over the whole table
+    from gaugeflow.operators.filters import recent
+
+    inc_recent = sorted(map(repr, read_hourly(spark, wh.hourly_recent).collect()))
+    assert inc_recent == sorted(map(repr, recent(hourly, as_of, 10).collect())) and inc_recent
     # no duplicate full rows after the overlapping second run
     assert hourly.distinct().count() == hourly.count()
     # incremental daily == full rebuild
@@ -120,3 +125,14 @@ def test_refresh_and_backfill_loads_only_new_stations(spark, tmp_dir):
     assert {r.station_id for r in new_ids.collect()} == {"P_CUSTOMER#000000000", "P_CUSTOMER#000000001", "P_CUSTOMER#000000002"}
     assert loaded and loaded <= {"Customer000000000", "Customer000000001", "Customer000000002"}
     assert not (loaded & known)
+
+
+def test_drop_months_before(spark, tmp_dir):
+    from gaugeflow.schemas import HOURLY
+    from gaugeflow.sinks.tables import append_hourly, drop_months_before
+
+    rows = [("P_A", "A", dt.date(y, m, 3), "00:00:00", 1.0, "Pressure", "", "") for y, m in [(2023, 11), (2023, 12), (2024, 1)]]
+    path = f"{tmp_dir}/t"
+    append_hourly(spark.createDataFrame(rows, HOURLY), path)
+    assert drop_months_before(spark, path, "2023-12") == ["2023-11"]
+    assert sorted(r.Date.month for r in read_hourly(spark, path).collect()) == [1, 12]
