@@ -52,6 +52,21 @@ def daily_two_level(hourly: DataFrame) -> DataFrame:
     )
 
 
+DAILY_SQL = """
+SELECT STATION_NUMBER, max(STATION_NAME) AS STATION_NAME, `Date`, avg(`Value`) AS `Value`,
+       count(`Date`) AS numObservations, Parameter
+FROM {view}
+GROUP BY STATION_NUMBER, `Date`, Parameter
+"""
+
+
+def daily_sql(hourly: DataFrame, view: str = "hourly_rows") -> DataFrame:
+    """``daily`` written as the mart's SQL text over a temporary view of
+    ``hourly`` (same logical plan as the DataFrame form)."""
+    hourly.createOrReplaceTempView(view)
+    return hourly.sparkSession.sql(DAILY_SQL.format(view=view))
+
+
 def distinct_parameters(rows: DataFrame) -> DataFrame:
     """Distinct (STATION_NUMBER, Parameter) pairs of new archive rows."""
     return rows.select("STATION_NUMBER", "Parameter").distinct()

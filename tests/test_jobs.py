@@ -136,3 +136,23 @@ def test_drop_months_before(spark, tmp_dir):
     append_hourly(spark.createDataFrame(rows, HOURLY), path)
     assert drop_months_before(spark, path, "2023-12") == ["2023-11"]
     assert sorted(r.Date.month for r in read_hourly(spark, path).collect()) == [1, 12]
+
+
+def test_sql_tables_and_daily_sql(spark, tmp_dir):
+    from gaugeflow.operators.aggregate import daily, daily_sql
+    from gaugeflow.sinks.catalog import drop_tables, register_tables
+    from gaugeflow.sinks.tables import append_hourly
+
+    wh = Warehouse(tmp_dir)
+    reset_tables(spark, wh)
+    t = tables(spark)
+    h = S.hourly(t["events"], t["customer"])
+    append_hourly(h, wh.hourly)
+    register_tables(spark, wh, "hydro_test")
+    assert spark.sql("SELECT count(*) AS n FROM hydro_test.hourly").first().n == h.count()
+    stored = spark.table("hydro_test.hourly").drop("month", "sbucket")
+    got = {tuple(r) for r in daily_sql(stored).withColumn("Value", F.round("Value", 6)).collect()}
+    want = {tuple(r) for r in daily(h).withColumn("Value", F.round("Value", 6)).collect()}
+    assert got == want
+    drop_tables(spark, "hydro_test")
+    assert "hydro_test" not in [d.name for d in spark.catalog.listDatabases()]
