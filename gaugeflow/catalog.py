@@ -63,21 +63,25 @@ def _round_value(df: DataFrame) -> DataFrame:
 
 
 def q_daily(spark, sf_dir):
+    """A1: daily mart (one aggregation) over events as hourly rows."""
     h = S.hourly(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "customer"))
     return _round_value(daily(h))
 
 
 def q_daily_two_level(spark, sf_dir):
+    """A1: daily mart, two-level hash-aggregation form."""
     h = S.hourly(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "customer"))
     return _round_value(daily_two_level(h))
 
 
 def q_recent(spark, sf_dir):
+    """P10: rows inside the 366-day window before 2025-01-20."""
     h = S.hourly(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "customer"))
     return recent(h, RECENT_AS_OF)
 
 
 def q_lookback(spark, sf_dir):
+    """Rows inside the 7-day window before 2024-01-30."""
     h = S.hourly(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "customer"))
     return lookback(h, LOOKBACK_AS_OF, LOOKBACK_WINDOW)
 
@@ -91,21 +95,25 @@ def _stored_and_incoming(spark, sf_dir):
 
 
 def q_new_rows(spark, sf_dir):
+    """Incoming rows not stored (auto strategy) for overlapping event ranges."""
     stored, incoming = _stored_and_incoming(spark, sf_dir)
     return new_rows(incoming, lookback(stored, AS_OF), how="auto")
 
 
 def q_new_rows_grouped(spark, sf_dir):
+    """The same anti-join forced to the grouped (shuffle) strategy."""
     stored, incoming = _stored_and_incoming(spark, sf_dir)
     return new_rows(incoming, lookback(stored, AS_OF), how="grouped")
 
 
 def q_to_long(spark, sf_dir):
+    """Two lineitem value columns unpivoted to (Parameter, Value)."""
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     return to_long(li, ["l_orderkey", "l_linenumber"], ["l_quantity", "l_extendedprice"])
 
 
 def q_estimated(spark, sf_dir):
+    """Tagged cell texts parsed to values and a row code shared by both cells."""
     ev = _t(spark, sf_dir, "events")
     k = S.prop_k()
     c1 = F.col("value").cast("string")
@@ -122,6 +130,7 @@ def q_estimated(spark, sf_dir):
 
 
 def q_split_timestamp(spark, sf_dir):
+    """P5: page time texts (24- and 12-hour) parsed and split into Date and Time."""
     ev = _t(spark, sf_dir, "events")
     text = F.when(F.col("event_type") == "click", F.date_format("ts", "MMM d, yyyy hh:mm:ss a")).otherwise(
         F.date_format("ts", S.PAGE_TIME_FORMAT)
@@ -131,6 +140,7 @@ def q_split_timestamp(spark, sf_dir):
 
 
 def q_site_date(spark, sf_dir):
+    """Site date texts in two formats (and one in neither) to yyyy/MM/dd HH:mm."""
     ev = _t(spark, sf_dir, "events")
     et = F.col("event_type")
     text = (
@@ -148,20 +158,24 @@ def _pages(spark, sf_dir, corrupt=False):
 
 
 def q_html_round_trip(spark, sf_dir):
+    """C1 (S5, P1-P8, J3): landed data pages built from events parsed back to hourly rows."""
     pages, st = _pages(spark, sf_dir)
     return normalize_pages(pages, st).rows
 
 
 def q_page_outcome(spark, sf_dir):
+    """Per-page status when some cells are corrupt (pages rejected whole)."""
     pages, st = _pages(spark, sf_dir, corrupt=True)
     return normalize_pages(pages, st).status
 
 
 def q_nav_links(spark, sf_dir):
+    """Sidebar links of every driver page."""
     return nav_links(_t(spark, sf_dir, "pages"), keep=["page_id"])
 
 
 def q_url_name(spark, sf_dir):
+    """P20: url name of site-info URLs made from every sidebar link."""
     links = nav_links(_t(spark, sf_dir, "pages"), keep=["page_id"])
     url = F.concat(F.lit(S.BASE_URL + "Content%20Pages"), F.col("href"), F.lit("/SiteInfo.aspx"))
     return links.select("page_id", "link_pos", url_name(url).alias("url_name"))
@@ -184,14 +198,17 @@ def _part_names(spark, sf_dir):
 
 
 def q_station_id(spark, sf_dir):
+    """Dimension ids of station names made from part names."""
     return _part_names(spark, sf_dir).select("p_partkey", station_id("name").alias("station_id"))
 
 
 def q_coord_station_id(spark, sf_dir):
+    """Coordinate ids of the same names."""
     return _part_names(spark, sf_dir).select("p_partkey", coord_station_id("name").alias("station_id"))
 
 
 def q_locations(spark, sf_dir):
+    """Coordinate scripts built from supplier parsed back to (id, lat, long)."""
     su = _t(spark, sf_dir, "supplier").withColumn("s_long", F.col("s_nationkey").cast("double"))
     pages = S.location_pages(su, "s_suppkey", "s_name", "s_acctbal", "s_long")
     entries = pages.select(F.posexplode(parse_locations(js_locations("html"))).alias("pos", "e"))
@@ -208,18 +225,21 @@ def _station_links(spark, sf_dir):
 
 
 def q_pivot_params(spark, sf_dir):
+    """One row per sidebar station with a URL per label."""
     from gaugeflow.plans.stations import station_urls
 
     return station_urls(_station_links(spark, sf_dir), S.BASE_URL, drop=False)
 
 
 def q_drop_unserved(spark, sf_dir):
+    """The same without stations that have none of the three data URLs."""
     from gaugeflow.plans.stations import station_urls
 
     return station_urls(_station_links(spark, sf_dir), S.BASE_URL, drop=True)
 
 
 def q_availability_flags(spark, sf_dir):
+    """Availability flags of the served stations."""
     from gaugeflow.operators.stations import availability_flags
     from gaugeflow.plans.stations import station_urls
 
@@ -229,6 +249,7 @@ def q_availability_flags(spark, sf_dir):
 
 
 def q_attach_coords(spark, sf_dir):
+    """Coordinates left-joined to the station dimension."""
     st = S.stations(_t(spark, sf_dir, "customer")).select("station_id", "station_name")
     su = _t(spark, sf_dir, "supplier")
     coords = su.select(
@@ -240,12 +261,14 @@ def q_attach_coords(spark, sf_dir):
 
 
 def q_attach_station(spark, sf_dir):
+    """Station name and number looked up for every landed page."""
     pages, st = _pages(spark, sf_dir)
     st = st.where(F.col("water_temperature"))
     return attach_station(pages.select("group", "station_url_name", "url"), st)
 
 
 def q_new_stations(spark, sf_dir):
+    """Dimension stations that have no stored readings."""
     fresh = S.stations(_t(spark, sf_dir, "customer"))
     h = S.hourly(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "customer"))
     current = h.select(F.col("STATION_NUMBER").alias("station_id"))
@@ -253,6 +276,7 @@ def q_new_stations(spark, sf_dir):
 
 
 def q_urls_by_variable(spark, sf_dir):
+    """Data URLs of the stations serving each variable."""
     st = S.stations(_t(spark, sf_dir, "customer"))
     out = None
     for var in VARIABLES:
@@ -262,25 +286,30 @@ def q_urls_by_variable(spark, sf_dir):
 
 
 def q_all_links(spark, sf_dir):
+    """Links of the three page groups."""
     return all_links(S.stations(_t(spark, sf_dir, "customer")), S.BASE_URL)
 
 
 def q_link_status(spark, sf_dir):
+    """Status of every landed page from its HTTP status."""
     pages, _ = _pages(spark, sf_dir)
     return link_status(pages.select("group", "station_url_name", "url", "http_status"))
 
 
 def q_all_valid(spark, sf_dir):
+    """A3: whether every link of each group is valid."""
     pages, _ = _pages(spark, sf_dir)
     return all_valid(link_status(link_codes(pages)))
 
 
 def q_valid_links(spark, sf_dir):
+    """Links whose landed pages answered successfully."""
     pages, st = _pages(spark, sf_dir)
     return valid_links(all_links(st, S.BASE_URL), link_status(link_codes(pages)))
 
 
 def q_replace_station(spark, sf_dir):
+    """K4/A2: stored rows with the (station, parameter) pairs of a new archive replaced."""
     ev = _t(spark, sf_dir, "events")
     cu = _t(spark, sf_dir, "customer")
     current = S.hourly(ev.where(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz")), cu)
@@ -309,16 +338,19 @@ def _update_runs(spark, sf_dir):
 
 
 def q_update_pipeline(spark, sf_dir):
+    """C2 -> A1 (flagship): two update runs over overlapping landed pages, then the daily mart."""
     hourly, _ = _update_runs(spark, sf_dir)
     return _round_value(daily_two_level(hourly))
 
 
 def q_update_status(spark, sf_dir):
+    """Per-link status of the second update run."""
     _, second = _update_runs(spark, sf_dir)
     return second.status
 
 
 def q_refresh_stations(spark, sf_dir):
+    """C4: station dimension rebuilt from sidebar pages, coordinate scripts and date ranges."""
     orders = _t(spark, sf_dir, "orders")
     cu = _t(spark, sf_dir, "customer")
     nav = S.nav_pages(orders, cu)
@@ -331,18 +363,21 @@ def q_refresh_stations(spark, sf_dir):
 
 
 def q_stream_daily(spark, sf_dir):
+    """Events streamed as hourly rows into the streaming daily mart."""
     from gaugeflow.streaming.daily import stream_daily_events
 
     return _round_value(stream_daily_events(spark, sf_dir))
 
 
 def q_stream_update(spark, sf_dir):
+    """Landed pages streamed into the hourly table twice (replay adds nothing)."""
     from gaugeflow.streaming.update import stream_update_events
 
     return stream_update_events(spark, sf_dir)
 
 
 def q_stream_dedup(spark, sf_dir):
+    """Events streamed as hourly rows through state-store deduplication."""
     from gaugeflow.streaming.dedup import stream_dedup_events
 
     return stream_dedup_events(spark, sf_dir)
