@@ -474,7 +474,7 @@ def _page_events_cte(where: str = "TRUE") -> str:
     return f"""pe AS (
   SELECT e.*, {_PARAM_CASE} AS param, {_GROUP_CASE} AS grp, {_OTHER_CASE} AS other_param,
          {_K} AS k, c.c_name, replace(c.c_name, '#', '') AS url_name, c.c_acctbal, c.c_mktsegment,
-         CAST(e.ts AS DATE) AS day
+         strftime(e.ts, '%Y-%m-%d-%H') AS slot
   FROM events e JOIN customer c ON c.c_custkey = e.user_id
   WHERE {where})"""
 
@@ -490,10 +490,10 @@ SELECT 'P_' || CAST(user_id AS VARCHAR), c_name, CAST(ts AS DATE), strftime(ts,
 FROM {src} WHERE other_param IS NOT NULL AND ({where})"""
 
 
-def _page_url(grp: str = "grp", day: str = "day", url_name_col: str = "url_name") -> str:
+def _page_url(grp: str = "grp", slot: str = "slot", url_name_col: str = "url_name") -> str:
     return (
         f"'{_BASE}' || {url_name_col} || '/' || CASE {grp} WHEN 'Hydrometric' THEN 'WaterLevel' "
-        f"WHEN 'Pressure' THEN 'Pressure' ELSE 'Temperature' END || '.aspx?day=' || CAST({day} AS VARCHAR)"
+        f"WHEN 'Pressure' THEN 'Pressure' ELSE 'Temperature' END || '.aspx?hour=' || {slot}"
     )
 
 
@@ -612,7 +612,7 @@ SELECT grp AS "group", url_name AS station_url_name, {_page_url()} AS url,
             ELSE 'success' END AS status,
        CAST(CASE WHEN min(c_acctbal) < 0 OR bool_or(k = 0) THEN 0
             ELSE sum(CASE WHEN grp = 'Pressure' THEN 1 ELSE 2 END) END AS BIGINT) AS n_rows
-FROM pe GROUP BY grp, url_name, day"""
+FROM pe GROUP BY grp, url_name, slot"""
     out["nav_links"] = f"WITH {_NAV_LINKS_CTE}\nSELECT * FROM links"
     out["url_name"] = (
         f"WITH {_NAV_LINKS_CTE}\nSELECT page_id, link_pos, "
@@ -633,8 +633,8 @@ FROM served"""
 SELECT s.station_id, s.station_name, su.s_acctbal AS lat, CAST(su.s_nationkey AS DOUBLE) AS long
 FROM stations s LEFT JOIN supplier su ON s.station_id = 'P_' || CAST(su.s_suppkey AS VARCHAR)"""
     out["attach_station"] = f"""WITH {_page_events_cte()}, {_STATIONS_CTE},
-pg AS (SELECT DISTINCT grp, url_name, day FROM pe)
-SELECT pg.url_name AS station_url_name, pg.grp AS "group", {_page_url('pg.grp', 'pg.day', 'pg.url_name')} AS url,
+pg AS (SELECT DISTINCT grp, url_name, slot FROM pe)
+SELECT pg.url_name AS station_url_name, pg.grp AS "group", {_page_url('pg.grp', 'pg.slot', 'pg.url_name')} AS url,
        s.station_name AS "STATION_NAME", s.station_id AS "STATION_NUMBER"
 FROM pg LEFT JOIN (SELECT * FROM stations WHERE water_temperature) s ON s.station_url_name = pg.url_name"""
     out["new_stations"] = f"""WITH {_STATIONS_CTE}

@@ -14,7 +14,7 @@ tool):
 * customer -> station dimension: url name is the name without ``#``; the
   market segment decides which data groups a station serves; stations with
   a negative balance answer their data links with HTTP 404.
-* events -> landed data pages: one page per (group, station, day), one table
+* events -> landed data pages: one page per (group, station, hour), one table
   row per event; a 3-column group gets an empty cell for the stream the
   event is not. Readings whose ``props.k`` is below 10 carry the estimated
   tag; optionally ``k = 0`` readings are corrupted.
@@ -132,8 +132,9 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
                corrupt: bool = False) -> DataFrame:
     """Landed data pages (PAGES schema) from events.
 
-    One page per (group, station, day) holding one table row per event of
-    that station and day whose parameter belongs to the group.
+    One page per (group, station, hour) holding one table row per event of
+    that station and hour whose parameter belongs to the group. The hour
+    bounds a page's size by the readings of one station in one hour.
     """
     cust = customer.select(
         F.col("c_custkey").alias("user_id"),
@@ -157,7 +158,7 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
     e = events.join(cust, "user_id").select(
         group.alias("group"),
         "station_url_name",
-        F.to_date("ts").alias("day"),
+        F.date_format("ts", "yyyy-MM-dd-HH").alias("slot"),
         "c_acctbal",
         "ts",
         "event_id",
@@ -171,7 +172,7 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
         },
         F.col("group"),
     )
-    pages = e.groupBy("group", "station_url_name", "day").agg(
+    pages = e.groupBy("group", "station_url_name", "slot").agg(
         F.sort_array(F.collect_list(F.struct("ts", "event_id", "row"))).alias("rows"),
         F.min("c_acctbal").alias("c_acctbal"),
     )
@@ -186,8 +187,8 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
         F.col("station_url_name"),
         F.lit("/"),
         _map(GROUP_PAGE, F.col("group")),
-        F.lit(".aspx?day="),
-        F.col("day").cast("string"),
+        F.lit(".aspx?hour="),
+        F.col("slot"),
     )
     return pages.select(
         "group",
