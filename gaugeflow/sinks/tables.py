@@ -52,15 +52,15 @@ _WRITE_ORDER = ["month", "sbucket", "STATION_NUMBER", "Date", "Time"]
 
 
 def _clustered(df: DataFrame) -> DataFrame:
-    """Range-partition rows on (folder, station, date, time) before a write.
+    """Rebalance rows on their folder before a write.
 
-    Each task then writes one contiguous key range: a folder gets files from
-    few tasks (no file per task and folder), files are sorted for row-group
-    statistics, and a hot station is split over several tasks because the
-    range bounds come from a sample of the keys (a hash on folder or day
-    would send it to one task)."""
+    The REBALANCE hint hashes on (month, sbucket) so a folder gets files from
+    few tasks (no file per task and folder); AQE then splits a skewed folder
+    (a hot station) over several tasks and coalesces small ones, without a
+    sampling pass. Rows are sorted by station and time inside each file for
+    row-group statistics."""
     order = [c for c in _WRITE_ORDER if c in PARTITION_COLUMNS or c in df.columns]
-    return with_partitions(df).repartitionByRange(*order).sortWithinPartitions(*order)
+    return with_partitions(df).hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*order)
 
 
 def _partitioned_write(df: DataFrame, path: str, mode: str) -> None:
