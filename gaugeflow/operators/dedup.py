@@ -40,8 +40,10 @@ def new_rows_broadcast(incoming: DataFrame, current: DataFrame) -> DataFrame:
     """Left anti-join on every column with null-safe equality, the stored
     side broadcast. Duplicates inside ``incoming`` are all kept."""
     cols = incoming.columns
-    cond = [incoming[c].eqNullSafe(current[c]) for c in cols]
-    return incoming.join(F.broadcast(current.select(*cols)), cond, "left_anti")
+    left = incoming.alias("_new")
+    right = current.select(*cols).alias("_old")
+    cond = [F.col(f"_new.`{c}`").eqNullSafe(F.col(f"_old.`{c}`")) for c in cols]
+    return left.join(F.broadcast(right), cond, "left_anti").select(*[F.col(f"_new.`{c}`").alias(c) for c in cols])
 
 
 def new_rows_grouped(incoming: DataFrame, current: DataFrame) -> DataFrame:

@@ -178,3 +178,10 @@ def test_replace_rows_only_given_parameter(spark):
     new = spark.createDataFrame([h(param="Water Level", value=5.0, time="07:00:00")], HOURLY)
     got = sorted((r.STATION_NUMBER, r.Parameter, r.Value) for r in replace_rows(cur, new).collect())
     assert got == [("P_A", "Sensor Depth", 2.0), ("P_A", "Water Level", 5.0), ("P_B", "Water Level", 1.0)]
+
+
+def test_new_rows_same_lineage(spark):
+    df = spark.createDataFrame([h(value=1.0), h(value=2.0)], HOURLY)
+    for how in ("broadcast", "grouped"):
+        assert new_rows(df, df, how=how).count() == 0
+        assert new_rows(df, df.where("Value > 1.5"), how=how).count() == 1
