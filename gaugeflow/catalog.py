@@ -362,6 +362,28 @@ def q_refresh_stations(spark, sf_dir):
     return result.stations
 
 
+def q_daily_sql(spark, sf_dir):
+    """A1: the daily mart as SQL text over a temporary view of the hourly rows."""
+    from gaugeflow.operators.aggregate import daily_sql
+
+    h = S.hourly(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "customer"))
+    return _round_value(daily_sql(h, view="gaugeflow_hourly_rows"))
+
+
+def q_fetch_manifest(spark, sf_dir):
+    """Links of the three groups with the 7-day picker start text."""
+    from gaugeflow.operators.links import fetch_manifest
+
+    return fetch_manifest(all_links(S.stations(_t(spark, sf_dir, "customer")), S.BASE_URL), AS_OF, 7)
+
+
+def q_reset_manifest(spark, sf_dir):
+    """Links of the three groups with the whole-archive start text."""
+    from gaugeflow.operators.links import reset_manifest
+
+    return reset_manifest(all_links(S.stations(_t(spark, sf_dir, "customer")), S.BASE_URL))
+
+
 def q_stream_daily(spark, sf_dir):
     """Events streamed as hourly rows into the streaming daily mart."""
     from gaugeflow.streaming.daily import stream_daily_events
@@ -417,6 +439,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "update_pipeline": q_update_pipeline,
         "update_status": q_update_status,
         "refresh_stations": q_refresh_stations,
+        "daily_sql": q_daily_sql,
+        "fetch_manifest": q_fetch_manifest,
+        "reset_manifest": q_reset_manifest,
         "stream_daily": q_stream_daily,
         "stream_update": q_stream_update,
         "stream_dedup": q_stream_dedup,
@@ -695,6 +720,16 @@ SELECT {_station_id_sql('s.station_name')} AS station_id, s.station_name,
        c.c_acctbal AS lat, CAST(c.c_nationkey AS DOUBLE) AS long, s.site_info
 FROM su s LEFT JOIN customer c ON c.c_name = s.station_name
 LEFT JOIN rng r ON r.url_name = s.url_name"""
+    out["daily_sql"] = out["daily"]
+    fetch_start = window_start(AS_OF, 7).isoformat()
+    out["fetch_manifest"] = (
+        f"WITH {_STATIONS_CTE},\nlk AS ({all_links_sql})\n"
+        f"SELECT *, strftime(DATE '{fetch_start}', '%b %d, %Y') || ' 00:00' AS start_text FROM lk"
+    )
+    out["reset_manifest"] = (
+        f"WITH {_STATIONS_CTE},\nlk AS ({all_links_sql})\n"
+        "SELECT *, CASE WHEN station_url_name = 'Leiner' THEN 'Oct 09, 2018 11:01' ELSE 'Jan 01, 2000 00:00' END AS start_text FROM lk"
+    )
     out["stream_daily"] = out["daily"]
     out["stream_update"] = f"""WITH {_page_events_cte()}
 """ + _page_rows_select("pe", f"c_acctbal >= 0 AND {flag}")
