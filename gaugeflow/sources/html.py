@@ -42,16 +42,47 @@ def html_table_rows(html, cls: str = DATA_TABLE_CLASS) -> Column:
     """
     table = data_table(html, cls)
     raw_rows = F.coalesce(F.regexp_extract_all(table, F.lit(_ROW), 1), F.array().cast("array<string>"))
+    # Rows inside <thead> are header rows even when their cells are <td>.
+    head = F.regexp_extract(table, r"(?is)<thead\b[^>]*>(.*?)</thead>", 1)
+    n_head = F.size(F.regexp_extract_all(head, F.lit(_ROW), 1))
     cells = F.transform(raw_rows, lambda r: F.regexp_extract_all(r, F.lit(_CELL), 1))
     width = F.coalesce(F.array_max(F.transform(cells, F.size)), F.lit(0))
     data = F.filter(
         F.zip_with(raw_rows, cells, lambda r, c: F.struct(r.alias("r"), c.alias("c"))),
-        lambda x: (F.instr(x["r"], "<td") > 0) | (F.instr(x["r"], "<TD") > 0) | (F.instr(x["r"], "<Td") > 0),
+        lambda x, i: (i >= n_head)
+        & ((F.instr(x["r"], "<td") > 0) | (F.instr(x["r"], "<TD") > 0) | (F.instr(x["r"], "<Td") > 0)),
     )
     rows = F.transform(data, lambda x: F.transform(x["c"], cell_text))
     return F.struct(width.cast("int").alias("width"), rows.alias("rows"))
 
 
+def first_list(text) -> Column:
+    """The first ``<ul>...</ul>`` of ``text`` with every list nested in it.
+
+    The text is cut before each ``<ul`` and ``</ul>`` and the pieces are
+    folded left to right keeping the list depth, so nested lists stay inside
+    and the first list ends where its depth returns to zero."""
+    pieces = F.split(_c(text), r"(?i)(?=<ul\b)|(?=</ul>)")
+    zero = F.struct(
+        F.lit(0).alias("depth"), F.lit(False).alias("started"), F.lit(False).alias("done"), F.lit("").alias("body")
+    )
+
+    def step(acc: Column, p: Column) -> Column:
+        head = F.lower(F.substring(p, 1, 5))
+        opens = head.startswith("<ul")
+        closes = head == "</ul>"
+        depth = acc["depth"] + F.when(opens, 1).otherwise(0) - F.when(closes, 1).otherwise(0)
+        take = ~acc["done"] & (depth >= 1)
+        return F.struct(
+            depth.alias("depth"),
+            (acc["started"] | opens).alias("started"),
+            (acc["done"] | (closes & (depth <= 0) & acc["started"])).alias("done"),
+            F.concat(acc["body"], F.when(take, p).otherwise(F.lit(""))).alias("body"),
+        )
+
+    return F.aggregate(pieces, zero, step, lambda acc: acc["body"])
+
+
 def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
     """One row per link of a page's sidebar.
 
@@ -73,7 +104,7 @@ def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
     def section(sec: Column, pos: Column) -> Column:
         titled = pos > 0
         title = F.when(titled, F.regexp_extract(sec, r"(?is)^(.*?)</p>", 1))
-        body = F.when(titled, F.regexp_extract(sec, r"(?is)<ul\b[^>]*>(.*?)</ul>", 1)).otherwise(sec)
+        body = F.when(titled, first_list(sec)).otherwise(sec)
         return F.struct(pos.alias("pos"), title.alias("title"), F.regexp_extract_all(body, F.lit(_ANCHOR), 0).alias("anchors"))
 
     per_section = pages.select(*keep, F.transform(sections, section).alias("_s"))

@@ -71,3 +71,23 @@ def test_locations(spark):
 def test_locations_absent(spark):
     df = spark.createDataFrame([("<script>var x = 1;</script>",)], "html string")
     assert df.select(js_locations(F.col("html")).alias("x")).first().x is None
+
+
+def test_nav_links_nested_sub_list(spark):
+    html = (
+        '<ul id="example"><li><p class="sf-with-ul">Sarita</p><ul>'
+        '<li><a href="a.aspx">Staff Gauge</a><ul><li><a href="b.aspx">Voltage</a></li></ul></li>'
+        '<li><a href="c.aspx">Site Info</a></li></ul></li>'
+        '<li><a href="after.aspx">Outside</a></li></ul>'
+    )
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = [(r.title, r.label) for r in nav_links(df, keep=["page_id"]).orderBy("link_pos").collect()]
+    # anchors of the nested list belong to the entry; the one after it does not
+    assert got == [("Sarita", "Staff Gauge"), ("Sarita", "Voltage"), ("Sarita", "Site Info")]
+
+
+def test_thead_td_header_is_not_data(spark):
+    html = ('<table class="CenteredGrid"><thead><tr><td>Time</td><td>Pressure</td></tr></thead>'
+            "<tbody><tr><td>Jan 04, 2024 10:00</td><td>1.5</td></tr></tbody></table>")
+    r = spark.createDataFrame([(html,)], "html string").select(html_table_rows(F.col("html")).alias("t")).first().t
+    assert r.width == 2 and [list(x) for x in r.rows] == [["Jan 04, 2024 10:00", "1.5"]]
