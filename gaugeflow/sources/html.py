@@ -101,13 +101,25 @@ def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
     # Pages without a titled section are one untitled section (no split).
     sections = F.when(F.instr(h, NAV_TITLE_CLASS) > 0, F.split(h, title_split)).otherwise(F.array(h))
 
-    def section(sec: Column, pos: Column) -> Column:
+    def cut(sec: Column, pos: Column) -> Column:
+        # Title and the first list up to its first </ul>, each found once.
         titled = pos > 0
-        title = F.when(titled, F.regexp_extract(sec, r"(?is)^(.*?)</p>", 1))
-        body = F.when(titled, first_list(sec)).otherwise(sec)
-        return F.struct(pos.alias("pos"), title.alias("title"), F.regexp_extract_all(body, F.lit(_ANCHOR), 0).alias("anchors"))
+        return F.struct(
+            pos.alias("pos"),
+            sec.alias("sec"),
+            F.when(titled, F.regexp_extract(sec, r"(?is)^(.*?)</p>", 1)).alias("title"),
+            F.when(titled, F.regexp_extract(sec, r"(?is)<ul\b[^>]*>(.*?)</ul>", 1)).alias("flat"),
+        )
+
+    def section(c: Column) -> Column:
+        # Only a first list holding another <ul> needs the depth-tracking fold.
+        flat = c["flat"]
+        nested = (F.instr(flat, "<ul") > 0) | (F.instr(flat, "<UL") > 0) | (F.instr(flat, "<Ul") > 0)
+        body = F.when(c["pos"] == 0, c["sec"]).when(nested, first_list(c["sec"])).otherwise(flat)
+        return F.struct(c["pos"].alias("pos"), c["title"].alias("title"), F.regexp_extract_all(body, F.lit(_ANCHOR), 0).alias("anchors"))
 
-    per_section = pages.select(*keep, F.transform(sections, section).alias("_s"))
+    cut_sections = pages.select(*keep, F.transform(sections, cut).alias("_c"))
+    per_section = cut_sections.select(*keep, F.transform(F.col("_c"), section).alias("_s"))
     flat = F.flatten(
         F.transform(
             F.col("_s"),
