@@ -22,7 +22,7 @@ def station_urls(nav_pages: DataFrame, base_url: str, drop: bool = True) -> Data
     """One row per sidebar station with a URL column per known label
     (snake-case names). A label given twice keeps the later link. With
     ``drop`` stations lacking all three data URLs are removed."""
-    links = nav_links(nav_pages, keep=["page_id"])
+    links = nav_links(nav_pages, keep=["page_id"], titled_only=True)
     links = links.where(F.col("title").isNotNull() & (F.col("title") != ADMIN_TITLE))
     links = relevant_params(links, base_url)
     links = links.select(

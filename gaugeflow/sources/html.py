@@ -83,7 +83,8 @@ def first_list(text) -> Column:
     return F.aggregate(pieces, zero, step, lambda acc: acc["body"])
 
 
-def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
+def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = None,
+              titled_only: bool = False) -> DataFrame:
     """One row per link of a page's sidebar.
 
     The page is cut at every ``<p class="sf-with-ul">`` title. Links of a
@@ -91,6 +92,7 @@ def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
     anchors before the first title get ``section_pos`` 0 and a null title.
     Output: ``keep`` columns + ``section_pos, title, link_pos, label, href``;
     ``link_pos`` numbers the links of a page in document order from 1.
+    With ``titled_only`` the anchors before the first title are skipped.
     Sections and links are numbered inside the page row (array functions),
     so no shuffle is needed; the page text is split once, and the other
     expressions run on the section or anchor texts only.
@@ -115,7 +117,8 @@ def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
         # Only a first list holding another <ul> needs the depth-tracking fold.
         flat = c["flat"]
         nested = (F.instr(flat, "<ul") > 0) | (F.instr(flat, "<UL") > 0) | (F.instr(flat, "<Ul") > 0)
-        body = F.when(c["pos"] == 0, c["sec"]).when(nested, first_list(c["sec"])).otherwise(flat)
+        untitled = F.lit("") if titled_only else c["sec"]
+        body = F.when(c["pos"] == 0, untitled).when(nested, first_list(c["sec"])).otherwise(flat)
         return F.struct(c["pos"].alias("pos"), c["title"].alias("title"), F.regexp_extract_all(body, F.lit(_ANCHOR), 0).alias("anchors"))
 
     cut_sections = pages.select(*keep, F.transform(sections, cut).alias("_c"))
