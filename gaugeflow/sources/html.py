@@ -44,13 +44,16 @@ def html_table_rows(html, cls: str = DATA_TABLE_CLASS) -> Column:
     raw_rows = F.coalesce(F.regexp_extract_all(table, F.lit(_ROW), 1), F.array().cast("array<string>"))
     # Rows inside <thead> are header rows even when their cells are <td>.
     head = F.regexp_extract(table, r"(?is)<thead\b[^>]*>(.*?)</thead>", 1)
-    n_head = F.size(F.regexp_extract_all(head, F.lit(_ROW), 1))
+    n_head = F.coalesce(F.size(F.regexp_extract_all(head, F.lit(_ROW), 1)), F.lit(0))
     cells = F.transform(raw_rows, lambda r: F.regexp_extract_all(r, F.lit(_CELL), 1))
     width = F.coalesce(F.array_max(F.transform(cells, F.size)), F.lit(0))
+    pairs = F.zip_with(raw_rows, cells, lambda r, c: F.struct(r.alias("r"), c.alias("c")))
+    # Drop the <thead> rows with slice (evaluated once per page; an outer
+    # expression used inside a lambda would be re-evaluated for every row).
+    body = F.slice(pairs, n_head + 1, F.greatest(F.size(pairs), F.lit(1)))
     data = F.filter(
-        F.zip_with(raw_rows, cells, lambda r, c: F.struct(r.alias("r"), c.alias("c"))),
-        lambda x, i: (i >= n_head)
-        & ((F.instr(x["r"], "<td") > 0) | (F.instr(x["r"], "<TD") > 0) | (F.instr(x["r"], "<Td") > 0)),
+        body,
+        lambda x: (F.instr(x["r"], "<td") > 0) | (F.instr(x["r"], "<TD") > 0) | (F.instr(x["r"], "<Td") > 0),
     )
     rows = F.transform(data, lambda x: F.transform(x["c"], cell_text))
     return F.struct(width.cast("int").alias("width"), rows.alias("rows"))

@@ -97,3 +97,17 @@ def test_first_error_is_column_major(spark):
     rows, status = run(spark, [page("Hydrometric", [("Jan 04, 2024 10:00", "1", "bad2"), ("Jan 04, 2024 11:00", "bad1", "2")])])
     assert rows == []
     assert status[("Hydrometric", "http://h/Hydrometric/Sarita")][0] == "Error: could not convert string to float: 'bad1'"
+
+
+def test_large_page_parses_in_linear_time(spark):
+    import time
+
+    rows = [(f"Jan 04, 2024 {h % 24:02d}:{m % 60:02d}", f"{m}.5", "") for h, m in zip(range(8000), range(8000))]
+    body = "".join(f"<tr><td>{a}</td><td>{b}</td><td>{c}</td></tr>" for a, b, c in rows)
+    html = f'<table class="CenteredGrid"><thead><tr><th>Time</th><th>A</th><th>B</th></tr></thead><tbody>{body}</tbody></table>'
+    st = spark.createDataFrame(STATIONS_ROWS, STATIONS)
+    pages = spark.createDataFrame([("Hydrometric", "Sarita", "u", 200, html, dt.datetime(2024, 1, 31))], PAGES)
+    t0 = time.perf_counter()
+    n = normalize_pages(pages, st).rows.count()
+    assert n == 16000
+    assert time.perf_counter() - t0 < 20
