@@ -4,6 +4,8 @@ Runs each headline query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 with ``local[$BENCH_CPUS]`` and prints one JSON line. Every query is fully
 executed into Spark's ``noop`` sink (no collect to the driver); the time is
 the median of ``$BENCH_REPEATS`` (default 3) runs after one warm-up run.
+With ``$BENCH_EVENT_LOG`` set to a folder, Spark's event log (stage and
+task times) is written there; the web UI stays off.
 """
 
 from __future__ import annotations
@@ -45,12 +47,10 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(
-        f"local[{cpus}]",
-        app="gaugeflow-bench",
-        shuffle_partitions=int(cpus) * 2,
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
-    )
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = build_session(f"local[{cpus}]", app="gaugeflow-bench", shuffle_partitions=int(cpus) * 2, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     qs = catalog.queries()
     times = {}
