@@ -13,6 +13,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Parsing pages costs far more CPU than its bytes suggest: do not let AQE
+    # merge small shuffle partitions below 64 KB (the 1 MB default packs a
+    # few MB of pages into 2-4 tasks). Large inputs are unaffected.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Remove reliable-checkpoint files once their DataFrame is unreachable.
