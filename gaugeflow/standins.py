@@ -142,27 +142,13 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
         F.col("c_acctbal"),
     )
     param = _map(EVENT_PARAMETER, F.col("event_type"))
-    layout = {p: v for p, v in PARAMETER_LAYOUT.items()}
-    group = _map({p: g for p, (g, _, _) in layout.items()}, param)
-    width = _map({p: w for p, (_, w, _) in layout.items()}, param)
-    pos = _map({p: i for p, (_, _, i) in layout.items()}, param)
-    k = prop_k()
-    text = F.col("value").cast("string")
-    cell = F.when(k < 10, F.concat(text, F.lit(ESTIMATED_TAG))).otherwise(text)
-    if corrupt:
-        cell = F.when(k == 0, F.lit("#VALUE!")).otherwise(cell)
-    td = F.concat(F.lit("<td>"), cell, F.lit("</td>"))
-    empty = F.lit("<td></td>")
-    cells = F.when(width == 2, td).when(pos == 1, F.concat(td, empty)).otherwise(F.concat(empty, td))
-    row = F.concat(F.lit("<tr><td>"), F.date_format("ts", PAGE_TIME_FORMAT), F.lit("</td>"), cells, F.lit("</tr>"))
+    group = _map({p: g for p, (g, _, _) in PARAMETER_LAYOUT.items()}, param)
     e = events.join(cust, "user_id").select(
         group.alias("group"),
         "station_url_name",
         F.date_format("ts", "yyyy-MM-dd-HH").alias("slot"),
         "c_acctbal",
-        "ts",
-        "event_id",
-        row.alias("row"),
+        F.struct("ts", "event_id", "event_type", "value", "props").alias("ev"),
     )
     header = _map(
         {
@@ -172,14 +158,31 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
         },
         F.col("group"),
     )
+    # Only the raw readings cross the shuffle; each page's rows are
+    # formatted afterwards, spread over the pages' partitions.
     pages = e.groupBy("group", "station_url_name", "slot").agg(
-        F.sort_array(F.collect_list(F.struct("ts", "event_id", "row"))).alias("rows"),
+        F.sort_array(F.collect_list("ev")).alias("rows"),
         F.min("c_acctbal").alias("c_acctbal"),
     )
+
+    def row_html(r: Column) -> Column:
+        p = _map(EVENT_PARAMETER, r["event_type"])
+        width = _map({q: w for q, (_, w, _) in PARAMETER_LAYOUT.items()}, p)
+        pos = _map({q: i for q, (_, _, i) in PARAMETER_LAYOUT.items()}, p)
+        k = F.get_json_object(r["props"], "$.k").try_cast("int")
+        text = r["value"].cast("string")
+        cell = F.when(k < 10, F.concat(text, F.lit(ESTIMATED_TAG))).otherwise(text)
+        if corrupt:
+            cell = F.when(k == 0, F.lit("#VALUE!")).otherwise(cell)
+        td = F.concat(F.lit("<td>"), cell, F.lit("</td>"))
+        empty = F.lit("<td></td>")
+        cells = F.when(width == 2, td).when(pos == 1, F.concat(td, empty)).otherwise(F.concat(empty, td))
+        return F.concat(F.lit("<tr><td>"), F.date_format(r["ts"], PAGE_TIME_FORMAT), F.lit("</td>"), cells, F.lit("</tr>"))
+
     html = F.concat(
         F.lit('<html><body><div id="content"><table class="' + DATA_TABLE_CLASS + '" cellspacing="0">'),
         header,
-        F.array_join(F.transform("rows", lambda r: r["row"]), ""),
+        F.array_join(F.transform("rows", row_html), ""),
         F.lit("</table></div></body></html>"),
     )
     url = F.concat(
