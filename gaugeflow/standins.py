@@ -211,7 +211,9 @@ def nav_pages(orders: DataFrame, customer: DataFrame) -> DataFrame:
     section.
     """
     names = customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    o = orders.join(names, "o_custkey")
+    # Landed pages arrive in many files; spread the (light) order rows like
+    # that before the pages are formatted (the test table is one split).
+    o = orders.join(names, "o_custkey").repartition("o_orderkey")
     label = _map(PRIORITY_LABEL, F.col("o_orderpriority"))
     page = _map(LABEL_PAGE, label)
     href = F.concat(
@@ -236,10 +238,7 @@ def nav_pages(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.lit("<li>" + title + ADMIN_TITLE + '</p><ul><li><a href="Admin/Login.aspx">Login</a></li></ul></li>'),
         F.lit("</ul></div></div></body></html>"),
     )
-    # Landed pages arrive in many files; spread them like that (the orders
-    # file of the test tables is a single split).
-    pages = o.select(F.col("o_orderkey").alias("page_id"), F.lit("http://stations.example/").alias("url"), html.alias("html"))
-    return pages.repartition("page_id")
+    return o.select(F.col("o_orderkey").alias("page_id"), F.lit("http://stations.example/").alias("url"), html.alias("html"))
 
 
 def location_pages(dim: DataFrame, key: str, name: str, lat: str, long: str,
