@@ -38,7 +38,7 @@ from gaugeflow.operators.reshape import to_long
 from gaugeflow.plans.normalize import normalize_pages
 from gaugeflow.plans.stations import refresh_stations
 from gaugeflow.plans.update import update_hourly
-from gaugeflow.session import checkpoint_root
+from gaugeflow.session import checkpoint_root, staging_path
 from gaugeflow.sources.html import js_locations, nav_links, parse_locations
 
 AS_OF = dt.date(2024, 1, 30)
@@ -384,25 +384,56 @@ def q_reset_manifest(spark, sf_dir):
     return reset_manifest(all_links(S.stations(_t(spark, sf_dir, "customer")), S.BASE_URL))
 
 
+def _stream_daily_events(spark, sf_dir):
+    from gaugeflow.sources.tables import read_daily
+    from gaugeflow.streaming.common import events_stream, new_checkpoint
+    from gaugeflow.streaming.daily import stream_daily
+
+    path = staging_path(spark, "stream-daily")
+    hourly = S.hourly(events_stream(spark, sf_dir), spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    stream_daily(hourly, path, new_checkpoint(spark, "stream-daily"))
+    return read_daily(spark, path)
+
+
 def q_stream_daily(spark, sf_dir):
     """Events streamed as hourly rows into the streaming daily mart."""
-    from gaugeflow.streaming.daily import stream_daily_events
-
-    return _round_value(stream_daily_events(spark, sf_dir))
+    return _round_value(_stream_daily_events(spark, sf_dir))
 
 
 def q_stream_update(spark, sf_dir):
     """Landed pages streamed into the hourly table twice (replay adds nothing)."""
-    from gaugeflow.streaming.update import stream_update_events
+    from gaugeflow.sources.tables import read_hourly
+    from gaugeflow.streaming.update import stream_update
 
-    return stream_update_events(spark, sf_dir)
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cu = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    pages_dir = staging_path(spark, "landed-pages")
+    # Land the pages in a few files so the stream sees several micro-batches.
+    S.data_pages(ev, cu).repartition(4, "station_url_name").write.parquet(pages_dir)
+    stations = S.stations(cu)
+    hourly_path = staging_path(spark, "stream-hourly")
+    for _ in range(2):
+        stream_update(spark, pages_dir, stations, hourly_path, AS_OF, base_url=S.BASE_URL, max_files=2)
+    return read_hourly(spark, hourly_path)
 
 
 def q_stream_dedup(spark, sf_dir):
     """Events streamed as hourly rows through state-store deduplication."""
-    from gaugeflow.streaming.dedup import stream_dedup_events
-
-    return stream_dedup_events(spark, sf_dir)
+    from gaugeflow.schemas import HOURLY
+    from gaugeflow.streaming.common import events_stream, new_checkpoint, run_available_now
+    from gaugeflow.streaming.dedup import dedup_stream
+
+    path = staging_path(spark, "stream-dedup")
+    hourly = S.hourly(events_stream(spark, sf_dir), spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    writer = (
+        dedup_stream(hourly)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", new_checkpoint(spark, "stream-dedup"))
+    )
+    run_available_now(writer, "dedup")
+    return spark.read.schema(HOURLY).parquet(path)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

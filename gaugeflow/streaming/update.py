@@ -10,11 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow import standins as S
 from gaugeflow.constants import LOOKBACK_DAYS
 from gaugeflow.plans.update import update_hourly
 from gaugeflow.schemas import PAGES
-from gaugeflow.session import staging_path
 from gaugeflow.sinks.tables import append_hourly
 from gaugeflow.sources.tables import read_hourly
 from gaugeflow.streaming.common import new_checkpoint, run_available_now
@@ -33,19 +31,3 @@ def stream_update(spark: SparkSession, pages_dir: str, stations: DataFrame, hour
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint or new_checkpoint(spark, "update")).foreachBatch(batch)
     run_available_now(writer, "update")
-
-
-def stream_update_events(spark: SparkSession, sf_dir: str, as_of="2024-01-30") -> DataFrame:
-    """Registered query: stand-in pages landed as files, streamed into an
-    empty hourly table twice (second replay under a fresh checkpoint adds
-    nothing), then read back."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cu = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    pages_dir = staging_path(spark, "landed-pages")
-    # Land the pages in a few files so the stream sees several micro-batches.
-    S.data_pages(ev, cu).repartition(4, "station_url_name").write.parquet(pages_dir)
-    stations = S.stations(cu)
-    hourly_path = staging_path(spark, "stream-hourly")
-    for _ in range(2):
-        stream_update(spark, pages_dir, stations, hourly_path, as_of, base_url=S.BASE_URL, max_files=2)
-    return read_hourly(spark, hourly_path)
