@@ -386,11 +386,11 @@ def q_reset_manifest(spark, sf_dir):
 
 def _stream_daily_events(spark, sf_dir):
     from gaugeflow.sources.tables import read_daily
-    from gaugeflow.streaming.common import events_stream, new_checkpoint
+    from gaugeflow.streaming.common import new_checkpoint, table_stream
     from gaugeflow.streaming.daily import stream_daily
 
     path = staging_path(spark, "stream-daily")
-    hourly = S.hourly(events_stream(spark, sf_dir), spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    hourly = S.hourly(table_stream(spark, sf_dir, "events"), spark.read.parquet(f"{sf_dir}/customer.parquet"))
     stream_daily(hourly, path, new_checkpoint(spark, "stream-daily"))
     return read_daily(spark, path)
 
@@ -420,11 +420,11 @@ def q_stream_update(spark, sf_dir):
 def q_stream_dedup(spark, sf_dir):
     """Events streamed as hourly rows through state-store deduplication."""
     from gaugeflow.schemas import HOURLY
-    from gaugeflow.streaming.common import events_stream, new_checkpoint, run_available_now
+    from gaugeflow.streaming.common import new_checkpoint, table_stream, run_available_now
     from gaugeflow.streaming.dedup import dedup_stream
 
     path = staging_path(spark, "stream-dedup")
-    hourly = S.hourly(events_stream(spark, sf_dir), spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    hourly = S.hourly(table_stream(spark, sf_dir, "events"), spark.read.parquet(f"{sf_dir}/customer.parquet"))
     writer = (
         dedup_stream(hourly)
         .writeStream.outputMode("append")

@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from gaugeflow.session import staging_path
 
 
-def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """The driver's ``events`` table as a file stream (its folder, filtered
-    to that one file name)."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+def table_stream(spark: SparkSession, folder: str, name: str, max_files: int = 1) -> DataFrame:
+    """A file stream of the Parquet table ``name.parquet`` in ``folder``
+    (the folder, filtered to that file name), with the table's schema."""
+    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
     return (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
+        .option("pathGlobFilter", f"{name}.parquet")
         .option("maxFilesPerTrigger", max_files)
-        .parquet(sf_dir)
+        .parquet(folder)
     )
 
 
