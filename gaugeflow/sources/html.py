@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gaugeflow.constants import DATA_TABLE_CLASS, NAV_TITLE_CLASS
 from gaugeflow.functions.text import cell_text, html_text, html_unescape, py_strip
 
-_CLASS = r"""\bclass\s*=\s*["'][^"']*\b{cls}\b[^"']*["']"""
+_CLASS = r"""\bclass\s*=\s*(?:["'][^"']*\b{cls}\b[^"']*["']|{cls}(?=[\s>/]))"""
 _TABLE_WITH_CLASS = r"(?is)<table\b[^>]*" + _CLASS + r"[^>]*>(.*?)</table>"
 _TABLE_AFTER_CLASS = r"(?is)" + _CLASS + r"[^>]*>.*?<table\b[^>]*>(.*?)</table>"
 _ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"

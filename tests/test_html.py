@@ -91,3 +91,12 @@ def test_thead_td_header_is_not_data(spark):
             "<tbody><tr><td>Jan 04, 2024 10:00</td><td>1.5</td></tr></tbody></table>")
     r = spark.createDataFrame([(html,)], "html string").select(html_table_rows(F.col("html")).alias("t")).first().t
     assert r.width == 2 and [list(x) for x in r.rows] == [["Jan 04, 2024 10:00", "1.5"]]
+
+
+def test_unquoted_class_attributes(spark):
+    html = "<table class=CenteredGrid><tr><td>Jan 04, 2024 10:00</td><td>2</td></tr></table>"
+    r = spark.createDataFrame([(html,)], "html string").select(html_table_rows(F.col("html")).alias("t")).first().t
+    assert r.width == 2 and [list(x) for x in r.rows] == [["Jan 04, 2024 10:00", "2"]]
+    nav = '<li><p class=sf-with-ul>Sarita</p><ul><li><a href="x.aspx">Site Info</a></li></ul></li>'
+    df = spark.createDataFrame([(1, nav)], "page_id long, html string")
+    assert [(r.title, r.label) for r in nav_links(df, keep=["page_id"]).collect()] == [("Sarita", "Site Info")]
