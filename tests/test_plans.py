@@ -111,3 +111,9 @@ def test_large_page_parses_in_linear_time(spark):
     n = normalize_pages(pages, st).rows.count()
     assert n == 16000
     assert time.perf_counter() - t0 < 20
+
+
+def test_nbsp_cell_is_missing_value(spark):
+    rows, status = run(spark, [page("Temperature", [("Jan 04, 2024 10:00", "5.5", "&nbsp;")])])
+    assert sorted((r[5], r[4]) for r in rows) == [("Air Temperature", 5.5), ("Water Temperature", None)]
+    assert status[("Temperature", "http://h/Temperature/Sarita")][0] == "success"
