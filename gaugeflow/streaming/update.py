@@ -20,14 +20,22 @@ from gaugeflow.streaming.common import new_checkpoint, run_available_now
 
 def stream_update(spark: SparkSession, pages_dir: str, stations: DataFrame, hourly_path: str, as_of,
                   days: int = LOOKBACK_DAYS, base_url: str = "", checkpoint: str | None = None,
-                  max_files: int = 1) -> None:
-    """Drain the landed-pages folder into the hourly table."""
+                  max_files: int = 1, report_path: str | None = None) -> None:
+    """Drain the landed-pages folder into the hourly table.
+
+    With ``report_path`` each micro-batch also writes the status of its
+    landed pages (JSON under ``batch=<id>``; a retried batch overwrites its
+    own report). Per-link all-valid flags are not written here because a
+    link's pages may arrive in later batches.
+    """
     stream = spark.readStream.schema(PAGES).option("maxFilesPerTrigger", max_files).parquet(pages_dir)
 
-    def batch(pages: DataFrame, _id: int) -> None:
+    def batch(pages: DataFrame, batch_id: int) -> None:
         stored = read_hourly(spark, hourly_path, as_of, days)
         result = update_hourly(pages, stations, stored, as_of, days, base_url)
         append_hourly(result.new_rows.checkpoint(), hourly_path)
+        if report_path:
+            result.page_status.write.mode("overwrite").json(f"{report_path}/batch={batch_id}")
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint or new_checkpoint(spark, "update")).foreachBatch(batch)
     run_available_now(writer, "update")

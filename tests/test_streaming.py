@@ -59,7 +59,18 @@ def test_stream_update_replay_adds_nothing(spark):
     S.data_pages(ev, cu).repartition(3).write.parquet(pages_dir)
     hourly_path = staging_path(spark, "t-stream-hourly")
     st = S.stations(cu)
-    stream_update(spark, pages_dir, st, hourly_path, "2024-01-30", base_url=S.BASE_URL, max_files=1)
+    report = staging_path(spark, "t-stream-report")
+    stream_update(spark, pages_dir, st, hourly_path, "2024-01-30", base_url=S.BASE_URL, max_files=1,
+                  report_path=report)
     first = read_hourly(spark, hourly_path).count()
+    statuses = spark.read.json(report)
+    # one micro-batch per landed file, each reporting its pages
+    assert statuses.select("batch").distinct().count() == 3
+    from gaugeflow.operators.links import all_links
+
+    wanted = S.data_pages(ev, cu).join(
+        all_links(st, S.BASE_URL).select("group", "station_url_name"), ["group", "station_url_name"], "left_semi"
+    )
+    assert statuses.count() == wanted.count() > 0
     stream_update(spark, pages_dir, st, hourly_path, "2024-01-30", base_url=S.BASE_URL, max_files=1)
     assert read_hourly(spark, hourly_path).count() == first > 0
