@@ -21,6 +21,7 @@ from gaugeflow.sources.tables import Warehouse, read_nav_pages, read_pages, read
 
 
 def main(argv=None) -> None:
+    """Parse the command line and run one job."""
     ap = argparse.ArgumentParser(prog="gaugeflow")
     ap.add_argument("job", choices=["update", "reset", "refresh", "marts", "full-reset"])
     ap.add_argument("--warehouse", required=True)

@@ -437,6 +437,7 @@ def q_stream_dedup(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Registered queries by name; each takes (spark, sf_dir)."""
     return {
         "daily": q_daily,
         "daily_two_level": q_daily_two_level,
@@ -635,6 +636,7 @@ served AS (
 
 
 def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL per registered query over the same driver tables."""
     split = SPLIT_TS
     overlap = OVERLAP_TS
     recent_from = window_start(RECENT_AS_OF, 366).isoformat()

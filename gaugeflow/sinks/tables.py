@@ -22,11 +22,13 @@ STATION_BUCKETS = 16
 
 
 def station_bucket(station: Column | str = "STATION_NUMBER", buckets: int = STATION_BUCKETS) -> Column:
+    """Hash bucket (0..buckets-1) of a station id, the second partition column."""
     c = F.col(station) if isinstance(station, str) else station
     return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
 
 
 def with_partitions(df: DataFrame) -> DataFrame:
+    """Add the partition columns: ``month`` (yyyy-MM of Date) and ``sbucket``."""
     return df.withColumn("month", F.date_format("Date", "yyyy-MM")).withColumn("sbucket", station_bucket())
 
 

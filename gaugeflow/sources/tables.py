@@ -87,6 +87,7 @@ def read_hourly(spark: SparkSession, path: str, as_of=None, days: int | None = N
 
 
 def read_daily(spark: SparkSession, path: str, keep_partitions: bool = False) -> DataFrame:
+    """Stored daily mart (optionally with its partition columns)."""
     cols = [f.name for f in DAILY.fields] + (PARTITION_COLUMNS if keep_partitions else [])
     return _read(spark, DAILY_STORED, path).select(*cols)
 
@@ -102,4 +103,5 @@ def read_nav_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_series_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """Landed series date ranges (station_url_name, start_text, end_text)."""
     return _read(spark, SERIES_RANGES, path)

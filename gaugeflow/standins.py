@@ -84,6 +84,7 @@ def _map(mapping: dict, col: Column) -> Column:
 
 
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
+    """One driver table of ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -30,4 +30,5 @@ def run_available_now(writer, name: str) -> None:
 
 
 def new_checkpoint(spark: SparkSession, name: str) -> str:
+    """A fresh streaming checkpoint folder under the shared checkpoint root."""
     return staging_path(spark, f"{name}-checkpoint")

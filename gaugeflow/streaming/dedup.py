@@ -15,5 +15,6 @@ from gaugeflow.streaming.daily import reading_time
 
 
 def dedup_stream(hourly_stream: DataFrame, late_days: int = LOOKBACK_DAYS) -> DataFrame:
+    """Hourly stream without repeated rows inside the watermark delay (state store)."""
     timed = reading_time(hourly_stream).withWatermark("event_ts", f"{late_days} days")
     return timed.dropDuplicatesWithinWatermark(HOURLY_COLUMNS).select(*HOURLY_COLUMNS)
