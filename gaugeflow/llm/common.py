@@ -61,6 +61,6 @@ def exclusive_sums(df: DataFrame, keys: list[str], index: str, value: str, out:
     totals = (df.groupBy(*keys, high).agg(F.sum(value).alias(base))
               .withColumn(base, F.coalesce(F.sum(base).over(coarse), F.lit(0))))
     return (df.withColumn(inner, F.coalesce(F.sum(value).over(fine), F.lit(0)))
-            .join(totals, [*keys, high])
+            .join(totals.hint("merge"), [*keys, high])
             .withColumn(out, (F.col(inner) + F.col(base)).cast("long"))
             .drop(high, inner, base))

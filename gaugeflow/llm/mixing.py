@@ -23,6 +23,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 DOCS_PER_BIN = 256
 SEED = 20240601
 ROUNDS = 10
+BLOCKS_PER_TASK = 1 << 18
 
 
 @dataclass
@@ -133,13 +134,16 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = 1.5, epochs: int = 2,
     placed = stage(keyed.withColumn("__in", F.coalesce(F.sum("size").over(within), F.lit(0)))
                    .join(starts.select("rank", "bin", "start"), ["rank", "bin"])
                    .select("doc_id", "size", "rank", (F.col("__in") + F.col("start")).alias("offset")), "mix-placed")
+    # Few compact rows unfold into many: deal them out by what they unfold to.
+    n_blocks = sources.agg(F.sum("blocks")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_blocks // BLOCKS_PER_TASK + 1)
     width = F.lit(block_words).cast("long")
     first, last = F.floor(F.col("offset") / width), F.floor((F.col("offset") + F.col("size") - 1) / width)
-    blocks = (placed.filter("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
+    blocks = (placed.filter("size > 0").repartition(parts, "rank", "offset").withColumn("block", F.explode(F.sequence(first, last)))
               .withColumn("words", F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * width)
                           - F.greatest(F.col("offset"), F.col("block") * width)))
     counts = exclusive_sums(_shard_counts(sources, shard_blocks), ["rank"], "shard", "count", "before")
-    slots = (counts.filter("count > 0")
+    slots = (counts.filter("count > 0").repartition(parts, "rank", "shard")
              .withColumn("turn", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("count") - 1)))
              .filter(F.col("turn") < F.col("blocks") * F.lit(epochs))  # a source is passed over `epochs` times at most
              .withColumn("epoch", F.floor(F.col("turn") / F.col("blocks")).cast("long")))
@@ -153,10 +157,11 @@ def taken_words(plan: Mix) -> DataFrame:
     each document, repeats counted. One row per input row."""
     times = plan.slots.groupBy("rank", "block").agg(F.count("*").alias("times"))
     # offsets are unique among a source's rows with words, so they name the row
-    used = (plan.blocks.join(times, ["rank", "block"])
+    # both sides grow with the input, and their files say little of their unfolded size: no broadcast
+    used = (plan.blocks.hint("merge").join(times, ["rank", "block"])
             .groupBy("rank", "offset", "doc_id", "size").agg(F.sum(F.col("words") * F.col("times")).alias("taken")))
     key = ["rank", "offset", "size"]
-    full = plan.rows.join(used.select(*key, "taken"), key, "left")
+    full = plan.rows.hint("merge").join(used.select(*key, "taken"), key, "left")
     return (full.join(plan.sources.select("rank", "source_size", "target"), "rank")
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
 
