@@ -1,0 +1,503 @@
+"""Each operator against a brute-force version on small fixtures."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeflow.llm import (components, decontam, fingerprints, language_crf, mixing, ngram_join, sharding,
+                           suffix_dedup, token_cache, url_rules, warc)
+from gaugeflow.llm.common import exclusive_sums, prepare
+from gaugeflow.session import staging_path
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choices("abcdeéstr", k=rng.randint(1, 7))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    texts = [words(rng, rng.choice([1, 4, 30, 80, 200])) for _ in range(60)]
+    base, passage = words(rng, 150), words(rng, 70)
+    for _ in range(25):  # near copies
+        ws = base.split()
+        for _ in range(rng.randint(0, 6)):
+            ws[rng.randrange(len(ws))] = "zz" + str(rng.randrange(50))
+        texts.append(" ".join(ws))
+    for _ in range(20):  # a shared passage in different surroundings
+        texts.append(words(rng, 40) + " " + passage + " " + words(rng, 40))
+    texts += [texts[3]] * 15 + [None, "", "   ", "é" * 900, "ab" * 400, words(rng, 9000), "12 34"]
+    out = [(i * 7, t, rng.choice(["en", "fr", None]), rng.choice(["s1", "s2", "s3", "ü", None]), None) for i, t in enumerate(texts)]
+    out += [out[2], out[2], out[70]]  # repeated rows
+    out.append((None, words(rng, 60), None, None, None))
+    rng.shuffle(out)
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    """The rows with extra columns named like the operators' own."""
+    prepare(spark)
+    df = spark.createDataFrame(rows, DOC).repartition(5)
+    return df.select("*", *[F.lit("x").alias(c) for c in ("size", "digest", "shard", "h", "bands", "key", "bin", "cid", "__row", "rank", "found")])
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOC)
+
+
+def test_exclusive_sums(spark):
+    rng = random.Random(1)
+    data = [(k, i, rng.randint(0, 9)) for k in range(3) for i in rng.sample(range(100), 40)]
+    got = exclusive_sums(spark.createDataFrame(data, "k int, i long, v long"), ["k"], "i", "v", "before", fan=8).collect()
+    assert all(r.before == sum(v for k, i, v in data if k == r.k and i < r.i) for r in got) and len(got) == 120
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 440)] + [(500, i) for i in range(501, 560)] + [(600, 600), (None, 3)]
+    group = {}
+    for a, b in links:
+        if a is not None:
+            group.setdefault(a, {a}), group.setdefault(b, {b})
+            if group[a] is not group[b]:
+                group[a] |= group[b]
+                for x in group[b]:
+                    group[x] = group[a]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: min(s) for x, s in group.items()}
+
+
+def brute_repeats(texts, size):
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(d[i:i + size] for d in data for i in range(len(d) - size + 1))
+    out = []
+    for d in data:
+        cover = np.zeros(len(d) + 1, dtype=bool)
+        for i in range(len(d) - size + 1):
+            if seen[d[i:i + size]] > 1:
+                cover[i:i + size] = True
+        kept = bytes(b for b, c in zip(d, cover) if not c)
+        spans = int((cover[:-1] & ~np.append(False, cover[:-2])).sum()) if len(d) else 0
+        out.append((len(d), len(d) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("size,gram,hot", [(200, 48, 128), (60, 16, 3)])
+def test_suffix_dedup(docs, rows, none, monkeypatch, size, gram, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT_REGIONS", hot)
+    want = Counter((r[0], *b) for r, b in zip(rows, brute_repeats([r[1] for r in rows], size)))
+    got = suffix_dedup.remove_repeats(docs, size, gram, with_kept=True).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
+    assert sum(r.n_removed > 0 for r in got) > 30
+    if hot == 3:
+        assert suffix_dedup.remove_repeats(none).count() == 0
+
+
+def water_level(caps, weights, total):
+    """Share by weight, cap, share the excess anew, until none is above."""
+    target, open_, left = [0.0] * len(caps), set(range(len(caps))), total
+    while open_:
+        sum_w = sum(weights[i] for i in open_)
+        over = {i for i in open_ if left * weights[i] / sum_w > caps[i]}
+        if not over:
+            for i in open_:
+                target[i] = left * weights[i] / sum_w
+            return target
+        for i in over:
+            target[i] = caps[i]
+        left, open_ = left - sum(caps[i] for i in over), open_ - over
+    return target
+
+
+def test_mix(docs, rows, none, spark):
+    size = [len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r in rows]
+    by = defaultdict(int)
+    for r, n in zip(rows, size):
+        by[r[3]] += n
+    names = sorted([s for s in by if s is not None]) + [None] * (None in by)
+    targets = dict(zip(names, water_level([2.0 * by[s] for s in names], [(3, 1, 2)[i % 3] for i in range(len(names))], 1.5 * sum(size))))
+    plan = mixing.mix(docs, block_words=8, shard_blocks=50)
+    got = mixing.taken_words(plan).collect()
+    assert Counter((r.doc_id, r.size) for r in got) == Counter((r[0], n) for r, n in zip(rows, size))
+    source = {r[0]: r[3] for r in rows}
+    taken = defaultdict(int)
+    for r in got:
+        s = source[r.doc_id]
+        assert r.source_size == by[s] and r.target == pytest.approx(targets[s], rel=1e-12)
+        assert 0 <= r.taken <= 2 * r.size
+        taken[s] += r.taken
+    for s in names:
+        assert abs(taken[s] - targets[s]) <= max(0.05 * targets[s], 40), s
+    again = mixing.taken_words(mixing.mix(docs.repartition(3), block_words=8, shard_blocks=50)).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, again))
+    per_shard = plan.slots.groupBy("shard").count().collect()
+    assert len(per_shard) > 10 and all(r["count"] <= 50 for r in per_shard)
+    once = plan.slots.groupBy("rank", "epoch", "block").count().filter("count > 1").count()
+    assert once == 0
+    assert mixing.taken_words(mixing.mix(none)).count() == 0
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    count = Counter(r.doc_id for r in mixed.select("doc_id").collect())
+    assert max(v for k, v in count.items() if k not in (rows[0][0], None)) <= 6 and not mixing.mixed_documents(none).count()
+
+
+def test_permutation_is_a_bijection(spark):
+    for n in (1, 2, 7, 100):
+        df = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(3)).alias("x"))
+        got = [r.x for r in df.collect()]
+        assert sorted(got) == list(range(n)) and (n < 100 or got != list(range(n)))
+
+
+def test_fingerprints(docs, rows, none, spark):
+    got = fingerprints.fingerprint_documents(docs).collect()
+    order = sorted(((r[0] if r[0] is not None else 1 << 62, r[1] or "") for r in rows))
+    want = Counter()
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
+        cut = len(text) // 4
+        edited = text[:len(text) - cut] + after[:cut]
+        want[None if i == 1 << 62 else i, len(text), hashlib.sha256(edited.encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == want
+    text = {}
+    for r in got:
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        t = next(x[1] or "" for x in rows if x[0] == r.doc_id)
+        assert text.setdefault(t, r.fingerprint) == r.fingerprint
+        assert r.near_edited > 0.4 or r.n_chars < 500 or len(set(t)) < 3
+    assert len(set(text.values())) == len(text)
+    assert fingerprints.fingerprint_documents(none).count() == 0
+    one = fingerprints.fingerprint_documents(spark.createDataFrame([(1, "abcd" * 9)], "doc_id long, text string")).collect()
+    assert one[0].near_next == 1.0
+
+
+def test_chunks_resist_shifts():
+    rng = random.Random(4)
+    text = words(rng, 3000)
+    data = text.encode()
+    ends = fingerprints.chunk_ends(data)
+    sizes = np.diff([0, *ends])
+    assert ends[-1] == len(data) and sizes.max() <= fingerprints.MAX_BYTES and (sizes[:-1] >= fingerprints.MIN_BYTES).all()
+    assert fingerprints.containment(fingerprints.chunks(text), fingerprints.chunks("inserted words " + text)) > 0.97
+    naive = [sum(int(fingerprints._GEAR[data[i - j]]) << j for j in range(32) if i >= j) & 0xFFFFFFFF for i in range(100)]
+    assert fingerprints.gear_hashes(data[:100]).tolist() == naive
+
+
+def test_warc(spark):
+    rng = random.Random(5)
+    big, small = words(rng, 600), "same"
+    pages = [(i, f"http://h{i}.org/a b\r\nX: 1%41", words(rng, 300)) for i in range(40)]
+    pages += [(100 + i, "http://copy.org/", big) for i in range(30)] + [(200, "u", small), (201, None, small), (300, "u", None), (301, "u", "")]
+    pages += [(129, "again", big), (None, "http://null.org/", big), (-5, "n", "x" * 40000), (400, "c", "a\r\n\r\nWARC/1.1\r\n\r\n" * 90)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("digest", F.lit(1)).repartition(3)
+    folder = staging_path(spark, "warc-test")
+    index = warc.write_archives(df, folder, file_bytes=20000)
+    got = warc.read_records(index, folder).collect()
+    want = Counter()
+    keep = {}
+    for i, _, html in pages:
+        if i is not None and len((html or "").encode()) >= 1000:
+            keep[html] = max(keep.get(html, i), i)
+    for i, url, html in pages:
+        data = (html or "").encode()
+        again = len(data) >= 1000 and i != keep[html]
+        want[i, url, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", keep[html] if again else None] += 1
+    assert Counter(map(tuple, got)) == want
+    chosen = index.filter("page_id in (3, 105)")
+    assert sorted(r.page_id for r in warc.read_records(chosen, folder).collect()) == [3, 105]
+    assert index.select("file").distinct().count() > 3
+    empty = staging_path(spark, "warc-empty")
+    assert warc.read_records(warc.write_archives(df.limit(0), empty), empty).count() == 0
+
+
+def distance_within(pattern, text):
+    """Smallest edit distance of the pattern to a substring, by the full table."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return min(row)
+
+
+def test_decontamination(spark):
+    rng = random.Random(6)
+    items = [(i, words(rng, rng.choice([8, 25, 40]))) for i in range(8)] + [(90, None), (91, ""), (92, "short"), (3, "a" * 60)]
+    items.append(items[0])
+
+    def edited(text, n):
+        chars = list(text)
+        for _ in range(n):
+            at = rng.randrange(len(chars))
+            rng.choice([lambda: chars.pop(at), lambda: chars.insert(at, "q"), lambda: chars.__setitem__(at, "Q")])()
+        return "".join(chars)
+
+    docs = [(i, words(rng, 60)) for i in range(20)]
+    for k in range(40):
+        text = items[k % 8][1]
+        docs.append((100 + k, words(rng, 20) + "\n " + edited(text, k // 4).upper() + " " + words(rng, 20)))
+    docs += [(500, None), (501, ""), (502, "a" * 500), (100, docs[20][1]), (None, items[1][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("x")).repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(0))
+    want = Counter()
+    for i, text in docs:
+        for item, pattern in {(a, decontam.normalised(b)) for a, b in items if b}:
+            if len(pattern) >= decontam.MIN_CHARS:
+                k, _ = decontam.pieces(pattern)
+                d = distance_within(pattern, decontam.normalised(text))
+                if d <= k:
+                    want[i, item, d, k] += 1
+    got = decontam.matches(df, bench).collect()
+    assert Counter((r.doc_id, r.item_id, r.distance, r.error_budget) for r in got) == want
+    assert any(r.distance > 0 for r in got) and not any((r.doc_id or 999) < 20 for r in got)
+    clean = decontam.drop_contaminated(df, bench)
+    bad = {r.doc_id for r in got}
+    assert Counter(r.doc_id for r in clean.collect()) == Counter(i for i, _ in docs if i not in bad)
+    assert clean.columns == df.columns
+    assert decontam.matches(df.limit(0), bench).count() == 0
+    assert decontam.matches(df, bench.limit(0)).count() == 0
+
+
+def test_decontamination_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 200)
+    rng = random.Random(8)
+    items = [(i, words(rng, 30)) for i in range(12)]
+    docs = spark.createDataFrame([(i, words(rng, 5) + " " + t) for i, t in items], "doc_id long, text string")
+    got = decontam.matches(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, i) for i in range(12)]
+
+
+def naive_url(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), path
+
+
+def test_url_rules(spark):
+    rng = random.Random(9)
+    urls = [f"https://{rng.choice(['a', 'b.a', 'spam-farm', 'EXAMPLE', 'x.Example'])}.{rng.choice(['org', 'com', 'example.org', 'net'])}"
+            f"{rng.choice(['', '/', '/es/1', '/en/12', '/fr/3', '/de/4', '/de'])}{rng.choice(['', '?q=/es/', '#f'])}" for _ in range(700)]
+    urls += [None, "", "nothing", "http://", "x://y://org/", "http://notorg/fr/", "http://org/", "http://É.org/a\nb?c"]
+    pages = list(enumerate(urls)) + [(5, urls[5]), (None, "http://q.net/spam")]
+    df = spark.createDataFrame(pages, "page_id long, url string").withColumn("verdict", F.lit("x"))
+    bad = {i for i, u in pages if u and "spam-farm" in u and ".net" in u}
+    labels = spark.createDataFrame([(i, 0 if i in bad else 1, None) for i in range(0, 700, 2)] + [(None, 0, 1), (7, None, None)],
+                                   "doc_id long, quality int, toxic int")
+    got = url_rules.judge(df, labels).collect()
+    assert Counter((r.page_id, r.host, r.path) for r in got) == Counter((i, *naive_url(u)) for i, u in pages)
+    by = {i: u for i, u in pages}
+    for r in got:
+        fits = [(len(rule), rule, verdict) for verdict, rule in url_rules.RULES
+                if (r.host == rule.split("/")[0] or r.host.endswith("." + rule.split("/")[0]))
+                and r.path.startswith("/" + rule.split("/", 1)[1])]
+        if fits:
+            assert (r.rule, r.verdict) == max(fits)[1:]
+        else:
+            assert r.rule is None
+            assert r.verdict == ("block" if r.page_id in bad else "allow"), by[r.page_id]
+    assert len(bad) > 5
+    assert url_rules.judge(df.limit(0), labels).count() == 0
+    assert {r.verdict for r in url_rules.judge(df, labels.limit(0)).filter("rule is null").collect()} == {"allow"}
+
+
+def test_rules_match_as_brute_force(spark):
+    rng = random.Random(10)
+    tokens = [(i, rng.sample(["t%d" % k for k in range(6)], 3)) for i in range(400)]
+    bad = {i for i, t in tokens if {"t1", "t2"} <= set(t) or ("t3" in t and rng.random() < 0.7)}
+    df = spark.createDataFrame(tokens, "page_id long, items array<string>")
+    labels = spark.createDataFrame([(i, 1, int(i in bad)) for i, _ in tokens], "doc_id long, quality int, toxic int")
+    got = {tuple(sorted(r["items"])): r.confidence for r in url_rules.mine_rules(df, labels, 0.02, 0.6).collect()}
+    every = {}
+    for i, t in tokens:
+        for m in range(1, 8):
+            key = tuple(sorted(x for k, x in enumerate(t) if m >> k & 1))
+            n, b = every.get(key, (0, 0))
+            every[key] = n + 1, b + (i in bad)
+    strong = {k: b / n for k, (n, b) in every.items() if b >= 10 and b >= 0.02 * 400 and b / n >= 0.6}
+    want = {k: c for k, c in strong.items()
+            if not any(strong.get(tuple(x for x in k if x != out), 0) >= c for out in k if len(k) > 1)}
+    assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_token_counts(docs, rows, none, spark, name):
+    import public_tokenizers
+    path = public_tokenizers.path(name)
+    special = [(9001, "a<|endoftext|>b <|endoftext|>", None, None, None), (9002, "<s></s> \x00 x", None, None, None)]
+    df = docs.select("doc_id", "text", "digest").unionByName(spark.createDataFrame(special, DOC).select("doc_id", "text", F.lit("x").alias("digest")))
+    if name.endswith("json"):
+        from tokenizers import Tokenizer
+        tok = Tokenizer.from_file(path)
+        count = lambda t: len(tok.encode(t, add_special_tokens=False).ids)
+    else:
+        import sentencepiece
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        count = lambda t: len(model.encode(t))
+    cache = staging_path(spark, "cache-test")
+    want = Counter((r[0], len((r[1] or "").encode()), count(r[1] or ""), count(r[1] or "") > 1024) for r in rows + special)
+    assert Counter(map(tuple, token_cache.count_tokens(df, path, cache).collect())) == want
+    stored = spark.read.parquet(cache).count()
+    assert stored == len({r[1] or "" for r in rows + special})
+    more = df.unionByName(spark.createDataFrame([(7777, "something new", "x")], "doc_id long, text string, digest string"))
+    assert token_cache.count_tokens(more, path, cache).count() == len(rows) + 3
+    assert spark.read.parquet(cache).count() == stored + 1  # only the miss was encoded
+    assert token_cache.count_tokens(none, path, cache).count() == 0
+
+
+def test_crf_forward_backward_is_exact():
+    rng = np.random.default_rng(1)
+    scores, trans = rng.normal(size=(1, 5, 3)), rng.normal(size=(3, 3))
+    total, want = 0, np.zeros((5, 3))
+    for path in np.ndindex(*[3] * 5):
+        w = np.exp(sum(scores[0, t, y] for t, y in enumerate(path))) * np.mean(np.exp(trans[:, path[0]]))
+        w *= np.exp(sum(trans[a, b] for a, b in zip(path, path[1:])))
+        total += w
+        want[np.arange(5), list(path)] += w
+    np.testing.assert_allclose(language_crf.marginals(scores, trans)[0][0], want / total, rtol=1e-9)
+    lengths = [1, 64, 65, 300, 2, 128]
+    doc = np.repeat(np.arange(6), lengths)
+    scores = rng.normal(size=(sum(lengths), 3)) * 2
+    shares = language_crf.document_shares(scores, doc, 6, trans)
+    for i in range(6):
+        np.testing.assert_allclose(shares[i], language_crf.marginals(scores[doc == i][None], trans)[0][0].mean(axis=0), rtol=1e-7)
+
+
+def test_language(spark, none):
+    prepare(spark)
+    rng = random.Random(12)
+    stock = {"en": "the of and tion ing with that was her on".split(), "de": "der und ung keit die schen nicht ein über zu".split()}
+
+    def text(lang, n):
+        return " ".join("".join(rng.choices(stock[lang], k=rng.randint(1, 3))) for _ in range(n))
+
+    data = [(i, text(lang, rng.choice([5, 60, 700])), lang) for i in range(300) for lang in [rng.choice(["en", "de"])]]
+    truth = {i: lang for i, _, lang in data}
+    data += [(1000, None, "en"), (1001, "12 ...", "de"), (1002, text("de", 40), None), (None, text("en", 40), "en"), (1003, "", None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string").withColumn("score", F.lit("x")).repartition(3)
+    got = language_crf.predict_language(df, language_crf.train(df)).collect()
+    assert len(got) == len(data)
+    for r in got:
+        assert r.held_out == (zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 5 == 0) and 0 <= r.score <= 1
+    by = {r.doc_id: r for r in got}
+    assert np.mean([by[i].lang_pred == lang for i, lang in truth.items() if by[i].held_out]) > 0.97
+    assert [by[i].lang_pred for i in (1000, 1001, 1003)] == ["und"] * 3 and by[1002].lang_pred == "de" and by[None].lang_pred == "en"
+    model = language_crf.train(df)
+    probs = model.tag(language_crf.words_of(text("en", 12) + " " + text("de", 12)))
+    assert (probs[2:10, model.langs.index("en")] > 0.5).all() and (probs[14:22, model.langs.index("de")] > 0.5).all()
+    kept = language_crf.keep_known(df, model)
+    assert kept.columns == df.columns and {i for i, t, _ in data} - {r.doc_id for r in kept.collect()} == {1000, 1001, 1003}
+    # labels of held-out documents and of the predicted ones are never used
+    swapped = df.withColumn("lang", F.when(language_crf.held_out(F.col("doc_id")), F.lit("de")).otherwise(F.col("lang")))
+    assert Counter(map(tuple, language_crf.predict_language(swapped, language_crf.train(swapped)).collect())) == Counter(map(tuple, got))
+    empty = language_crf.train(none)
+    assert language_crf.predict_language(none, empty).count() == 0
+    assert {r.lang_pred for r in language_crf.predict_language(df, empty).collect()} == {"und"}
+
+
+def test_ngram_join(docs, rows, none, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 6)
+    sets = []
+    for r in rows:
+        w = (r[1] or "").lower().split()
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    links = [0] * len(rows)
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                links[i] += 1
+                links[j] += 1
+                root[find(i)] = find(j)
+    low = defaultdict(list)
+    for i, r in enumerate(rows):
+        low[find(i)].append(r[0])
+    want = Counter((r[0], min((x for x in low[find(i)] if x is not None), default=None), links[i]) for i, r in enumerate(rows))
+    got = ngram_join.similarity_classes(docs)
+    assert Counter(map(tuple, got.collect())) == want
+    kept = ngram_join.one_per_class(docs)
+    assert kept.columns == docs.columns
+    left = Counter(r.doc_id for r in kept.select("doc_id").collect())
+    assert left == Counter(k[0] for k in want if k[0] == k[1])
+    assert ngram_join.similarity_classes(none).count() == 0 and ngram_join.one_per_class(none).count() == 0
+
+
+def test_choice_of_bands():
+    bands, rows = ngram_join.choose_bands(0.8, 0.999, 64)
+    assert 1 - (1 - 0.8 ** rows) ** bands >= 0.999 and bands * rows <= 64
+
+
+def test_similar_pairs():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(40)]
+    got = ngram_join.similar_pairs(sets, 0.5)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            common = len(np.intersect1d(a, b))
+            assert got[i, j] == (i != j and 2 * common >= len(a) + len(b) - common)
+
+
+def brute_capacity(sizes, shards):
+    prefix = np.concatenate([[0], np.cumsum(sizes)])
+    best = [[10 ** 18 if i and not k else 0 for k in range(shards + 1)] for i in range(len(sizes) + 1)]
+    for i in range(1, len(sizes) + 1):
+        for k in range(1, shards + 1):
+            best[i][k] = min(max(best[j][k - 1], int(prefix[i] - prefix[j])) for j in range(i))
+    return min(best[len(sizes)][1:])
+
+
+def test_minimax_cut():
+    rng = np.random.default_rng(3)
+    for shards in (1, 3, 7):
+        for n in (1, 4, 30):
+            sizes = rng.integers(1, 50, n)
+            sizes[rng.integers(n)] *= 5
+            assert sharding.smallest_capacity(sizes, shards) == brute_capacity(sizes, shards)
+            shard = sharding.cut(sizes, shards)
+            assert (np.diff(shard) >= 0).all() and shard.max() < shards
+            assert np.bincount(shard, sizes).max() == sharding.smallest_capacity(sizes, shards)
+
+
+def test_sharding(docs, rows, none):
+    got = sharding.assign_shards(docs, shards=4)
+    assert set(docs.columns) <= set(got.columns)
+    got = got.collect()
+    assert Counter((r.doc_id, r.text, r["size"], r.text_crc32) for r in got) == Counter(
+        (r[0], r[1], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in rows)
+    groups, slots, total = defaultdict(set), defaultdict(list), Counter()
+    for r in got:
+        groups[r.text or ""].add(r.shard)
+        slots[r.shard].append(r.slot)
+        total[r.shard] += r["size"]
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < 4
+    assert all(len(s) == 1 for s in groups.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sharding.assign_shards(none).count() == 0
+
+
+def test_large_buckets_are_numbered_without_gaps(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_BIN", 16)
+    df = spark.range(1000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("text"))
+    got = sharding.assign_shards(df).collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len({r.shard for r in got if r.text == "hot"}) == 1
