@@ -8,7 +8,10 @@ cache, a Parquet folder shared by all runs.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +30,45 @@ def tokenizer_digest(path: str) -> str:
         return hashlib.sha256(f.read() + RULES.encode()).hexdigest()
 
 
+# White space, what follows up to the next white space, and characters that
+# Python takes for white space but tokenizers do not.
+SEGMENT = re.compile(r"\s*\S+(?:[\x1c-\x1f]\S*)*|\s+")
+MEMO_SEGMENTS, MEMO_CHARS, OFTEN = 400_000, 64, 2
+
+
+def _splits_at_spaces(path: str) -> bool:
+    """Whether the tokens of a text are those of its segments one by one: true
+    for byte-level splitting by the usual pattern, which never joins a
+    non-space with a following space, without normalisation or special tokens
+    that reach over white space."""
+    with open(path, encoding="utf-8") as f:
+        rules = json.load(f)
+    split = rules.get("pre_tokenizer") or {}
+    return (rules.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+            and not split.get("add_prefix_space")
+            and not any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"]) for t in rules.get("added_tokens", ())))
+
+
+def _by_segment(count):
+    """Counts per text as sums over its segments. Segments that come often are
+    encoded once and remembered; the others of a text are encoded together,
+    in their order (they still part at the same places)."""
+    memo: dict[str, int] = {}
+
+    def run(texts):
+        if len(memo) > MEMO_SEGMENTS:
+            memo.clear()
+        parts = [SEGMENT.findall(t) for t in texts]
+        new = Counter(s for part in parts for s in part if s not in memo)
+        often = [s for s, n in new.items() if n >= OFTEN and len(s) <= MEMO_CHARS]
+        memo.update(zip(often, count(often)))
+        get = memo.get
+        known = [[get(s) for s in part] for part in parts]
+        rest = count(["".join([s for s, n in zip(part, ns) if n is None]) for part, ns in zip(parts, known)])
+        return [sum(n for n in ns if n is not None) + r for ns, r in zip(known, rest)]
+    return run
+
+
 def _counter(path: str):
     """A function from texts to token counts by the library for ``path``."""
     if path.endswith(".json"):
@@ -35,7 +77,11 @@ def _counter(path: str):
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        return lambda texts: [len(e) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+        def count(texts):
+            return [len(e) for i in range(0, len(texts), 64)  # few encodings are held at a time
+                    for e in tokenizer.encode_batch_fast(texts[i:i + 64], add_special_tokens=False)]
+        return _by_segment(count) if _splits_at_spaces(path) else count
     if path.endswith(".model"):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -49,8 +95,8 @@ def _encode(path: str):
         for batch in batches:
             texts = batch.column(1).to_pylist()
             counts: list[int] = []
-            for i in range(0, len(texts), 64):  # few encodings are held at a time
-                counts += count(texts[i:i + 64])
+            for i in range(0, len(texts), 500):
+                counts += count(texts[i:i + 500])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
     return run
 

@@ -501,3 +501,16 @@ def test_large_buckets_are_numbered_without_gaps(spark, monkeypatch):
     for r in got:
         slots[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len({r.shard for r in got if r.text == "hot"}) == 1
+
+
+def test_segments_add_up_to_the_library_count():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, count = Tokenizer.from_file(path), token_cache._counter(path)
+    rng = random.Random(13)
+    parts = [" ", "  ", "\n", "\r\n", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u3000", "\u200b", "\ufeff", "a", "B", "é", "1", "²", "'s", "'", "ll",
+             "<|endoftext|>", "<|endof", "text|>", ".", "-", "\x00", "日本", "🙂", "\u0301", "word", "।"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(6000)]
+    assert count(texts) == [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert not token_cache._splits_at_spaces(public_tokenizers.path("word_bpe_49k.json"))
