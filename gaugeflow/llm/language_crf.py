@@ -312,11 +312,15 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = S
     """Fit on ``docs`` (doc_id, text, lang) that are labelled and not held out:
     the ``sample_docs`` with the smallest hash, of each a passage of at most
     ``sample_chars`` characters at a pseudorandom place."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    known = (docs.select("doc_id", "text", "lang")
+             .filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))))
     draw = uniform(F.lit(SEED), F.col("doc_id"))
-    start = F.floor(draw * F.greatest(F.length("text") - F.lit(sample_chars) + 1, F.lit(1))).cast("int") + 1
-    rows = (known.select(F.xxhash64("doc_id", F.lit(SEED)).alias("h"), F.col("text").substr(start, F.lit(sample_chars)).alias("text"), "lang")
-            .orderBy("h", "lang", "text").limit(sample_docs).collect())  # bounded by the two parameters
+    # few more than wanted pass, so that what tasks send does not grow with their number
+    share = min(1.0, 1.2 * sample_docs / max(1, known.drop("text").count()))
+    place = uniform(F.lit(SEED + 1), F.col("doc_id"))
+    start = F.floor(place * F.greatest(F.length("text") - F.lit(sample_chars) + 1, F.lit(1))).cast("int") + 1
+    rows = (known.select(draw.alias("draw"), F.col("text").substr(start, F.lit(sample_chars)).alias("text"), "lang")
+            .filter(F.col("draw") <= share).orderBy("draw", "lang", "text").limit(sample_docs).collect())  # bounded by the two parameters
     return fit([(r.text, r.lang) for r in rows])
 
 
