@@ -3,7 +3,11 @@
 Jobs (landed inputs are Parquet folders with the library's schemas):
 
 * ``update``  --pages DIR --as-of DATE [--days 30]: incremental update + marts
-* ``reset``   --pages DIR: replace the archives of the stations in the pages
+* ``reset``   --pages DIR [--station ID [--regex]]: replace the archives of the
+  stations in the pages (of one station, or of ids that match)
+* ``chain``   --nav DIR --ranges DIR --archive DIR --pages DIR --as-of DATE: refresh
+  with backfill, then update, marts included
+* ``manifest`` --out DIR --as-of DATE [--days 30]: links and start texts to fetch
 * ``refresh`` --nav DIR --ranges DIR [--archive DIR]: station dimension,
   and (with ``--archive``) the archives of the stations that are new
 * ``marts``   --as-of DATE: rebuild daily and hourly_recent from scratch
@@ -23,7 +27,7 @@ from gaugeflow.sources.tables import Warehouse, read_nav_pages, read_pages, read
 def main(argv=None) -> None:
     """Parse the command line and run one job."""
     ap = argparse.ArgumentParser(prog="gaugeflow")
-    ap.add_argument("job", choices=["update", "reset", "refresh", "marts", "full-reset"])
+    ap.add_argument("job", choices=["update", "reset", "refresh", "marts", "full-reset", "chain", "manifest"])
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--pages")
     ap.add_argument("--nav")
@@ -32,6 +36,9 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     ap.add_argument("--days", type=int, default=30)
     ap.add_argument("--base-url", default="")
+    ap.add_argument("--station")
+    ap.add_argument("--regex", action="store_true")
+    ap.add_argument("--out")
     ap.add_argument("--profile", choices=["local", "cluster"], default="cluster")
     args = ap.parse_args(argv)
 
@@ -40,7 +47,13 @@ def main(argv=None) -> None:
     if args.job == "update":
         jobs.run_update(spark, wh, read_pages(spark, args.pages), args.as_of, args.days, args.base_url)
     elif args.job == "reset":
-        jobs.run_reset(spark, wh, read_pages(spark, args.pages), args.base_url)
+        jobs.run_reset(spark, wh, read_pages(spark, args.pages), args.base_url, args.as_of, args.station,
+                       args.regex)
+    elif args.job == "chain":
+        jobs.run_chain(spark, wh, read_nav_pages(spark, args.nav), read_series_ranges(spark, args.ranges),
+                       read_pages(spark, args.archive), read_pages(spark, args.pages), args.as_of, args.days, args.base_url)
+    elif args.job == "manifest":
+        jobs.run_manifest(spark, wh, args.out, args.as_of, args.days, args.base_url)
     elif args.job == "refresh":
         nav, ranges = read_nav_pages(spark, args.nav), read_series_ranges(spark, args.ranges)
         if args.archive:

@@ -38,6 +38,7 @@ from gaugeflow.operators.reshape import to_long
 from gaugeflow.plans.normalize import normalize_pages
 from gaugeflow.plans.stations import refresh_stations
 from gaugeflow.plans.update import update_hourly
+from gaugeflow.schemas import HOURLY
 from gaugeflow.session import checkpoint_root, staging_path
 from gaugeflow.sources.html import js_locations, nav_links, parse_locations
 
@@ -95,13 +96,13 @@ def _stored_and_incoming(spark, sf_dir):
 
 
 def q_new_rows(spark, sf_dir):
-    """Incoming rows not stored (auto strategy) for overlapping event ranges."""
+    """Incoming rows not stored (null-safe join) for overlapping event ranges."""
     stored, incoming = _stored_and_incoming(spark, sf_dir)
     return new_rows(incoming, lookback(stored, AS_OF), how="auto")
 
 
 def q_new_rows_grouped(spark, sf_dir):
-    """The same anti-join forced to the grouped (shuffle) strategy."""
+    """The same anti-join as a grouped pass."""
     stored, incoming = _stored_and_incoming(spark, sf_dir)
     return new_rows(incoming, lookback(stored, AS_OF), how="grouped")
 
@@ -384,14 +385,34 @@ def q_reset_manifest(spark, sf_dir):
     return reset_manifest(all_links(S.stations(_t(spark, sf_dir, "customer")), S.BASE_URL))
 
 
+def _landed_hourly(spark, sf_dir, name, bounds):
+    """Event rows as hourly Parquet files, one per span of days, in the given
+    order (the stream reads them one a batch, so earlier spans come late)."""
+    hourly = S.hourly(spark.read.parquet(f"{sf_dir}/events.parquet"), spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    src = staging_path(spark, name)
+    for low, high in bounds:
+        part = hourly.where((F.col("Date") >= F.lit(low).cast("date")) & (F.col("Date") < F.lit(high).cast("date")))
+        part.coalesce(1).write.mode("append").parquet(src)
+    return src
+
+
+def _hourly_stream(spark, src):
+    from gaugeflow.schemas import HOURLY
+
+    return spark.readStream.schema(HOURLY).option("maxFilesPerTrigger", 1).parquet(src)
+
+
 def _stream_daily_events(spark, sf_dir):
     from gaugeflow.sources.tables import read_daily
-    from gaugeflow.streaming.common import new_checkpoint, table_stream
+    from gaugeflow.streaming.common import new_checkpoint
     from gaugeflow.streaming.daily import stream_daily
 
     path = staging_path(spark, "stream-daily")
-    hourly = S.hourly(table_stream(spark, sf_dir, "events"), spark.read.parquet(f"{sf_dir}/customer.parquet"))
-    stream_daily(hourly, path, new_checkpoint(spark, "stream-daily"))
+    late = [("2024-01-20", "2100-01-01"), ("2024-01-12", "2024-01-20")]
+    later = [("2024-01-05", "2024-01-12"), ("1900-01-01", "2024-01-05")]
+    for bounds in (late, later):  # the second run resumes under a new checkpoint
+        stream = _hourly_stream(spark, _landed_hourly(spark, sf_dir, "hourly-landed", bounds))
+        stream_daily(stream, path, new_checkpoint(spark, "stream-daily"))
     return read_daily(spark, path)
 
 
@@ -418,22 +439,69 @@ def q_stream_update(spark, sf_dir):
 
 
 def q_stream_dedup(spark, sf_dir):
-    """Events streamed as hourly rows through state-store deduplication."""
-    from gaugeflow.schemas import HOURLY
-    from gaugeflow.streaming.common import new_checkpoint, table_stream, run_available_now
-    from gaugeflow.streaming.dedup import dedup_stream
+    """Overlapping, late spans of event rows streamed into a table without repeats."""
+    from gaugeflow.sources.tables import read_hourly
+    from gaugeflow.streaming.common import new_checkpoint
+    from gaugeflow.streaming.dedup import stream_dedup
 
+    bounds = [("2024-01-15", "2100-01-01"), ("1900-01-01", "2024-01-18"), ("2024-01-10", "2024-01-20")]
     path = staging_path(spark, "stream-dedup")
-    hourly = S.hourly(table_stream(spark, sf_dir, "events"), spark.read.parquet(f"{sf_dir}/customer.parquet"))
-    writer = (
-        dedup_stream(hourly)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", new_checkpoint(spark, "stream-dedup"))
-    )
-    run_available_now(writer, "dedup")
-    return spark.read.schema(HOURLY).parquet(path)
+    stream_dedup(_hourly_stream(spark, _landed_hourly(spark, sf_dir, "hourly-landed", bounds)), path,
+                 new_checkpoint(spark, "stream-dedup"))
+    return read_hourly(spark, path)
+
+
+def _job_inputs(spark, sf_dir):
+    """A new warehouse holding the stations, and the landed pages."""
+    from gaugeflow.sinks.tables import replace_table, reset_tables
+    from gaugeflow.sources.tables import Warehouse, read_pages
+
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cu = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    wh = Warehouse(staging_path(spark, "warehouse"))
+    reset_tables(spark, wh)
+    replace_table(S.stations(cu), wh.station_metadata, stage=False)
+    landed = staging_path(spark, "landed-pages")
+    S.data_pages(ev, cu).write.parquet(landed)
+    return wh, read_pages(spark, landed)
+
+
+def q_marts_after_reset(spark, sf_dir):
+    """The daily mart after a reset job from landed archives."""
+    from gaugeflow.plans.jobs import run_reset
+    from gaugeflow.sources.tables import read_daily
+
+    wh, pages = _job_inputs(spark, sf_dir)
+    run_reset(spark, wh, pages, S.BASE_URL)
+    return _round_value(read_daily(spark, wh.daily))
+
+
+def q_marts_after_retry(spark, sf_dir):
+    """The daily mart when an update stopped after its append and was run again."""
+    from gaugeflow.plans.jobs import run_update
+    from gaugeflow.sinks.tables import append_hourly, folder_ids, mark_pending, with_partitions
+    from gaugeflow.sources.tables import read_daily
+
+    wh, pages = _job_inputs(spark, sf_dir)
+    new = update_hourly(pages, S.stations(spark.read.parquet(f"{sf_dir}/customer.parquet")),
+                        spark.createDataFrame([], HOURLY), AS_OF, base_url=S.BASE_URL).new_rows.checkpoint()
+    mark_pending(spark, wh, folder_ids(with_partitions(new)))
+    append_hourly(new, wh.hourly)  # here the first run stops
+    run_update(spark, wh, pages, AS_OF, base_url=S.BASE_URL)
+    return _round_value(read_daily(spark, wh.daily))
+
+
+def q_marts_rebuilt(spark, sf_dir):
+    """hourly_recent rebuilt from the stored table of all event rows."""
+    from gaugeflow.plans.jobs import run_marts
+    from gaugeflow.sinks.tables import append_hourly
+    from gaugeflow.sources.tables import read_hourly
+
+    wh, _ = _job_inputs(spark, sf_dir)
+    append_hourly(S.hourly(spark.read.parquet(f"{sf_dir}/events.parquet"),
+                           spark.read.parquet(f"{sf_dir}/customer.parquet")), wh.hourly)
+    run_marts(spark, wh, RECENT_AS_OF)
+    return read_hourly(spark, wh.hourly_recent)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -477,6 +545,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_daily": q_stream_daily,
         "stream_update": q_stream_update,
         "stream_dedup": q_stream_dedup,
+        "marts_after_reset": q_marts_after_reset,
+        "marts_after_retry": q_marts_after_retry,
+        "marts_rebuilt": q_marts_rebuilt,
     }
 
 
@@ -767,4 +838,8 @@ LEFT JOIN rng r ON r.url_name = s.url_name"""
     out["stream_update"] = f"""WITH {_page_events_cte()}
 """ + _page_rows_select("pe", f"c_acctbal >= 0 AND {flag}")
     out["stream_dedup"] = f"WITH {_hourly_cte()}\nSELECT DISTINCT * FROM hourly"
+    job_daily = f"WITH hourly AS ({out['stream_update']})\n" + _DAILY_SELECT.format(src="hourly")
+    out["marts_after_reset"] = job_daily
+    out["marts_after_retry"] = job_daily
+    out["marts_rebuilt"] = out["recent"]
     return out

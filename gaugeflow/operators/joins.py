@@ -1,12 +1,9 @@
-"""Joins against the station dimension and the size-checked broadcast.
+"""Joins against the station dimension.
 
-Dimension joins carry no broadcast hint: Spark broadcasts a side only when
-its estimated size (file statistics) or, with AQE, its measured shuffle
-size is under ``spark.sql.autoBroadcastJoinThreshold`` /
-``spark.sql.adaptive.autoBroadcastJoinThreshold``, and otherwise plans a
-sort-merge join whose skewed partitions AQE splits. An explicit
-``broadcast`` is only placed behind ``is_small`` (a bounded row count) where
-the library itself must choose a plan shape (the J1 anti-join strategy).
+They carry no broadcast hint: Spark broadcasts a side only when its estimated
+size (file statistics) or, with AQE, its measured shuffle size is under the
+broadcast thresholds, and otherwise plans a sort-merge join whose skewed
+partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -14,26 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) the library broadcasts on its own. A station
-# dimension is a few thousand rows; anything above this bound is joined by
-# shuffle (and AQE may still broadcast it from measured sizes).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early), so it is cheap for small frames and bounded for large ones.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after its row count is proven small."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def station_lookup(stations: DataFrame, key: str = "station_url_name") -> DataFrame:
     """One (key, STATION_NAME, STATION_NUMBER) row per key.
 

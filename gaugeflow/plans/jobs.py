@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.constants import LOOKBACK_DAYS, RECENT_DAYS
-from gaugeflow.operators.filters import window_start
+from gaugeflow.operators.filters import select_station, window_start
+from gaugeflow.operators.links import all_links, fetch_manifest
 from gaugeflow.plans.marts import build_marts, touched_daily
 from gaugeflow.plans.reset import reset_stations
 from gaugeflow.plans.stations import refresh_stations
@@ -23,13 +24,17 @@ from gaugeflow.operators.replace import replace_rows
 from gaugeflow.sinks.tables import (
     STATION_BUCKETS,
     append_hourly,
+    clear_pending,
     drop_months_before,
     folder_ids,
     in_folders,
+    mark_pending,
     overwrite_partitions,
+    pending_folders,
     replace_table,
     reset_tables,
     with_partitions,
+    write_partitioned,
     write_report,
     write_station_csv,
 )
@@ -45,17 +50,27 @@ def run_update(spark: SparkSession, wh: Warehouse, pages: DataFrame, as_of, days
     result.parsed.persist(StorageLevel.MEMORY_AND_DISK)
     # Stage the new rows: they are compared with the table they are appended to.
     new = result.new_rows.checkpoint()
+    mark_pending(spark, wh, folder_ids(with_partitions(new)))
     append_hourly(new, wh.hourly)
     write_report(result.status, wh.report, dt.datetime.now().isoformat(), "update")
     result.parsed.unpersist()
-    refresh_daily(spark, wh, new)
-    refresh_recent(spark, wh, as_of, new, recent_days)
+    refresh_marts(spark, wh, as_of, recent_days)
     return new
 
 
-def refresh_daily(spark: SparkSession, wh: Warehouse, new_rows: DataFrame) -> None:
-    """Recompute the daily mart for the (month, bucket) folders new rows touched."""
-    folders = folder_ids(with_partitions(new_rows))
+def refresh_marts(spark: SparkSession, wh: Warehouse, as_of=None, recent_days: int = RECENT_DAYS) -> None:
+    """Refresh the marts for all recorded folders, those of failed runs
+    included. Without ``as_of`` the recent mart's folders stay recorded for the
+    next run that names one."""
+    refresh_daily(spark, wh, pending_folders(spark, wh, "daily"))
+    clear_pending(spark, wh, "daily")
+    if as_of is not None:
+        refresh_recent(spark, wh, as_of, pending_folders(spark, wh, "recent"), recent_days)
+        clear_pending(spark, wh, "recent")
+
+
+def refresh_daily(spark: SparkSession, wh: Warehouse, folders: list[tuple[str, int]]) -> None:
+    """Recompute the daily mart for the given (month, bucket) folders."""
     if not folders:
         return
     hourly = read_hourly(spark, wh.hourly, keep_partitions=True)
@@ -67,23 +82,24 @@ def run_marts(spark: SparkSession, wh: Warehouse, as_of, days: int = RECENT_DAYS
     (the from-scratch path; updates maintain both incrementally)."""
     hourly = read_hourly(spark, wh.hourly)
     marts = build_marts(hourly, as_of, days)
-    for df, path in [(marts.daily, wh.daily), (marts.hourly_recent, wh.hourly_recent)]:
-        with_partitions(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            "month", "sbucket"
-        ).parquet(path)
+    write_partitioned(marts.daily, wh.daily, "overwrite")
+    clear_pending(spark, wh, "daily")
+    write_partitioned(marts.hourly_recent, wh.hourly_recent, "overwrite")
+    clear_pending(spark, wh, "recent")
 
 
-def refresh_recent(spark: SparkSession, wh: Warehouse, as_of, new_rows: DataFrame, days: int = RECENT_DAYS) -> None:
+def refresh_recent(spark: SparkSession, wh: Warehouse, as_of, folders: list[tuple[str, int]],
+                   days: int = RECENT_DAYS) -> None:
     """Keep hourly_recent equal to ``Date >= as_of - days`` of hourly.
 
-    Only folders that change are written: those new rows touched inside the
+    Only folders that change are written: the given ones inside the
     window and the window's first month (whose older days fall out); months
     entirely before the window are dropped. Assumes the table was consistent
     after the previous run (``run_marts`` builds it from scratch).
     """
     start = window_start(as_of, days)
     first = start.strftime("%Y-%m")
-    touched = [f for f in folder_ids(with_partitions(new_rows)) if f[0] >= first]
+    touched = [f for f in folders if f[0] >= first]
     boundary = [(first, b) for b in range(STATION_BUCKETS)]
     folders = sorted(set(touched) | set(boundary))
     hourly = read_hourly(spark, wh.hourly, keep_partitions=True)
@@ -92,9 +108,15 @@ def refresh_recent(spark: SparkSession, wh: Warehouse, as_of, new_rows: DataFram
     drop_months_before(spark, wh.hourly_recent, first)
 
 
-def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: str = "") -> DataFrame:
-    """C3 + K4: replace station archives, rewriting only touched folders."""
+def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: str = "", as_of=None,
+              station: str | None = None, regex: bool = False, recent_days: int = RECENT_DAYS) -> DataFrame:
+    """C3 + K4: replace station archives, rewriting only touched folders, and
+    refresh their marts. ``station`` limits the job to one id (with ``regex``
+    to ids that match at their start)."""
     stations = read_station_metadata(spark, wh.station_metadata)
+    if station is not None:
+        stations = select_station(stations, station, regex)
+        pages = pages.join(stations.select("station_url_name").distinct(), "station_url_name", "left_semi")
     current = read_hourly(spark, wh.hourly, keep_partitions=True)
     result = reset_stations(pages, stations, current.drop("month", "sbucket"), base_url)
     new = result.new_rows.checkpoint()
@@ -106,8 +128,10 @@ def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: st
     old = current.where(F.col("sbucket").isin(buckets)).join(keys, ["STATION_NUMBER", "Parameter"], "left_semi")
     folders = sorted(set(new_folders) | set(folder_ids(old)))
     scoped = current.where(in_folders(folders)).drop("month", "sbucket")
+    mark_pending(spark, wh, folders)
     overwrite_partitions(replace_rows(scoped, new), wh.hourly, folders)
     write_report(result.status, wh.report, dt.datetime.now().isoformat(), "reset")
+    refresh_marts(spark, wh, as_of, recent_days)
     return new
 
 
@@ -136,6 +160,20 @@ def refresh_and_backfill(spark: SparkSession, wh: Warehouse, nav_pages: DataFram
     return new_ids
 
 
+def run_chain(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_ranges: DataFrame,
+              archive_pages: DataFrame, pages: DataFrame, as_of, days: int = LOOKBACK_DAYS, base_url: str = "") -> DataFrame:
+    """The regular run: station refresh with backfill, update, marts (the
+    backfill's folders are refreshed with the update's)."""
+    refresh_and_backfill(spark, wh, nav_pages, series_ranges, archive_pages, base_url)
+    return run_update(spark, wh, pages, as_of, days, base_url)
+
+
+def run_manifest(spark: SparkSession, wh: Warehouse, path: str, as_of, days: int = LOOKBACK_DAYS, base_url: str = "") -> None:
+    """Write the links and start texts an outside fetcher is to ask for."""
+    links = all_links(read_station_metadata(spark, wh.station_metadata), base_url)
+    fetch_manifest(links, as_of, days).write.mode("overwrite").json(path)
+
+
 def full_reset(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_ranges: DataFrame,
                archive_pages: DataFrame, as_of, base_url: str = "") -> None:
     """Empty all tables, rebuild stations, load every archive, build marts."""
@@ -145,5 +183,5 @@ def full_reset(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_
     run_marts(spark, wh, as_of)
 
 
-__all__ = ["run_update", "run_marts", "run_reset", "run_refresh", "refresh_and_backfill", "full_reset",
-           "refresh_daily", "refresh_recent", "window_start"]
+__all__ = ["run_update", "run_marts", "run_reset", "run_refresh", "run_chain", "run_manifest", "refresh_and_backfill", "full_reset",
+           "refresh_daily", "refresh_recent", "refresh_marts", "window_start"]

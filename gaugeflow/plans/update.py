@@ -40,20 +40,26 @@ def link_outcome(links: DataFrame, page_status: DataFrame) -> DataFrame:
 
 
 def update_hourly(pages: DataFrame, stations: DataFrame, stored: DataFrame, as_of,
-                  days: int = LOOKBACK_DAYS, base_url: str = "", how: str = "auto") -> UpdateResult:
+                  days: int | None = LOOKBACK_DAYS, base_url: str = "", how: str = "auto") -> UpdateResult:
     """One update run.
 
     Only pages of wanted links (station has the group's data flag) are
     parsed; rows already stored within ``days`` before ``as_of`` are removed
     with the full-row null-safe anti-join. Rows older than the lookback are
-    not compared, exactly like the original overlap check.
+    not compared, exactly like the original overlap check. With ``days`` None
+    rows are compared with all stored rows of their months (``stored`` then
+    has its ``month`` column), so replayed pages add nothing whatever their age.
     """
     links = all_links(stations, base_url)
     wanted = pages.join(
         links.select("group", "station_url_name"), ["group", "station_url_name"], "left_semi"
     )
     norm = normalize_pages(wanted, stations)
-    current = lookback(stored, as_of, days)
+    if days is None:
+        months = norm.rows.select(F.date_format("Date", "yyyy-MM").alias("month")).distinct()
+        current = stored.join(months, "month", "left_semi")
+    else:
+        current = lookback(stored, as_of, days)
     fresh = anti_new_rows(norm.rows, current, how=how)
     return UpdateResult(
         new_rows=fresh,

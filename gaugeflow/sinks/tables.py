@@ -65,20 +65,21 @@ def _clustered(df: DataFrame) -> DataFrame:
     return with_partitions(df).hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*order)
 
 
-def _partitioned_write(df: DataFrame, path: str, mode: str) -> None:
+def write_partitioned(df: DataFrame, path: str, mode: str) -> None:
+    """Write by (month, sbucket), few files per folder."""
     _clustered(df).write.mode(mode).partitionBy(*PARTITION_COLUMNS).parquet(path)
 
 
 def append_hourly(rows: DataFrame, path: str) -> None:
     """K1: append new rows in one write (atomic per job, not per page)."""
-    _partitioned_write(rows, path, "append")
+    write_partitioned(rows, path, "append")
 
 
 def create_empty(spark: SparkSession, schema: T.StructType, path: str, partitioned: bool = False) -> None:
     """K3: (re)create a table with no rows."""
     empty = spark.createDataFrame([], schema)
     if partitioned:
-        _partitioned_write(empty, path, "overwrite")
+        write_partitioned(empty, path, "overwrite")
     else:
         empty.write.mode("overwrite").parquet(path)
 
@@ -88,41 +89,74 @@ def replace_table(df: DataFrame, path: str, stage: bool = True) -> None:
     the shared checkpoint folder first, so a table can be rebuilt from
     itself without reading files it is deleting."""
     spark = df.sparkSession
-    if stage:
-        tmp = staging_path(spark, "replace")
-        df.write.parquet(tmp)
-        df = spark.read.parquet(tmp)
-    df.write.mode("overwrite").parquet(path)
+    if not stage:
+        df.write.mode("overwrite").parquet(path)
+        return
+    tmp = staging_path(spark, "replace")
+    df.write.parquet(tmp)
+    spark.read.schema(df.schema).parquet(tmp).write.mode("overwrite").parquet(path)
+    _delete(spark, tmp)
 
 
 def overwrite_partitions(df: DataFrame, path: str, touched: list[tuple[str, int]] | None = None) -> None:
-    """Rewrite only the (month, sbucket) folders present in ``df`` (dynamic
-    partition overwrite), staged through the checkpoint folder so the table
-    can be rewritten from its own rows.
+    """Rewrite only the (month, sbucket) folders present in ``df``: one clustered
+    write into the checkpoint folder (so the table can be rewritten from its
+    own rows), whose folders then replace the table's; the staging goes.
 
     ``touched``: folder ids that must end up holding exactly ``df``'s rows;
     those that ``df`` leaves empty are deleted.
     """
     spark = df.sparkSession
     tmp = staging_path(spark, "partitions")
+    write_partitioned(df, tmp, "errorifexists")
     full = with_partitions(df)
-    full.write.partitionBy(*PARTITION_COLUMNS).parquet(tmp)
-    staged_all = spark.read.schema(full.schema).parquet(tmp)
-    _partitioned_write_dynamic(staged_all.drop(*PARTITION_COLUMNS), path)
-    if touched is not None:
-        written = set(folder_ids(staged_all))
-        for month, bucket in sorted(set(touched) - written):
-            _delete(spark, f"{path}/month={month}/sbucket={bucket}")
-
-
-def _partitioned_write_dynamic(df: DataFrame, path: str) -> None:
-    (
-        _clustered(df)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLUMNS)
-        .parquet(path)
-    )
+    written = folder_ids(spark.read.schema(full.schema).parquet(tmp))
+    fs, hadoop = _file_system(spark, path)
+    for month, bucket in sorted(set(written) | set(touched or [])):
+        folder = f"month={month}/sbucket={bucket}"
+        fs.delete(hadoop(f"{path}/{folder}"), True)
+        if (month, bucket) in written:
+            fs.mkdirs(hadoop(f"{path}/month={month}"))
+            if not fs.rename(hadoop(f"{tmp}/{folder}"), hadoop(f"{path}/{folder}")):
+                raise OSError(f"could not move {tmp}/{folder}")
+    fs.delete(hadoop(tmp), True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system of ``path`` and a maker of its path objects."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+# Folders whose marts are to be refreshed, with the mart's name.
+PENDING = T.StructType([T.StructField("mart", T.StringType()), T.StructField("month", T.StringType()),
+                        T.StructField("sbucket", T.IntegerType())])
+MARTS = ("daily", "recent")
+
+
+def mark_pending(spark: SparkSession, wh: Warehouse, folders: list[tuple[str, int]]) -> None:
+    """Record the folders a job is about to change, before it changes them, so
+    that a run after a failure still refreshes their marts."""
+    if folders:
+        rows = [(mart, month, bucket) for mart in MARTS for month, bucket in folders]
+        spark.createDataFrame(rows, PENDING).coalesce(1).write.mode("append").parquet(wh.pending)
+
+
+def pending_folders(spark: SparkSession, wh: Warehouse, mart: str) -> list[tuple[str, int]]:
+    """Recorded folders of a mart (bounded by the table's folder count)."""
+    fs, hadoop = _file_system(spark, wh.pending)
+    if not fs.exists(hadoop(wh.pending)):
+        return []
+    return folder_ids(spark.read.schema(PENDING).parquet(wh.pending).where(F.col("mart") == mart))
+
+
+def clear_pending(spark: SparkSession, wh: Warehouse, mart: str) -> None:
+    """Forget a mart's recorded folders once they are refreshed."""
+    rest = [(m, *f) for m in MARTS if m != mart for f in pending_folders(spark, wh, m)]
+    if rest:
+        spark.createDataFrame(rest, PENDING).coalesce(1).write.mode("overwrite").parquet(wh.pending)
+    else:
+        _delete(spark, wh.pending)
 
 
 def drop_months_before(spark: SparkSession, path: str, month: str) -> list[str]:
@@ -157,6 +191,7 @@ def write_station_csv(stations: DataFrame, path: str) -> None:
 def write_report(status: DataFrame, path: str, run_at: str, run_kind: str) -> None:
     """K7: the run report as two small JSON tables: the per-link status and
     one summary row per group (all-valid flag, run time and kind)."""
+    status = status.checkpoint()  # small: one row per link
     status.write.mode("overwrite").json(f"{path}/status")
     summary = all_valid(status).select(
         "group", "all_valid", F.lit(run_at).alias("run_at"), F.lit(run_kind).alias("run_kind")
@@ -172,3 +207,4 @@ def reset_tables(spark: SparkSession, wh: Warehouse) -> None:
     create_empty(spark, DAILY, wh.daily, partitioned=True)
     create_empty(spark, HOURLY, wh.hourly_recent, partitioned=True)
     create_empty(spark, STATIONS, wh.station_metadata)
+    _delete(spark, wh.pending)

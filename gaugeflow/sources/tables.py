@@ -47,15 +47,20 @@ class Warehouse:
     def station_csv(self) -> str:
         return f"{self.root}/station_csv"
 
+    @property
+    def pending(self) -> str:
+        return f"{self.root}/pending"
+
     @property
     def report(self) -> str:
         return f"{self.root}/report"
 
 
 def _read(spark: SparkSession, schema: T.StructType, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """A stored table; one not written yet is empty."""
     try:
         return spark.read.schema(schema).options(**options).format(fmt).load(path)
-    except AnalysisException as err:  # table not written yet -> empty
+    except AnalysisException as err:
         if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
             return spark.createDataFrame([], schema)
         raise
@@ -93,15 +98,15 @@ def read_daily(spark: SparkSession, path: str, keep_partitions: bool = False) ->
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed data pages."""
-    return _read(spark, PAGES, path)
+    """Landed data pages (a missing folder is an error, as for all landed inputs)."""
+    return spark.read.schema(PAGES).parquet(path)
 
 
 def read_nav_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed sidebar / home pages."""
-    return _read(spark, NAV_PAGES, path)
+    return spark.read.schema(NAV_PAGES).parquet(path)
 
 
 def read_series_ranges(spark: SparkSession, path: str) -> DataFrame:
     """Landed series date ranges (station_url_name, start_text, end_text)."""
-    return _read(spark, SERIES_RANGES, path)
+    return spark.read.schema(SERIES_RANGES).parquet(path)

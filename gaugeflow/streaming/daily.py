@@ -1,63 +1,41 @@
-"""The daily mart maintained by a streaming aggregation.
+"""The daily mart maintained from a stream of new hourly rows.
 
-Day windows on the reading time are kept in the state store (evicted once
-the watermark passes them); each micro-batch emits the groups it changed
-(update mode) and ``foreachBatch`` upserts them into the daily table:
-only the (month, bucket) folders of changed keys are rewritten.
+Each micro-batch adds its rows to the stream's hourly table, under its own
+run and batch folder (a retried batch overwrites its own rows), and recomputes
+the (month, bucket) folders of the daily table that they touch from that
+table. No state or watermark is kept, so rows of any age and streams resumed
+under a new checkpoint give what a rebuild gives.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from gaugeflow.constants import DAILY_COLUMNS, LOOKBACK_DAYS
-from gaugeflow.sources.tables import read_daily
+from gaugeflow.constants import HOURLY_COLUMNS
+from gaugeflow.plans.marts import touched_daily
+from gaugeflow.sinks.tables import folder_ids, overwrite_partitions, write_partitioned
+from gaugeflow.sources.tables import read_hourly
 from gaugeflow.streaming.common import run_available_now
 
-DAILY_KEYS = ["STATION_NUMBER", "Date", "Parameter"]
-
-
-def reading_time(df: DataFrame) -> DataFrame:
-    """Add ``event_ts``: Date + Time of an hourly row as a timestamp."""
-    return df.withColumn(
-        "event_ts", F.to_timestamp(F.concat_ws(" ", F.col("Date").cast("string"), F.col("Time")))
-    )
-
-
-def daily_updates(hourly_stream: DataFrame, late_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """Streaming daily aggregate: one row per changed (station, day, parameter)."""
-    timed = reading_time(hourly_stream).withWatermark("event_ts", f"{late_days} days")
-    agg = timed.groupBy(F.window("event_ts", "1 day").alias("w"), "STATION_NUMBER", "Parameter").agg(
-        F.max("STATION_NAME").alias("STATION_NAME"),
-        F.avg("Value").alias("Value"),
-        F.count("Date").alias("numObservations"),
-    )
-    return agg.select(F.to_date(F.col("w.start")).alias("Date"), *[c for c in DAILY_COLUMNS if c != "Date"]).select(
-        *DAILY_COLUMNS
-    )
-
-
-def upsert_daily(batch: DataFrame, path: str) -> None:
-    """Replace the batch's keys in the daily table at ``path``."""
-    from gaugeflow.sinks.tables import folder_ids, in_folders, overwrite_partitions, with_partitions
 
+def apply_batch(batch: DataFrame, hourly_path: str, daily_path: str, run: str, batch_id: int) -> None:
+    """Store one micro-batch and refresh the daily folders it touches."""
     spark = batch.sparkSession
-    batch = batch.checkpoint()
-    folders = folder_ids(with_partitions(batch))
-    if not folders:
-        return
-    stored = read_daily(spark, path, keep_partitions=True).where(in_folders(folders)).drop("month", "sbucket")
-    keep = stored.join(batch.select(*DAILY_KEYS), DAILY_KEYS, "left_anti")
-    overwrite_partitions(keep.unionByName(batch), path, folders)
-
-
-def stream_daily(hourly_stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Run the streaming daily mart into the table at ``path`` until drained."""
-    writer = (
-        daily_updates(hourly_stream)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, _id: upsert_daily(df, path))
-    )
+    own = f"{hourly_path}/run={run}/batch={batch_id}"
+    write_partitioned(batch.select(*HOURLY_COLUMNS), own, "overwrite")
+    folders = folder_ids(read_hourly(spark, own, keep_partitions=True))
+    if folders:
+        hourly = read_hourly(spark, hourly_path, keep_partitions=True)
+        overwrite_partitions(touched_daily(hourly, folders), daily_path, folders)
+
+
+def stream_daily(hourly_stream: DataFrame, path: str, checkpoint: str, hourly_path: str | None = None) -> None:
+    """Drain a stream of new hourly rows into the daily mart at ``path``; the
+    rows are kept in ``hourly_path`` (by default beside it)."""
+    run = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    store = hourly_path or f"{path}-hourly"
+    writer = (hourly_stream.writeStream.option("checkpointLocation", checkpoint)
+              .foreachBatch(lambda df, i: apply_batch(df, store, path, run, i)))
     run_available_now(writer, "daily")

@@ -1,20 +1,33 @@
-"""Duplicate removal by the state store instead of a table read.
+"""Duplicate removal of a stream of hourly rows against its own table.
 
-``dropDuplicatesWithinWatermark`` on every hourly column keeps the first
-copy of a row seen within the watermark delay. This differs from the
-table anti-join (J1): copies inside one batch collapse, and rows older than
-the watermark are dropped rather than re-appended.
+Unlike the table anti-join (J1), copies inside one batch collapse too. There
+is no watermark: a row is compared with all stored rows of its month, so late
+rows are kept and their copies still recognised.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from gaugeflow.constants import HOURLY_COLUMNS, LOOKBACK_DAYS
-from gaugeflow.streaming.daily import reading_time
+from gaugeflow.constants import HOURLY_COLUMNS
+from gaugeflow.operators.dedup import new_rows
+from gaugeflow.sinks.tables import append_hourly
+from gaugeflow.sources.tables import read_hourly
+from gaugeflow.streaming.common import run_available_now
 
 
-def dedup_stream(hourly_stream: DataFrame, late_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """Hourly stream without repeated rows inside the watermark delay (state store)."""
-    timed = reading_time(hourly_stream).withWatermark("event_ts", f"{late_days} days")
-    return timed.dropDuplicatesWithinWatermark(HOURLY_COLUMNS).select(*HOURLY_COLUMNS)
+def append_distinct(batch: DataFrame, path: str) -> None:
+    """Append the batch's rows that the table at ``path`` does not hold, once each."""
+    spark = batch.sparkSession
+    rows = batch.select(*HOURLY_COLUMNS).distinct()
+    months = rows.select(F.date_format("Date", "yyyy-MM").alias("month")).distinct()
+    stored = read_hourly(spark, path, keep_partitions=True).join(months, "month", "left_semi")
+    append_hourly(new_rows(rows, stored).checkpoint(), path)
+
+
+def stream_dedup(hourly_stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Drain an hourly stream into the table at ``path`` without repeated rows."""
+    writer = (hourly_stream.writeStream.option("checkpointLocation", checkpoint)
+              .foreachBatch(lambda df, _id: append_distinct(df, path)))
+    run_available_now(writer, "dedup")

@@ -2,15 +2,14 @@
 
 Each micro-batch of new page files runs the batch update (parse, link
 filter, overlap anti-join against the stored table) and appends its new
-rows. A retried batch finds its rows already stored and appends nothing,
-so the sink is idempotent for rows inside the lookback.
+rows. Rows are compared with everything stored in their months, so a retried
+batch or replayed pages of any age append nothing again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeflow.constants import LOOKBACK_DAYS
 from gaugeflow.plans.update import update_hourly
 from gaugeflow.schemas import PAGES
 from gaugeflow.sinks.tables import append_hourly
@@ -18,8 +17,8 @@ from gaugeflow.sources.tables import read_hourly
 from gaugeflow.streaming.common import new_checkpoint, run_available_now
 
 
-def stream_update(spark: SparkSession, pages_dir: str, stations: DataFrame, hourly_path: str, as_of,
-                  days: int = LOOKBACK_DAYS, base_url: str = "", checkpoint: str | None = None,
+def stream_update(spark: SparkSession, pages_dir: str, stations: DataFrame, hourly_path: str, as_of=None,
+                  base_url: str = "", checkpoint: str | None = None,
                   max_files: int = 1, report_path: str | None = None) -> None:
     """Drain the landed-pages folder into the hourly table.
 
@@ -31,8 +30,8 @@ def stream_update(spark: SparkSession, pages_dir: str, stations: DataFrame, hour
     stream = spark.readStream.schema(PAGES).option("maxFilesPerTrigger", max_files).parquet(pages_dir)
 
     def batch(pages: DataFrame, batch_id: int) -> None:
-        stored = read_hourly(spark, hourly_path, as_of, days)
-        result = update_hourly(pages, stations, stored, as_of, days, base_url)
+        stored = read_hourly(spark, hourly_path, keep_partitions=True)
+        result = update_hourly(pages, stations, stored, as_of, None, base_url)
         append_hourly(result.new_rows.checkpoint(), hourly_path)
         if report_path:
             result.page_status.write.mode("overwrite").json(f"{report_path}/batch={batch_id}")

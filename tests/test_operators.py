@@ -22,7 +22,7 @@ def h(station="P_A", name="A", date=D, time="01:00:00", value=1.0, param="Water
     return (station, name, date, time, value, param, code, comments)
 
 
-@pytest.mark.parametrize("how", ["broadcast", "grouped"])
+@pytest.mark.parametrize("how", ["auto", "grouped"])
 def test_new_rows_edges(spark, how):
     stored = spark.createDataFrame(
         [h(value=1.0), h(time="02:00:00", value=None), h(time="03:00:00", value=float("nan")), h(name=None, time="04:00:00")],
@@ -182,6 +182,14 @@ def test_replace_rows_only_given_parameter(spark):
 
 def test_new_rows_same_lineage(spark):
     df = spark.createDataFrame([h(value=1.0), h(value=2.0)], HOURLY)
-    for how in ("broadcast", "grouped"):
+    for how in ("auto", "grouped"):
         assert new_rows(df, df, how=how).count() == 0
         assert new_rows(df, df.where("Value > 1.5"), how=how).count() == 1
+
+
+@pytest.mark.parametrize("how", ["auto", "grouped"])
+def test_new_rows_keep_signed_zeros(spark, how):
+    df = spark.createDataFrame([("a", -0.0), ("a", 0.0), ("b", -0.0), ("b", -0.0), ("c", float("nan")), ("d", None), ("e", -0.0)], "k string, v double")
+    old = spark.createDataFrame([("e", 0.0), ("x", 1.0)], "k string, v double")
+    got = sorted(str(tuple(r)) for r in new_rows(df, old, how=how).collect())
+    assert got == sorted(["('a', -0.0)", "('a', 0.0)", "('b', -0.0)", "('b', -0.0)", "('c', nan)", "('d', None)"])

@@ -11,7 +11,7 @@ from gaugeflow.session import staging_path
 from gaugeflow.sources.tables import read_daily, read_hourly
 from gaugeflow.streaming.common import run_available_now
 from gaugeflow.streaming.daily import stream_daily
-from gaugeflow.streaming.dedup import dedup_stream
+from gaugeflow.streaming.dedup import stream_dedup
 from gaugeflow.streaming.update import stream_update
 
 SF = "/root/testdata/sf0.001"
@@ -43,13 +43,28 @@ def test_stream_dedup_collapses_in_batch_copies(spark):
     spark.createDataFrame(rows, HOURLY).write.parquet(src)
     out = staging_path(spark, "t-dedup-out")
     stream = spark.readStream.schema(HOURLY).parquet(src)
-    writer = (
-        dedup_stream(stream).writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", staging_path(spark, "t-dedup-ckpt"))
-    )
-    run_available_now(writer, "t_dedup")
-    # unlike the table anti-join (bag semantics), the state store keeps one copy
-    assert spark.read.schema(HOURLY).parquet(out).count() == 1
+    stream_dedup(stream, out, staging_path(spark, "t-dedup-ckpt"))
+    # unlike the table anti-join (bag semantics), one copy is kept
+    assert read_hourly(spark, out).count() == 1
+
+
+def test_streams_keep_late_rows_under_new_checkpoints(spark):
+    def land(*days):
+        src = staging_path(spark, "t-late")
+        for day, value in days:
+            rows = [("P_A", "A", dt.date.fromisoformat(day), "01:00:00", value, "Pressure", "", "")]
+            spark.createDataFrame(rows, HOURLY).coalesce(1).write.mode("append").parquet(src)
+        return spark.readStream.schema(HOURLY).option("maxFilesPerTrigger", 1).parquet(src)
+
+    out, distinct = staging_path(spark, "t-late-daily"), staging_path(spark, "t-late-distinct")
+    runs = [(("2024-06-01", 1.0), ("2024-01-10", 1.0)), (("2020-01-01", 2.0), ("2020-02-01", 3.0)), (("2024-01-10", 9.0),)]
+    for run in runs:
+        stream_daily(land(*run), out, staging_path(spark, "t-late-ckpt"))
+        stream_dedup(land(*run), distinct, staging_path(spark, "t-late-ckpt"))
+    got = {(str(r.Date), r.Value, r.numObservations) for r in read_daily(spark, out).collect()}
+    assert got == {("2024-06-01", 1.0, 1), ("2024-01-10", 5.0, 2), ("2020-01-01", 2.0, 1), ("2020-02-01", 3.0, 1)}
+    stream_dedup(land(*runs[1]), distinct, staging_path(spark, "t-late-ckpt"))
+    assert read_hourly(spark, distinct).count() == 5
 
 
 def test_stream_update_replay_adds_nothing(spark):
