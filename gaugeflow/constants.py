@@ -119,6 +119,7 @@ SERVED_LABELS = ["Staff Gauge", "Water Temperature", "Barometric Pressure"]
 ADMIN_TITLE = "Admin"
 # CSS class of the sidebar entry title and of the data table.
 NAV_TITLE_CLASS = "sf-with-ul"
+NAV_LIST_ID = "example"
 DATA_TABLE_CLASS = "CenteredGrid"
 
 # Station id rules.

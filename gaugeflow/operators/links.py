@@ -100,8 +100,8 @@ def all_valid(status: DataFrame, spark: SparkSession | None = None) -> DataFrame
     all-valid (``all`` of nothing is true)."""
     spark = spark or status.sparkSession
     groups = spark.createDataFrame([(g,) for g in GROUPS], "group string")
-    per_group = status.groupBy("group").agg(F.every(F.col("status") == STATUS_SUCCESS).alias("_ok"))
-    # per_group has one row per page group (three): bounded, so broadcast.
+    per_group = status.where(F.col("group").isin(*GROUPS)).groupBy("group").agg(F.every(F.col("status") == STATUS_SUCCESS).alias("_ok"))
+    # one row for each of the three groups, whatever texts the input holds
     return groups.join(F.broadcast(per_group), "group", "left").select(
         "group", F.coalesce(F.col("_ok"), F.lit(True)).alias("all_valid")
     )

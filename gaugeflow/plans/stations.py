@@ -15,18 +15,18 @@ from gaugeflow.operators.filters import drop_unserved, relevant_params
 from gaugeflow.operators.joins import attach_coords, new_stations
 from gaugeflow.operators.reshape import reorder, snake_names
 from gaugeflow.operators.stations import availability_flags, cast_coords
-from gaugeflow.sources.html import js_locations, nav_links, parse_locations
+from gaugeflow.sources.html import js_locations, parse_locations, station_links
 
 
 def station_urls(nav_pages: DataFrame, base_url: str, drop: bool = True) -> DataFrame:
     """One row per sidebar station with a URL column per known label
     (snake-case names). A label given twice keeps the later link. With
     ``drop`` stations lacking all three data URLs are removed."""
-    links = nav_links(nav_pages, keep=["page_id"], titled_only=True)
+    links = station_links(nav_pages, keep=["page_id"])
     links = links.where(F.col("title").isNotNull() & (F.col("title") != ADMIN_TITLE))
     links = relevant_params(links, base_url)
     links = links.select(
-        F.col("title").alias("station_name"), "label", "url", F.struct("page_id", "link_pos").alias("pos")
+        F.col("title").alias("station_name"), "label", "url", F.struct("page_id", "section_pos", "link_pos").alias("pos")
     )
     wide = pivot_params(links, key="station_name", labels=NAV_LABELS)
     if drop:

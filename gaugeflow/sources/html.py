@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.constants import DATA_TABLE_CLASS, NAV_TITLE_CLASS
+from gaugeflow.constants import DATA_TABLE_CLASS, NAV_LIST_ID, NAV_TITLE_CLASS
 from gaugeflow.functions.text import cell_text, html_text, html_unescape, py_strip
 
 _CLASS = r"""\bclass\s*=\s*(?:["'][^"']*\b{cls}\b[^"']*["']|{cls}(?=[\s>/]))"""
@@ -86,8 +86,61 @@ def first_list(text) -> Column:
     return F.aggregate(pieces, zero, step, lambda acc: acc["body"])
 
 
-def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = None,
-              titled_only: bool = False) -> DataFrame:
+def list_entries(text) -> Column:
+    """The direct ``<li>`` entries, as texts, of the first list of ``text``.
+
+    Cut before each ``<ul``, ``</ul>`` and ``<li``; the fold keeps the list
+    depth and marks the entries that open at depth one."""
+    mark = "\u0001"
+    zero = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("body"))
+
+    def step(acc: Column, p: Column) -> Column:
+        head = F.lower(F.substring(p, 1, 5))
+        closes = head == "</ul>"
+        depth = acc["depth"] + F.when(head.startswith("<ul"), 1).otherwise(0) - F.when(closes, 1).otherwise(0)
+        own = head.startswith("<li") & (acc["depth"] == 1)
+        take = ~acc["done"] & (depth >= 1)
+        return F.struct(
+            depth.alias("depth"),
+            (acc["done"] | (closes & (depth <= 0))).alias("done"),
+            F.concat(acc["body"], F.when(take & own, F.lit(mark)).otherwise(F.lit("")),
+                     F.when(take, p).otherwise(F.lit(""))).alias("body"),
+        )
+
+    pieces = F.split(F.translate(_c(text), mark, ""), r"(?i)(?=<ul\b)|(?=</ul>)|(?=<li\b)")
+    body = F.aggregate(pieces, zero, step, lambda acc: acc["body"])
+    return F.slice(F.split(body, mark), 2, 1 << 30)
+
+
+def station_links(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
+    """One row per link of a page's station sidebar, in ``nav_links``' columns.
+
+    The sidebar is the list with the id ``NAV_LIST_ID``. Each of its direct
+    entries with a title is a section: the first title in the entry names it,
+    titles of nested menus do not, and all anchors of the entry's list, nested
+    ones included, are its links. Titles and links outside that list are no
+    stations; a page without it gives no rows.
+    """
+    keep = keep if keep is not None else [c for c in pages.columns if c != html]
+    opening = r"""(?is)(<ul\b[^>]*\bid\s*=\s*["']?""" + NAV_LIST_ID + r"""\b.*)"""
+    title = r"(?is)<p\b[^>]*" + _CLASS.format(cls=NAV_TITLE_CLASS) + r"[^>]*>(.*?)</p>"
+    held = pages.where(F.instr(F.col(html), NAV_TITLE_CLASS) > 0).select(
+        *keep, F.posexplode(list_entries(F.regexp_extract(html, opening, 1))).alias("_p", "_li"))
+    titled = held.where(F.col("_li").rlike(title)).select(
+        *keep, F.col("_p"), F.regexp_extract("_li", title, 1).alias("_title"),
+        F.regexp_extract_all(first_list(F.col("_li")), F.lit(_ANCHOR), 0).alias("_a"))
+    links = titled.select(*keep, "_p", "_title", F.posexplode("_a").alias("_i", "_l"))
+    return links.select(
+        *keep,
+        (F.col("_p") + 1).cast("int").alias("section_pos"),
+        html_text(F.col("_title")).alias("title"),
+        (F.col("_i") + 1).cast("int").alias("link_pos"),
+        html_text(F.regexp_extract(F.col("_l"), _ANCHOR, 2)).alias("label"),
+        html_unescape(F.regexp_extract(F.col("_l"), _ANCHOR, 1)).alias("href"),
+    )
+
+
+def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
     """One row per link of a page's sidebar.
 
     The page is cut at every ``<p class="sf-with-ul">`` title. Links of a
@@ -95,7 +148,6 @@ def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
     anchors before the first title get ``section_pos`` 0 and a null title.
     Output: ``keep`` columns + ``section_pos, title, link_pos, label, href``;
     ``link_pos`` numbers the links of a page in document order from 1.
-    With ``titled_only`` the anchors before the first title are skipped.
     Sections and links are numbered inside the page row (array functions),
     so no shuffle is needed; the page text is split once, and the other
     expressions run on the section or anchor texts only.
@@ -120,8 +172,7 @@ def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = Non
         # Only a first list holding another <ul> needs the depth-tracking fold.
         flat = c["flat"]
         nested = (F.instr(flat, "<ul") > 0) | (F.instr(flat, "<UL") > 0) | (F.instr(flat, "<Ul") > 0)
-        untitled = F.lit("") if titled_only else c["sec"]
-        body = F.when(c["pos"] == 0, untitled).when(nested, first_list(c["sec"])).otherwise(flat)
+        body = F.when(c["pos"] == 0, c["sec"]).when(nested, first_list(c["sec"])).otherwise(flat)
         return F.struct(c["pos"].alias("pos"), c["title"].alias("title"), F.regexp_extract_all(body, F.lit(_ANCHOR), 0).alias("anchors"))
 
     cut_sections = pages.select(*keep, F.transform(sections, cut).alias("_c"))

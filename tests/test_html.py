@@ -100,3 +100,25 @@ def test_unquoted_class_attributes(spark):
     nav = '<li><p class=sf-with-ul>Sarita</p><ul><li><a href="x.aspx">Site Info</a></li></ul></li>'
     df = spark.createDataFrame([(1, nav)], "page_id long, html string")
     assert [(r.title, r.label) for r in nav_links(df, keep=["page_id"]).collect()] == [("Sarita", "Site Info")]
+
+
+def test_station_links_follow_the_sidebar_structure(spark):
+    from gaugeflow.sources.html import station_links
+
+    page = (
+        '<p class="sf-with-ul">Header</p><ul><li><a href="h.aspx">Site Info</a></li></ul>'
+        '<div id="sidebar"><div class="c2"><ul class="m" id="example"><li><a href="Default.aspx">Home</a></li>'
+        '<li><p class="sf-with-ul">Sarita</p><ul><li><a href="a.aspx">Staff Gauge</a></li>'
+        '<li><p class="sf-with-ul">More</p><ul><li><a href="b.aspx">Voltage</a></li></ul></li>'
+        '<li><a href="c.aspx">Voltage</a></li></ul></li>'
+        '<li><p class="sf-with-ul">Empty</p><ul></ul></li>'
+        '<LI><p class="sf-with-ul">Admin</p><UL><li><a href="Login.aspx">Login</a></li></UL></LI></ul></div></div>'
+        '<p class="sf-with-ul">Footer</p><ul><li><a href="f.aspx">Site Info</a></li></ul>'
+    )
+    df = spark.createDataFrame([(1, page), (2, "<p class='sf-with-ul'>X</p><ul><li><a href='x'>Voltage</a></li></ul>"), (3, None)],
+                               "page_id long, html string")
+    got = [tuple(r) for r in station_links(df, keep=["page_id"]).orderBy("section_pos", "link_pos").collect()]
+    assert got == [
+        (1, 2, "Sarita", 1, "Staff Gauge", "a.aspx"), (1, 2, "Sarita", 2, "Voltage", "b.aspx"),
+        (1, 2, "Sarita", 3, "Voltage", "c.aspx"), (1, 4, "Admin", 1, "Login", "Login.aspx"),
+    ]
