@@ -504,6 +504,56 @@ def q_marts_rebuilt(spark, sf_dir):
     return read_hourly(spark, wh.hourly_recent)
 
 
+def q_select_station(spark, sf_dir):
+    """Stations whose id matches a pattern at its start."""
+    from gaugeflow.operators.filters import select_station
+
+    return select_station(S.stations(_t(spark, sf_dir, "customer")), "P_1[0-9]*5$", regex=True).select("station_id", "station_name")
+
+
+def q_combine_status(spark, sf_dir):
+    """The groups' link statuses in one table."""
+    from gaugeflow.constants import GROUPS
+    from gaugeflow.operators.links import combine_status
+
+    pages, _ = _pages(spark, sf_dir)
+    status = link_status(pages.select("group", "station_url_name", "url", "http_status"))
+    return combine_status(*[(g, status.where(F.col("group") == g)) for g in GROUPS])
+
+
+def q_conform(spark, sf_dir):
+    """Hourly rows read as text and cast back, unreadable values null."""
+    from gaugeflow.operators.reshape import conform
+
+    rows = S.hourly(_t(spark, sf_dir, "events"), _t(spark, sf_dir, "customer"))
+    text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+    return conform(text.withColumn("Value", F.when(F.col("Parameter") != "Pressure", F.col("Value")).otherwise("n/a")))
+
+
+def q_station_csv(spark, sf_dir):
+    """The station table replaced, written as CSV and read back."""
+    from gaugeflow.sinks.tables import create_empty, replace_table, write_station_csv
+    from gaugeflow.sources.tables import Warehouse, read_station_metadata, read_stations
+    from gaugeflow.schemas import STATIONS
+
+    wh = Warehouse(staging_path(spark, "station-csv"))
+    create_empty(spark, STATIONS, wh.station_metadata)
+    replace_table(S.stations(_t(spark, sf_dir, "customer")), wh.station_metadata)
+    write_station_csv(read_station_metadata(spark, wh.station_metadata), wh.station_csv)
+    return read_stations(spark, wh.station_csv).select(
+        "station_id", "station_name", "water_temperature", "staff_gauge", "voltage", "barometric_pressure", "lat")
+
+
+def q_run_report(spark, sf_dir):
+    """K7: the status table of a run report, written and read back."""
+    from gaugeflow.sinks.tables import write_report
+
+    pages, _ = _pages(spark, sf_dir)
+    path = staging_path(spark, "report")
+    write_report(link_status(pages.select("group", "station_url_name", "url", "http_status")), path, "now", "query")
+    return spark.read.schema('group string, station_url_name string, url string, status string').json(f"{path}/status")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Registered queries by name; each takes (spark, sf_dir)."""
     return {
@@ -548,6 +598,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "marts_after_reset": q_marts_after_reset,
         "marts_after_retry": q_marts_after_retry,
         "marts_rebuilt": q_marts_rebuilt,
+        "select_station": q_select_station,
+        "combine_status": q_combine_status,
+        "conform": q_conform,
+        "station_csv": q_station_csv,
+        "run_report": q_run_report,
     }
 
 
@@ -842,4 +897,12 @@ LEFT JOIN rng r ON r.url_name = s.url_name"""
     out["marts_after_reset"] = job_daily
     out["marts_after_retry"] = job_daily
     out["marts_rebuilt"] = out["recent"]
+    out["select_station"] = f"""WITH {_STATIONS_CTE}
+SELECT station_id, station_name FROM stations WHERE regexp_matches(station_id, '^P_1[0-9]*5$')"""
+    out["combine_status"] = f'SELECT "group", station_url_name, status FROM ({out["link_status"]})'
+    out["conform"] = f"""WITH {_hourly_cte()}
+SELECT * REPLACE (CASE WHEN "Parameter" <> 'Pressure' THEN "Value" END AS "Value") FROM hourly"""
+    out["station_csv"] = f"""WITH {_STATIONS_CTE}
+SELECT station_id, station_name, water_temperature, staff_gauge, voltage, barometric_pressure, CAST(NULL AS DOUBLE) AS lat FROM stations"""
+    out["run_report"] = out["link_status"]
     return out

@@ -65,14 +65,6 @@ PAGE_COLUMNS = {
     (GROUP_TEMPERATURE, 2): ["Time", "Water Temperature"],
 }
 
-# The five measured parameters.
-PARAMETERS = [
-    "Water Level",
-    "Sensor Depth",
-    "Pressure",
-    "Air Temperature",
-    "Water Temperature",
-]
 
 # Availability flag -> data page name in the station URL.
 VARIABLE_PAGES = {
@@ -81,7 +73,7 @@ VARIABLE_PAGES = {
     "barometric_pressure": "Pressure",
 }
 VARIABLES = ["staff_gauge", "water_temperature", "barometric_pressure"]
-VARIABLE_ERROR = "var must be one of 'staff_gauge', 'temp', or 'pressure'"
+VARIABLE_ERROR = "no page group is fed by this variable"
 
 # Availability flag that feeds each page group.
 GROUP_VARIABLES = {
@@ -127,18 +119,12 @@ STATION_ID_PREFIX = "P_"
 WATER_WORDS = ["RIVER", "LAKE", "CREEK"]
 UPPER_LOWER = ["UPPER", "LOWER"]
 
-# Site date texts: tried in this order, written in the output format.
-SITE_DATE_FORMATS = ["%b %d, %Y %I:%M %p", "%b %d, %Y %H:%M"]
-SITE_DATE_OUTPUT = "%Y/%m/%d %H:%M"
-# Date picker text of the N-day fetch.
-PICKER_FORMAT = "%b %d, %Y 00:00"
 # Archive start asked for by a station reset, and its one override.
 RESET_START = "01/01/2000 00:00"
 RESET_START_OVERRIDES = {"Leiner": "10/09/2018 11:01"}
 RESET_START_FORMAT = "%m/%d/%Y %H:%M"
 
 # Windows (days).
-UPDATE_WINDOW_DAYS = 7
 LOOKBACK_DAYS = 30
 RECENT_DAYS = 366
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.constants import LOOKBACK_DAYS, RECENT_DAYS
+from gaugeflow.operators.aggregate import has_new
 from gaugeflow.operators.filters import select_station, window_start
 from gaugeflow.operators.links import all_links, fetch_manifest
 from gaugeflow.plans.marts import build_marts, touched_daily
@@ -50,8 +51,9 @@ def run_update(spark: SparkSession, wh: Warehouse, pages: DataFrame, as_of, days
     result.parsed.persist(StorageLevel.MEMORY_AND_DISK)
     # Stage the new rows: they are compared with the table they are appended to.
     new = result.new_rows.checkpoint()
-    mark_pending(spark, wh, folder_ids(with_partitions(new)))
-    append_hourly(new, wh.hourly)
+    if has_new(new):
+        mark_pending(spark, wh, folder_ids(with_partitions(new)))
+        append_hourly(new, wh.hourly)
     write_report(result.status, wh.report, dt.datetime.now().isoformat(), "update")
     result.parsed.unpersist()
     refresh_marts(spark, wh, as_of, recent_days)

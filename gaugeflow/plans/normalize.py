@@ -21,14 +21,13 @@ from gaugeflow.constants import (
     ERROR_PREFIX,
     HOURLY_COLUMNS,
     HTTP_OK,
-    NO_COMMENT,
     STATUS_LINK_INVALID,
     STATUS_SUCCESS,
 )
 from gaugeflow.functions.dates import parse_page_time
 from gaugeflow.functions.text import estimated_code, numeric_value
 from gaugeflow.operators.joins import attach_station
-from gaugeflow.operators.reshape import canonical_columns, expected_width
+from gaugeflow.operators.reshape import canonical_columns, expected_width, with_comments
 from gaugeflow.sources.html import html_table_rows
 
 PAGE_KEYS = ["group", "station_url_name", "url"]
@@ -125,7 +124,7 @@ def page_rows(parsed: DataFrame) -> DataFrame:
         F.col("r.code").alias("Code"),
         F.explode(F.arrays_zip(F.col("names").alias("p"), F.col("r.vals").alias("v"))).alias("s"),
     )
-    return streams.select(
+    values = streams.select(
         "STATION_NUMBER",
         "STATION_NAME",
         F.to_date("ts").alias("Date"),
@@ -133,8 +132,8 @@ def page_rows(parsed: DataFrame) -> DataFrame:
         F.col("s.v.value").alias("Value"),
         F.col("s.p").alias("Parameter"),
         "Code",
-        F.lit(NO_COMMENT).alias("Comments"),
-    ).select(*HOURLY_COLUMNS)
+    )
+    return with_comments(values).select(*HOURLY_COLUMNS)
 
 
 def page_status(parsed: DataFrame) -> DataFrame:

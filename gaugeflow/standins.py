@@ -26,7 +26,7 @@ tool):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.constants import (
@@ -129,6 +129,9 @@ def hourly(events: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
+PAGE_ROWS = 500
+
+
 def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
                corrupt: bool = False) -> DataFrame:
     """Landed data pages (PAGES schema) from events.
@@ -161,7 +164,10 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
     )
     # Only the raw readings cross the shuffle; each page's rows are
     # formatted afterwards, spread over the pages' partitions.
-    pages = e.groupBy("group", "station_url_name", "slot").agg(
+    # A page holds PAGE_ROWS readings at most; a slot with more has more pages.
+    at = Window.partitionBy("group", "station_url_name", "slot").orderBy("ev")
+    e = e.withColumn("page_no", F.floor((F.row_number().over(at) - 1) / F.lit(PAGE_ROWS)))
+    pages = e.groupBy("group", "station_url_name", "slot", "page_no").agg(
         F.sort_array(F.collect_list("ev")).alias("rows"),
         F.min("c_acctbal").alias("c_acctbal"),
     )
@@ -193,6 +199,7 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
         _map(GROUP_PAGE, F.col("group")),
         F.lit(".aspx?hour="),
         F.col("slot"),
+        F.when(F.col("page_no") > 0, F.concat(F.lit("&page="), F.col("page_no").cast("string"))).otherwise(""),
     )
     return pages.select(
         "group",
