@@ -23,7 +23,10 @@ from gaugeflow.llm.common import text_or_empty
 
 MIN_BYTES, NORMAL_BYTES, MAX_BYTES = 32, 96, 512
 STRICT_MASK, LOOSE_MASK = 0xFF000000, 0xF8000000  # 1/256 and 1/32 of all positions
-ROWS_PER_BIN = 4000
+# Ranges hold about this many rows; with more rows than MAX_RANGES of them the
+# ranges grow instead (their rows are sorted with spilling and streamed), so the
+# list of range starts, which is collected and broadcast, has a fixed bound.
+ROWS_PER_BIN, MAX_RANGES = 4000, 1 << 16
 
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
@@ -142,7 +145,8 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     an empty result.
 
     Documents are range-partitioned once by doc_id. The first row of every
-    range (one per partition) is sent to the range before it as well.
+    range is sent to the range before it as well. There are at most MAX_RANGES
+    ranges, whatever the table's size.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"),
@@ -150,13 +154,14 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     n = rows.count()
     if not n:
         return spark.createDataFrame([], SCHEMA)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // ROWS_PER_BIN))
-    # one number per partition comes to the driver
+    parts = min(MAX_RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // ROWS_PER_BIN)))
+    # one number per range, MAX_RANGES at most, comes to the driver
     starts = sorted(r[0] for r in rows.select("key").repartitionByRange(parts, "key")
                     .groupBy(F.spark_partition_id()).agg(F.min("key").alias("k")).select("k").collect())
     placed = rows.withColumn("bin", _bin_column(starts)("key"))
     heads = spark.createDataFrame([(k, (b - 1) % len(starts)) for b, k in enumerate(starts)], "key long, target int")
-    # one row per range: its smallest text among those of its first id
+    # one row per range: its smallest text among those of its first id; MAX_RANGES
+    # pairs of numbers are broadcast at most
     first = (placed.join(F.broadcast(heads), "key")
              .groupBy("key", "target").agg(F.min("text").alias("text"), F.min("doc_id").alias("doc_id"))
              .select("doc_id", "text", "key", F.col("target").alias("bin"), F.lit(True).alias("witness")))
