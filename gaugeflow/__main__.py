@@ -11,7 +11,8 @@ Jobs (landed inputs are Parquet folders with the library's schemas):
 * ``refresh`` --nav DIR --ranges DIR [--archive DIR]: station dimension,
   and (with ``--archive``) the archives of the stations that are new
 * ``marts``   --as-of DATE: rebuild daily and hourly_recent from scratch
-* ``full-reset`` --nav DIR --ranges DIR --archive DIR --as-of DATE
+* ``full-reset`` --nav DIR --ranges DIR --archive DIR --as-of DATE [--buckets N]: all
+  tables anew, with N station buckets (by default as many as before)
 """
 
 from __future__ import annotations
@@ -39,6 +40,7 @@ def main(argv=None) -> None:
     ap.add_argument("--station")
     ap.add_argument("--regex", action="store_true")
     ap.add_argument("--out")
+    ap.add_argument("--buckets", type=int)
     ap.add_argument("--profile", choices=["local", "cluster"], default="cluster")
     args = ap.parse_args(argv)
 
@@ -64,7 +66,7 @@ def main(argv=None) -> None:
         jobs.run_marts(spark, wh, args.as_of)
     else:
         jobs.full_reset(spark, wh, read_nav_pages(spark, args.nav), read_series_ranges(spark, args.ranges),
-                        read_pages(spark, args.archive), args.as_of, args.base_url)
+                        read_pages(spark, args.archive), args.as_of, args.base_url, args.buckets)
     spark.stop()
 
 

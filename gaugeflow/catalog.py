@@ -657,7 +657,7 @@ def _page_events_cte(where: str = "TRUE") -> str:
     return f"""pe AS (
   SELECT e.*, {_PARAM_CASE} AS param, {_GROUP_CASE} AS grp, {_OTHER_CASE} AS other_param,
          {_K} AS k, c.c_name, replace(c.c_name, '#', '') AS url_name, c.c_acctbal, c.c_mktsegment,
-         strftime(e.ts, '%Y-%m-%d-%H') AS slot
+         strftime(date_trunc('week', e.ts), '%Y-%m-%d') AS slot
   FROM events e JOIN customer c ON c.c_custkey = e.user_id
   WHERE {where})"""
 
@@ -676,7 +676,7 @@ FROM {src} WHERE other_param IS NOT NULL AND ({where})"""
 def _page_url(grp: str = "grp", slot: str = "slot", url_name_col: str = "url_name") -> str:
     return (
         f"'{_BASE}' || {url_name_col} || '/' || CASE {grp} WHEN 'Hydrometric' THEN 'WaterLevel' "
-        f"WHEN 'Pressure' THEN 'Pressure' ELSE 'Temperature' END || '.aspx?hour=' || {slot}"
+        f"WHEN 'Pressure' THEN 'Pressure' ELSE 'Temperature' END || '.aspx?week=' || {slot}"
     )
 
 

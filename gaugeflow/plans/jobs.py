@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.constants import LOOKBACK_DAYS, RECENT_DAYS
+from gaugeflow.constants import HOURLY_COLUMNS, LOOKBACK_DAYS, RECENT_DAYS
 from gaugeflow.operators.aggregate import has_new
 from gaugeflow.operators.filters import select_station, window_start
 from gaugeflow.operators.links import all_links, fetch_manifest
@@ -23,7 +22,7 @@ from gaugeflow.plans.stations import refresh_stations
 from gaugeflow.plans.update import update_hourly
 from gaugeflow.operators.replace import replace_rows
 from gaugeflow.sinks.tables import (
-    STATION_BUCKETS,
+    Staging,
     append_hourly,
     clear_pending,
     drop_months_before,
@@ -34,6 +33,7 @@ from gaugeflow.sinks.tables import (
     pending_folders,
     replace_table,
     reset_tables,
+    table_buckets,
     with_partitions,
     write_partitioned,
     write_report,
@@ -47,15 +47,14 @@ def run_update(spark: SparkSession, wh: Warehouse, pages: DataFrame, as_of, days
     """C2 + K1 + K7, then the changed parts of the daily and recent marts."""
     stations = read_station_metadata(spark, wh.station_metadata)
     stored = read_hourly(spark, wh.hourly, as_of, days)
-    result = update_hourly(pages, stations, stored, as_of, days, base_url)
-    result.parsed.persist(StorageLevel.MEMORY_AND_DISK)
-    # Stage the new rows: they are compared with the table they are appended to.
-    new = result.new_rows.checkpoint()
-    if has_new(new):
-        mark_pending(spark, wh, folder_ids(with_partitions(new)))
-        append_hourly(new, wh.hourly)
-    write_report(result.status, wh.report, dt.datetime.now().isoformat(), "update")
-    result.parsed.unpersist()
+    with Staging(spark) as stage:
+        result = update_hourly(pages, stations, stored, as_of, days, base_url, stage=stage)
+        # Cut the new rows' lineage: they are compared with the table they are appended to.
+        new = result.new_rows.checkpoint()
+        if has_new(new):
+            mark_pending(spark, wh, folder_ids(with_partitions(new, table_buckets(spark, wh.hourly))))
+            append_hourly(new, wh.hourly)
+        write_report(result.status, wh.report, dt.datetime.now().isoformat(), "update")
     refresh_marts(spark, wh, as_of, recent_days)
     return new
 
@@ -76,7 +75,7 @@ def refresh_daily(spark: SparkSession, wh: Warehouse, folders: list[tuple[str, i
     if not folders:
         return
     hourly = read_hourly(spark, wh.hourly, keep_partitions=True)
-    overwrite_partitions(touched_daily(hourly, folders), wh.daily, folders)
+    overwrite_partitions(touched_daily(hourly, folders), wh.daily, folders, table_buckets(spark, wh.hourly))
 
 
 def run_marts(spark: SparkSession, wh: Warehouse, as_of, days: int = RECENT_DAYS) -> None:
@@ -84,9 +83,10 @@ def run_marts(spark: SparkSession, wh: Warehouse, as_of, days: int = RECENT_DAYS
     (the from-scratch path; updates maintain both incrementally)."""
     hourly = read_hourly(spark, wh.hourly)
     marts = build_marts(hourly, as_of, days)
-    write_partitioned(marts.daily, wh.daily, "overwrite")
+    buckets = table_buckets(spark, wh.hourly)
+    write_partitioned(marts.daily, wh.daily, "overwrite", buckets)
     clear_pending(spark, wh, "daily")
-    write_partitioned(marts.hourly_recent, wh.hourly_recent, "overwrite")
+    write_partitioned(marts.hourly_recent, wh.hourly_recent, "overwrite", buckets)
     clear_pending(spark, wh, "recent")
 
 
@@ -102,11 +102,12 @@ def refresh_recent(spark: SparkSession, wh: Warehouse, as_of, folders: list[tupl
     start = window_start(as_of, days)
     first = start.strftime("%Y-%m")
     touched = [f for f in folders if f[0] >= first]
-    boundary = [(first, b) for b in range(STATION_BUCKETS)]
+    buckets = table_buckets(spark, wh.hourly)
+    boundary = [(first, b) for b in range(buckets)]
     folders = sorted(set(touched) | set(boundary))
     hourly = read_hourly(spark, wh.hourly, keep_partitions=True)
     rows = hourly.where(in_folders(folders) & (F.col("Date") >= F.lit(start))).drop("month", "sbucket")
-    overwrite_partitions(rows, wh.hourly_recent, folders)
+    overwrite_partitions(rows, wh.hourly_recent, folders, buckets)
     drop_months_before(spark, wh.hourly_recent, first)
 
 
@@ -114,27 +115,31 @@ def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: st
               station: str | None = None, regex: bool = False, recent_days: int = RECENT_DAYS) -> DataFrame:
     """C3 + K4: replace station archives, rewriting only touched folders, and
     refresh their marts. ``station`` limits the job to one id (with ``regex``
-    to ids that match at their start)."""
+    to ids that match at their start). Returns the replaced (station,
+    parameter) pairs' rows as stored."""
     stations = read_station_metadata(spark, wh.station_metadata)
     if station is not None:
         stations = select_station(stations, station, regex)
         pages = pages.join(stations.select("station_url_name").distinct(), "station_url_name", "left_semi")
     current = read_hourly(spark, wh.hourly, keep_partitions=True)
-    result = reset_stations(pages, stations, current.drop("month", "sbucket"), base_url)
-    new = result.new_rows.checkpoint()
-    keys = new.select("STATION_NUMBER", "Parameter").distinct()
-    new_folders = folder_ids(with_partitions(new))
-    # Folders holding rows of a replaced (station, parameter): only the
-    # replaced stations' buckets are scanned, reading two columns.
-    buckets = sorted({b for _, b in new_folders})
-    old = current.where(F.col("sbucket").isin(buckets)).join(keys, ["STATION_NUMBER", "Parameter"], "left_semi")
-    folders = sorted(set(new_folders) | set(folder_ids(old)))
-    scoped = current.where(in_folders(folders)).drop("month", "sbucket")
-    mark_pending(spark, wh, folders)
-    overwrite_partitions(replace_rows(scoped, new), wh.hourly, folders)
-    write_report(result.status, wh.report, dt.datetime.now().isoformat(), "reset")
+    buckets = table_buckets(spark, wh.hourly)
+    with Staging(spark) as stage:
+        result = reset_stations(pages, stations, current.drop("month", "sbucket"), base_url, stage=stage)
+        new = result.new_rows
+        keys = new.select("STATION_NUMBER", "Parameter").distinct().checkpoint()  # bounded by the dimension
+        new_folders = folder_ids(with_partitions(new, buckets))
+        # Folders holding rows of a replaced (station, parameter): only the
+        # replaced stations' buckets are scanned, reading two columns.
+        hit = sorted({b for _, b in new_folders})
+        old = current.where(F.col("sbucket").isin(hit)).join(keys, ["STATION_NUMBER", "Parameter"], "left_semi")
+        folders = sorted(set(new_folders) | set(folder_ids(old)))
+        scoped = current.where(in_folders(folders)).drop("month", "sbucket")
+        mark_pending(spark, wh, folders)
+        overwrite_partitions(replace_rows(scoped, new), wh.hourly, folders, buckets)
+        write_report(result.status, wh.report, dt.datetime.now().isoformat(), "reset")
     refresh_marts(spark, wh, as_of, recent_days)
-    return new
+    return (read_hourly(spark, wh.hourly).join(keys, ["STATION_NUMBER", "Parameter"], "left_semi")
+            .select(*HOURLY_COLUMNS))
 
 
 def run_refresh(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_ranges: DataFrame,
@@ -177,9 +182,10 @@ def run_manifest(spark: SparkSession, wh: Warehouse, path: str, as_of, days: int
 
 
 def full_reset(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_ranges: DataFrame,
-               archive_pages: DataFrame, as_of, base_url: str = "") -> None:
-    """Empty all tables, rebuild stations, load every archive, build marts."""
-    reset_tables(spark, wh)
+               archive_pages: DataFrame, as_of, base_url: str = "", buckets: int | None = None) -> None:
+    """Empty all tables (with ``buckets`` station buckets, by default as
+    many as before), rebuild stations, load every archive, build marts."""
+    reset_tables(spark, wh, buckets)
     run_refresh(spark, wh, nav_pages, series_ranges, base_url)
     run_reset(spark, wh, archive_pages, base_url)
     run_marts(spark, wh, as_of)

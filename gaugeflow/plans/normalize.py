@@ -12,6 +12,7 @@ dimension's measured size is under the broadcast threshold).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,7 +27,7 @@ from gaugeflow.constants import (
 )
 from gaugeflow.functions.dates import parse_page_time
 from gaugeflow.functions.text import estimated_code, numeric_value
-from gaugeflow.operators.joins import attach_station
+from gaugeflow.operators.joins import attach_station, wanted_pages
 from gaugeflow.operators.reshape import canonical_columns, expected_width, with_comments
 from gaugeflow.sources.html import html_table_rows
 
@@ -47,15 +48,16 @@ def _parse_row(names: Column):
     return parse
 
 
-def parse_pages(pages: DataFrame, stations: DataFrame) -> DataFrame:
-    """One row per landed page with its parsed rows and its first error.
+def parse_pages(pages: DataFrame, stations: DataFrame, wanted_only: bool = False) -> DataFrame:
+    """One row per landed page with its parsed rows and its first error
+    (``wanted_only``: pages of wanted links only).
 
     Output: page columns (html dropped) + ``STATION_NAME, STATION_NUMBER,
     names, parsed, error, status``. ``status`` is 'success', 'Error: link
     invalid' (HTTP status other than 200) or 'Error: <first error>'.
     """
     keep = [c for c in pages.columns if c != "html"]
-    p = attach_station(pages, stations)
+    p = wanted_pages(pages, stations) if wanted_only else attach_station(pages, stations)
     table = html_table_rows(F.col("html"))
     p = p.select(*keep, "STATION_NAME", "STATION_NUMBER", table.alias("_t"))
     names = canonical_columns(F.col("group"), F.col("_t.width"))
@@ -149,11 +151,14 @@ class Normalized:
     status: DataFrame
 
 
-def normalize_pages(pages: DataFrame, stations: DataFrame) -> Normalized:
+def normalize_pages(pages: DataFrame, stations: DataFrame, wanted_only: bool = False,
+                    stage: Callable[[DataFrame], DataFrame] | None = None) -> Normalized:
     """Parse landed pages into hourly rows plus a per-page status frame.
 
-    ``parsed`` is the shared intermediate; a job that writes both outputs
-    should persist it once (see ``plans.update``).
+    ``parsed`` is what both are derived from; a job that uses both gives
+    ``stage`` (``sinks.tables.Staging``), so that pages are parsed once.
     """
-    parsed = parse_pages(pages, stations)
+    parsed = parse_pages(pages, stations, wanted_only)
+    if stage is not None:
+        parsed = stage(parsed)
     return Normalized(parsed=parsed, rows=page_rows(parsed), status=page_status(parsed))

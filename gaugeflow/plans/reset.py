@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -19,21 +20,19 @@ class ResetResult:
     status: DataFrame
 
 
-def reset_stations(pages: DataFrame, stations: DataFrame, current: DataFrame, base_url: str = "") -> ResetResult:
+def reset_stations(pages: DataFrame, stations: DataFrame, current: DataFrame, base_url: str = "",
+                   stage: Callable[[DataFrame], DataFrame] | None = None) -> ResetResult:
     """Replace the archives of every station that has landed archive
     pages, in one job.
 
     Accepted pages give the new rows; for each (station, parameter) they
     hold, the stored rows are dropped and the new ones appended. A rejected
-    page deletes nothing.
+    page deletes nothing. ``stage`` holds the parsed pages once for rows and
+    status (jobs give it).
     """
-    links = all_links(stations, base_url)
-    wanted = pages.join(
-        links.select("group", "station_url_name"), ["group", "station_url_name"], "left_semi"
-    )
-    norm = normalize_pages(wanted, stations)
+    norm = normalize_pages(pages, stations, wanted_only=True, stage=stage)
     return ResetResult(
         hourly=replace_rows(current, norm.rows),
         new_rows=norm.rows,
-        status=link_outcome(links, norm.status),
+        status=link_outcome(all_links(stations, base_url), norm.status),
     )

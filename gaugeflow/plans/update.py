@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -19,7 +20,6 @@ class UpdateResult:
     new_rows: DataFrame
     status: DataFrame
     page_status: DataFrame
-    parsed: DataFrame
 
 
 def link_outcome(links: DataFrame, page_status: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def link_outcome(links: DataFrame, page_status: DataFrame) -> DataFrame:
 
 
 def update_hourly(pages: DataFrame, stations: DataFrame, stored: DataFrame, as_of,
-                  days: int | None = LOOKBACK_DAYS, base_url: str = "", how: str = "auto") -> UpdateResult:
+                  days: int | None = LOOKBACK_DAYS, base_url: str = "", how: str = "auto",
+                  stage: Callable[[DataFrame], DataFrame] | None = None) -> UpdateResult:
     """One update run.
 
     Only pages of wanted links (station has the group's data flag) are
@@ -49,12 +50,10 @@ def update_hourly(pages: DataFrame, stations: DataFrame, stored: DataFrame, as_o
     not compared, exactly like the original overlap check. With ``days`` None
     rows are compared with all stored rows of their months (``stored`` then
     has its ``month`` column), so replayed pages add nothing whatever their age.
+    ``stage`` holds the parsed pages once for rows and status (jobs give it).
     """
     links = all_links(stations, base_url)
-    wanted = pages.join(
-        links.select("group", "station_url_name"), ["group", "station_url_name"], "left_semi"
-    )
-    norm = normalize_pages(wanted, stations)
+    norm = normalize_pages(pages, stations, wanted_only=True, stage=stage)
     if days is None:
         months = norm.rows.select(F.date_format("Date", "yyyy-MM").alias("month")).distinct()
         current = stored.join(months, "month", "left_semi")
@@ -65,5 +64,4 @@ def update_hourly(pages: DataFrame, stations: DataFrame, stored: DataFrame, as_o
         new_rows=fresh,
         status=link_outcome(links, norm.status),
         page_status=norm.status,
-        parsed=norm.parsed,
     )

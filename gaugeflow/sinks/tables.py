@@ -1,7 +1,9 @@
 """Writers: append, replace, staged rewrite and the run report.
 
 The hourly and daily tables are Parquet folders partitioned by ``month``
-(``yyyy-MM`` of Date) and ``sbucket`` (hash bucket of the station). Window
+(``yyyy-MM`` of Date) and ``sbucket`` (hash bucket of the station). The number
+of buckets is a property of the table, set when it is created and read back
+from a marker beside its folder; all tables of a warehouse share it. Window
 reads prune months; a station rewrite touches only its bucket's folders.
 Station ids are never partition values themselves (their text would be
 re-typed by partition discovery).
@@ -9,6 +11,8 @@ re-typed by partition discovery).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +22,8 @@ from gaugeflow.operators.links import all_valid
 from gaugeflow.session import staging_path
 from gaugeflow.sources.tables import PARTITION_COLUMNS, Warehouse
 
+# Buckets of a table created without a number. A station reset rewrites one
+# bucket of each touched month, so large tables are created with more.
 STATION_BUCKETS = 16
 
 
@@ -27,9 +33,29 @@ def station_bucket(station: Column | str = "STATION_NUMBER", buckets: int = STAT
     return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
 
 
-def with_partitions(df: DataFrame) -> DataFrame:
+def with_partitions(df: DataFrame, buckets: int = STATION_BUCKETS) -> DataFrame:
     """Add the partition columns: ``month`` (yyyy-MM of Date) and ``sbucket``."""
-    return df.withColumn("month", F.date_format("Date", "yyyy-MM")).withColumn("sbucket", station_bucket())
+    return (df.withColumn("month", F.date_format("Date", "yyyy-MM"))
+            .withColumn("sbucket", station_bucket(buckets=buckets)))
+
+
+def table_buckets(spark: SparkSession, path: str) -> int:
+    """The table's number of station buckets (the default for a table that has no marker)."""
+    fs, hadoop = _file_system(spark, path)
+    parent, name = hadoop(path).getParent(), hadoop(path).getName()
+    if fs.exists(parent):
+        for status in fs.listStatus(parent):
+            found = re.fullmatch(re.escape(name) + r"\.buckets-(\d+)", status.getPath().getName())
+            if found:
+                return int(found[1])
+    return STATION_BUCKETS
+
+
+def set_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """Record the number of station buckets of a table that holds no rows yet."""
+    fs, hadoop = _file_system(spark, path)
+    fs.delete(hadoop(f"{path}.buckets-{table_buckets(spark, path)}"), False)
+    fs.create(hadoop(f"{path}.buckets-{buckets}"), True).close()
 
 
 def folder_ids(df: DataFrame) -> list[tuple[str, int]]:
@@ -53,7 +79,7 @@ def in_folders(ids: list[tuple[str, int]]) -> Column:
 _WRITE_ORDER = ["month", "sbucket", "STATION_NUMBER", "Date", "Time"]
 
 
-def _clustered(df: DataFrame) -> DataFrame:
+def _clustered(df: DataFrame, buckets: int) -> DataFrame:
     """Rebalance rows on their folder before a write.
 
     The REBALANCE hint hashes on (month, sbucket) so a folder gets files from
@@ -62,12 +88,14 @@ def _clustered(df: DataFrame) -> DataFrame:
     sampling pass. Rows are sorted by station and time inside each file for
     row-group statistics."""
     order = [c for c in _WRITE_ORDER if c in PARTITION_COLUMNS or c in df.columns]
-    return with_partitions(df).hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*order)
+    return with_partitions(df, buckets).hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*order)
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str) -> None:
-    """Write by (month, sbucket), few files per folder."""
-    _clustered(df).write.mode(mode).partitionBy(*PARTITION_COLUMNS).parquet(path)
+def write_partitioned(df: DataFrame, path: str, mode: str, buckets: int | None = None) -> None:
+    """Write by (month, sbucket), few files per folder; ``buckets`` is by
+    default the table's own number."""
+    buckets = buckets or table_buckets(df.sparkSession, path)
+    _clustered(df, buckets).write.mode(mode).partitionBy(*PARTITION_COLUMNS).parquet(path)
 
 
 def append_hourly(rows: DataFrame, path: str) -> None:
@@ -75,10 +103,13 @@ def append_hourly(rows: DataFrame, path: str) -> None:
     write_partitioned(rows, path, "append")
 
 
-def create_empty(spark: SparkSession, schema: T.StructType, path: str, partitioned: bool = False) -> None:
-    """K3: (re)create a table with no rows."""
+def create_empty(spark: SparkSession, schema: T.StructType, path: str, partitioned: bool = False,
+                 buckets: int | None = None) -> None:
+    """K3: (re)create a table with no rows; a partitioned one gets ``buckets``
+    station buckets (by default it keeps its number)."""
     empty = spark.createDataFrame([], schema)
     if partitioned:
+        set_buckets(spark, path, buckets or table_buckets(spark, path))
         write_partitioned(empty, path, "overwrite")
     else:
         empty.write.mode("overwrite").parquet(path)
@@ -98,7 +129,8 @@ def replace_table(df: DataFrame, path: str, stage: bool = True) -> None:
     _delete(spark, tmp)
 
 
-def overwrite_partitions(df: DataFrame, path: str, touched: list[tuple[str, int]] | None = None) -> None:
+def overwrite_partitions(df: DataFrame, path: str, touched: list[tuple[str, int]] | None = None,
+                         buckets: int | None = None) -> None:
     """Rewrite only the (month, sbucket) folders present in ``df``: one clustered
     write into the checkpoint folder (so the table can be rewritten from its
     own rows), whose folders then replace the table's; the staging goes.
@@ -108,7 +140,7 @@ def overwrite_partitions(df: DataFrame, path: str, touched: list[tuple[str, int]
     """
     spark = df.sparkSession
     tmp = staging_path(spark, "partitions")
-    write_partitioned(df, tmp, "errorifexists")
+    write_partitioned(df, tmp, "errorifexists", buckets or table_buckets(spark, path))
     full = with_partitions(df)
     written = folder_ids(spark.read.schema(full.schema).parquet(tmp))
     fs, hadoop = _file_system(spark, path)
@@ -183,6 +215,28 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Staging:
+    """Staged copies of one job: called with a DataFrame it writes it once as
+    Parquet in the shared checkpoint folder and returns it read back; leaving
+    the ``with`` block deletes the copies."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = staging_path(self.spark, "rows")
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> "Staging":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        for path in self.paths:
+            _delete(self.spark, path)
+
+
 def write_station_csv(stations: DataFrame, path: str) -> None:
     """K6: station dimension as CSV with header and ``NA`` for nulls."""
     stations.write.mode("overwrite").option("header", "true").option("nullValue", CSV_NULL).csv(path)
@@ -199,12 +253,14 @@ def write_report(status: DataFrame, path: str, run_at: str, run_kind: str) -> No
     summary.write.mode("overwrite").json(f"{path}/summary")
 
 
-def reset_tables(spark: SparkSession, wh: Warehouse) -> None:
-    """K8: empty every table of the warehouse (drop + recreate)."""
+def reset_tables(spark: SparkSession, wh: Warehouse, buckets: int | None = None) -> None:
+    """K8: empty every table of the warehouse (drop + recreate), with ``buckets``
+    station buckets (by default as many as before)."""
     from gaugeflow.schemas import DAILY, HOURLY, STATIONS
 
-    create_empty(spark, HOURLY, wh.hourly, partitioned=True)
-    create_empty(spark, DAILY, wh.daily, partitioned=True)
-    create_empty(spark, HOURLY, wh.hourly_recent, partitioned=True)
+    buckets = buckets or table_buckets(spark, wh.hourly)
+    create_empty(spark, HOURLY, wh.hourly, True, buckets)
+    create_empty(spark, DAILY, wh.daily, True, buckets)
+    create_empty(spark, HOURLY, wh.hourly_recent, True, buckets)
     create_empty(spark, STATIONS, wh.station_metadata)
     _delete(spark, wh.pending)

@@ -136,9 +136,9 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
                corrupt: bool = False) -> DataFrame:
     """Landed data pages (PAGES schema) from events.
 
-    One page per (group, station, hour) holding one table row per event of
-    that station and hour whose parameter belongs to the group. The hour
-    bounds a page's size by the readings of one station in one hour.
+    One page per (group, station, week) holding one table row per event of
+    that station and week whose parameter belongs to the group, PAGE_ROWS at
+    most; a week with more has more pages.
     """
     cust = customer.select(
         F.col("c_custkey").alias("user_id"),
@@ -150,7 +150,7 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
     e = events.join(cust, "user_id").select(
         group.alias("group"),
         "station_url_name",
-        F.date_format("ts", "yyyy-MM-dd-HH").alias("slot"),
+        F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias("slot"),
         "c_acctbal",
         F.struct("ts", "event_id", "event_type", "value", "props").alias("ev"),
     )
@@ -164,7 +164,6 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
     )
     # Only the raw readings cross the shuffle; each page's rows are
     # formatted afterwards, spread over the pages' partitions.
-    # A page holds PAGE_ROWS readings at most; a slot with more has more pages.
     at = Window.partitionBy("group", "station_url_name", "slot").orderBy("ev")
     e = e.withColumn("page_no", F.floor((F.row_number().over(at) - 1) / F.lit(PAGE_ROWS)))
     pages = e.groupBy("group", "station_url_name", "slot", "page_no").agg(
@@ -197,7 +196,7 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
         F.col("station_url_name"),
         F.lit("/"),
         _map(GROUP_PAGE, F.col("group")),
-        F.lit(".aspx?hour="),
+        F.lit(".aspx?week="),
         F.col("slot"),
         F.when(F.col("page_no") > 0, F.concat(F.lit("&page="), F.col("page_no").cast("string"))).otherwise(""),
     )

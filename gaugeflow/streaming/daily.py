@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from gaugeflow.constants import HOURLY_COLUMNS
 from gaugeflow.plans.marts import touched_daily
-from gaugeflow.sinks.tables import folder_ids, overwrite_partitions, write_partitioned
+from gaugeflow.sinks.tables import folder_ids, overwrite_partitions, table_buckets, write_partitioned
 from gaugeflow.sources.tables import read_hourly
 from gaugeflow.streaming.common import run_available_now
 
@@ -24,7 +24,7 @@ def apply_batch(batch: DataFrame, hourly_path: str, daily_path: str, run: str, b
     """Store one micro-batch and refresh the daily folders it touches."""
     spark = batch.sparkSession
     own = f"{hourly_path}/run={run}/batch={batch_id}"
-    write_partitioned(batch.select(*HOURLY_COLUMNS), own, "overwrite")
+    write_partitioned(batch.select(*HOURLY_COLUMNS), own, "overwrite", table_buckets(spark, daily_path))
     folders = folder_ids(read_hourly(spark, own, keep_partitions=True))
     if folders:
         hourly = read_hourly(spark, hourly_path, keep_partitions=True)

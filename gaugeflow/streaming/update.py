@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gaugeflow.plans.update import update_hourly
 from gaugeflow.schemas import PAGES
-from gaugeflow.sinks.tables import append_hourly
+from gaugeflow.sinks.tables import Staging, append_hourly
 from gaugeflow.sources.tables import read_hourly
 from gaugeflow.streaming.common import new_checkpoint, run_available_now
 
@@ -31,10 +31,11 @@ def stream_update(spark: SparkSession, pages_dir: str, stations: DataFrame, hour
 
     def batch(pages: DataFrame, batch_id: int) -> None:
         stored = read_hourly(spark, hourly_path, keep_partitions=True)
-        result = update_hourly(pages, stations, stored, as_of, None, base_url)
-        append_hourly(result.new_rows.checkpoint(), hourly_path)
-        if report_path:
-            result.page_status.write.mode("overwrite").json(f"{report_path}/batch={batch_id}")
+        with Staging(spark) as stage:
+            result = update_hourly(pages, stations, stored, as_of, None, base_url, stage=stage)
+            append_hourly(stage(result.new_rows), hourly_path)
+            if report_path:
+                result.page_status.write.mode("overwrite").json(f"{report_path}/batch={batch_id}")
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint or new_checkpoint(spark, "update")).foreachBatch(batch)
     run_available_now(writer, "update")

@@ -8,6 +8,7 @@ from gaugeflow import standins as S
 from gaugeflow.operators.aggregate import daily_two_level
 from gaugeflow.plans.jobs import full_reset, refresh_and_backfill, run_marts, run_refresh, run_reset, run_update
 from gaugeflow.sinks.tables import folder_ids, overwrite_partitions, reset_tables, with_partitions
+from gaugeflow.session import checkpoint_root
 from gaugeflow.sources.tables import Warehouse, read_daily, read_hourly, read_station_metadata, read_stations
 
 SF = "/root/testdata/sf0.001"
@@ -178,6 +179,8 @@ def test_marts_follow_reset_and_update(spark, tmp_dir):
         got = read_daily(spark, wh.daily).withColumn("Value", F.round("Value", 6)).select(*cols, "Value")
         return want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0 and want.count() > 0
 
+    stage = f"{checkpoint_root(spark)}/gaugeflow-stage"
+    before = set(glob.glob(f"{stage}/*"))
     early = ev.where("ts < timestamp '2024-01-10'")
     run_reset(spark, wh, S.data_pages(early, cu), base_url=S.BASE_URL)
     assert same() and pending_folders(spark, wh, "daily") == [] != pending_folders(spark, wh, "recent")
@@ -191,5 +194,34 @@ def test_marts_follow_reset_and_update(spark, tmp_dir):
     some = S.stations(cu).first()["station_id"]
     run_reset(spark, wh, S.data_pages(ev, cu), base_url=S.BASE_URL, as_of=dt.date(2024, 1, 30), station=some)
     assert same()
+    assert set(glob.glob(f"{stage}/*")) == before  # every job deletes its staged copies
     for folder in glob.glob(f"{tmp_dir}/daily/month=*/sbucket=*"):
         assert len(glob.glob(f"{folder}/*.parquet")) <= 2
+
+
+def test_bucket_count_is_a_table_property(spark, tmp_dir):
+    """A warehouse created with other than the default buckets keeps them
+    through update, reset and rebuild, and its marts stay complete."""
+    import glob
+
+    from gaugeflow.sinks.tables import table_buckets
+
+    wh = Warehouse(f"{tmp_dir}/wh")
+    reset_tables(spark, wh, buckets=3)
+    stations_into(spark, wh)
+    t = tables(spark)
+    pages, as_of = S.data_pages(t["events"], t["customer"]), dt.date(2024, 1, 30)
+    run_update(spark, wh, pages, as_of, base_url=S.BASE_URL)
+    some = S.stations(t["customer"]).first()["station_id"]
+    run_reset(spark, wh, pages, base_url=S.BASE_URL, as_of=as_of, station=some)
+
+    def check():
+        for path in (wh.hourly, wh.daily, wh.hourly_recent):
+            assert table_buckets(spark, path) == 3
+            assert {f.rsplit("=", 1)[1] for f in glob.glob(f"{path}/month=*/sbucket=*")} == {"0", "1", "2"}
+        assert read_daily(spark, wh.daily).count() == daily_two_level(read_hourly(spark, wh.hourly)).count() > 0
+    check()
+    run_marts(spark, wh, as_of)
+    check()
+    reset_tables(spark, wh)
+    assert table_buckets(spark, wh.daily) == 3

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gaugeflow import standins as S
 from gaugeflow.operators.aggregate import daily_two_level
 from gaugeflow.operators.dedup import new_rows
+from gaugeflow.operators.links import all_links
 from gaugeflow.plans.normalize import normalize_pages
 from gaugeflow.schemas import HOURLY
 from gaugeflow.sinks.tables import append_hourly
@@ -58,3 +59,16 @@ def test_page_parse_does_not_shuffle_pages(spark, tmp_dir):
     for m in re.finditer(r"Exchange hashpartitioning\(([^)]*)\)", text):
         assert "station_url_name" in m.group(1)
     assert "SortMergeJoin" not in text
+
+
+def test_update_joins_pages_once_with_the_dimension(spark, tmp_dir):
+    cu = spark.read.parquet(f"{SF}/customer.parquet")
+    landed = f"{tmp_dir}/pages"
+    S.data_pages(spark.read.parquet(f"{SF}/events.parquet"), cu).write.parquet(landed)
+    pages = spark.read.parquet(landed)
+    parsed = normalize_pages(pages, S.stations(cu), wanted_only=True).rows
+    assert len(re.findall(r"\bBroadcastHashJoin\b|\bSortMergeJoin\b|\bShuffledHashJoin\b", plan(parsed))) == 1
+    # the same pages as a semi-join with the links, then the station lookup
+    links = all_links(S.stations(cu), S.BASE_URL).select("group", "station_url_name")
+    want = normalize_pages(pages.join(links, ["group", "station_url_name"], "left_semi"), S.stations(cu)).rows
+    assert parsed.exceptAll(want).count() == want.exceptAll(parsed).count() == 0 < parsed.count()
