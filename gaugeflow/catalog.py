@@ -165,7 +165,7 @@ def q_html_round_trip(spark, sf_dir):
 
 
 def q_page_outcome(spark, sf_dir):
-    """Per-page status when some cells are corrupt (pages rejected whole)."""
+    """Per-page status of pages with every kind of fault (pages rejected whole)."""
     pages, st = _pages(spark, sf_dir, corrupt=True)
     return normalize_pages(pages, st).status
 
@@ -789,14 +789,22 @@ FROM events e"""
     out["split_timestamp"] = """SELECT event_id, CAST(ts AS DATE) AS "Date", strftime(ts, '%H:%M:%S') AS "Time" FROM events"""
     out["site_date"] = """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE strftime(ts, '%Y/%m/%d %H:%M') END AS site_date FROM events"""
     out["html_round_trip"] = f"WITH {_page_events_cte()}\n" + _page_rows_select("pe", "c_acctbal >= 0")
-    out["page_outcome"] = f"""WITH {_page_events_cte()}
-SELECT grp AS "group", url_name AS station_url_name, {_page_url()} AS url,
-       CASE WHEN min(c_acctbal) < 0 THEN 'Error: link invalid'
-            WHEN bool_or(k = 0) THEN 'Error: could not convert string to float: ''#VALUE!'''
-            ELSE 'success' END AS status,
-       CAST(CASE WHEN min(c_acctbal) < 0 OR bool_or(k = 0) THEN 0
-            ELSE sum(CASE WHEN grp = 'Pressure' THEN 1 ELSE 2 END) END AS BIGINT) AS n_rows
-FROM pe GROUP BY grp, url_name, slot"""
+    out["page_outcome"] = f"""WITH {_page_events_cte()},
+pg AS (SELECT grp, slot, min(event_id) % {S.FAULTS} AS fault, min(c_acctbal) AS bal, coalesce(bool_or(k = 0), FALSE) AS bad,
+       count(*) AS n, CASE WHEN min(event_id) % {S.FAULTS} = 4 THEN url_name || 'x' ELSE url_name END AS u,
+       CASE WHEN grp = 'Pressure' THEN 2 ELSE 3 END AS w
+  FROM pe GROUP BY grp, url_name, slot),
+st AS (SELECT *, CASE WHEN bal < 0 THEN 'Error: link invalid'
+         WHEN fault = 1 THEN 'Error: No tables found'
+         WHEN fault = 2 THEN 'Error: Length mismatch: Expected axis has ' || CAST(w + 1 AS VARCHAR)
+              || ' elements, new values have 2 elements'
+         WHEN bad THEN 'Error: could not convert string to float: ''#VALUE!'''
+         WHEN fault = 3 THEN 'Error: Unknown datetime string format, unable to parse: no time'
+         WHEN fault = 4 THEN 'Error: single positional indexer is out-of-bounds'
+         ELSE 'success' END AS status FROM pg)
+SELECT grp AS "group", u AS station_url_name, {_page_url(url_name_col='u')} AS url, status,
+       CAST(CASE WHEN status <> 'success' THEN 0 WHEN fault = 5 THEN n ELSE n * (w - 1) END AS BIGINT) AS n_rows
+FROM st"""
     out["nav_links"] = f"WITH {_NAV_LINKS_CTE}\nSELECT * FROM links"
     out["url_name"] = (
         f"WITH {_NAV_LINKS_CTE}\nSELECT page_id, link_pos, "

@@ -129,7 +129,7 @@ def hourly(events: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
-PAGE_ROWS = 500
+PAGE_ROWS, FAULTS = 500, 12
 
 
 def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
@@ -138,7 +138,10 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
 
     One page per (group, station, week) holding one table row per event of
     that station and week whose parameter belongs to the group, PAGE_ROWS at
-    most; a week with more has more pages.
+    most; a week with more has more pages. With ``corrupt`` some cells hold no
+    number, and the page's smallest event id modulo FAULTS chooses a fault of
+    the page: 1 no table, 2 a column too many, 3 a row without a time, 4 an
+    unknown station, 5 (but for Pressure) the layout of one stream.
     """
     cust = customer.select(
         F.col("c_custkey").alias("user_id"),
@@ -169,7 +172,12 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
     pages = e.groupBy("group", "station_url_name", "slot", "page_no").agg(
         F.sort_array(F.collect_list("ev")).alias("rows"),
         F.min("c_acctbal").alias("c_acctbal"),
+        F.min("ev.event_id").alias("first_id"),
     )
+    fault = F.col("first_id") % F.lit(FAULTS) if corrupt else F.lit(0)
+    narrow = (fault == 5) & (F.col("group") != GROUP_PRESSURE)
+    pages = pages.withColumn("station_url_name", F.when(fault == 4, F.concat("station_url_name", F.lit("x")))
+                             .otherwise(F.col("station_url_name")))
 
     def row_html(r: Column) -> Column:
         p = _map(EVENT_PARAMETER, r["event_type"])
@@ -182,15 +190,19 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
             cell = F.when(k == 0, F.lit("#VALUE!")).otherwise(cell)
         td = F.concat(F.lit("<td>"), cell, F.lit("</td>"))
         empty = F.lit("<td></td>")
-        cells = F.when(width == 2, td).when(pos == 1, F.concat(td, empty)).otherwise(F.concat(empty, td))
-        return F.concat(F.lit("<tr><td>"), F.date_format(r["ts"], PAGE_TIME_FORMAT), F.lit("</td>"), cells, F.lit("</tr>"))
+        cells = F.when((width == 2) | narrow, td).when(pos == 1, F.concat(td, empty)).otherwise(F.concat(empty, td))
+        cells = F.concat(cells, F.when(fault == 2, empty).otherwise(F.lit("")))
+        time = F.when((fault == 3) & (r["event_id"] == F.col("first_id")), F.lit("no time")).otherwise(F.date_format(r["ts"], PAGE_TIME_FORMAT))
+        return F.concat(F.lit("<tr><td>"), time, F.lit("</td>"), cells, F.lit("</tr>"))
 
     html = F.concat(
         F.lit('<html><body><div id="content"><table class="' + DATA_TABLE_CLASS + '" cellspacing="0">'),
-        header,
+        F.when(narrow, F.lit("<tr><th>Time</th><th>Reading</th></tr>"))
+        .when(fault == 2, F.replace(header, F.lit("</tr>"), F.lit("<th>Other</th></tr>"))).otherwise(header),
         F.array_join(F.transform("rows", row_html), ""),
         F.lit("</table></div></body></html>"),
     )
+    html = F.when(fault == 1, F.lit("<html><body><p>No data</p></body></html>")).otherwise(html)
     url = F.concat(
         F.lit(base_url + CONTENT_PATH),
         F.col("station_url_name"),
