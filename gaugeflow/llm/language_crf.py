@@ -23,7 +23,7 @@ from gaugeflow.llm.common import uniform
 # documents at most, and one passage of at most this many characters of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 2048, 900
 BUCKETS, LEXICON = 1 << 17, 1 << 20
-EDGE = 12  # longer words are seen by their first and last EDGE characters
+PIECE = 24  # longer runs of letters go as pieces of at most this many
 SPAN, EPOCHS, BATCH, RATE, SEED = 24, 4, 128, 0.3, 5
 CHUNK = 64
 UNKNOWN = "und"
@@ -33,8 +33,18 @@ SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased."""
-    return WORDS.findall((text or "").lower())
+    """Runs of letters, lower-cased. A run of more than PIECE letters (scripts
+    without spaces) gives consecutive pieces of near equal length, as few as
+    that bound allows, so that it is seen whole and weighs by its length."""
+    words = WORDS.findall((text or "").lower())
+    if max(map(len, words), default=0) <= PIECE:
+        return words
+    out = []
+    for w in words:
+        n = -(-len(w) // PIECE)
+        cuts = [len(w) * i // n for i in range(n + 1)]
+        out.extend(w[a:b] for a, b in zip(cuts, cuts[1:]))
+    return out
 
 
 def held_out(doc_id: Column) -> Column:
@@ -43,11 +53,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _code_points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of the words between boundary marks (1), zero-padded; lengths."""
-    cut = [w if len(w) <= 2 * EDGE else w[:EDGE] + w[-EDGE:] for w in words]
-    x = np.array(cut, dtype=f"U{2 * EDGE}").view(np.uint32).reshape(len(words), 2 * EDGE).astype(np.uint64)
+    """Code points of the words (PIECE letters at most) between boundary marks
+    (1), zero-padded; lengths."""
+    x = np.array(words, dtype=f"U{PIECE}").view(np.uint32).reshape(len(words), PIECE).astype(np.uint64)
     n = (x > 0).sum(axis=1)
-    out = np.zeros((len(words), 2 * EDGE + 2), dtype=np.uint64)
+    out = np.zeros((len(words), PIECE + 2), dtype=np.uint64)
     out[:, 0] = 1
     out[:, 1:-1] = x
     out[np.arange(len(words)), n + 1] = 1

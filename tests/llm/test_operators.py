@@ -407,6 +407,21 @@ def test_language(spark, none):
     assert {r.lang_pred for r in language_crf.predict_language(df, empty).collect()} == {"und"}
 
 
+def test_long_runs_of_letters_are_seen_whole():
+    run = "".join(chr(0x4E00 + i * 7 % 900) for i in range(2000))
+    for text in (run, run[:25], "x" * 24, "ab " + run + ", cd"):
+        parts = language_crf.words_of(text)
+        assert "".join(parts) == re.sub(r"\W", "", text) and max(map(len, parts)) <= language_crf.PIECE
+    assert language_crf.words_of("x" * 24) == ["x" * 24] and len(language_crf.words_of(run)) == 84
+    rng = random.Random(14)
+    stock = {"en": "the of and tion ing with that was her on".split(), "zh": [chr(0x4E00 + i) for i in range(60)], "ja": [chr(0x3041 + i) for i in range(60)]}
+    line = {lang: lambda n, s=s, gap=" " * (lang == "en"): gap.join(rng.choices(s, k=n)) for lang, s in stock.items()}
+    predictor = language_crf.Predictor(language_crf.fit([(line[lang](150), lang) for _ in range(40) for lang in stock]))
+    middle = line["ja"](12) + line["zh"](2000) + line["ja"](12)  # the ends alone say ja
+    (few, few_score), (inner, _) = predictor.predict(["the and with " + line["zh"](2000), middle])
+    assert few == inner == "zh" and few_score > 0.9
+
+
 def test_ngram_join(docs, rows, none, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 6)
     sets = []
