@@ -227,8 +227,14 @@ def fit(rows: list[tuple[str, str]]) -> Crf:
 
 
 def document_shares(scores: np.ndarray, doc: np.ndarray, docs: int, trans: np.ndarray) -> np.ndarray:
-    """Mean label probabilities of each document. scores: [words, labels], the
-    documents' words in a row; doc: document of each word, ascending.
+    """Mean label probabilities of each document (see document_means)."""
+    return document_means(scores, doc, docs, trans)[0]
+
+
+def document_means(scores: np.ndarray, doc: np.ndarray, docs: int, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Means over each document's words: of the label probabilities, and of the
+    word's largest one. scores: [words, labels], the documents' words in a row;
+    doc: document of each word, ascending.
 
     Texts are cut into chunks of CHUNK words. The product of a chunk's
     transfer matrices carries the messages across it, so forward and backward
@@ -273,15 +279,18 @@ def document_shares(scores: np.ndarray, doc: np.ndarray, docs: int, trans: np.nd
         step /= step.sum(axis=1, keepdims=True)
         a = np.where(valid[:, t, None], step, a)
         fwd[t] = a
-    total, b = np.zeros((n, k)), leave
+    total, sure, b = np.zeros((n, k)), np.zeros(n), leave
     for t in range(CHUNK - 1, -1, -1):
         p = fwd[t] * b
-        total += np.where(valid[:, t, None], p / p.sum(axis=1, keepdims=True), 0)
+        p = np.where(valid[:, t, None], p / p.sum(axis=1, keepdims=True), 0)
+        total += p
+        sure += p.max(axis=1)
         back = (b * grid[:, t]) @ m.T
         back /= back.sum(axis=1, keepdims=True)
         b = np.where(valid[:, t, None], back, b)
     shares = np.stack([np.bincount(owner, total[:, c], docs) for c in range(k)], axis=1)
-    return shares / np.maximum(lengths, 1)[:, None]
+    words = np.maximum(lengths, 1)
+    return shares / words[:, None], np.bincount(owner, sure, docs) / words
 
 
 class Predictor:
@@ -304,17 +313,23 @@ class Predictor:
         return np.array([known[w] for ws in texts for w in ws], dtype=np.int64)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        return [(lang, score) for lang, score, _ in self.recognise(texts)]
+
+    def recognise(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+        """Language, its mean probability, and how surely the words are
+        recognised: the mean of each word's largest probability, whichever
+        languages the text mixes."""
         words = [words_of(t) for t in texts]
-        out = [(UNKNOWN, 0.0)] * len(texts)
+        out = [(UNKNOWN, 0.0, 0.0)] * len(texts)
         full = [i for i, ws in enumerate(words) if ws]
         if not full or not self.model.langs:
             return out
         ids = self._ids([words[i] for i in full])
         doc = np.repeat(np.arange(len(full)), [len(words[i]) for i in full])
-        shares = document_shares(self.scores[ids].astype(np.float64), doc, len(full), self.model.trans)
-        for i, row in zip(full, shares):
+        shares, sure = document_means(self.scores[ids].astype(np.float64), doc, len(full), self.model.trans)
+        for i, row, certainty in zip(full, shares, sure):
             best = int(row.argmax())
-            out[i] = self.model.langs[best], min(1.0, max(0.0, float(row[best])))
+            out[i] = self.model.langs[best], min(1.0, max(0.0, float(row[best]))), float(certainty)
         return out
 
 
@@ -356,14 +371,18 @@ def predict_language(docs: DataFrame, model: Crf) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Crf, min_score: float = 0.35) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose language is
-    recognised: not ``und`` and with ``min_score`` at least."""
+    """The rows of ``docs``, all columns as they are, whose words' languages
+    are recognised: not ``und`` and a mean of the words' largest probabilities
+    of ``min_score`` at least, so mixed texts stay. Every row where no language
+    was learned."""
+    if not model.langs:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def run(batches):
         predictor = Predictor(shared.value)
         for batch in batches:
-            keep = [lang != UNKNOWN and score >= min_score for lang, score in predictor.predict(batch.column(at).to_pylist())]
+            keep = [lang != UNKNOWN and sure >= min_score for lang, _, sure in predictor.recognise(batch.column(at).to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

@@ -422,6 +422,27 @@ def test_long_runs_of_letters_are_seen_whole():
     assert few == inner == "zh" and few_score > 0.9
 
 
+def test_mixed_texts_are_kept(spark, none, docs):
+    prepare(spark)
+    rng = random.Random(15)
+    stock = {"en": "the of and tion ing with that was her on".split(), "de": "der und ung keit die schen nicht ein über zu".split(),
+             "fr": "les des une que pour dans est qui avec sur".split()}
+
+    def text(lang, n):
+        return " ".join("".join(rng.choices(stock[lang], k=rng.randint(1, 3))) for _ in range(n))
+
+    model = language_crf.fit([(text(lang, 100), lang) for _ in range(60) for lang in stock])
+    mixed = [" ".join(text(lang, 30) for lang in rng.sample(sorted(stock), 3)) for _ in range(40)]
+    scores = [score for _, score in language_crf.Predictor(model).predict(mixed)]
+    assert min(scores) < 0.35  # no language has a clear share
+    data = [(i, t, None, None, None) for i, t in enumerate([*mixed, text("en", 40), "12 ...", "", None])]
+    kept = language_crf.keep_known(spark.createDataFrame(data, DOC), model).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(41))
+    everything = language_crf.keep_known(docs, language_crf.train(docs.withColumn("lang", F.lit(None).cast("string"))))
+    assert everything.columns == docs.columns and everything.count() == docs.count()
+    assert language_crf.keep_known(none, model).count() == 0
+
+
 def test_ngram_join(docs, rows, none, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 6)
     sets = []
