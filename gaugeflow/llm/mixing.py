@@ -2,9 +2,10 @@
 
 Every source's words, documents in a fixed pseudorandom order, are packed into
 blocks of ``block_words`` words. The mix is a row of output shards with
-``shard_blocks`` slots each. Per shard the multinomial counts of the sources
-are drawn with their integer expectations dealt first and the remaining slots
-drawn at random (same means, less noise). The j-th slot of a source is mapped
+``shard_blocks`` slots each. Per shard the counts of the sources are drawn with
+the means of a multinomial draw: a source's expectation, summed over the shards,
+is rounded with one random offset per source, so that its total is within one
+block of its target. The j-th slot of a source is mapped
 through that source's index permutation (one per pass over the source) to a
 block, and blocks and slots meet in a join on the block index.
 """
@@ -79,36 +80,37 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget: float = 1.5,
             .select("source", "source_size", "rank", "weight", "target"))
 
 
-def _shard_counts(sources: DataFrame, shard_blocks: int) -> DataFrame:
-    """(rank, shard, count): slots of each source in each output shard."""
-    everything, in_order = Window.partitionBy(), Window.orderBy("rank")
+def _shard_counts(sources: DataFrame, shard_blocks: int, epochs: float) -> DataFrame:
+    """(rank, shard, blocks, before, count, position): the turns of each source
+    dealt with each output shard. ``before`` of its turns come earlier, and
+    ``position`` is the place of the first one in the mix, sources in rank order.
+
+    The expectation up to a shard, plus an offset in [0, 1) of the source,
+    rounded down, is the number of turns up to it: counts have the mean of a
+    draw by the sources' shares, and any running sum is within one of its own.
+    What shards have too many or too few of goes over to or comes from the next
+    one by position, so all but the last one are full.
+    """
     df = (sources.filter("source_size > 0")
-          .withColumn("__want", F.col("target") * F.col("blocks") / F.col("source_size"))
-          .withColumn("__sum", F.sum("__want").over(everything))
-          .withColumn("__slots", F.ceil("__sum").cast("long"))
-          .withColumn("__last", F.floor((F.col("__slots") - 1) / F.lit(shard_blocks)).cast("long"))
-          .withColumn("__kind", F.explode(F.array(F.lit(0), F.lit(1)))))  # full shards, the last one
-    kind, kind_order = Window.partitionBy("__kind"), Window.partitionBy("__kind").orderBy("rank")
-    size = F.when(F.col("__kind") == 0, F.lit(shard_blocks)).otherwise(
-        F.col("__slots") - F.col("__last") * F.lit(shard_blocks))
-    df = (df.withColumn("__size", size)
-          .withColumn("__mean", F.col("__size") * F.col("__want") / F.col("__sum"))
-          .withColumn("__base", F.floor("__mean").cast("long"))
-          .withColumn("__part", F.col("__mean") - F.col("__base"))
-          .withColumn("__draws", (F.col("__size") - F.sum("__base").over(kind)).cast("int"))
-          .withColumn("__parts", F.sum("__part").over(kind))
-          .withColumn("__hi", F.when(F.row_number().over(kind_order) == F.count("*").over(kind), F.lit(2.0))
-                      .otherwise(F.sum("__part").over(kind_order) / F.col("__parts")))
-          .withColumn("__lo", F.coalesce(F.lag("__hi").over(kind_order), F.lit(0.0))))
-    df = df.withColumn("shard", F.explode(
-        F.when(F.col("__kind") == 1, F.array("__last"))
-        .when(F.col("__last") > 0, F.sequence(F.lit(0).cast("long"), F.col("__last") - 1))
-        .otherwise(F.array().cast("array<bigint>"))))
-    drawn = F.when(F.col("__draws") > 0, F.size(F.filter(
-        F.sequence(F.lit(1), F.greatest(F.col("__draws"), F.lit(1))),
-        lambda i: (uniform(F.lit(SEED), F.col("shard"), i) >= F.col("__lo"))
-        & (uniform(F.lit(SEED), F.col("shard"), i) < F.col("__hi"))))).otherwise(F.lit(0))
-    return df.select("rank", "shard", "blocks", (F.col("__base") + drawn).cast("long").alias("count"))
+          .withColumn("__want", F.least(F.col("target") * F.col("blocks") / F.col("source_size"),
+                                        F.col("blocks") * F.lit(float(epochs))))
+          .withColumn("__offset", uniform(F.lit(SEED), F.col("rank")))
+          .withColumn("__sum", F.sum("__want").over(Window.partitionBy()))
+          .withColumn("__last", F.greatest(F.ceil(F.col("__sum") / F.lit(shard_blocks)), F.lit(1)).cast("long") - 1)
+          .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), "__last"))))
+
+    def up_to(shards):
+        share = F.when(shards > F.col("__last"), F.lit(1.0)).otherwise(shards * F.lit(float(shard_blocks)) / F.col("__sum"))
+        turns = F.floor(F.col("__want") * share + F.col("__offset")).cast("long")
+        # the last turn of the cap by rounding of doubles only
+        return F.least(turns, F.floor(F.col("blocks") * F.lit(float(epochs))).cast("long"))
+
+    shard, in_order = Window.partitionBy("shard"), Window.partitionBy("shard").orderBy("rank")
+    return (df.withColumn("before", up_to(F.col("shard")))
+            .withColumn("count", up_to(F.col("shard") + 1) - F.col("before"))
+            .withColumn("position", F.sum("before").over(shard) - F.col("count")
+                        + F.sum("count").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+            .select("rank", "shard", "blocks", "before", "count", "position"))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, budget: float = 1.5, epochs: int = 2,
@@ -142,10 +144,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = 1.5, epochs: int = 2,
     blocks = (placed.filter("size > 0").repartition(parts, "rank", "offset").withColumn("block", F.explode(F.sequence(first, last)))
               .withColumn("words", F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * width)
                           - F.greatest(F.col("offset"), F.col("block") * width)))
-    counts = exclusive_sums(_shard_counts(sources, shard_blocks), ["rank"], "shard", "count", "before")
-    slots = (counts.filter("count > 0").repartition(parts, "rank", "shard")
+    slots = (_shard_counts(sources, shard_blocks, epochs).filter("count > 0").repartition(parts, "rank", "shard")
              .withColumn("turn", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("count") - 1)))
-             .filter(F.col("turn") < F.col("blocks") * F.lit(epochs))  # a source is passed over `epochs` times at most
+             .withColumn("shard", F.floor((F.col("position") + F.col("turn") - F.col("before")) / F.lit(shard_blocks)).cast("long"))
              .withColumn("epoch", F.floor(F.col("turn") / F.col("blocks")).cast("long")))
     block = permuted(F.pmod("turn", "blocks"), F.col("blocks"), F.lit(SEED), F.col("rank"), F.col("epoch"))
     slots = slots.select("shard", "rank", "epoch", "turn", block.alias("block"))

@@ -152,6 +152,28 @@ def test_mix(docs, rows, none, spark):
     assert max(v for k, v in count.items() if k not in (rows[0][0], None)) <= 6 and not mixing.mixed_documents(none).count()
 
 
+def test_mix_keeps_small_sources_near_their_targets(spark):
+    # 40 small sources, of 40 to 79 words in a mix of 60 shards, all but one at their cap of two passes
+    data = [(s * 1000 + i, "w " * (10 + (s + 3 * i) % 10), f"s{s:02}") for s in range(40) for i in range(4)]
+    data += [(100_000 + i, "w " * 100, "z") for i in range(400)]
+    plan = mixing.mix(spark.createDataFrame(data, "doc_id long, text string, source string"), block_words=8, shard_blocks=120)
+    source = {i: s for i, _, s in data}
+    taken, target = Counter(), {}
+    for r in mixing.taken_words(plan).collect():
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+        assert r.taken <= 2 * r.size
+    assert all(abs(taken[s] - t) <= 8 for s, t in target.items())
+    slots = [(r.shard, r.rank, r.turn) for r in plan.slots.collect()]
+    sizes = Counter(s for s, _, _ in slots)
+    assert len(sizes) > 50 and sorted(sizes) == list(range(len(sizes)))
+    assert all(n == 120 for s, n in sizes.items() if s < len(sizes) - 1) and sizes[len(sizes) - 1] <= 120
+    turns = defaultdict(list)
+    for _, rank, turn in sorted(slots):
+        turns[rank].append(turn)
+    assert all(t == list(range(len(t))) for t in turns.values())
+
+
 def test_permutation_is_a_bijection(spark):
     for n in (1, 2, 7, 100):
         df = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(3)).alias("x"))
