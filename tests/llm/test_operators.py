@@ -335,6 +335,39 @@ def test_url_rules(spark):
     assert {r.verdict for r in url_rules.judge(df, labels.limit(0)).filter("rule is null").collect()} == {"allow"}
 
 
+def test_rules_need_ten_bad_pages_at_any_size(spark):
+    rng = random.Random(16)
+    urls = [f"https://h{i % 900}.net/{rng.choice('abc')}/{i}?page={i}" for i in range(4000)]
+    urls += [f"https://w{i}.spam.net/x" for i in range(12)] + [f"https://h{i}.net/a?cat=pills&page={i}" for i in range(12)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i < 4000), None) for i in range(4012)] + [(4012 + i, 0, None) for i in range(11)],
+                                   "doc_id long, quality int, toxic int")
+    got = url_rules.judge(df, labels).collect()
+    assert sorted(r.page_id for r in got if r.verdict == "block") == list(range(4000, 4024))
+
+
+def test_rules_with_tokens_of_the_same_pages(spark):
+    rng = random.Random(17)
+    tokens = []
+    for i in range(600):
+        t = rng.sample(["t%d" % k for k in range(5)], 3) + ["all"]
+        tokens.append((i, t + [x + "'" for x in t if x in ("t1", "t2")] + (["sure"] if i < 15 else [])))
+    bad = {i for i, t in tokens if i < 15 or ({"t1", "t3"} <= set(t) and rng.random() < 0.8) or rng.random() < 0.2}
+    got = url_rules.mine_rules(spark.createDataFrame(tokens, "page_id long, items array<string>"), spark.createDataFrame(
+        [(i, 1, int(i in bad)) for i, _ in tokens], "doc_id long, quality int, toxic int")).collect()
+    every = Counter()
+    for i, t in tokens:
+        for m in range(1, 1 << len(t)):
+            key = tuple(sorted(x for k, x in enumerate(t) if m >> k & 1))
+            every[key, 0] += 1
+            every[key, 1] += i in bad
+    strong = {k: every[k, 1] / v for (k, b), v in every.items() if not b and every[k, 1] >= 10 and every[k, 1] / v >= 0.5}
+    want = {k: c for k, c in strong.items()
+            if not any(strong.get(tuple(x for x in k if x != out), 0) >= c for out in k if len(k) > 1)}
+    assert {tuple(r["items"]): r.confidence for r in got} == pytest.approx(want) and len(got) == len(want)
+    assert ("sure",) in want and ("t1'", "t3") in want
+
+
 def test_rules_match_as_brute_force(spark):
     rng = random.Random(10)
     tokens = [(i, rng.sample(["t%d" % k for k in range(6)], 3)) for i in range(400)]
