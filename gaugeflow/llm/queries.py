@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import (decontam, fingerprints, language_crf, mixing, ngram_join, sharding, suffix_dedup,
-                           token_cache, url_rules, warc)
+from gaugeflow.llm import (bloom_lm, decontam, fingerprints, language_crf, mixing, ngram_join, sharding, suffix_dedup,
+                           token_cache, url_rules, warc, whitening, word_runs)
 from gaugeflow.llm.common import prepare, table
 from gaugeflow.session import staging_path
 
@@ -71,9 +71,24 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document and its text without repeats."""
+    return word_runs.run_report(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components 1 to 32 of every embedding."""
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document by a Bloom-filter bigram model."""
+    return bloom_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 _QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_mix_sources, op3_fingerprints, op4_warc, op5_decontaminate, op6_url_rules,
-    op7_token_counts, op8_language, op9_ngram_join, op10_shards)}
+    op7_token_counts, op8_language, op9_ngram_join, op10_shards, op11_word_runs, op12_whitening, op13_lm_score)}
 
 # Token counts need the tokenizer, the other queries hashes, models or searches
 # that SQL on whole tables cannot express in reasonable time.
