@@ -385,21 +385,20 @@ def q_reset_manifest(spark, sf_dir):
     return reset_manifest(all_links(S.stations(_t(spark, sf_dir, "customer")), S.BASE_URL))
 
 
-def _landed_hourly(spark, sf_dir, name, bounds):
-    """Event rows as hourly Parquet files, one per span of days, in the given
-    order (the stream reads them one a batch, so earlier spans come late)."""
-    hourly = S.hourly(spark.read.parquet(f"{sf_dir}/events.parquet"), spark.read.parquet(f"{sf_dir}/customer.parquet"))
+def _landed_hourly(spark, sf_dir, name, spans):
+    """Event rows, some without a date, as hourly Parquet files landed span by
+    span (the stream reads them in that order, so earlier days come late)."""
+    rows = S.undated_hourly(spark.read.parquet(f"{sf_dir}/events.parquet"), spark.read.parquet(f"{sf_dir}/customer.parquet"))
     src = staging_path(spark, name)
-    for low, high in bounds:
-        part = hourly.where((F.col("Date") >= F.lit(low).cast("date")) & (F.col("Date") < F.lit(high).cast("date")))
-        part.coalesce(1).write.mode("append").parquet(src)
+    for span in spans:
+        rows.where(span).write.mode("append").parquet(src)
     return src
 
 
-def _hourly_stream(spark, src):
+def _hourly_stream(spark, src, files):
     from gaugeflow.schemas import HOURLY
 
-    return spark.readStream.schema(HOURLY).option("maxFilesPerTrigger", 1).parquet(src)
+    return spark.readStream.schema(HOURLY).option("maxFilesPerTrigger", files).parquet(src)
 
 
 def _stream_daily_events(spark, sf_dir):
@@ -408,16 +407,16 @@ def _stream_daily_events(spark, sf_dir):
     from gaugeflow.streaming.daily import stream_daily
 
     path = staging_path(spark, "stream-daily")
-    late = [("2024-01-20", "2100-01-01"), ("2024-01-12", "2024-01-20")]
-    later = [("2024-01-05", "2024-01-12"), ("1900-01-01", "2024-01-05")]
-    for bounds in (late, later):  # the second run resumes under a new checkpoint
-        stream = _hourly_stream(spark, _landed_hourly(spark, sf_dir, "hourly-landed", bounds))
+    late = ["Date >= '2024-01-20'", "Date >= '2024-01-12' AND Date < '2024-01-20'"]
+    later = ["Date IS NULL", "Date < '2024-01-12'"]
+    for spans in (late, later):  # the second run resumes under a new checkpoint
+        stream = _hourly_stream(spark, _landed_hourly(spark, sf_dir, "hourly-landed", spans), 4)
         stream_daily(stream, path, new_checkpoint(spark, "stream-daily"))
     return read_daily(spark, path)
 
 
 def q_stream_daily(spark, sf_dir):
-    """Events streamed as hourly rows into the streaming daily mart."""
+    """Events streamed as hourly rows, late and undated ones too, into the streaming daily mart."""
     return _round_value(_stream_daily_events(spark, sf_dir))
 
 
@@ -439,18 +438,40 @@ def q_stream_update(spark, sf_dir):
 
 
 def q_stream_dedup(spark, sf_dir):
-    """Overlapping, late spans of event rows streamed into a table without repeats."""
+    """Overlapping, late and undated spans of event rows streamed into a table without repeats."""
     from gaugeflow.sources.tables import read_hourly
     from gaugeflow.streaming.common import new_checkpoint
     from gaugeflow.streaming.dedup import stream_dedup
 
-    bounds = [("2024-01-15", "2100-01-01"), ("1900-01-01", "2024-01-18"), ("2024-01-10", "2024-01-20")]
+    spans = ["Date >= '2024-01-15' OR Date IS NULL", "Date < '2024-01-18' OR Date IS NULL",
+             "Date >= '2024-01-10' AND Date < '2024-01-20'"]
     path = staging_path(spark, "stream-dedup")
-    stream_dedup(_hourly_stream(spark, _landed_hourly(spark, sf_dir, "hourly-landed", bounds)), path,
+    stream_dedup(_hourly_stream(spark, _landed_hourly(spark, sf_dir, "hourly-landed", spans), 4), path,
                  new_checkpoint(spark, "stream-dedup"))
     return read_hourly(spark, path)
 
 
+def q_stream_status(spark, sf_dir):
+    """Status per link of pages that came in four batches, the stream restarted between them."""
+    from gaugeflow.streaming.common import new_checkpoint
+    from gaugeflow.streaming.update import stream_status, stream_update
+
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cu = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    landed = staging_path(spark, "pages")
+    S.data_pages(ev.where(F.col("ts") >= F.lit(OVERLAP_TS).cast("timestamp_ntz")), cu).write.parquet(landed)
+    pages = spark.read.parquet(landed)
+    part = F.pmod(F.xxhash64("url"), F.lit(4))  # a link's weekly pages fall into several parts
+    pages_dir, report = staging_path(spark, "landed-pages"), staging_path(spark, "stream-report")
+    stations, hourly_path, checkpoint = S.stations(cu), staging_path(spark, "stream-hourly"), new_checkpoint(spark, "status")
+    for first in (0, 2):
+        for i in (first, first + 1):
+            pages.where(part == i).repartition(1).write.mode("append").parquet(pages_dir)
+        stream_update(spark, pages_dir, stations, hourly_path, AS_OF, base_url=S.BASE_URL, checkpoint=checkpoint,
+                      report_path=report)
+    return stream_status(spark, stations, report, S.BASE_URL)
+
+
 def _job_inputs(spark, sf_dir):
     """A new warehouse holding the stations, and the landed pages."""
     from gaugeflow.sinks.tables import replace_table, reset_tables
@@ -476,6 +497,39 @@ def q_marts_after_reset(spark, sf_dir):
     return _round_value(read_daily(spark, wh.daily))
 
 
+def q_marts_after_failed_swap(spark, sf_dir):
+    """The daily mart when a reset stopped while folders moved and the next run came upon its journal."""
+    from gaugeflow.plans.jobs import refresh_marts, run_reset
+    from gaugeflow.sources.tables import read_daily
+
+    wh, pages = _job_inputs(spark, sf_dir)
+    run_reset(spark, wh, pages.where(F.col("group") == "Pressure"), S.BASE_URL)
+    try:
+        run_reset(spark, wh, pages, S.BASE_URL, mover=S.StopsAfter(5))
+    except OSError:
+        pass  # here the first run stops, some folders moved
+    refresh_marts(spark, wh)
+    return _round_value(read_daily(spark, wh.daily))
+
+
+def q_marts_after_full_reset(spark, sf_dir):
+    """The rebuilt daily and recent marts, side by side, after a full reset over a live warehouse."""
+    from gaugeflow.plans.jobs import full_reset, run_update
+    from gaugeflow.sources.tables import read_daily, read_hourly
+
+    wh, pages = _job_inputs(spark, sf_dir)
+    cu = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    run_update(spark, wh, pages.where(F.col("group") == "Pressure"), AS_OF, base_url=S.BASE_URL)  # what was there before
+    full_reset(spark, wh, S.nav_pages(orders, cu), S.series_ranges(orders, cu), pages, RECENT_AS_OF, S.BASE_URL, buckets=7)
+    daily_rows = _round_value(read_daily(spark, wh.daily)).select(
+        F.lit("daily").alias("mart"), "STATION_NUMBER", "STATION_NAME", "Date", "Parameter", "Value",
+        F.col("numObservations").alias("n"))
+    recent_rows = read_hourly(spark, wh.hourly_recent).groupBy("STATION_NUMBER", "STATION_NAME", "Date", "Parameter").agg(
+        F.round(F.avg("Value"), 6).alias("Value"), F.count("*").alias("n"))
+    return daily_rows.unionByName(recent_rows.select(F.lit("recent").alias("mart"), "*"))
+
+
 def q_marts_after_retry(spark, sf_dir):
     """The daily mart when an update stopped after its append and was run again."""
     from gaugeflow.plans.jobs import run_update
@@ -595,7 +649,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_daily": q_stream_daily,
         "stream_update": q_stream_update,
         "stream_dedup": q_stream_dedup,
+        "stream_status": q_stream_status,
         "marts_after_reset": q_marts_after_reset,
+        "marts_after_failed_swap": q_marts_after_failed_swap,
+        "marts_after_full_reset": q_marts_after_full_reset,
         "marts_after_retry": q_marts_after_retry,
         "marts_rebuilt": q_marts_rebuilt,
         "select_station": q_select_station,
@@ -897,13 +954,28 @@ LEFT JOIN rng r ON r.url_name = s.url_name"""
         f"WITH {_STATIONS_CTE},\nlk AS ({all_links_sql})\n"
         "SELECT *, CASE WHEN station_url_name = 'Leiner' THEN 'Oct 09, 2018 11:01' ELSE 'Jan 01, 2000 00:00' END AS start_text FROM lk"
     )
-    out["stream_daily"] = out["daily"]
+    undated = f"""hourly AS (SELECT * FROM ({_hourly_select(f"e.event_id % {S.UNDATED} <> 0")})
+  UNION ALL SELECT * REPLACE (CAST(NULL AS DATE) AS "Date", CAST(NULL AS VARCHAR) AS "Time")
+  FROM ({_hourly_select(f"e.event_id % {S.UNDATED} = 0")}))"""
+    out["stream_daily"] = f"WITH {undated}\n" + _DAILY_SELECT.format(src="hourly")
+    out["stream_status"] = out["update_status"]
     out["stream_update"] = f"""WITH {_page_events_cte()}
 """ + _page_rows_select("pe", f"c_acctbal >= 0 AND {flag}")
-    out["stream_dedup"] = f"WITH {_hourly_cte()}\nSELECT DISTINCT * FROM hourly"
+    out["stream_dedup"] = f"WITH {undated}\nSELECT DISTINCT * FROM hourly"
     job_daily = f"WITH hourly AS ({out['stream_update']})\n" + _DAILY_SELECT.format(src="hourly")
     out["marts_after_reset"] = job_daily
     out["marts_after_retry"] = job_daily
+    out["marts_after_failed_swap"] = job_daily
+    served = "CASE pe.grp WHEN 'Hydrometric' THEN s.staff_gauge WHEN 'Pressure' THEN s.barometric_pressure ELSE s.water_temperature END"
+    out["marts_after_full_reset"] = f"""WITH {_NAV_CTE}, {_page_events_cte()},
+su AS (SELECT *, nullif(regexp_extract(site_info, '20Pages/({_W}+)', 1), '') AS url_name FROM served),
+pj AS (SELECT pe.* FROM pe JOIN su s ON s.url_name = pe.url_name WHERE c_acctbal >= 0 AND {served} IS NOT NULL),
+hourly AS (SELECT * REPLACE ({_station_id_sql('"STATION_NAME"')} AS "STATION_NUMBER") FROM ({_page_rows_select("pj")}))
+SELECT 'daily' AS mart, "STATION_NUMBER", "STATION_NAME", "Date", "Parameter", "Value", "numObservations" AS n
+FROM ({_DAILY_SELECT.format(src="hourly")})
+UNION ALL
+SELECT 'recent', "STATION_NUMBER", "STATION_NAME", "Date", "Parameter", round(avg("Value"), 6), count(*)
+FROM hourly WHERE "Date" >= DATE '{recent_from}' GROUP BY ALL"""
     out["marts_rebuilt"] = out["recent"]
     out["select_station"] = f"""WITH {_STATIONS_CTE}
 SELECT station_id, station_name FROM stations WHERE regexp_matches(station_id, '^P_1[0-9]*5$')"""

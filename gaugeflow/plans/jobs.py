@@ -2,12 +2,14 @@
 
 Each job reads its inputs, computes one plan and writes its outputs. Reads
 of a table that the same job rewrites go through a staged copy in the
-shared checkpoint folder (``spark.checkpoint.dir``).
+shared checkpoint folder (``spark.checkpoint.dir``). Every job first completes
+the folder swaps that a failed one left.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from gaugeflow.plans.reset import reset_stations
 from gaugeflow.plans.stations import refresh_stations
 from gaugeflow.plans.update import update_hourly
 from gaugeflow.operators.replace import replace_rows
+from gaugeflow.sinks.swap import commit_swap, file_system, finish_swaps, new_swap
 from gaugeflow.sinks.tables import (
     Staging,
     append_hourly,
@@ -31,11 +34,11 @@ from gaugeflow.sinks.tables import (
     mark_pending,
     overwrite_partitions,
     pending_folders,
+    replace_partitioned,
     replace_table,
     reset_tables,
     table_buckets,
     with_partitions,
-    write_partitioned,
     write_report,
     write_station_csv,
 )
@@ -45,6 +48,7 @@ from gaugeflow.sources.tables import Warehouse, read_hourly, read_station_metada
 def run_update(spark: SparkSession, wh: Warehouse, pages: DataFrame, as_of, days: int = LOOKBACK_DAYS,
                base_url: str = "", recent_days: int = RECENT_DAYS) -> DataFrame:
     """C2 + K1 + K7, then the changed parts of the daily and recent marts."""
+    finish_swaps(spark, *wh.tables)
     stations = read_station_metadata(spark, wh.station_metadata)
     stored = read_hourly(spark, wh.hourly, as_of, days)
     with Staging(spark) as stage:
@@ -63,6 +67,7 @@ def refresh_marts(spark: SparkSession, wh: Warehouse, as_of=None, recent_days: i
     """Refresh the marts for all recorded folders, those of failed runs
     included. Without ``as_of`` the recent mart's folders stay recorded for the
     next run that names one."""
+    finish_swaps(spark, *wh.tables)
     refresh_daily(spark, wh, pending_folders(spark, wh, "daily"))
     clear_pending(spark, wh, "daily")
     if as_of is not None:
@@ -81,12 +86,13 @@ def refresh_daily(spark: SparkSession, wh: Warehouse, folders: list[tuple[str, i
 def run_marts(spark: SparkSession, wh: Warehouse, as_of, days: int = RECENT_DAYS) -> None:
     """C5 + K5: rebuild daily and hourly_recent from the whole hourly table
     (the from-scratch path; updates maintain both incrementally)."""
+    finish_swaps(spark, *wh.tables)
     hourly = read_hourly(spark, wh.hourly)
     marts = build_marts(hourly, as_of, days)
     buckets = table_buckets(spark, wh.hourly)
-    write_partitioned(marts.daily, wh.daily, "overwrite", buckets)
+    replace_partitioned(marts.daily, wh.daily, buckets)
     clear_pending(spark, wh, "daily")
-    write_partitioned(marts.hourly_recent, wh.hourly_recent, "overwrite", buckets)
+    replace_partitioned(marts.hourly_recent, wh.hourly_recent, buckets)
     clear_pending(spark, wh, "recent")
 
 
@@ -112,11 +118,14 @@ def refresh_recent(spark: SparkSession, wh: Warehouse, as_of, folders: list[tupl
 
 
 def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: str = "", as_of=None,
-              station: str | None = None, regex: bool = False, recent_days: int = RECENT_DAYS) -> DataFrame:
+              station: str | None = None, regex: bool = False, recent_days: int = RECENT_DAYS,
+              mover: Callable | None = None) -> DataFrame:
     """C3 + K4: replace station archives, rewriting only touched folders, and
     refresh their marts. ``station`` limits the job to one id (with ``regex``
     to ids that match at their start). Returns the replaced (station,
-    parameter) pairs' rows as stored."""
+    parameter) pairs' rows as stored. ``mover``: how folders are moved
+    (:func:`gaugeflow.sinks.swap.move`)."""
+    finish_swaps(spark, *wh.tables)
     stations = read_station_metadata(spark, wh.station_metadata)
     if station is not None:
         stations = select_station(stations, station, regex)
@@ -135,7 +144,7 @@ def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: st
         folders = sorted(set(new_folders) | set(folder_ids(old)))
         scoped = current.where(in_folders(folders)).drop("month", "sbucket")
         mark_pending(spark, wh, folders)
-        overwrite_partitions(replace_rows(scoped, new), wh.hourly, folders, buckets)
+        overwrite_partitions(replace_rows(scoped, new), wh.hourly, folders, buckets, mover=mover)
         write_report(result.status, wh.report, dt.datetime.now().isoformat(), "reset")
     refresh_marts(spark, wh, as_of, recent_days)
     return (read_hourly(spark, wh.hourly).join(keys, ["STATION_NUMBER", "Parameter"], "left_semi")
@@ -145,11 +154,12 @@ def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: st
 def run_refresh(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_ranges: DataFrame,
                 base_url: str = "") -> DataFrame:
     """C4 + K2 + K6: rebuild the station dimension; returns the new ids."""
+    finish_swaps(spark, *wh.tables)
     current = read_station_metadata(spark, wh.station_metadata)
     result = refresh_stations(nav_pages, series_ranges, current, base_url)
     stations = result.stations.checkpoint()
     new_ids = result.new_ids.join(stations.select("station_id"), "station_id").checkpoint()
-    replace_table(stations, wh.station_metadata, stage=False)
+    replace_table(stations, wh.station_metadata)
     write_station_csv(stations, wh.station_csv)
     return new_ids
 
@@ -182,13 +192,32 @@ def run_manifest(spark: SparkSession, wh: Warehouse, path: str, as_of, days: int
 
 
 def full_reset(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_ranges: DataFrame,
-               archive_pages: DataFrame, as_of, base_url: str = "", buckets: int | None = None) -> None:
-    """Empty all tables (with ``buckets`` station buckets, by default as
-    many as before), rebuild stations, load every archive, build marts."""
-    reset_tables(spark, wh, buckets)
-    run_refresh(spark, wh, nav_pages, series_ranges, base_url)
-    run_reset(spark, wh, archive_pages, base_url)
-    run_marts(spark, wh, as_of)
+               archive_pages: DataFrame, as_of, base_url: str = "", buckets: int | None = None,
+               mover: Callable | None = None) -> None:
+    """All tables built anew (with ``buckets`` station buckets, by default as
+    many as before): stations, every archive, marts.
+
+    They are built in a second root beside the live one, which stays as it is
+    until all of them are whole; then one journalled swap replaces every table,
+    the bucket markers and the report."""
+    finish_swaps(spark, *wh.tables)
+    swap = new_swap(wh.root)
+    beside = Warehouse(f"{swap}/new")
+    reset_tables(spark, beside, buckets or table_buckets(spark, wh.hourly))
+    run_refresh(spark, beside, nav_pages, series_ranges, base_url)
+    run_reset(spark, beside, archive_pages, base_url)
+    run_marts(spark, beside, as_of)
+    fs, hadoop = file_system(spark, wh.root)
+
+    def names(root: str) -> set[str]:
+        if not fs.exists(hadoop(root)):
+            return set()
+        return {s.getPath().getName() for s in fs.listStatus(hadoop(root))}
+
+    new = {n for n in names(beside.root) if not n.startswith(".")}  # no checksum files: they move with theirs
+    tables = {wh.hourly, wh.daily, wh.hourly_recent}
+    stale = {n for n in names(wh.root) if n == "pending" or any(n.startswith(f"{t.rsplit('/', 1)[1]}.buckets-") for t in tables)}
+    commit_swap(spark, swap, wh.root, {n: False for n in stale - new} | {n: True for n in new}, mover)
 
 
 __all__ = ["run_update", "run_marts", "run_reset", "run_refresh", "run_chain", "run_manifest", "refresh_and_backfill", "full_reset",

@@ -13,6 +13,7 @@ from gaugeflow.operators.dedup import new_rows as anti_new_rows
 from gaugeflow.operators.filters import lookback
 from gaugeflow.operators.links import all_links
 from gaugeflow.plans.normalize import normalize_pages
+from gaugeflow.sources.tables import month_key
 
 
 @dataclass
@@ -22,23 +23,33 @@ class UpdateResult:
     page_status: DataFrame
 
 
-def link_outcome(links: DataFrame, page_status: DataFrame) -> DataFrame:
-    """(group, station_url_name, status) per link: 'success' when every
-    landed page of the link was accepted, else the greatest error text; a
-    link with no landed page is invalid."""
-    per_link = page_status.groupBy("group", "station_url_name").agg(
-        F.max(F.when(F.col("status") != STATUS_SUCCESS, F.col("status"))).alias("_err"),
-        F.lit(True).alias("_seen"),
-    )
-    joined = links.join(per_link, ["group", "station_url_name"], "left")
+def link_errors(page_status: DataFrame) -> DataFrame:
+    """(group, station_url_name, error) per link with landed pages: the greatest
+    error text, null when every page was accepted. Rows of several parts of the
+    pages can be merged by the same maximum, in any order and repeatedly."""
+    return page_status.groupBy("group", "station_url_name").agg(
+        F.max(F.when(F.col("status") != STATUS_SUCCESS, F.col("status"))).alias("error"))
+
+
+def outcome_of_errors(links: DataFrame, errors: DataFrame) -> DataFrame:
+    """(group, station_url_name, status) per link from ``link_errors``; a link
+    with no landed page is invalid."""
+    joined = links.join(errors.withColumn("_seen", F.lit(True)), ["group", "station_url_name"], "left")
     status = (
         F.when(F.col("_seen").isNull(), F.lit(STATUS_LINK_INVALID))
-        .when(F.col("_err").isNotNull(), F.col("_err"))
+        .when(F.col("error").isNotNull(), F.col("error"))
         .otherwise(F.lit(STATUS_SUCCESS))
     )
     return joined.select("group", "station_url_name", status.alias("status"))
 
 
+def link_outcome(links: DataFrame, page_status: DataFrame) -> DataFrame:
+    """(group, station_url_name, status) per link: 'success' when every
+    landed page of the link was accepted, else the greatest error text; a
+    link with no landed page is invalid."""
+    return outcome_of_errors(links, link_errors(page_status))
+
+
 def update_hourly(pages: DataFrame, stations: DataFrame, stored: DataFrame, as_of,
                   days: int | None = LOOKBACK_DAYS, base_url: str = "", how: str = "auto",
                   stage: Callable[[DataFrame], DataFrame] | None = None) -> UpdateResult:
@@ -55,7 +66,7 @@ def update_hourly(pages: DataFrame, stations: DataFrame, stored: DataFrame, as_o
     links = all_links(stations, base_url)
     norm = normalize_pages(pages, stations, wanted_only=True, stage=stage)
     if days is None:
-        months = norm.rows.select(F.date_format("Date", "yyyy-MM").alias("month")).distinct()
+        months = norm.rows.select(month_key().alias("month")).distinct()
         current = stored.join(months, "month", "left_semi")
     else:
         current = lookback(stored, as_of, days)

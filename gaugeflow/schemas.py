@@ -96,3 +96,12 @@ STATUS = T.StructType(
         T.StructField("status", T.StringType()),
     ]
 )
+
+# Greatest error per link of the pages that a stream has seen (null: none).
+LINK_ERRORS = T.StructType(
+    [
+        T.StructField("group", T.StringType()),
+        T.StructField("station_url_name", T.StringType()),
+        T.StructField("error", T.StringType()),
+    ]
+)

@@ -12,6 +12,7 @@ re-typed by partition discovery).
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,8 @@ from pyspark.sql import types as T
 from gaugeflow.constants import CSV_NULL
 from gaugeflow.operators.links import all_valid
 from gaugeflow.session import staging_path
-from gaugeflow.sources.tables import PARTITION_COLUMNS, Warehouse
+from gaugeflow.sinks.swap import commit_swap, delete as _delete, file_system as _file_system, finish_swaps, new_swap
+from gaugeflow.sources.tables import PARTITION_COLUMNS, Warehouse, month_key
 
 # Buckets of a table created without a number. A station reset rewrites one
 # bucket of each touched month, so large tables are created with more.
@@ -34,8 +36,9 @@ def station_bucket(station: Column | str = "STATION_NUMBER", buckets: int = STAT
 
 
 def with_partitions(df: DataFrame, buckets: int = STATION_BUCKETS) -> DataFrame:
-    """Add the partition columns: ``month`` (yyyy-MM of Date) and ``sbucket``."""
-    return (df.withColumn("month", F.date_format("Date", "yyyy-MM"))
+    """Add the partition columns: ``month`` (yyyy-MM of Date, a folder of its
+    own for null dates) and ``sbucket``."""
+    return (df.withColumn("month", month_key())
             .withColumn("sbucket", station_bucket(buckets=buckets)))
 
 
@@ -100,6 +103,7 @@ def write_partitioned(df: DataFrame, path: str, mode: str, buckets: int | None =
 
 def append_hourly(rows: DataFrame, path: str) -> None:
     """K1: append new rows in one write (atomic per job, not per page)."""
+    finish_swaps(rows.sparkSession, path)
     write_partitioned(rows, path, "append")
 
 
@@ -107,6 +111,7 @@ def create_empty(spark: SparkSession, schema: T.StructType, path: str, partition
                  buckets: int | None = None) -> None:
     """K3: (re)create a table with no rows; a partitioned one gets ``buckets``
     station buckets (by default it keeps its number)."""
+    finish_swaps(spark, path)
     empty = spark.createDataFrame([], schema)
     if partitioned:
         set_buckets(spark, path, buckets or table_buckets(spark, path))
@@ -116,48 +121,54 @@ def create_empty(spark: SparkSession, schema: T.StructType, path: str, partition
 
 
 def replace_table(df: DataFrame, path: str, stage: bool = True) -> None:
-    """K2/K5: replace a whole table. With ``stage`` the result is written to
-    the shared checkpoint folder first, so a table can be rebuilt from
-    itself without reading files it is deleting."""
-    spark = df.sparkSession
+    """K2/K5: replace a whole table: the result is written completely before
+    the stored folder is moved aside, so a table can be rebuilt from itself and
+    a failure keeps its rows. ``stage`` False writes over it at once (for
+    outputs that any run can make again)."""
     if not stage:
         df.write.mode("overwrite").parquet(path)
         return
-    tmp = staging_path(spark, "replace")
-    df.write.parquet(tmp)
-    spark.read.schema(df.schema).parquet(tmp).write.mode("overwrite").parquet(path)
-    _delete(spark, tmp)
+    finish_swaps(df.sparkSession, path)
+    swap = new_swap(path)
+    df.write.parquet(f"{swap}/new")
+    commit_swap(df.sparkSession, swap, path, {"": True})
+
+
+def replace_partitioned(df: DataFrame, path: str, buckets: int | None = None) -> None:
+    """The same for a table of (month, sbucket) folders."""
+    spark = df.sparkSession
+    finish_swaps(spark, path)
+    swap = new_swap(path)
+    write_partitioned(df, f"{swap}/new", "errorifexists", buckets or table_buckets(spark, path))
+    commit_swap(spark, swap, path, {"": True})
 
 
 def overwrite_partitions(df: DataFrame, path: str, touched: list[tuple[str, int]] | None = None,
-                         buckets: int | None = None) -> None:
+                         buckets: int | None = None, mark: tuple[str, str | None] | None = None,
+                         mover: Callable[[SparkSession, str, str], None] | None = None) -> None:
     """Rewrite only the (month, sbucket) folders present in ``df``: one clustered
-    write into the checkpoint folder (so the table can be rewritten from its
-    own rows), whose folders then replace the table's; the staging goes.
+    write beside the table (so it can be rewritten from its own rows), whose
+    folders then replace the table's in one journalled swap.
 
     ``touched``: folder ids that must end up holding exactly ``df``'s rows;
-    those that ``df`` leaves empty are deleted.
+    those that ``df`` leaves empty are deleted. ``mark`` (a name and the one it
+    follows, if any) is an empty file set in the table's folder by the same swap.
+    ``mover`` moves a folder (the file system's rename).
     """
     spark = df.sparkSession
-    tmp = staging_path(spark, "partitions")
-    write_partitioned(df, tmp, "errorifexists", buckets or table_buckets(spark, path))
+    finish_swaps(spark, path)
+    swap = new_swap(path)
+    write_partitioned(df, f"{swap}/new", "errorifexists", buckets or table_buckets(spark, path))
     full = with_partitions(df)
-    written = folder_ids(spark.read.schema(full.schema).parquet(tmp))
-    fs, hadoop = _file_system(spark, path)
-    for month, bucket in sorted(set(written) | set(touched or [])):
-        folder = f"month={month}/sbucket={bucket}"
-        fs.delete(hadoop(f"{path}/{folder}"), True)
-        if (month, bucket) in written:
-            fs.mkdirs(hadoop(f"{path}/month={month}"))
-            if not fs.rename(hadoop(f"{tmp}/{folder}"), hadoop(f"{path}/{folder}")):
-                raise OSError(f"could not move {tmp}/{folder}")
-    fs.delete(hadoop(tmp), True)
-
-
-def _file_system(spark: SparkSession, path: str):
-    """The file system of ``path`` and a maker of its path objects."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+    written = folder_ids(spark.read.schema(full.schema).parquet(f"{swap}/new"))
+    folders = {f"month={month}/sbucket={bucket}": (month, bucket) in written
+               for month, bucket in set(written) | set(touched or [])}
+    if mark:
+        name, before = mark
+        fs, hadoop = _file_system(spark, path)
+        fs.create(hadoop(f"{swap}/new/{name}"), True).close()
+        folders |= ({before: False} if before else {}) | {name: True}
+    commit_swap(spark, swap, path, folders, mover)
 
 
 # Folders whose marts are to be refreshed, with the mart's name.
@@ -195,9 +206,8 @@ def drop_months_before(spark: SparkSession, path: str, month: str) -> list[str]:
     """Delete the ``month=...`` folders of a partitioned table older than
     ``month`` (``yyyy-MM``); returns the months removed. Only the folder
     names are listed (one entry per month), no data is read."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop = _file_system(spark, path)
+    root = hadoop(path)
     if not fs.exists(root):
         return []
     removed = []
@@ -209,12 +219,6 @@ def drop_months_before(spark: SparkSession, path: str, month: str) -> list[str]:
     return removed
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 class Staging:
     """Staged copies of one job: called with a DataFrame it writes it once as
     Parquet in the shared checkpoint folder and returns it read back; leaving

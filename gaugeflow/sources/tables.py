@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,12 +15,18 @@ from gaugeflow.schemas import DAILY, HOURLY, NAV_PAGES, PAGES, SERIES_RANGES, ST
 
 # Partition columns of the stored hourly and daily tables.
 PARTITION_COLUMNS = ["month", "sbucket"]
+NO_MONTH = "none"  # the folder of rows without a date
 HOURLY_STORED = T.StructType(
     HOURLY.fields + [T.StructField("month", T.StringType()), T.StructField("sbucket", T.IntegerType())]
 )
 DAILY_STORED = T.StructType(DAILY.fields + [T.StructField("month", T.StringType()), T.StructField("sbucket", T.IntegerType())])
 
 
+def month_key(date: str = "Date") -> Column:
+    """The ``month`` partition of a date, never null."""
+    return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(NO_MONTH))
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Locations of the stored tables under one root folder."""
@@ -47,6 +53,11 @@ class Warehouse:
     def station_csv(self) -> str:
         return f"{self.root}/station_csv"
 
+    @property
+    def tables(self) -> list[str]:
+        """The tables whose folders are replaced by swaps, the root first."""
+        return [self.root, self.hourly, self.daily, self.hourly_recent, self.station_metadata]
+
     @property
     def pending(self) -> str:
         return f"{self.root}/pending"
@@ -56,7 +67,7 @@ class Warehouse:
         return f"{self.root}/report"
 
 
-def _read(spark: SparkSession, schema: T.StructType, path: str, fmt: str = "parquet", **options) -> DataFrame:
+def read_table(spark: SparkSession, schema: T.StructType, path: str, fmt: str = "parquet", **options) -> DataFrame:
     """A stored table; one not written yet is empty."""
     try:
         return spark.read.schema(schema).options(**options).format(fmt).load(path)
@@ -68,12 +79,12 @@ def _read(spark: SparkSession, schema: T.StructType, path: str, fmt: str = "parq
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
     """Station CSV (header, ``NA`` for nulls) with the fixed schema."""
-    return _read(spark, STATIONS, path, "csv", header="true", nullValue=CSV_NULL)
+    return read_table(spark, STATIONS, path, "csv", header="true", nullValue=CSV_NULL)
 
 
 def read_station_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Stored station dimension."""
-    return _read(spark, STATIONS, path)
+    return read_table(spark, STATIONS, path)
 
 
 def read_hourly(spark: SparkSession, path: str, as_of=None, days: int | None = None,
@@ -84,7 +95,7 @@ def read_hourly(spark: SparkSession, path: str, as_of=None, days: int | None = N
     ``keep_partitions`` keeps the stored ``month``/``sbucket`` columns (for
     partition filters of jobs that rewrite folders).
     """
-    df = _read(spark, HOURLY_STORED, path)
+    df = read_table(spark, HOURLY_STORED, path)
     if as_of is not None and days is not None:
         start = window_start(as_of, days)
         df = df.where((F.col("month") >= F.lit(start.strftime("%Y-%m"))) & (F.col("Date") >= F.lit(start)))
@@ -94,7 +105,7 @@ def read_hourly(spark: SparkSession, path: str, as_of=None, days: int | None = N
 def read_daily(spark: SparkSession, path: str, keep_partitions: bool = False) -> DataFrame:
     """Stored daily mart (optionally with its partition columns)."""
     cols = [f.name for f in DAILY.fields] + (PARTITION_COLUMNS if keep_partitions else [])
-    return _read(spark, DAILY_STORED, path).select(*cols)
+    return read_table(spark, DAILY_STORED, path).select(*cols)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -26,6 +26,8 @@ tool):
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +41,7 @@ from gaugeflow.constants import (
     DATA_TABLE_CLASS,
     ADMIN_TITLE,
 )
+from gaugeflow.sinks.swap import move
 
 BASE_URL = "http://stations.example/"
 
@@ -129,6 +132,32 @@ def hourly(events: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
+UNDATED = 40  # readings whose event id this divides carry no date
+
+
+def undated_hourly(events: DataFrame, customer: DataFrame) -> DataFrame:
+    """``hourly`` with readings that carry no date and time."""
+    known = events.where(F.coalesce(F.col("event_id") % UNDATED != 0, F.lit(True)))
+    none = hourly(events.where(F.col("event_id") % UNDATED == 0), customer)
+    return hourly(known, customer).unionByName(
+        none.withColumn("Date", F.lit(None).cast("date")).withColumn("Time", F.lit(None).cast("string")))
+
+
+class StopsAfter:
+    """A folder mover that works ``moves`` times and then fails for good, as
+    when the process or the file system goes away in the middle of a swap."""
+
+    def __init__(self, moves: int):
+        self.left, self.lock = moves, threading.Lock()
+
+    def __call__(self, spark, source: str, target: str) -> None:
+        with self.lock:
+            self.left -= 1
+            if self.left < 0:
+                raise OSError(f"stopped before moving {source}")
+        move(spark, source, target)
+
+
 PAGE_ROWS, FAULTS = 500, 12
 
 

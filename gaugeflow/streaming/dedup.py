@@ -1,19 +1,19 @@
 """Duplicate removal of a stream of hourly rows against its own table.
 
 Unlike the table anti-join (J1), copies inside one batch collapse too. There
-is no watermark: a row is compared with all stored rows of its month, so late
-rows are kept and their copies still recognised.
+is no watermark: a row is compared with all stored rows of its month (rows
+without a date with each other), so late rows are kept and their copies still
+recognised.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gaugeflow.constants import HOURLY_COLUMNS
 from gaugeflow.operators.dedup import new_rows
 from gaugeflow.sinks.tables import append_hourly
-from gaugeflow.sources.tables import read_hourly
+from gaugeflow.sources.tables import month_key, read_hourly
 from gaugeflow.streaming.common import run_available_now
 
 
@@ -21,7 +21,7 @@ def append_distinct(batch: DataFrame, path: str) -> None:
     """Append the batch's rows that the table at ``path`` does not hold, once each."""
     spark = batch.sparkSession
     rows = batch.select(*HOURLY_COLUMNS).distinct()
-    months = rows.select(F.date_format("Date", "yyyy-MM").alias("month")).distinct()
+    months = rows.select(month_key().alias("month")).distinct()
     stored = read_hourly(spark, path, keep_partitions=True).join(months, "month", "left_semi")
     append_hourly(new_rows(rows, stored).checkpoint(), path)
 

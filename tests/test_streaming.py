@@ -1,6 +1,7 @@
 """Structured Streaming jobs: multi-batch results equal the batch results."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -89,3 +90,101 @@ def test_stream_update_replay_adds_nothing(spark):
     assert statuses.count() == wanted.count() > 0
     stream_update(spark, pages_dir, st, hourly_path, "2024-01-30", base_url=S.BASE_URL, max_files=1)
     assert read_hourly(spark, hourly_path).count() == first > 0
+
+
+def undated(*values):
+    return [("P_A", "A", None if d is None else dt.date.fromisoformat(d), None, v, "Pressure", "", "") for d, v in values]
+
+
+def test_daily_batches_merge_once_with_null_dates_and_values(spark, tmp_dir):
+    from gaugeflow.streaming.daily import apply_batch
+
+    path = f"{tmp_dir}/mart"
+    batches = [undated((None, 1.0), (None, 3.0), ("2024-01-01", None)),
+               undated((None, None), ("2024-01-01", 5.0), ("2024-02-01", float("nan"))), [],
+               undated(("2024-01-01", 7.0), ("2024-02-01", 1.0), (None, -0.5))]
+    frames = [spark.createDataFrame(b, HOURLY) for b in batches]
+    for i, b in enumerate(frames):
+        apply_batch(b, path, "run", i)
+        apply_batch(b, path, "run", i)  # run again after its merge
+    for i, b in enumerate(frames[:2]):
+        apply_batch(b, path, "run", i)  # an old batch
+    everything = frames[0].union(frames[1]).union(frames[3])
+    assert rounded(read_daily(spark, path).fillna(-9.0)) == rounded(daily(everything).fillna(-9.0))
+    apply_batch(frames[0], path, "other", 0)  # another checkpoint's first batch
+    assert rounded(read_daily(spark, path).fillna(-9.0)) == rounded(daily(everything.union(frames[0])).fillna(-9.0))
+
+
+def test_daily_batch_that_fails_in_its_swap_counts_once(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    from gaugeflow.sinks import swap
+    from gaugeflow.streaming.daily import apply_batch
+
+    monkeypatch.setattr(swap, "MOVERS", 1)
+    path = f"{tmp_dir}/mart"
+    one = spark.createDataFrame(undated(("2024-01-01", 1.0), ("2024-02-01", 2.0)), HOURLY)
+    apply_batch(one, path, "run", 0)
+    for moves in range(6):
+        with monkeypatch.context() as m:
+            m.setattr(swap, "move", S.StopsAfter(moves))
+            with pytest.raises(OSError):
+                apply_batch(one, path, "run", moves + 1)
+        apply_batch(one, path, "run", moves + 1)  # the stream's retry
+        assert {r.numObservations for r in read_daily(spark, path).collect()} == {moves + 2}
+
+
+def test_daily_batch_reads_only_its_folders(spark, tmp_dir):
+    from gaugeflow.sinks.tables import folder_ids, in_folders, with_partitions
+    from gaugeflow.sources.tables import read_table
+    from gaugeflow.streaming.daily import STORED, apply_batch, merge_partials, partial_daily
+
+    path = f"{tmp_dir}/mart"
+    old = spark.createDataFrame(undated(*[(f"2023-{m:02d}-01", 1.0) for m in range(1, 13)]), HOURLY)
+    apply_batch(old, path, "run", 0)
+    part = partial_daily(spark.createDataFrame(undated(("2023-05-01", 2.0)), HOURLY))
+    stored = read_table(spark, STORED, path).where(in_folders(folder_ids(with_partitions(part))))
+    plan = merge_partials(stored, part)
+    files = [r[0] for r in stored.select(F.input_file_name()).collect()]
+    assert len(files) == 1 and "month=2023-05" in files[0]
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*month", text) and text.count("FileScan") == 1
+    assert not glob_batches(path)
+
+
+def glob_batches(path):
+    import glob
+
+    return glob.glob(f"{path}*/**/batch=*", recursive=True)
+
+
+def test_dedup_with_null_dates(spark):
+    src = staging_path(spark, "t-null-src")
+    for values in ([(None, 1.0), (None, 1.0), ("2024-01-01", 1.0)], [(None, 1.0), (None, 2.0), ("2024-01-01", 1.0)]):
+        spark.createDataFrame(undated(*values), HOURLY).coalesce(1).write.mode("append").parquet(src)
+    out = staging_path(spark, "t-null-out")
+    stream = spark.readStream.schema(HOURLY).option("maxFilesPerTrigger", 1).parquet(src)
+    stream_dedup(stream, out, staging_path(spark, "t-null-ckpt"))
+    assert sorted((str(r.Date), r.Value) for r in read_hourly(spark, out).collect()) == [
+        ("2024-01-01", 1.0), ("None", 1.0), ("None", 2.0)]
+
+
+def test_link_errors_merge_in_any_order_and_repeatedly(spark, tmp_dir):
+    from gaugeflow.constants import STATUS_SUCCESS
+    from gaugeflow.schemas import LINK_ERRORS
+    from gaugeflow.sources.tables import read_table
+    from gaugeflow.streaming.update import merge_errors
+
+    def batch(*rows):
+        return spark.createDataFrame([("g", link, "u", s, 1) for link, s in rows],
+                                     "group string, station_url_name string, url string, status string, n_rows long")
+
+    a = batch(("x", STATUS_SUCCESS), ("y", "Error: a"))
+    b = batch(("x", STATUS_SUCCESS), ("y", "Error: b"), ("y", STATUS_SUCCESS), ("z", "Error: c"))
+    got = []
+    for i, order in enumerate(([a, b], [b, a, a], [a, b, b, a])):
+        path = f"{tmp_dir}/links{i}"
+        for part in order:
+            merge_errors(part, path)
+        got.append(sorted((r.station_url_name, r.error) for r in read_table(spark, LINK_ERRORS, path).collect()))
+    assert got[0] == got[1] == got[2] == [("x", None), ("y", "Error: b"), ("z", "Error: c")]
