@@ -335,19 +335,20 @@ def _update_runs(spark, sf_dir):
     checkpoint_root(spark)
     stored = first.new_rows.checkpoint()
     second = update_hourly(after, st, stored, AS_OF, base_url=S.BASE_URL)
-    return stored.unionByName(second.new_rows), second
+    return stored.unionByName(second.new_rows)
 
 
 def q_update_pipeline(spark, sf_dir):
     """C2 -> A1 (flagship): two update runs over overlapping landed pages, then the daily mart."""
-    hourly, _ = _update_runs(spark, sf_dir)
+    hourly = _update_runs(spark, sf_dir)
     return _round_value(daily_two_level(hourly))
 
 
 def q_update_status(spark, sf_dir):
-    """Per-link status of the second update run."""
-    _, second = _update_runs(spark, sf_dir)
-    return second.status
+    """Per-link status of an update run (the stored rows do not bear on it)."""
+    cu = _t(spark, sf_dir, "customer")
+    after = S.data_pages(_t(spark, sf_dir, "events").where(F.col("ts") >= F.lit(OVERLAP_TS).cast("timestamp_ntz")), cu)
+    return update_hourly(after, S.stations(cu), spark.createDataFrame([], HOURLY), AS_OF, base_url=S.BASE_URL).status
 
 
 def q_refresh_stations(spark, sf_dir):
@@ -356,7 +357,8 @@ def q_refresh_stations(spark, sf_dir):
     cu = _t(spark, sf_dir, "customer")
     nav = S.nav_pages(orders, cu)
     offset = 10 ** 12
-    loc = S.location_pages(cu.withColumn("c_long", F.col("c_nationkey").cast("double")),
+    named = cu.withColumn("c_name", S.station_title(F.col("c_name"), F.col("c_custkey")))
+    loc = S.location_pages(named.withColumn("c_long", F.col("c_nationkey").cast("double")),
                            "c_custkey", "c_name", "c_acctbal", "c_long", page_offset=offset)
     ranges = S.series_ranges(orders, cu)
     result = refresh_stations(nav.unionByName(loc), ranges, None, S.BASE_URL)
@@ -796,12 +798,15 @@ _LABEL_PAGE_CASE = (
     "WHEN 'Barometric Pressure' THEN 'Pressure' WHEN 'Voltage' THEN 'Voltage' WHEN 'Site Info' THEN 'SiteInfo' END"
 )
 
+_TITLE = "c.c_name || CASE c.c_custkey % 8 " + " ".join(
+    f"WHEN {k} THEN '{plain}'" for k, (plain, _) in S.NAME_ENDS.items()) + " ELSE '' END"
+
 _NAV_CTE = f"""nl AS (
-  SELECT o.o_orderkey, c.c_name AS station_name, {_PRIORITY_LABEL_CASE} AS label
+  SELECT o.o_orderkey, c.c_name, {_TITLE} AS station_name, {_PRIORITY_LABEL_CASE} AS label
   FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey),
 nu AS (
   SELECT o_orderkey, station_name, label,
-         '{S.BASE_URL}Content%20Pages/' || replace(station_name, '#', '') || '/' || {_LABEL_PAGE_CASE}
+         '{S.BASE_URL}Content%20Pages/' || replace(c_name, '#', '') || '/' || {_LABEL_PAGE_CASE}
          || '.aspx?o=' || CAST(o_orderkey AS VARCHAR) AS url
   FROM nl),
 wide AS (
@@ -942,7 +947,7 @@ SELECT {_station_id_sql('s.station_name')} AS station_id, s.station_name,
        s.water_temperature IS NOT NULL AS water_temperature, s.staff_gauge IS NOT NULL AS staff_gauge,
        s.voltage IS NOT NULL AS voltage, s.barometric_pressure IS NOT NULL AS barometric_pressure,
        c.c_acctbal AS lat, CAST(c.c_nationkey AS DOUBLE) AS long, s.site_info
-FROM su s LEFT JOIN customer c ON c.c_name = s.station_name
+FROM su s LEFT JOIN customer c ON {_TITLE} = s.station_name
 LEFT JOIN rng r ON r.url_name = s.url_name"""
     out["daily_sql"] = out["daily"]
     fetch_start = window_start(AS_OF, 7).isoformat()
@@ -969,7 +974,7 @@ LEFT JOIN rng r ON r.url_name = s.url_name"""
     served = "CASE pe.grp WHEN 'Hydrometric' THEN s.staff_gauge WHEN 'Pressure' THEN s.barometric_pressure ELSE s.water_temperature END"
     out["marts_after_full_reset"] = f"""WITH {_NAV_CTE}, {_page_events_cte()},
 su AS (SELECT *, nullif(regexp_extract(site_info, '20Pages/({_W}+)', 1), '') AS url_name FROM served),
-pj AS (SELECT pe.* FROM pe JOIN su s ON s.url_name = pe.url_name WHERE c_acctbal >= 0 AND {served} IS NOT NULL),
+pj AS (SELECT pe.* REPLACE (s.station_name AS c_name) FROM pe JOIN su s ON s.url_name = pe.url_name WHERE c_acctbal >= 0 AND {served} IS NOT NULL),
 hourly AS (SELECT * REPLACE ({_station_id_sql('"STATION_NAME"')} AS "STATION_NUMBER") FROM ({_page_rows_select("pj")}))
 SELECT 'daily' AS mart, "STATION_NUMBER", "STATION_NAME", "Date", "Parameter", "Value", "numObservations" AS n
 FROM ({_DAILY_SELECT.format(src="hourly")})

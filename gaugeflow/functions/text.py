@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,21 +35,61 @@ def py_strip(col) -> Column:
     return F.regexp_replace(_c(col), rf"^{SPACE}+|{SPACE}+$", "")
 
 
+# Numeric references to 128-159 mean the characters of this code page, and the
+# references that no character follows from are the replacement character.
+_C1_PAGE = "cp1252"
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]{1,31};?)"
+
+
+def _json_map(mapping: dict) -> Column:
+    """A constant map column (folded into the plan once)."""
+    return F.from_json(F.lit(json.dumps(mapping)), "map<string,string>")
+
+
+# Names that may be written without a semicolon, and their longest one.
+_BARE = {name: text for name, text in html5.items() if not name.endswith(";")}
+_BARE_LENGTH = max(map(len, _BARE))
+
+
+def _c1() -> Column:
+    return _json_map({str(i): bytes([i]).decode(_C1_PAGE, errors="ignore") or chr(i) for i in range(128, 160)})
+
+
+def _numeric_reference(ref: Column) -> Column:
+    """The character of ``&#...``: code points past the last one, surrogates and
+    zero are the replacement character, control characters nothing."""
+    digits = F.regexp_replace(ref, r"[&#;xX]", "")
+    hexadecimal = F.lower(F.substring(ref, 3, 1)) == "x"
+    digits = F.regexp_replace(digits, "^0+(?=.)", "")
+    short = F.length(digits) <= 10
+    n = F.when(short, F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")).otherwise(F.lit(1 << 40))
+    bad = (n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+    none = (n.between(1, 31) & ~n.isin(9, 10, 12, 13)) | (n == 127) | n.between(0xFDD0, 0xFDEF) | ((n % 65536) >= 65534) | (n == 11)
+    # the code point as UTF-32, the one encoding that needs no arithmetic
+    char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return (F.when(bad, F.lit("\ufffd")).when(n == 13, F.lit("\r"))
+            .when(n.between(128, 159), F.element_at(_c1(), n.cast("string")))
+            .when(none, F.lit("")).otherwise(char))
+
+
+def _named_reference(ref: Column) -> Column:
+    """The characters of ``&name;``; a known name may be cut short of its
+    semicolon, with or without text after it (the longest one counts)."""
+    name = F.substring(ref, 2, 64)
+    sizes = F.sequence(F.greatest(F.least(F.length(name), F.lit(_BARE_LENGTH)), F.lit(2)), F.lit(2), F.lit(-1))
+    tried = F.transform(sizes, lambda n: F.concat(F.try_element_at(_json_map(_BARE), F.left(name, n)), F.substr(name, n + 1)))
+    cut_short = F.get(F.filter(tried, lambda t: t.isNotNull()), 0)
+    return F.coalesce(F.try_element_at(_json_map(html5), name), cut_short, ref)
+
+
 def html_unescape(col) -> Column:
-    """Decode the named and numeric entities that occur in plain page text."""
+    """Every named and numeric character reference decoded, in one pass (what a
+    reference decodes to is not looked at again)."""
     src = _c(col)
-    c = src
-    for entity, char in [
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&quot;", '"'),
-        ("&#39;", "'"),
-        ("&#x27;", "'"),
-        ("&nbsp;", " "),
-        ("&amp;", "&"),
-    ]:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return F.when(F.instr(src, "&") > 0, c).otherwise(src)
+    refs = F.transform(F.regexp_extract_all(src, F.lit(_REFERENCE), 0),
+                       lambda r: F.when(F.substring(r, 2, 1) == "#", _numeric_reference(r)).otherwise(_named_reference(r)))
+    whole = F.array_join(F.zip_with(F.split(src, _REFERENCE), refs, lambda t, r: F.concat(t, F.coalesce(r, F.lit("")))), "")
+    return F.when(F.instr(src, "&") > 0, whole).otherwise(src)
 
 
 def html_text(col) -> Column:

@@ -15,7 +15,7 @@ from gaugeflow.operators.filters import drop_unserved, relevant_params
 from gaugeflow.operators.joins import attach_coords, new_stations
 from gaugeflow.operators.reshape import reorder, snake_names
 from gaugeflow.operators.stations import availability_flags, cast_coords
-from gaugeflow.sources.html import js_locations, parse_locations, station_links
+from gaugeflow.sources.html import LOCATIONS_MARK, js_locations, parse_locations, station_links
 
 
 def station_urls(nav_pages: DataFrame, base_url: str, drop: bool = True) -> DataFrame:
@@ -37,7 +37,7 @@ def station_urls(nav_pages: DataFrame, base_url: str, drop: bool = True) -> Data
 def coordinates(nav_pages: DataFrame) -> DataFrame:
     """(station_id, lat, long) from the pages' locations scripts; an id
     listed more than once keeps its last entry."""
-    entries = nav_pages.select(
+    entries = nav_pages.where(F.instr("html", LOCATIONS_MARK) > 0).select(
         "page_id", F.posexplode(parse_locations(js_locations(F.col("html")))).alias("pos", "e")
     )
     coords = cast_coords(

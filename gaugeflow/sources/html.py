@@ -12,10 +12,17 @@ from gaugeflow.constants import DATA_TABLE_CLASS, NAV_LIST_ID, NAV_TITLE_CLASS
 from gaugeflow.functions.text import cell_text, html_text, html_unescape, py_strip
 
 _CLASS = r"""\bclass\s*=\s*(?:["'][^"']*\b{cls}\b[^"']*["']|{cls}(?=[\s>/]))"""
-_TABLE_WITH_CLASS = r"(?is)<table\b[^>]*" + _CLASS + r"[^>]*>(.*?)</table>"
-_TABLE_AFTER_CLASS = r"(?is)" + _CLASS + r"[^>]*>.*?<table\b[^>]*>(.*?)</table>"
-_ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
-_CELL = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"
+_TABLE_WITH_CLASS = r"(?is)<table\b[^>]*" + _CLASS + r"[^>]*>(.*)"
+_TABLE_AFTER_CLASS = r"(?is)" + _CLASS + r"[^>]*>.*?<table\b[^>]*>(.*)"
+_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+_TABLE_TAG = r"(?i)(?=<table\b)|(?=</table\b)"
+_ROW_TAG = r"<[tT][rR]\b[^>]*+>"
+# A cell ends at its own closing tag, at the next cell or row end (closing tags
+# may be left out) or with the row.
+_CELL = r"<[tT][dDhH]\b([^>]*+)>([^<]*+(?:<(?!(?i:/?t(?:[dhr]|head|body|foot)\b))[^<]*+)*+)"
+_SPAN = r"""(?i)(?:^|\s){name}\s*=\s*["']?\s*(\d+)"""
+MAX_SPAN = 1000  # larger spans count as this, as browsers hold it
+LOCATIONS_MARK = "var locations = "
 _ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 
 
@@ -23,93 +30,210 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _has_tag(text: Column, tag: str) -> Column:
+    return F.contains(F.lower(text), F.lit(tag))
+
+
+def without_comments(html) -> Column:
+    """HTML without its comments (an unclosed one goes to the end)."""
+    h = _c(html)
+    return F.when(F.instr(h, "<!--") > 0, F.regexp_replace(h, _COMMENT, "")).otherwise(h)
+
+
+def _depths(pieces: Column) -> Column:
+    """Per piece (cut before every table tag) how many tables inside the first
+    one are open in it; -1 from the first one's end on."""
+    zero = F.struct(F.lit(0).alias("now"), F.array().cast("array<int>").alias("all"))
+
+    def step(acc: Column, p: Column) -> Column:
+        head = F.lower(F.substring(p, 1, 7))
+        change = F.when(head.startswith("</table"), -1).when(head.startswith("<table"), 1).otherwise(0)
+        now = F.when(acc["now"] < 0, -1).otherwise(acc["now"] + change)
+        return F.struct(now.alias("now"), F.array_append(acc["all"], now).alias("all"))
+
+    return F.aggregate(pieces, zero, step, lambda acc: acc["all"])
+
+
+def _up_to_its_end(tail: Column) -> Column:
+    """The text after a table's opening tag up to that table's end. Tables
+    inside it are left as their text without tags: they belong to the cell that
+    holds them, their rows and cells are none of this table's."""
+    def cut(pieces: Column) -> Column:
+        inside = F.zip_with(pieces, _depths(pieces), lambda p, d: F.when(d == 0, p).when(
+            d > 0, F.concat(F.lit(" "), F.regexp_replace(p, r"<[^>]*>", " "))))
+        return F.array_join(F.filter(inside, lambda p: p.isNotNull()), "")
+
+    def short(head: Column) -> Column:
+        inside = _has_tag(head, "<table") | _has_tag(head, "</table")
+        return F.when(inside, _let(F.split(tail, _TABLE_TAG), cut)).otherwise(head)
+
+    # mostly the text up to the first end tag holds no other table tag
+    end = F.instr(tail, "</table")
+    return F.when(end > 0, _let(F.left(tail, end - 1), short)).otherwise(_let(F.split(tail, _TABLE_TAG), cut))
+
+
 def data_table(html, cls: str = DATA_TABLE_CLASS) -> Column:
     """Inner HTML of the first table carrying ``cls`` (or the first table
-    inside the first element carrying it); null when the page has none."""
-    h = _c(html)
-    own = F.regexp_extract(h, _TABLE_WITH_CLASS.format(cls=cls), 1)
-    inner = F.regexp_extract(h, _TABLE_AFTER_CLASS.format(cls=cls), 1)
-    return F.coalesce(F.nullif(own, F.lit("")), F.nullif(inner, F.lit("")))
+    inside the first element carrying it), found by counting table tags, so
+    tables inside its cells do not end it; null when the page has none.
+    Comments are left out."""
+    def after(h: Column, opening: str, otherwise) -> Column:
+        def found(tail: Column) -> Column:
+            return F.when(F.length(tail) > 0, _up_to_its_end(tail)).otherwise(otherwise)
+        return _let(F.regexp_extract(h, opening.format(cls=cls), 1), found)
+
+    def find(h: Column) -> Column:
+        return after(h, _TABLE_WITH_CLASS, after(h, _TABLE_AFTER_CLASS, F.lit(None).cast("string")))
+
+    return _let(without_comments(html), find)
+
+
+def _span(attributes: Column, name: str) -> Column:
+    n = F.regexp_extract(attributes, _SPAN.format(name=name), 1).try_cast("int")
+    return F.coalesce(F.least(F.greatest(n, F.lit(1)), F.lit(MAX_SPAN)), F.lit(1))
+
+
+_HELD = "array<struct<col:int,text:string,left:int>>"
+
+
+def span_grid(rows: Column) -> Column:
+    """Rows of cells (``struct(text, across, down)``) laid out on a grid: a cell
+    stands in ``across`` columns of ``down`` rows, later cells of those rows
+    move on to the next free column. Rows that only cells from above reach past
+    the last row are kept."""
+    def lay(acc: Column, row: Column) -> Column:
+        def place(held: Column) -> Column:
+            units = F.flatten(F.transform(row, lambda c: F.array_repeat(
+                F.struct(c["text"].alias("text"), c["down"].alias("left")), c["across"])))
+            taken = F.transform(held, lambda h: h["col"])
+
+            def join(u: Column) -> Column:
+                places = F.sequence(F.lit(0), F.size(u) + F.size(held))
+                free = F.slice(F.filter(places, lambda i: ~F.array_contains(taken, i)), 1, F.size(u))
+                own = F.zip_with(free, u, lambda i, c: F.struct(i.alias("col"), c["text"].alias("text"), c["left"].alias("left")))
+                return F.array_sort(F.concat(held, own), lambda x, y: x["col"] - y["col"])
+
+            return _let(units, join)
+
+        def keep(cells: Column) -> Column:
+            below = F.transform(F.filter(cells, lambda c: c["left"] > 1), lambda c: F.struct(
+                c["col"].alias("col"), c["text"].alias("text"), (c["left"] - 1).alias("left")))
+            return F.struct(F.array_append(acc["rows"], F.transform(cells, lambda c: c["text"])).alias("rows"),
+                            below.cast(_HELD).alias("held"))
+
+        return _let(place(acc["held"]), keep)
+
+    def run(r: Column) -> Column:
+        deepest = F.coalesce(F.array_max(F.transform(F.flatten(r), lambda c: c["down"])), F.lit(1))
+        none = F.filter(F.flatten(r), lambda c: F.lit(False))
+        padded = F.concat(r, F.array_repeat(none, deepest - 1))
+        zero = F.struct(F.array().cast("array<array<string>>").alias("rows"), F.array().cast(_HELD).alias("held"))
+        laid = F.aggregate(padded, zero, lay, lambda acc: acc["rows"])
+        return F.filter(laid, lambda row: F.size(row) > 0)
+
+    return _let(rows, run)
 
 
 def html_table_rows(html, cls: str = DATA_TABLE_CLASS) -> Column:
     """``struct(width int, rows array<array<string>>)`` of the data table.
 
-    ``rows`` holds the cell texts of every row that has a ``<td>`` cell
-    (header rows of ``<th>`` only are dropped, as the column names are
-    assigned by position anyway); ``width`` is the widest row, header
-    included, which is the column count a table reader would produce.
+    ``rows`` holds the cell texts of the table's own rows, without its header:
+    the rows of its ``<thead>`` or, where it has none, the first rows without a
+    ``<td>`` cell (column names are assigned by position anyway). ``rowspan``
+    and ``colspan`` are laid out, header and body each by themselves. ``width``
+    is the widest row, header included, which is the column count a table
+    reader would produce. Rows without cells are no rows.
     """
-    table = data_table(html, cls)
-    raw_rows = F.coalesce(F.regexp_extract_all(table, F.lit(_ROW), 1), F.array().cast("array<string>"))
-    # Rows inside <thead> are header rows even when their cells are <td>.
-    head = F.regexp_extract(table, r"(?is)<thead\b[^>]*>(.*?)</thead>", 1)
-    n_head = F.coalesce(F.size(F.regexp_extract_all(head, F.lit(_ROW), 1)), F.lit(0))
-    cells = F.transform(raw_rows, lambda r: F.regexp_extract_all(r, F.lit(_CELL), 1))
-    width = F.coalesce(F.array_max(F.transform(cells, F.size)), F.lit(0))
-    pairs = F.zip_with(raw_rows, cells, lambda r, c: F.struct(r.alias("r"), c.alias("c")))
-    # Drop the <thead> rows with slice (evaluated once per page; an outer
-    # expression used inside a lambda would be re-evaluated for every row).
-    body = F.slice(pairs, n_head + 1, F.greatest(F.size(pairs), F.lit(1)))
-    data = F.filter(
-        body,
-        lambda x: (F.instr(x["r"], "<td") > 0) | (F.instr(x["r"], "<TD") > 0) | (F.instr(x["r"], "<Td") > 0),
-    )
-    rows = F.transform(data, lambda x: F.transform(x["c"], cell_text))
-    return F.struct(width.cast("int").alias("width"), rows.alias("rows"))
+    def rows_of(table: Column) -> Column:
+        raw = F.slice(F.split(table, _ROW_TAG), 2, 1 << 30)
 
+        def plain(rows: Column) -> Column:
+            return F.transform(rows, lambda r: F.regexp_extract_all(r, F.lit(_CELL), 2))
 
-def first_list(text) -> Column:
-    """The first ``<ul>...</ul>`` of ``text`` with every list nested in it.
+        def spanned(rows: Column) -> Column:
+            return span_grid(F.transform(rows, lambda r: F.zip_with(
+                F.regexp_extract_all(r, F.lit(_CELL), 1), F.regexp_extract_all(r, F.lit(_CELL), 2),
+                lambda a, t: F.struct(t.alias("text"), _span(a, "colspan").alias("across"),
+                                      _span(a, "rowspan").alias("down")))))
+
+        def parts(raw: Column) -> Column:
+            head = F.regexp_extract(table, r"(?is)<thead\b[^>]*>(.*?)(?:</thead\b|<tbody\b|\z)", 1)
+            n_head = F.when(_has_tag(table, "<thead"), F.size(F.split(head, _ROW_TAG)) - 1).otherwise(0)
+            data_at = F.array_position(F.transform(raw, lambda r: r.rlike("<[tT][dD]")), True)
+            top = F.when(data_at > 0, data_at - 1).otherwise(F.size(raw)).cast("int")
+            n = F.when(n_head > 0, n_head).otherwise(top)
+            spans = F.when(_has_tag(table, "span"), table.rlike(r"(?i)\b(?:row|col)span\b")).otherwise(False)
+
+            def grid(rows: Column) -> Column:
+                return F.when(spans, spanned(rows)).otherwise(F.filter(plain(rows), lambda r: F.size(r) > 0))
+
+            def both(n: Column) -> Column:
+                return F.struct(grid(F.slice(raw, 1, n)).alias("head"),
+                                grid(F.slice(raw, n + 1, F.greatest(F.size(raw), F.lit(1)))).alias("rows"))
+
+            return _let(n, both)
+
+        return _let(raw, parts)
+
+    def result(t: Column) -> Column:
+        width = F.array_max(F.transform(F.concat(t["head"], t["rows"]), F.size))
+        rows = F.transform(t["rows"], lambda r: F.transform(r, cell_text))
+        return F.struct(F.coalesce(width, F.lit(0)).cast("int").alias("width"), rows.alias("rows"))
+
+    none = F.struct(F.lit(0).alias("width"), F.array().cast("array<array<string>>").alias("rows"))
+    return _let(data_table(html, cls), lambda table: F.when(table.isNull(), none).otherwise(
+        _let(rows_of(table), result)))
 
-    The text is cut before each ``<ul`` and ``</ul>`` and the pieces are
-    folded left to right keeping the list depth, so nested lists stay inside
-    and the first list ends where its depth returns to zero."""
-    pieces = F.split(_c(text), r"(?i)(?=<ul\b)|(?=</ul>)")
-    zero = F.struct(
-        F.lit(0).alias("depth"), F.lit(False).alias("started"), F.lit(False).alias("done"), F.lit("").alias("body")
-    )
+
+def _list_depths(pieces: Column) -> Column:
+    """Per piece (cut before every list tag, and maybe before entries) how many
+    lists are open in it; -1 once the first list has ended."""
+    zero = F.struct(F.lit(0).alias("now"), F.array().cast("array<int>").alias("all"))
 
     def step(acc: Column, p: Column) -> Column:
         head = F.lower(F.substring(p, 1, 5))
-        opens = head.startswith("<ul")
-        closes = head == "</ul>"
-        depth = acc["depth"] + F.when(opens, 1).otherwise(0) - F.when(closes, 1).otherwise(0)
-        take = ~acc["done"] & (depth >= 1)
-        return F.struct(
-            depth.alias("depth"),
-            (acc["started"] | opens).alias("started"),
-            (acc["done"] | (closes & (depth <= 0) & acc["started"])).alias("done"),
-            F.concat(acc["body"], F.when(take, p).otherwise(F.lit(""))).alias("body"),
-        )
+        before = acc["now"]
+        after = before + F.when(head.startswith("<ul"), 1).otherwise(0) - F.when((head == "</ul>") & (before > 0), 1).otherwise(0)
+        now = F.when((before < 0) | ((before > 0) & (after == 0)), -1).otherwise(after)
+        return F.struct(now.alias("now"), F.array_append(acc["all"], now).alias("all"))
+
+    return F.aggregate(pieces, zero, step, lambda acc: acc["all"])
+
+
+def first_list(text) -> Column:
+    """The first ``<ul>...</ul>`` of ``text`` with every list nested in it.
+
+    The text is cut before each ``<ul`` and ``</ul>``; only the depths are
+    folded, so nested lists stay inside and the first list ends where its depth
+    returns to zero."""
+    def cut(pieces: Column) -> Column:
+        kept = F.zip_with(pieces, _list_depths(pieces), lambda p, d: F.when(d >= 1, p))
+        return F.array_join(F.filter(kept, lambda p: p.isNotNull()), "")
 
-    return F.aggregate(pieces, zero, step, lambda acc: acc["body"])
+    return _let(F.split(_c(text), r"(?i)(?=</?ul\b)"), cut)
 
 
 def list_entries(text) -> Column:
     """The direct ``<li>`` entries, as texts, of the first list of ``text``.
 
-    Cut before each ``<ul``, ``</ul>`` and ``<li``; the fold keeps the list
-    depth and marks the entries that open at depth one."""
+    Cut before each ``<ul``, ``</ul>`` and ``<li``; the entries that open at
+    depth one are marked and the text is cut once more at the marks."""
     mark = "\u0001"
-    zero = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("body"))
 
-    def step(acc: Column, p: Column) -> Column:
-        head = F.lower(F.substring(p, 1, 5))
-        closes = head == "</ul>"
-        depth = acc["depth"] + F.when(head.startswith("<ul"), 1).otherwise(0) - F.when(closes, 1).otherwise(0)
-        own = head.startswith("<li") & (acc["depth"] == 1)
-        take = ~acc["done"] & (depth >= 1)
-        return F.struct(
-            depth.alias("depth"),
-            (acc["done"] | (closes & (depth <= 0))).alias("done"),
-            F.concat(acc["body"], F.when(take & own, F.lit(mark)).otherwise(F.lit("")),
-                     F.when(take, p).otherwise(F.lit(""))).alias("body"),
-        )
+    def cut(pieces: Column) -> Column:
+        def piece(p: Column, d: Column) -> Column:
+            own = (d == 1) & (F.lower(F.substring(p, 1, 3)) == "<li")
+            return F.when(d >= 1, F.concat(F.when(own, F.lit(mark)).otherwise(F.lit("")), p))
+
+        kept = F.filter(F.zip_with(pieces, _list_depths(pieces), piece), lambda p: p.isNotNull())
+        return F.slice(F.split(F.array_join(kept, ""), mark), 2, 1 << 30)
 
-    pieces = F.split(F.translate(_c(text), mark, ""), r"(?i)(?=<ul\b)|(?=</ul>)|(?=<li\b)")
-    body = F.aggregate(pieces, zero, step, lambda acc: acc["body"])
-    return F.slice(F.split(body, mark), 2, 1 << 30)
+    return _let(F.split(F.translate(_c(text), mark, ""), r"(?i)(?=</?ul\b)|(?=<li\b)"), cut)
 
 
 def station_links(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
@@ -198,7 +322,7 @@ def js_locations(html) -> Column:
     """Array literal text of ``var locations = [...];`` in the page's script:
     greedy to the last ``];`` of that script; null when absent."""
     scripts = F.split(_c(html), r"(?i)</script>")
-    with_locations = F.filter(scripts, lambda s: s.contains("var locations = "))
+    with_locations = F.filter(scripts, lambda s: s.contains(LOCATIONS_MARK))
     script = F.try_element_at(with_locations, F.lit(1))
     # Keep the text after the last opening script tag of that chunk.
     opened = F.split(script, r"(?i)<script\b")

@@ -167,7 +167,8 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
 
     One page per (group, station, week) holding one table row per event of
     that station and week whose parameter belongs to the group, PAGE_ROWS at
-    most; a week with more has more pages. With ``corrupt`` some cells hold no
+    most; a week with more has more pages. Some pages have a row commented out, a
+    table inside a cell or a header of two rows. With ``corrupt`` some cells hold no
     number, and the page's smallest event id modulo FAULTS chooses a fault of
     the page: 1 no table, 2 a column too many, 3 a row without a time, 4 an
     unknown station, 5 (but for Pressure) the layout of one stream.
@@ -194,6 +195,15 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
         },
         F.col("group"),
     )
+    # The same header over two rows, for some pages.
+    tall = _map(
+        {
+            GROUP_HYDROMETRIC: "<tr><th rowspan=2>Time</th><th colspan=2>Water</th></tr><tr><th>Level (m)</th><th>Depth (m)</th></tr>",
+            GROUP_PRESSURE: '<tr><th rowspan="2">Time</th><th>Pressure</th></tr><tr><th>kPa</th></tr>',
+            GROUP_TEMPERATURE: "<tr><th rowspan=2>Time</th><th colspan=2>Temperature</th></tr><tr><th>Air</th><th>Water</th></tr>",
+        },
+        F.col("group"),
+    )
     # Only the raw readings cross the shuffle; each page's rows are
     # formatted afterwards, spread over the pages' partitions.
     at = Window.partitionBy("group", "station_url_name", "slot").orderBy("ev")
@@ -205,6 +215,7 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
     )
     fault = F.col("first_id") % F.lit(FAULTS) if corrupt else F.lit(0)
     narrow = (fault == 5) & (F.col("group") != GROUP_PRESSURE)
+    look = F.col("first_id") % F.lit(5)  # 1: a row commented out, 2: a table in a cell, 3: a header of two rows
     pages = pages.withColumn("station_url_name", F.when(fault == 4, F.concat("station_url_name", F.lit("x")))
                              .otherwise(F.col("station_url_name")))
 
@@ -217,7 +228,8 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
         cell = F.when(k < 10, F.concat(text, F.lit(ESTIMATED_TAG))).otherwise(text)
         if corrupt:
             cell = F.when(k == 0, F.lit("#VALUE!")).otherwise(cell)
-        td = F.concat(F.lit("<td>"), cell, F.lit("</td>"))
+        inner = F.when((look == 2) & (r["event_id"] == F.col("first_id")), F.lit("<table><tr><td></td></tr></table>"))
+        td = F.concat(F.lit("<td>"), cell, F.coalesce(inner, F.lit("")), F.lit("</td>"))
         empty = F.lit("<td></td>")
         cells = F.when((width == 2) | narrow, td).when(pos == 1, F.concat(td, empty)).otherwise(F.concat(empty, td))
         cells = F.concat(cells, F.when(fault == 2, empty).otherwise(F.lit("")))
@@ -227,7 +239,9 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
     html = F.concat(
         F.lit('<html><body><div id="content"><table class="' + DATA_TABLE_CLASS + '" cellspacing="0">'),
         F.when(narrow, F.lit("<tr><th>Time</th><th>Reading</th></tr>"))
-        .when(fault == 2, F.replace(header, F.lit("</tr>"), F.lit("<th>Other</th></tr>"))).otherwise(header),
+        .when(fault == 2, F.replace(header, F.lit("</tr>"), F.lit("<th>Other</th></tr>")))
+        .when(look == 3, tall).otherwise(header),
+        F.when(look == 1, F.lit("<!-- <tr><td>Jan 01, 1999 00:00:00</td><td>1</td><td>1</td></tr> </table> -->")).otherwise(""),
         F.array_join(F.transform("rows", row_html), ""),
         F.lit("</table></div></body></html>"),
     )
@@ -251,11 +265,21 @@ def data_pages(events: DataFrame, customer: DataFrame, base_url: str = BASE_URL,
     )
 
 
+# Names that some stations carry, as text and as references in a page (ours).
+NAME_ENDS = {4: (" Café", " Caf&eacute;"), 5: (" Café", " Caf&#233;"), 6: (" Café & Fils", " Caf&#xE9; &amp; Fils")}
+
+
+def station_title(name: Column, key: Column, encoded: bool = False) -> Column:
+    """A station's name in the sidebar, plain or as written in the page."""
+    ends = F.create_map(*[F.lit(x) for k, v in NAME_ENDS.items() for x in (k, v[encoded])])
+    return F.concat(name, F.coalesce(ends[(key % 8).cast("int")], F.lit("")))
+
+
 def nav_pages(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Sidebar pages (NAV_PAGES schema): one per order.
 
     Each page has an untitled home link, one station section (the order's
-    customer) with one link labelled by the order priority, and an Admin
+    customer, some names written with character references) with one link labelled by the order priority, and an Admin
     section.
     """
     names = customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
@@ -277,7 +301,7 @@ def nav_pages(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.lit('<html><body><div id="sidebar"><div class="c2 alignleft"><ul id="example">'),
         F.lit('<li><a href="Default.aspx">Home</a></li>'),
         F.lit("<li>" + title),
-        F.col("c_name"),
+        station_title(F.col("c_name"), F.col("o_custkey"), encoded=True),
         F.lit('</p><ul><li><a href="'),
         href,
         F.lit('">'),
