@@ -9,6 +9,7 @@ the item there. Texts are compared lower-cased with white space folded.
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from gaugeflow.llm.common import stage
 
 ERROR_RATE = 0.05
-# Items shorter than this (normalised) are no evidence of contamination.
+# Shorter items (normalised) have no error budget: they count where they stand
+# verbatim as whole words.
 MIN_CHARS = 24
 # Pieces are this long at least; an item's error budget is lowered to fit.
 MIN_PIECE = 12
@@ -83,7 +85,7 @@ class Matcher:
         self.items, at = [], defaultdict(list)
         for item_id, text in items:
             pattern = normalised(text)
-            if len(pattern) < MIN_CHARS:
+            if not pattern:
                 continue
             k, cut = pieces(pattern, error_rate)
             for offset, piece in cut:
@@ -100,10 +102,15 @@ class Matcher:
         if not self.items:
             return
         body = normalised(text)
-        near = defaultdict(list)
+        near, short = defaultdict(list), {}
         for end, (n, places) in self.automaton.iter(body):
             for i, offset in places:
-                near[i].append(end + 1 - n - offset)
+                if self.items[i][1] >= MIN_CHARS:
+                    near[i].append(end + 1 - n - offset)
+                elif i not in short and not (body[end - n:end - n + 1].isalnum() or body[end + 1:end + 2].isalnum()):
+                    short[i] = end + 1
+        for i, place in short.items():
+            yield self.items[i][0], 0, 0, place
         for i, starts in near.items():
             item_id, m, k, peq = self.items[i]
             starts.sort()
@@ -122,14 +129,15 @@ class Matcher:
                 yield item_id, best, k, place
 
 
-def _blocks(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
-    """The benchmark in blocks of bounded size; one block at a time is on the driver."""
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[list[tuple[int, str]], bool]]:
+    """The benchmark in blocks of bounded size and whether more follow; one
+    block at a time is on the driver, as callers stage what a block gives."""
     items = stage(benchmark.filter("text is not null").select(F.col("item_id").cast("long"), "text").distinct(), "benchmark")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-chars // BLOCK_CHARS)
     for b in range(n):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b) if n > 1 else items
-        yield [(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()]
+        yield [(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()], b < n - 1
 
 
 def _match(items, error_rate):
@@ -158,21 +166,25 @@ def matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RAT
     ``docs`` (doc_id, text) and item of ``benchmark`` (item_id, text) that it
     contains within the item's error budget, floor(length * error_rate).
 
-    Null and empty texts match nothing, nor do items under MIN_CHARS normalised
-    characters; repeated documents give rows each, repeated items with one id
+    Null and empty texts match nothing. Items under MIN_CHARS normalised
+    characters match verbatim, where no letter or digit adjoins them. Repeated documents give rows each, repeated items with one id
     and text count once; other columns are unused; empty tables give no rows.
     ``match_end`` is an offset in the normalised text.
     """
     found = docs.sparkSession.createDataFrame([], MATCH_SCHEMA)
-    for items in _blocks(benchmark):
-        found = found.unionByName(docs.select(F.col("doc_id").cast("long"), "text")
-                                  .mapInArrow(_match(items, error_rate), MATCH_SCHEMA))
+    for items, more in _blocks(benchmark):
+        part = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_match(items, error_rate), MATCH_SCHEMA)
+        found = found.unionByName(stage(part, "matches") if more else part)
     return found
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that match no item."""
+    """The rows of ``docs``, all columns as they are, that match no item (see
+    :func:`matches`). Rows with a null or empty text stay, texts of any length
+    are searched whole, repeated rows stay or go together; an empty table of
+    either kind drops nothing."""
     at = docs.columns.index("text")
-    for items in _blocks(benchmark):
+    for items, more in _blocks(benchmark):
         docs = docs.mapInArrow(_clean(items, error_rate, at), docs.schema)
+        docs = stage(docs, "clean") if more else docs
     return docs

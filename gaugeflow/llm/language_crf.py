@@ -9,6 +9,8 @@ words, which is its score.
 
 from __future__ import annotations
 
+import math
+import random
 import re
 from collections import Counter
 
@@ -27,6 +29,7 @@ PIECE = 24  # longer runs of letters go as pieces of at most this many
 SPAN, EPOCHS, BATCH, RATE, SEED = 24, 4, 128, 0.3, 5
 CHUNK = 64
 UNKNOWN = "und"
+SHORT = 10.0  # a text of n letters may fall SHORT / sqrt(n) below the bound (natural log units a letter)
 WORDS = re.compile(r"[^\W\d_]+")
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -80,12 +83,12 @@ def word_hashes(x: np.ndarray) -> np.ndarray:
     return _fold(h)
 
 
-def features(words: list[str], lexicon: np.ndarray) -> np.ndarray:
-    """Feature ids per word (rows padded with the last id, which has no
-    weight): prefixes and suffixes of 1 to 4, n-grams of 1 to 3 characters with
+def features(words: list[str], lexicon: np.ndarray, langs: int) -> np.ndarray:
+    """Feature ids per word (rows padded with the last id, BUCKETS + langs + 1,
+    which has no weight): prefixes and suffixes of 1 to 4, n-grams of 1 to 3 characters with
     boundary marks, the word itself, and its lexicon entry."""
     x, n = _code_points(words)
-    none = BUCKETS + 256
+    none = BUCKETS + langs + 1
     out = []
 
     def put(h, kind, valid):
@@ -122,7 +125,7 @@ def build_lexicon(texts: list[list[str]], labels: np.ndarray, langs: int) -> np.
         counts[y].update(ws)
     total = sum(counts, Counter())
     kept = [(w, y + 1) for y, c in enumerate(counts) for w, k in c.items() if k >= 3 and k >= 0.9 * total[w]]
-    table = np.zeros(LEXICON, dtype=np.uint8)
+    table = np.zeros(LEXICON, dtype=np.min_scalar_type(langs))
     if kept:
         x, _ = _code_points([w for w, _ in kept])
         table[(word_hashes(x) & np.uint64(LEXICON - 1)).astype(np.int64)] = [y for _, y in kept]
@@ -154,16 +157,91 @@ def marginals(scores: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.nda
     return p / p.sum(axis=2, keepdims=True), pairs
 
 
+class Letters:
+    """How likely words are, letter by letter, in the languages of a sample: a
+    character trigram model of all of them, smoothed by shorter contexts."""
+
+    SIZE, PRIOR = 1 << 20, 4.0
+
+    def __init__(self, texts: list[list[str]]):
+        self.counts = [np.zeros(self.SIZE, dtype=np.float32) for _ in range(4)]  # of contexts and letters, by length
+        for i in range(0, len(texts), 64):
+            words = [w for ws in texts[i:i + 64] for w in ws]
+            for size, at, _ in self._grams(words):
+                np.add.at(self.counts[size], at, 1)
+        self.total = float(self.counts[1].sum())
+        self.least = 0.0  # of a text's mean, set from the sample
+
+    def _grams(self, words: list[str]):
+        """(length, hashed places, valid) of the letters' n-grams; the letters
+        are those of the words and the mark after each."""
+        if not words:
+            return
+        x, n = _code_points(words)
+        x = np.concatenate([np.ones((len(x), 1), dtype=np.uint64), x], axis=1)
+        valid = np.arange(PIECE + 1)[None, :] <= n[:, None]
+        for size in (1, 2, 3):
+            h = np.full((len(x), PIECE + 1), size, dtype=np.uint64)
+            for k in range(size):
+                h = h * _STEP + x[:, 3 - size + k:3 - size + k + PIECE + 1]
+            yield size, (_fold(h) & np.uint64(self.SIZE - 1)).astype(np.int64)[valid], valid
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """Per word the sum of its letters' log probabilities and their number."""
+        if not words:
+            return np.zeros((0, 2))
+        p = before = None
+        for size, at, valid in self._grams(words):
+            c = self.counts[size][at]
+            if p is None:
+                p = (c + 0.5) / (self.total + 0.5 * 4096)
+            else:
+                p = (np.minimum(c, before) + self.PRIOR * p) / (before + self.PRIOR)
+            # what precedes the next letter, by the same n-gram: a mark precedes the first
+            grid = np.zeros(valid.shape, dtype=np.float32)
+            grid[valid] = c
+            before = np.concatenate([np.full((len(valid), 1), self.starts(size)), grid[:, :-1]], axis=1)[valid]
+        out = np.zeros(valid.shape)
+        out[valid] = np.log(p)
+        return np.stack([out.sum(axis=1), valid.sum(axis=1)], axis=1)
+
+    def starts(self, size: int) -> float:
+        """How often a context of marks alone occurs: before every word."""
+        h = np.full(1, 1, dtype=np.uint64) * _STEP + np.uint64(1)
+        return float(self.counts[1][int(_fold(h)[0] & np.uint64(self.SIZE - 1))])
+
+
+def fit_letters(texts: list[list[str]]) -> Letters:
+    """The letter model of a sample's texts and its bound: each half of the
+    sample, and the same words with their letters shuffled, are scored by a
+    model of the other half; the bound is midway between the lowest hundredth of
+    the texts and the median of the shuffled ones."""
+    letters = Letters(texts)
+    rng = random.Random(SEED)
+    real, shuffled = [], []
+    for half in (0, 1):
+        model = Letters(texts[half::2])
+        for ws in texts[1 - half::2]:
+            for scores, words in ((real, ws), (shuffled, ["".join(rng.sample(w, len(w))) for w in ws])):
+                s = model.word_scores(words).sum(axis=0)
+                scores.append(s[0] / s[1])
+    if real:
+        letters.least = float((np.quantile(real, 0.01) + np.median(shuffled)) / 2)
+    return letters
+
+
 class Crf:
-    """langs, feature weights [features, langs], transition weights, lexicon."""
+    """langs, feature weights [features, langs], transition weights, lexicon,
+    and the letter model that tells words of no known language."""
 
-    def __init__(self, langs, weights, trans, lexicon):
+    def __init__(self, langs, weights, trans, lexicon, letters=None):
         self.langs, self.weights, self.trans, self.lexicon = langs, weights, trans, lexicon
+        self.letters = letters or Letters([])
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         out = np.empty((len(words), len(self.langs)))
         for i in range(0, len(words), 4096):
-            out[i:i + 4096] = self.weights[features(words[i:i + 4096], self.lexicon)].sum(axis=1)
+            out[i:i + 4096] = self.weights[features(words[i:i + 4096], self.lexicon, len(self.langs))].sum(axis=1)
         return out
 
     def tag(self, words: list[str]) -> np.ndarray:
@@ -181,7 +259,7 @@ def fit(rows: list[tuple[str, str]]) -> Crf:
     langs = sorted({lang for _, lang in rows})
     k = len(langs)
     if not k:
-        return Crf([], np.zeros((BUCKETS + 257, 0)), np.zeros((0, 0)), np.zeros(LEXICON, dtype=np.uint8))
+        return Crf([], np.zeros((BUCKETS + 2, 0)), np.zeros((0, 0)), np.zeros(LEXICON, dtype=np.uint8))
     labels = np.array([langs.index(lang) for _, lang in rows])
     lexicon = build_lexicon([ws for ws, _ in rows], labels, k)
     rng = np.random.default_rng(SEED)
@@ -194,8 +272,8 @@ def fit(rows: list[tuple[str, str]]) -> Crf:
             spans.append((part * (SPAN // len(part) + 1))[:SPAN])
             ys.append(y)
     spans, ys = np.array(spans), np.array(ys)
-    known = features(list(vocabulary), lexicon)
-    weights, trans = np.zeros((BUCKETS + 257, k)), np.zeros((k, k))
+    known = features(list(vocabulary), lexicon, k)
+    weights, trans = np.zeros((BUCKETS + k + 2, k)), np.zeros((k, k))
     sw, st = np.full_like(weights, 1e-6), np.full_like(trans, 1e-6)
     for _ in range(EPOCHS):
         first, second = rng.permutation(len(spans)), rng.permutation(len(spans))
@@ -223,7 +301,7 @@ def fit(rows: list[tuple[str, str]]) -> Crf:
             st += tg ** 2
             weights += RATE * grad / np.sqrt(sw)
             trans += RATE * tg / np.sqrt(st)
-    return Crf(langs, weights.astype(np.float32), trans, lexicon)
+    return Crf(langs, weights.astype(np.float32), trans, lexicon, fit_letters([ws for ws, _ in rows]))
 
 
 def document_shares(scores: np.ndarray, doc: np.ndarray, docs: int, trans: np.ndarray) -> np.ndarray:
@@ -370,19 +448,33 @@ def predict_language(docs: DataFrame, model: Crf) -> DataFrame:
             .mapInArrow(_predict(shared), SCHEMA))
 
 
-def keep_known(docs: DataFrame, model: Crf, min_score: float = 0.35) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose words' languages
-    are recognised: not ``und`` and a mean of the words' largest probabilities
-    of ``min_score`` at least, so mixed texts stay. Every row where no language
-    was learned."""
+def keep_known(docs: DataFrame, model: Crf) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text is in the known
+    languages, one or several mixed: it has letters, and the mean log
+    probability of its letters by the model of the sample's letters is not
+    below that model's bound (less for few letters). Texts without letters, in scripts or languages
+    that the sample does not hold, and random letters go. Null and empty texts
+    go, texts of any length are read whole, repeated rows stay or go together.
+    Every row stays where no language was learned."""
     if not model.langs:
         return docs
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.letters)
     at = docs.columns.index("text")
 
     def run(batches):
-        predictor = Predictor(shared.value)
+        letters, known = shared.value, {}
         for batch in batches:
-            keep = [lang != UNKNOWN and sure >= min_score for lang, _, sure in predictor.recognise(batch.column(at).to_pylist())]
+            texts = [words_of(t) for t in batch.column(at).to_pylist()]
+            if len(known) > 500_000:
+                known = {}
+            new = list({w for ws in texts for w in ws if w not in known})
+            for i in range(0, len(new), 4096):
+                part = new[i:i + 4096]
+                known.update(zip(part, letters.word_scores(part).tolist()))
+            keep = []
+            for ws in texts:
+                total = sum(known[w][0] for w in ws)
+                size = sum(known[w][1] for w in ws)
+                keep.append(size > 0 and total / size >= letters.least - SHORT / math.sqrt(size))
             yield batch.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm import (components, decontam, fingerprints, language_crf, mixing, ngram_join, sharding,
                            suffix_dedup, token_cache, url_rules, warc)
-from gaugeflow.llm.common import exclusive_sums, prepare
+from gaugeflow.llm.common import exclusive_sums, prepare, table
 from gaugeflow.session import staging_path
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -254,7 +254,8 @@ def distance_within(pattern, text):
 
 def test_decontamination(spark):
     rng = random.Random(6)
-    items = [(i, words(rng, rng.choice([8, 25, 40]))) for i in range(8)] + [(90, None), (91, ""), (92, "short"), (3, "a" * 60)]
+    items = [(i, words(rng, rng.choice([8, 25, 40]))) for i in range(8)] + [(90, None), (91, ""), (92, "short"), (3, "a" * 60),
+                                                                               (93, "  "), (94, "Two Words"), (95, "c++?")]
     items.append(items[0])
 
     def edited(text, n):
@@ -268,7 +269,8 @@ def test_decontamination(spark):
     for k in range(40):
         text = items[k % 8][1]
         docs.append((100 + k, words(rng, 20) + "\n " + edited(text, k // 4).upper() + " " + words(rng, 20)))
-    docs += [(500, None), (501, ""), (502, "a" * 500), (100, docs[20][1]), (None, items[1][1])]
+    docs += [(500, None), (501, ""), (502, "a" * 500), (503, "shortly two wordsmiths c++?x"),
+             (504, "is SHORT"), (505, "(two\n words)"), (506, "in C++? yes"), (507, "ashort"), (100, docs[20][1]), (None, items[1][1])]
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("x")).repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(0))
     want = Counter()
@@ -279,7 +281,13 @@ def test_decontamination(spark):
                 d = distance_within(pattern, decontam.normalised(text))
                 if d <= k:
                     want[i, item, d, k] += 1
+            elif pattern:  # verbatim, as whole words
+                body = f" {decontam.normalised(text)} "
+                if any(body.startswith(pattern, a) and not body[a - 1].isalnum() and not body[a + len(pattern)].isalnum()
+                       for a in range(1, len(body) - len(pattern))):
+                    want[i, item, 0, 0] += 1
     got = decontam.matches(df, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got if (r.doc_id or 0) > 500 and r.doc_id != 502} == {(504, 92), (505, 94), (506, 95)}
     assert Counter((r.doc_id, r.item_id, r.distance, r.error_budget) for r in got) == want
     assert any(r.distance > 0 for r in got) and not any((r.doc_id or 999) < 20 for r in got)
     clean = decontam.drop_contaminated(df, bench)
@@ -477,6 +485,39 @@ def test_long_runs_of_letters_are_seen_whole():
     assert few == inner == "zh" and few_score > 0.9
 
 
+def test_unknown_languages_and_noise_go_clean_texts_stay(spark):
+    """On the given documents, with texts in other scripts and languages and random letters among them."""
+    prepare(spark)
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rng = random.Random(21)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    planted = [
+        "Однажды в студёную зимнюю пору я из лесу вышел был сильный мороз",
+        "今天天气很好我们去公园散步看花然后回家吃饭" * 3,
+        "Litwo ojczyzno moja ty jesteś jak zdrowie ile cię trzeba cenić ten tylko się dowie kto cię stracił",
+        "Hazádnak rendületlenül légy híve oh magyar bölcsőd az s majdan sírod is mely ápol s eltakar",
+        "Kde domov můj voda hučí po lučinách bory šumí po skalinách v sadě skví se jara květ",
+        "asdf jkl qwer uiop zxcv asdfgh jklm qwerty uiop zxcvbn asdf lkj poiu mnbv qwop asdl zxcm",
+        *(" ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(60)) for _ in range(20))]
+    rows = [(10 ** 9 + i, t) for i, t in enumerate(planted)]
+    extra = spark.createDataFrame(rows, "doc_id long, text string").select(
+        *[c if c in ("doc_id", "text") else F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    kept = language_crf.keep_known(docs.unionByName(extra), language_crf.train(docs))
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    lettered = {r.doc_id for r in docs.select("doc_id", "text").collect() if language_crf.words_of(r.text)}
+    assert not ids & {i for i, _ in rows}
+    assert ids == lettered
+
+
+def test_more_languages_than_a_byte_counts(monkeypatch):
+    monkeypatch.setattr(language_crf, "EPOCHS", 1)
+    word = {f"l{k:03}": chr(0x4E00 + 2 * k) * 3 + chr(0x4E01 + 2 * k) for k in range(260)}
+    model = language_crf.fit([(" ".join([w] * 4), lang) for lang, w in word.items()])
+    assert len(model.langs) == 260 and int(model.lexicon.max()) == 260
+    found = language_crf.Predictor(model).predict([w for w in word.values()])
+    assert [x for x, _ in found] == list(word)
+
+
 def test_mixed_texts_are_kept(spark, none, docs):
     prepare(spark)
     rng = random.Random(15)
