@@ -9,7 +9,6 @@ words, which is its score.
 
 from __future__ import annotations
 
-import math
 import random
 import re
 from collections import Counter
@@ -462,19 +461,18 @@ def keep_known(docs: DataFrame, model: Crf) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
-        letters, known = shared.value, {}
+        letters, known, scores = shared.value, {}, np.zeros((0, 2))
         for batch in batches:
             texts = [words_of(t) for t in batch.column(at).to_pylist()]
             if len(known) > 500_000:
-                known = {}
-            new = list({w for ws in texts for w in ws if w not in known})
-            for i in range(0, len(new), 4096):
-                part = new[i:i + 4096]
-                known.update(zip(part, letters.word_scores(part).tolist()))
-            keep = []
-            for ws in texts:
-                total = sum(known[w][0] for w in ws)
-                size = sum(known[w][1] for w in ws)
-                keep.append(size > 0 and total / size >= letters.least - SHORT / math.sqrt(size))
+                known, scores = {}, np.zeros((0, 2))
+            had = len(known)
+            ids = np.fromiter((known.setdefault(w, len(known)) for ws in texts for w in ws), np.int64)
+            new = list(known)[had:]
+            scores = np.concatenate([scores, *(letters.word_scores(new[i:i + 4096]) for i in range(0, len(new), 4096))])
+            doc = np.repeat(np.arange(len(texts)), [len(ws) for ws in texts])
+            total, size = (np.bincount(doc, scores[ids, c], len(texts)) for c in (0, 1))
+            mean = total / np.maximum(size, 1)
+            keep = (size > 0) & (mean >= letters.least - SHORT / np.sqrt(np.maximum(size, 1)))
             yield batch.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
