@@ -92,7 +92,14 @@ _QUERIES = {f.__name__: f for f in (
 
 # Token counts need the tokenizer, the other queries hashes, models or searches
 # that SQL on whole tables cannot express in reasonable time.
-_ORACLE: dict[str, str] = {}
+_ORACLE: dict[str, str] = {
+    "op4_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS n FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS last FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < last THEN last END AS refers_to
+FROM q""",
+}
 
 
 def queries():
