@@ -2,10 +2,10 @@
 
 Every source's words, documents in a fixed pseudorandom order, are packed into
 blocks of ``block_words`` words. The mix is a row of output shards with
-``shard_blocks`` slots each. Per shard the counts of the sources are drawn with
-the means of a multinomial draw: a source's expectation, summed over the shards,
-is rounded with one random offset per source, so that its total is within one
-block of its target. The j-th slot of a source is mapped
+``shard_blocks`` slots each. A source's total is its expectation, rounded with a
+random offset, so it is within one block of its target. Given the totals, the
+counts of the sources per shard are drawn multinomially: all turns are shuffled
+over all slots by one permutation. The j-th slot of a source is mapped
 through that source's index permutation (one per pass over the source) to a
 block, and blocks and slots meet in a join on the block index.
 """
@@ -25,6 +25,7 @@ DOCS_PER_BIN = 256
 SEED = 20240601
 ROUNDS = 10
 BLOCKS_PER_TASK = 1 << 18
+CHUNK = 1 << 12
 
 
 @dataclass
@@ -80,37 +81,43 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget: float = 1.5,
             .select("source", "source_size", "rank", "weight", "target"))
 
 
-def _shard_counts(sources: DataFrame, shard_blocks: int, epochs: float) -> DataFrame:
-    """(rank, shard, blocks, before, count, position): the turns of each source
-    dealt with each output shard. ``before`` of its turns come earlier, and
-    ``position`` is the place of the first one in the mix, sources in rank order.
+def _turns(sources: DataFrame, epochs: float) -> DataFrame:
+    """Per source the number of its ``turns`` in the mix, the ``first`` place of
+    them when all sources' turns stand in one row, and that row's length ``slots``.
 
-    The expectation up to a shard, plus an offset in [0, 1) of the source,
-    rounded down, is the number of turns up to it: counts have the mean of a
-    draw by the sources' shares, and any running sum is within one of its own.
-    What shards have too many or too few of goes over to or comes from the next
-    one by position, so all but the last one are full.
-    """
+    A source's expectation in blocks plus an offset in [0, 1) of the source is
+    rounded down, so its total is within one block of its target."""
     df = (sources.filter("source_size > 0")
           .withColumn("__want", F.least(F.col("target") * F.col("blocks") / F.col("source_size"),
                                         F.col("blocks") * F.lit(float(epochs))))
-          .withColumn("__offset", uniform(F.lit(SEED), F.col("rank")))
-          .withColumn("__sum", F.sum("__want").over(Window.partitionBy()))
-          .withColumn("__last", F.greatest(F.ceil(F.col("__sum") / F.lit(shard_blocks)), F.lit(1)).cast("long") - 1)
-          .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), "__last"))))
-
-    def up_to(shards):
-        share = F.when(shards > F.col("__last"), F.lit(1.0)).otherwise(shards * F.lit(float(shard_blocks)) / F.col("__sum"))
-        turns = F.floor(F.col("__want") * share + F.col("__offset")).cast("long")
-        # the last turn of the cap by rounding of doubles only
-        return F.least(turns, F.floor(F.col("blocks") * F.lit(float(epochs))).cast("long"))
-
-    shard, in_order = Window.partitionBy("shard"), Window.partitionBy("shard").orderBy("rank")
-    return (df.withColumn("before", up_to(F.col("shard")))
-            .withColumn("count", up_to(F.col("shard") + 1) - F.col("before"))
-            .withColumn("position", F.sum("before").over(shard) - F.col("count")
-                        + F.sum("count").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-            .select("rank", "shard", "blocks", "before", "count", "position"))
+          # the last turn of the cap by rounding of doubles only
+          .withColumn("turns", F.least(F.floor(F.col("__want") + uniform(F.lit(SEED), F.col("rank"))).cast("long"),
+                                       F.floor(F.col("blocks") * F.lit(float(epochs))).cast("long")))
+          .filter("turns > 0"))
+    before = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)  # one row per source
+    return df.select("rank", "blocks", "turns", F.coalesce(F.sum("turns").over(before), F.lit(0)).alias("first"),
+                     F.sum("turns").over(Window.partitionBy()).alias("slots"))
+
+
+def _shard_counts(turns: DataFrame, shard_blocks: int, parts: int) -> DataFrame:
+    """(rank, blocks, shard, count, before): the turns of each source drawn for
+    each output shard, and how many of its turns are in earlier ones.
+
+    The row of all turns is shuffled by a permutation of its places and cut into
+    shards, so the counts are a multinomial draw by the sources' shares given
+    the sources' totals, and all shards but the last are full. The row is
+    unfolded in two steps, dealt out anew before each."""
+    chunk, step = F.lit(CHUNK).cast("long"), F.lit(CHUNK * CHUNK).cast("long")
+    last = F.col("turns") - 1
+    chunks = (turns.withColumn("__step", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / step))))
+              .repartition(parts, "rank", "__step")
+              .withColumn("__chunk", F.explode(F.sequence(F.col("__step") * chunk, F.least((F.col("__step") + 1) * chunk - 1, F.floor(last / chunk)))))
+              .repartition(parts, "rank", "__chunk"))
+    places = chunks.withColumn("turn", F.explode(F.sequence(F.col("__chunk") * chunk, F.least((F.col("__chunk") + 1) * chunk - 1, last))))
+    drawn = permuted(F.col("first") + F.col("turn"), F.col("slots"), F.lit(SEED + 2))
+    counts = (places.select("rank", "blocks", F.floor(drawn / F.lit(shard_blocks)).cast("long").alias("shard"))
+              .groupBy("rank", "blocks", "shard").agg(F.count("*").alias("count")))
+    return exclusive_sums(stage(counts, "mix-counts"), ["rank"], "shard", "count", "before")
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, budget: float = 1.5, epochs: int = 2,
@@ -144,9 +151,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = 1.5, epochs: int = 2,
     blocks = (placed.filter("size > 0").repartition(parts, "rank", "offset").withColumn("block", F.explode(F.sequence(first, last)))
               .withColumn("words", F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * width)
                           - F.greatest(F.col("offset"), F.col("block") * width)))
-    slots = (_shard_counts(sources, shard_blocks, epochs).filter("count > 0").repartition(parts, "rank", "shard")
+    slots = (_shard_counts(_turns(sources, epochs), shard_blocks, parts).repartition(parts, "rank", "shard")
              .withColumn("turn", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("count") - 1)))
-             .withColumn("shard", F.floor((F.col("position") + F.col("turn") - F.col("before")) / F.lit(shard_blocks)).cast("long"))
              .withColumn("epoch", F.floor(F.col("turn") / F.col("blocks")).cast("long")))
     block = permuted(F.pmod("turn", "blocks"), F.col("blocks"), F.lit(SEED), F.col("rank"), F.col("epoch"))
     slots = slots.select("shard", "rank", "epoch", "turn", block.alias("block"))

@@ -174,6 +174,28 @@ def test_mix_keeps_small_sources_near_their_targets(spark):
     assert all(t == list(range(len(t))) for t in turns.values())
 
 
+def test_mix_counts_are_drawn_and_taken_is_what_the_slots_hold(spark):
+    prepare(spark)
+    data = [(i, "w " * (1 + 37 * i % 90), "abc"[(i > 400) + (i > 560)]) for i in range(600)]
+    plan = mixing.mix(spark.createDataFrame(data, "doc_id long, text string, source string"), block_words=4, shard_blocks=64)
+    slots = [(r.shard, r.rank, r.block) for r in plan.slots.collect()]
+    shards = max(s for s, _, _ in slots)  # the last one may be short
+    counts = Counter((s, rank) for s, rank, _ in slots if s < shards)
+    totals = Counter(rank for _, rank, _ in slots)
+    assert shards > 60 and len(totals) == 3
+    for rank, n in totals.items():
+        p = n / len(slots)
+        spread = 64 * p * (1 - p) * (len(slots) - 64) / (len(slots) - 1)
+        mean = [counts[s, rank] for s in range(shards)]
+        assert sum((c - 64 * p) ** 2 for c in mean) / shards == pytest.approx(spread, rel=0.45)
+        assert sum(mean) / shards == pytest.approx(64 * p, rel=0.1)
+    times = Counter((rank, block) for _, rank, block in slots)
+    place = {(r.doc_id, r.size): (r.rank, r.offset) for r in plan.rows.collect()}
+    got = {r.doc_id: r.taken for r in mixing.taken_words(plan).collect()}
+    for (i, size), (rank, offset) in place.items():
+        assert got[i] == sum(times[rank, w // 4] for w in range(offset, offset + size))
+
+
 def test_permutation_is_a_bijection(spark):
     for n in (1, 2, 7, 100):
         df = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(3)).alias("x"))
