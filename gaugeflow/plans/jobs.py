@@ -26,10 +26,11 @@ from gaugeflow.operators.replace import replace_rows
 from gaugeflow.sinks.swap import commit_swap, file_system, finish_swaps, new_swap
 from gaugeflow.sinks.tables import (
     Staging,
-    append_hourly,
+    append_recorded,
     clear_pending,
     drop_months_before,
     folder_ids,
+    forget_pages,
     in_folders,
     mark_pending,
     overwrite_partitions,
@@ -42,22 +43,27 @@ from gaugeflow.sinks.tables import (
     write_report,
     write_station_csv,
 )
-from gaugeflow.sources.tables import Warehouse, read_hourly, read_station_metadata
+from gaugeflow.sources.tables import Warehouse, read_consumed, read_hourly, read_station_metadata
 
 
 def run_update(spark: SparkSession, wh: Warehouse, pages: DataFrame, as_of, days: int = LOOKBACK_DAYS,
-               base_url: str = "", recent_days: int = RECENT_DAYS) -> DataFrame:
-    """C2 + K1 + K7, then the changed parts of the daily and recent marts."""
+               base_url: str = "", recent_days: int = RECENT_DAYS, mover: Callable | None = None) -> DataFrame:
+    """C2 + K1 + K7, then the changed parts of the daily and recent marts.
+
+    Accepted pages are recorded together with their rows, so a run that is
+    repeated, after a failure at any point or without one, adds nothing.
+    ``mover``: how files are moved (:func:`gaugeflow.sinks.swap.move`)."""
     finish_swaps(spark, *wh.tables)
     stations = read_station_metadata(spark, wh.station_metadata)
     stored = read_hourly(spark, wh.hourly, as_of, days)
     with Staging(spark) as stage:
-        result = update_hourly(pages, stations, stored, as_of, days, base_url, stage=stage)
+        result = update_hourly(pages, stations, stored, as_of, days, base_url, stage=stage,
+                               consumed=read_consumed(spark, wh.consumed, pages))
         # Cut the new rows' lineage: they are compared with the table they are appended to.
         new = result.new_rows.checkpoint()
-        if has_new(new):
+        if has_new(new) or has_new(result.accepted):
             mark_pending(spark, wh, folder_ids(with_partitions(new, table_buckets(spark, wh.hourly))))
-            append_hourly(new, wh.hourly)
+            append_recorded(new, result.accepted, wh, mover)
         write_report(result.status, wh.report, dt.datetime.now().isoformat(), "update")
     refresh_marts(spark, wh, as_of, recent_days)
     return new
@@ -144,6 +150,7 @@ def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: st
         folders = sorted(set(new_folders) | set(folder_ids(old)))
         scoped = current.where(in_folders(folders)).drop("month", "sbucket")
         mark_pending(spark, wh, folders)
+        forget_pages(spark, wh, pages.select("station_url_name").distinct())
         overwrite_partitions(replace_rows(scoped, new), wh.hourly, folders, buckets, mover=mover)
         write_report(result.status, wh.report, dt.datetime.now().isoformat(), "reset")
     refresh_marts(spark, wh, as_of, recent_days)
@@ -216,7 +223,7 @@ def full_reset(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_
 
     new = {n for n in names(beside.root) if not n.startswith(".")}  # no checksum files: they move with theirs
     tables = {wh.hourly, wh.daily, wh.hourly_recent}
-    stale = {n for n in names(wh.root) if n == "pending" or any(n.startswith(f"{t.rsplit('/', 1)[1]}.buckets-") for t in tables)}
+    stale = {n for n in names(wh.root) if n in ("pending", "consumed") or any(n.startswith(f"{t.rsplit('/', 1)[1]}.buckets-") for t in tables)}
     commit_swap(spark, swap, wh.root, {n: False for n in stale - new} | {n: True for n in new}, mover)
 
 

@@ -54,11 +54,14 @@ def parse_pages(pages: DataFrame, stations: DataFrame, wanted_only: bool = False
 
     Output: page columns (html dropped) + ``STATION_NAME, STATION_NUMBER,
     names, parsed, error, status``. ``status`` is 'success', 'Error: link
-    invalid' (HTTP status other than 200) or 'Error: <first error>'.
+    invalid' (HTTP status other than 200) or 'Error: <first error>'. Pages with
+    a true column ``seen``, if there is one, were accepted by an earlier run:
+    they are not parsed again and count as a success without rows.
     """
+    seen = F.col("seen") if "seen" in pages.columns else F.lit(False)
     keep = [c for c in pages.columns if c != "html"]
     p = wanted_pages(pages, stations) if wanted_only else attach_station(pages, stations)
-    table = html_table_rows(F.col("html"))
+    table = html_table_rows(F.when(~seen, F.col("html")))
     p = p.select(*keep, "STATION_NAME", "STATION_NUMBER", table.alias("_t"))
     names = canonical_columns(F.col("group"), F.col("_t.width"))
     p = p.select(
@@ -103,11 +106,12 @@ def parse_pages(pages: DataFrame, stations: DataFrame, wanted_only: bool = False
     )
     fetched = F.coalesce(F.col("http_status") == HTTP_OK, F.lit(False))
     status = (
-        F.when(~fetched, F.lit(STATUS_LINK_INVALID))
+        F.when(seen, F.lit(STATUS_SUCCESS))
+        .when(~fetched, F.lit(STATUS_LINK_INVALID))
         .when(F.col("error").isNotNull(), F.concat(F.lit(ERROR_PREFIX), F.col("error")))
         .otherwise(F.lit(STATUS_SUCCESS))
     )
-    return p.withColumn("error", F.when(fetched, error)).withColumn("status", status)
+    return p.withColumn("error", F.when(fetched & ~seen, error)).withColumn("status", status)
 
 
 def page_rows(parsed: DataFrame) -> DataFrame:
@@ -140,7 +144,7 @@ def page_rows(parsed: DataFrame) -> DataFrame:
 
 def page_status(parsed: DataFrame) -> DataFrame:
     """(group, station_url_name, url, status, n_rows) per landed page."""
-    n = F.when(F.col("status") == STATUS_SUCCESS, F.aggregate(F.col("parsed"), F.lit(0), lambda acc, r: acc + F.size(r["vals"]))).otherwise(F.lit(0))
+    n = F.when(F.col("status") == STATUS_SUCCESS, F.aggregate(F.coalesce("parsed", F.array()), F.lit(0), lambda acc, r: acc + F.size(r["vals"]))).otherwise(F.lit(0))
     return parsed.select("group", "station_url_name", "url", "status", n.cast("long").alias("n_rows"))
 
 

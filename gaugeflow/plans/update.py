@@ -13,7 +13,8 @@ from gaugeflow.operators.dedup import new_rows as anti_new_rows
 from gaugeflow.operators.filters import lookback
 from gaugeflow.operators.links import all_links
 from gaugeflow.plans.normalize import normalize_pages
-from gaugeflow.sources.tables import month_key
+from gaugeflow.schemas import CONSUMED
+from gaugeflow.sources.tables import landed_month, month_key, page_digest
 
 
 @dataclass
@@ -21,6 +22,15 @@ class UpdateResult:
     new_rows: DataFrame
     status: DataFrame
     page_status: DataFrame
+    accepted: DataFrame | None = None
+
+
+def mark_seen(pages: DataFrame, consumed: DataFrame) -> DataFrame:
+    """Pages with their ``digest``, ``landed`` month and whether an earlier run consumed
+    them (``seen``); ``consumed`` holds distinct digests."""
+    pages = pages.withColumn("digest", page_digest()).withColumn("landed", landed_month())
+    known = consumed.select("digest", F.lit(True).alias("_known"))
+    return pages.join(known, "digest", "left").withColumn("seen", F.col("_known").isNotNull()).drop("_known")
 
 
 def link_errors(page_status: DataFrame) -> DataFrame:
@@ -52,7 +62,8 @@ def link_outcome(links: DataFrame, page_status: DataFrame) -> DataFrame:
 
 def update_hourly(pages: DataFrame, stations: DataFrame, stored: DataFrame, as_of,
                   days: int | None = LOOKBACK_DAYS, base_url: str = "", how: str = "auto",
-                  stage: Callable[[DataFrame], DataFrame] | None = None) -> UpdateResult:
+                  stage: Callable[[DataFrame], DataFrame] | None = None,
+                  consumed: DataFrame | None = None) -> UpdateResult:
     """One update run.
 
     Only pages of wanted links (station has the group's data flag) are
@@ -62,8 +73,13 @@ def update_hourly(pages: DataFrame, stations: DataFrame, stored: DataFrame, as_o
     rows are compared with all stored rows of their months (``stored`` then
     has its ``month`` column), so replayed pages add nothing whatever their age.
     ``stage`` holds the parsed pages once for rows and status (jobs give it).
+    ``consumed`` (digest) are pages that earlier runs have appended: they
+    succeed and add nothing, also where their rows are older than the lookback;
+    ``accepted`` of the result are then the pages to record (``CONSUMED``).
     """
     links = all_links(stations, base_url)
+    if consumed is not None:
+        pages = mark_seen(pages, consumed)
     norm = normalize_pages(pages, stations, wanted_only=True, stage=stage)
     if days is None:
         months = norm.rows.select(month_key().alias("month")).distinct()
@@ -75,4 +91,6 @@ def update_hourly(pages: DataFrame, stations: DataFrame, stored: DataFrame, as_o
         new_rows=fresh,
         status=link_outcome(links, norm.status),
         page_status=norm.status,
+        accepted=None if consumed is None else norm.parsed.where((F.col("status") == STATUS_SUCCESS) & ~F.col("seen"))
+        .select(*CONSUMED.names).distinct(),
     )

@@ -97,6 +97,16 @@ STATUS = T.StructType(
     ]
 )
 
+# Pages whose rows an update has appended; ``landed`` is the month of the fetch.
+CONSUMED = T.StructType(
+    [
+        T.StructField("group", T.StringType()),
+        T.StructField("station_url_name", T.StringType()),
+        T.StructField("digest", T.StringType()),
+        T.StructField("landed", T.StringType()),
+    ]
+)
+
 # Greatest error per link of the pages that a stream has seen (null: none).
 LINK_ERRORS = T.StructType(
     [

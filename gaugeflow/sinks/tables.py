@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 from gaugeflow.constants import CSV_NULL
 from gaugeflow.operators.links import all_valid
 from gaugeflow.session import staging_path
-from gaugeflow.sinks.swap import commit_swap, delete as _delete, file_system as _file_system, finish_swaps, new_swap
-from gaugeflow.sources.tables import PARTITION_COLUMNS, Warehouse, month_key
+from gaugeflow.schemas import CONSUMED
+from gaugeflow.sinks.swap import commit_swap, delete as _delete, exists, file_system as _file_system, finish_swaps, new_swap
+from gaugeflow.sources.tables import PARTITION_COLUMNS, Warehouse, month_key, read_table
 
 # Buckets of a table created without a number. A station reset rewrites one
 # bucket of each touched month, so large tables are created with more.
@@ -107,6 +108,44 @@ def append_hourly(rows: DataFrame, path: str) -> None:
     write_partitioned(rows, path, "append")
 
 
+def append_recorded(rows: DataFrame, accepted: DataFrame, wh: Warehouse,
+                    mover: Callable[[SparkSession, str, str], None] | None = None) -> None:
+    """K1 with its record: new hourly rows and the pages they came from
+    (``CONSUMED``) are written beside the tables and appear by one journalled
+    swap of files, so a run that failed has appended and recorded its pages or
+    done neither."""
+    spark = rows.sparkSession
+    finish_swaps(spark, *wh.tables)
+    swap = new_swap(wh.root)
+    new = f"{swap}/new"
+    write_partitioned(rows, f"{new}/hourly", "errorifexists", table_buckets(spark, wh.hourly))
+    accepted.hint("rebalance", "landed").write.partitionBy("landed").parquet(f"{new}/consumed")
+    commit_swap(spark, swap, wh.root, {name: True for name in _data_files(spark, new)}, mover)
+
+
+def _data_files(spark: SparkSession, root: str) -> list[str]:
+    """Data files under a folder, as relative names (their names are unique to a write)."""
+    fs, hadoop = _file_system(spark, root)
+    base = fs.makeQualified(hadoop(root)).toString()
+    files, names = fs.listFiles(hadoop(root), True), []
+    while files.hasNext():
+        path = files.next().getPath()
+        if path.getName().startswith("part-"):
+            names.append(path.toString()[len(base) + 1:])
+    return names
+
+
+def forget_pages(spark: SparkSession, wh: Warehouse, names: DataFrame) -> None:
+    """Drop the record of the pages of stations (station_url_name) whose stored
+    rows are about to be replaced, so that such pages can be landed again."""
+    kept = read_table(spark, CONSUMED, wh.consumed).join(names, "station_url_name", "left_anti")
+    finish_swaps(spark, wh.consumed)
+    if exists(spark, wh.consumed):
+        swap = new_swap(wh.consumed)
+        kept.select(*CONSUMED.names).hint("rebalance", "landed").write.partitionBy("landed").parquet(f"{swap}/new")
+        commit_swap(spark, swap, wh.consumed, {"": True})
+
+
 def create_empty(spark: SparkSession, schema: T.StructType, path: str, partitioned: bool = False,
                  buckets: int | None = None) -> None:
     """K3: (re)create a table with no rows; a partitioned one gets ``buckets``
@@ -267,4 +306,5 @@ def reset_tables(spark: SparkSession, wh: Warehouse, buckets: int | None = None)
     create_empty(spark, DAILY, wh.daily, True, buckets)
     create_empty(spark, HOURLY, wh.hourly_recent, True, buckets)
     create_empty(spark, STATIONS, wh.station_metadata)
+    _delete(spark, wh.consumed)
     _delete(spark, wh.pending)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from gaugeflow.constants import CSV_NULL, HOURLY_COLUMNS
 from gaugeflow.operators.filters import window_start
-from gaugeflow.schemas import DAILY, HOURLY, NAV_PAGES, PAGES, SERIES_RANGES, STATIONS
+from gaugeflow.schemas import CONSUMED, DAILY, HOURLY, NAV_PAGES, PAGES, SERIES_RANGES, STATIONS
 
 # Partition columns of the stored hourly and daily tables.
 PARTITION_COLUMNS = ["month", "sbucket"]
@@ -56,7 +56,11 @@ class Warehouse:
     @property
     def tables(self) -> list[str]:
         """The tables whose folders are replaced by swaps, the root first."""
-        return [self.root, self.hourly, self.daily, self.hourly_recent, self.station_metadata]
+        return [self.root, self.hourly, self.daily, self.hourly_recent, self.station_metadata, self.consumed]
+
+    @property
+    def consumed(self) -> str:
+        return f"{self.root}/consumed"
 
     @property
     def pending(self) -> str:
@@ -113,6 +117,24 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGES).parquet(path)
 
 
+def page_digest() -> Column:
+    """Digest of a landed page: its link, its fetch and its content."""
+    link = F.to_json(F.struct("group", "station_url_name", "url", "http_status", "fetched_at", F.sha2("html", 256).alias("html")))
+    return F.sha2(link, 256)
+
+
+def landed_month() -> Column:
+    """Month of a page's fetch, the partition of the record of consumed pages."""
+    return month_key("fetched_at")
+
+
+def read_consumed(spark: SparkSession, path: str, pages: DataFrame) -> DataFrame:
+    """Digests of the consumed pages that were fetched in the same months as
+    ``pages`` (the months, few, come to the driver; only their folders are read)."""
+    months = [r[0] for r in pages.select(landed_month()).distinct().collect()]
+    return read_table(spark, CONSUMED, path).where(F.col("landed").isin(months)).select("digest").distinct()
+
+
 def read_nav_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed sidebar / home pages."""
     return spark.read.schema(NAV_PAGES).parquet(path)
