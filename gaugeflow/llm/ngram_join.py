@@ -7,6 +7,11 @@ candidates; candidate components are cut into blocks of bounded size, and two
 blocks with a common band hash meet in one task, which compares the full
 n-gram sets of all their classes and returns only link counts and a spanning
 forest of the links found - never the pairs.
+
+Membership alone needs no link counts (:func:`similarity_members`): every class
+is first compared with one center of each of its buckets, and only buckets that
+these links leave in several components are compared by blocks, where members
+of one component are never compared with each other.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.llm.common import stage
@@ -26,6 +31,8 @@ from gaugeflow.llm.components import components
 NGRAM, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.999, 64
 # A block holds about this many classes and n-grams.
 BLOCK_DOCS, BLOCK_GRAMS = 48, 500_000
+# Classes that one task compares with a common center.
+STAR_DOCS = 1024
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -189,16 +196,29 @@ def _compare(n, threshold):
     return run
 
 
-def _meetings(classes: DataFrame) -> DataFrame:
-    """(pid, cid, side, rep, copies): the classes each comparison task needs."""
+def _buckets(classes: DataFrame) -> DataFrame:
+    """(band, hash, cid, center) of band hashes that several classes have."""
     entries = classes.select("cid", F.posexplode("bands").alias("band", "hash"))
     shared = stage(entries.groupBy("band", "hash").agg(F.min("cid").alias("center"), F.count("*").alias("n"))
                    .filter("n > 1").drop("n"), "join-buckets")
-    bucketed = stage(entries.join(shared, ["band", "hash"]), "join-entries")
+    return stage(entries.join(shared, ["band", "hash"]), "join-entries")
+
+
+def _placed(classes: DataFrame, bucketed: DataFrame) -> DataFrame:
+    """Classes with the ``root`` of their candidate component."""
     roots = components(bucketed.select(F.col("cid").alias("a"), F.col("center").alias("b")).distinct())
-    placed = stage(roots.withColumnRenamed("node", "cid").join(classes.drop("bands"), "cid"), "join-roots")
-    need = placed.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK_DOCS), F.sum("grams") / F.lit(BLOCK_GRAMS)))
-                                      .cast("long").alias("blocks"))
+    return stage(roots.withColumnRenamed("node", "cid").join(classes.drop("bands"), "cid"), "join-roots")
+
+
+def _block_count() -> Column:
+    return F.ceil(F.greatest(F.count("*") / F.lit(BLOCK_DOCS), F.sum("grams") / F.lit(BLOCK_GRAMS))).cast("long")
+
+
+def _meetings(classes: DataFrame) -> DataFrame:
+    """(pid, cid, side, rep, copies): the classes each comparison task needs."""
+    bucketed = _buckets(classes)
+    placed = _placed(classes, bucketed)
+    need = placed.groupBy("root").agg(_block_count().alias("blocks"))
     blocks = stage(placed.join(stage(need, "join-need"), "root")
                    .select("cid", "rep", "copies", "blocks",
                            F.xxhash64("root", F.pmod(F.xxhash64("cid"), F.col("blocks"))).alias("block")), "join-blocks")
@@ -209,11 +229,98 @@ def _meetings(classes: DataFrame) -> DataFrame:
     pairs = spots.join(other, ["band", "hash"]).filter("block < other").select("block", "other").distinct()
     alone = blocks.select("block").distinct().select("block", F.col("block").alias("other"))
     meet = stage(pairs.unionByName(alone).withColumn("pid", F.xxhash64("block", "other")), "join-meetings")
+    return _assigned(meet, blocks)
+
+
+def _assigned(meet: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(pid, cid, side, rep, copies) of meetings (pid, block, other)."""
     ends = (meet.select("pid", "block", F.lit(0).alias("side"))
             .unionByName(meet.filter("block != other").select("pid", F.col("other").alias("block"), F.lit(1).alias("side"))))
     return stage(ends.join(blocks, "block").select("pid", "cid", "side", "rep", "copies"), "join-assign")
 
 
+def _compare_center(n, threshold):
+    def rows(batches):
+        for batch in batches:
+            yield from zip(*(batch.column(c).to_pylist() for c in ("pid", "cid", "side", "text")))
+
+    def run(batches):
+        shingler = Shingler(n)
+        a, b = [], []
+        for _, group in groupby(rows(batches), key=lambda r: r[0]):
+            center = None  # comes first
+            for _, cid, side, text in group:
+                if side and center is None:
+                    break
+                if center is not None and not side:
+                    continue  # rows repeated with one id
+                grams = shingler.grams(text)
+                if class_key(grams) != cid:
+                    continue
+                if not side:
+                    center = cid, grams
+                    continue
+                common = len(np.intersect1d(center[1], grams, assume_unique=True))
+                if common >= threshold * (len(center[1]) + len(grams) - common) - 1e-9:
+                    a.append(cid); b.append(center[0])
+            if len(a) > 5000:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+                a, b = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+    return run
+
+
+def _star_links(texts: DataFrame, classes: DataFrame, bucketed: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(a, b): classes at least ``threshold`` similar to the center of one of
+    their buckets. A class's text is sent once per center, the center's once
+    per STAR_DOCS members."""
+    pairs = stage(bucketed.filter("cid != center").select("cid", "center").distinct(), "join-stars")
+    chunks = pairs.groupBy("center").agg(F.ceil(F.count("*") / F.lit(STAR_DOCS)).cast("long").alias("chunks"))
+    members = stage(pairs.join(stage(chunks, "join-chunks"), "center")
+                    .withColumn("pid", F.xxhash64("center", F.pmod(F.xxhash64("cid"), F.col("chunks")))), "join-members")
+    sides = (members.select("pid", F.col("center").alias("cid"), F.lit(0).alias("side")).distinct()
+             .unionByName(members.select("pid", "cid", F.lit(1).alias("side"))))
+    assign = stage(sides.join(classes.select("cid", "rep"), "cid"), "join-star-assign")
+    return stage(texts.join(assign, F.col("__doc").eqNullSafe(F.col("rep"))).select("pid", "cid", "side", "text")
+                 .repartition("pid").sortWithinPartitions("pid", "side", "cid")
+                 .mapInArrow(_compare_center(n, threshold), "a binary, b binary"), "join-star-links")
+
+
+def _open_meetings(classes: DataFrame, bucketed: DataFrame, known: DataFrame) -> DataFrame:
+    """(pid, cid, side, rep, copies) for the buckets that hold several of the
+    components ``known`` (cid, comp) so far. A component with more than a block of
+    classes there has blocks of its own, which do not meet each other; the other
+    classes share blocks."""
+    tied = stage(bucketed.join(known, "cid"), "join-tied")
+    mixed = tied.groupBy("band", "hash").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least != most")
+    left = stage(tied.join(mixed.select("band", "hash"), ["band", "hash"]), "join-open")
+    placed = _placed(classes, left).join(known, "cid")
+    large = placed.groupBy("root", "comp").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK_DOCS)
+    placed = stage(placed.join(large.select("root", "comp", F.col("comp").alias("part")), ["root", "comp"], "left")
+                   .withColumn("part", F.coalesce("part", F.expr("X''"))), "join-open-roots")
+    need = stage(placed.groupBy("root", "part").agg(_block_count().alias("blocks")), "join-need")
+    blocks = stage(placed.join(need, ["root", "part"])
+                   .select("cid", "rep", "copies", "part",
+                           F.xxhash64("root", "part", F.pmod(F.xxhash64("cid"), F.col("blocks"))).alias("block")), "join-blocks")
+    spots = stage(left.join(blocks.select("cid", "block", "part"), "cid").select("band", "hash", "block", "part").distinct(), "join-spots")
+    other = spots.select("band", "hash", F.col("block").alias("other"), F.col("part").alias("other_part"))
+    pairs = (spots.join(other, ["band", "hash"]).filter("block < other and (part != other_part or part = X'')")
+             .select("block", "other").distinct())
+    alone = blocks.filter("part = X''").select("block").distinct().select("block", F.col("block").alias("other"))
+    meet = stage(pairs.unionByName(alone).withColumn("pid", F.xxhash64("block", "other")), "join-meetings")
+    return _assigned(meet, blocks)
+
+
+def _signed_classes(docs: DataFrame, n: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """Rows with their class (doc_id, cid), and the classes of equal n-gram sets."""
+    bands, rows = choose_bands(threshold, recall)
+    signed = stage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sign(n, bands, rows), _SIGNATURES), "join-signed")
+    classes = stage(signed.filter("cid is not null").groupBy("cid")
+                    .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"),
+                         F.first("grams").alias("grams"), F.first("bands").alias("bands")), "join-classes")
+    return signed, classes
+
+
 def similarity_classes(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
                        recall: float = RECALL) -> DataFrame:
     """(doc_id, class_id, n_links) for each row of ``docs`` (doc_id, text):
@@ -227,11 +334,7 @@ def similarity_classes(docs: DataFrame, n: int = NGRAM, threshold: float = THRES
     verified on the full sets; a pair at the threshold is compared with
     probability ``recall`` at least.
     """
-    bands, rows = choose_bands(threshold, recall)
-    signed = stage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sign(n, bands, rows), _SIGNATURES), "join-signed")
-    classes = stage(signed.filter("cid is not null").groupBy("cid")
-                    .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"),
-                         F.first("grams").alias("grams"), F.first("bands").alias("bands")), "join-classes")
+    signed, classes = _signed_classes(docs, n, threshold, recall)
     texts = docs.select(F.col("doc_id").cast("long").alias("__doc"), "text")
     assign = _meetings(classes)
     found = stage(texts.join(assign.hint("shuffle_hash"), F.col("__doc").eqNullSafe(F.col("rep")))
@@ -252,16 +355,49 @@ def similarity_classes(docs: DataFrame, n: int = NGRAM, threshold: float = THRES
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 
+def similarity_members(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
+                       recall: float = RECALL) -> DataFrame:
+    """(doc_id, class_id, linked) for each row of ``docs``: the classes of
+    :func:`similarity_classes`, and whether the row has any link, without counting
+    links. A group of n near copies sends each text a bounded number of times.
+
+    Every pair of classes that share a bucket is compared unless links found
+    before tie the two already, so no class is lost. Nulls, empty texts, repeated
+    rows and empty tables are handled as there."""
+    signed, classes = _signed_classes(docs, n, threshold, recall)
+    texts = docs.select(F.col("doc_id").cast("long").alias("__doc"), "text")
+    bucketed = _buckets(classes)
+    links = _star_links(texts, classes, bucketed, n, threshold)
+    tied = components(links)
+    known = stage(classes.select("cid").join(tied.withColumnRenamed("node", "cid"), "cid", "left")
+                  .select("cid", F.coalesce("root", "cid").alias("comp")), "join-known")
+    assign = _open_meetings(classes, bucketed, known)
+    found = stage(texts.join(assign, F.col("__doc").eqNullSafe(F.col("rep")))
+                  .select("pid", "cid", "side", "copies", "text")
+                  .repartition("pid").sortWithinPartitions("pid", "side", "cid")
+                  .mapInArrow(_compare(n, threshold), _FOUND), "join-found")
+    linked = stage(components(links.unionByName(found.filter("b is not null").select("a", "b")))
+                   .join(classes.select(F.col("cid").alias("node"), "rep"), "node"), "join-linked")
+    least = linked.groupBy("root").agg(F.min("rep").alias("class_id"))
+    result = stage(classes.select("cid", "copies", "rep")
+                   .join(linked.join(least, "root").select(F.col("node").alias("cid"), "class_id", F.lit(True).alias("linked")), "cid", "left")
+                   .select("cid", F.coalesce("class_id", "rep").alias("class_id"),
+                           (F.col("linked").isNotNull() | (F.col("copies") > 1)).alias("linked")), "join-result")
+    return (signed.select("doc_id", "cid").join(result, "cid", "left")
+            .select("doc_id", F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+                    F.coalesce("linked", F.lit(False)).alias("linked")))
+
+
 def one_per_class(docs: DataFrame, **options) -> DataFrame:
     """``docs``, all columns as they are, with one document of each class: that
     with the class's smallest doc_id (of repeated rows with this id, one).
     Texts without n-grams stay, as do rows with a null doc_id."""
-    found = similarity_classes(docs, **options)
+    found = similarity_members(docs, **options)
     gone = stage(found.filter("class_id is not null and doc_id != class_id").select(F.col("doc_id").alias("__gone")).distinct(), "join-gone")
     kept = docs.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("__doc"))
     kept = kept.join(gone.hint("shuffle_hash"), F.col("__doc") == F.col("__gone"), "left_anti")
     # ids that still stand on several linked rows: equal rows, one stays
-    many = stage(found.filter("doc_id = class_id and n_links > 0").groupBy("doc_id").agg(F.count("*").alias("n"))
+    many = stage(found.filter("doc_id = class_id and linked").groupBy("doc_id").agg(F.count("*").alias("n"))
                  .filter("n > 1").select(F.col("doc_id").alias("__many")), "join-many")
     if many.isEmpty():
         return kept.select("__row.*")

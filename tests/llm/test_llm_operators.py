@@ -592,6 +592,71 @@ def test_ngram_join(docs, rows, none, monkeypatch):
     left = Counter(r.doc_id for r in kept.select("doc_id").collect())
     assert left == Counter(k[0] for k in want if k[0] == k[1])
     assert ngram_join.similarity_classes(none).count() == 0 and ngram_join.one_per_class(none).count() == 0
+    members = Counter((r.doc_id, r.class_id, r.linked) for r in ngram_join.similarity_members(docs).collect())
+    assert members == Counter({(d, c, n > 0): k for (d, c, n), k in _by_linked(want)})
+    assert ngram_join.similarity_members(none).count() == 0
+
+
+def _by_linked(counts):
+    merged = Counter()
+    for (d, c, n), k in counts.items():
+        merged[d, c, min(n, 1)] += k
+    return merged.items()
+
+
+def near_copies(n, length=200, seed=5):
+    """Texts that differ from one base in one word each."""
+    base = words(random.Random(seed), length).split()
+    return [" ".join(base[:i % length] + [f"new{i}"] + base[i % length + 1:]) for i in range(n)]
+
+
+def texts_sent(monkeypatch, docs):
+    """Rows of (doc_id, class_id) and how many texts went to comparisons for them."""
+    sent, real = [], ngram_join.stage
+
+    def counted(df, name):
+        out = real(df, name)
+        if name in ("join-star-assign", "join-assign"):
+            sent.append(out.count())
+        return out
+
+    with monkeypatch.context() as m:
+        m.setattr(ngram_join, "stage", counted)
+        found = {(r.doc_id, r.class_id) for r in ngram_join.similarity_members(docs).collect()}
+    return found, sum(sent)
+
+
+def test_members_of_a_large_group_send_texts_in_proportion(spark, monkeypatch):
+    prepare(spark)
+    figures = []
+    for n in (500, 2000):
+        docs = spark.createDataFrame(list(enumerate(near_copies(n))), "doc_id long, text string").repartition(4)
+        found, sent = texts_sent(monkeypatch, docs)
+        assert found == {(i, 0) for i in range(n)}
+        figures.append(sent / n)
+    assert figures[1] <= 1.5 * figures[0] and figures[1] <= ngram_join.choose_bands()[0] + 2
+
+
+def test_members_of_chains_far_from_their_centers(spark, monkeypatch):
+    """Texts that drift: neighbours are similar, the ends are not, and most are far from any center."""
+    prepare(spark)
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 5)
+    monkeypatch.setattr(ngram_join, "STAR_DOCS", 3)
+    rng = random.Random(8)
+    data = []
+    for chain in range(2):
+        text = words(rng, 120).split()
+        for i in range(20):
+            data.append((1000 * chain + i, " ".join(text)))
+            text[(7 * i) % 120] = f"c{chain}w{i}"
+            text[(7 * i + 1) % 120] = f"d{chain}w{i}"
+    data += [(5000 + i, t) for i, t in enumerate(near_copies(20, seed=9))]
+    docs = spark.createDataFrame(data, "doc_id long, text string").coalesce(2)
+    got = {tuple(r) for r in ngram_join.similarity_members(docs).collect()}
+    assert got == {(d, d // 1000 * 1000, True) for d, _ in data}
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in data[:20])]
+    near = [[len(x & y) >= 0.8 * len(x | y) for y in sets] for x in sets]
+    assert all(near[i][i + 1] for i in range(19)) and not near[0][19] and sum(near[0]) < 10
 
 
 def test_choice_of_bands():
