@@ -576,6 +576,23 @@ def q_marts_rebuilt(spark, sf_dir):
     return read_hourly(spark, wh.hourly_recent)
 
 
+def q_station_folders(spark, sf_dir):
+    """The months that hold a station's parameter by the folder index, kept up by two
+    appends with an overlap and a reset of every other station from landed archives."""
+    from gaugeflow.plans.jobs import run_reset
+    from gaugeflow.schemas import FOLDER_INDEX
+    from gaugeflow.sinks.tables import append_hourly
+    from gaugeflow.sources.tables import index_path, read_table
+
+    wh, pages = _job_inputs(spark, sf_dir)
+    rows = S.hourly(spark.read.parquet(f"{sf_dir}/events.parquet"), spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    append_hourly(rows.where(F.col("Parameter") != "Pressure"), wh.hourly)
+    append_hourly(rows.where(F.col("Value") >= 0), wh.hourly)
+    append_hourly(rows, wh.hourly)
+    run_reset(spark, wh, pages.where(F.crc32("station_url_name") % 2 == 0), S.BASE_URL)
+    return read_table(spark, FOLDER_INDEX, index_path(wh.hourly)).select("STATION_NUMBER", "Parameter", "month")
+
+
 def q_select_station(spark, sf_dir):
     """Stations whose id matches a pattern at its start."""
     from gaugeflow.operators.filters import select_station
@@ -674,6 +691,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "marts_after_retry": q_marts_after_retry,
         "marts_after_replay": q_marts_after_replay,
         "marts_rebuilt": q_marts_rebuilt,
+        "station_folders": q_station_folders,
         "select_station": q_select_station,
         "combine_status": q_combine_status,
         "conform": q_conform,
@@ -1000,6 +1018,8 @@ UNION ALL
 SELECT 'recent', "STATION_NUMBER", "STATION_NAME", "Date", "Parameter", round(avg("Value"), 6), count(*)
 FROM hourly WHERE "Date" >= DATE '{recent_from}' GROUP BY ALL"""
     out["marts_rebuilt"] = out["recent"]
+    out["station_folders"] = (f"WITH {_hourly_cte()}\nSELECT DISTINCT \"STATION_NUMBER\", \"Parameter\", "
+                              "strftime(\"Date\", '%Y-%m') AS month FROM hourly")
     out["select_station"] = f"""WITH {_STATIONS_CTE}
 SELECT station_id, station_name FROM stations WHERE regexp_matches(station_id, '^P_1[0-9]*5$')"""
     out["combine_status"] = f'SELECT "group", station_url_name, status FROM ({out["link_status"]})'

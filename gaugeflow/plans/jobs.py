@@ -30,11 +30,14 @@ from gaugeflow.sinks.tables import (
     clear_pending,
     drop_months_before,
     folder_ids,
+    folders_holding,
     forget_pages,
     in_folders,
     mark_pending,
+    note_folders,
     overwrite_partitions,
     pending_folders,
+    refresh_index,
     replace_partitioned,
     replace_table,
     reset_tables,
@@ -143,19 +146,18 @@ def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: st
         new = result.new_rows
         keys = new.select("STATION_NUMBER", "Parameter").distinct().checkpoint()  # bounded by the dimension
         new_folders = folder_ids(with_partitions(new, buckets))
-        # Folders holding rows of a replaced (station, parameter): only the
-        # replaced stations' buckets are scanned, reading two columns.
-        hit = sorted({b for _, b in new_folders})
-        old = current.where(F.col("sbucket").isin(hit)).join(keys, ["STATION_NUMBER", "Parameter"], "left_semi")
-        folders = sorted(set(new_folders) | set(folder_ids(old)))
+        # with the folders that hold rows of a replaced (station, parameter)
+        folders = sorted(set(new_folders) | set(folder_ids(folders_holding(spark, wh.hourly, keys))))
         scoped = current.where(in_folders(folders)).drop("month", "sbucket")
         mark_pending(spark, wh, folders)
         forget_pages(spark, wh, pages.select("station_url_name").distinct())
+        note_folders(new, wh.hourly)
         overwrite_partitions(replace_rows(scoped, new), wh.hourly, folders, buckets, mover=mover)
+        refresh_index(spark, wh.hourly, folders)
         write_report(result.status, wh.report, dt.datetime.now().isoformat(), "reset")
     refresh_marts(spark, wh, as_of, recent_days)
-    return (read_hourly(spark, wh.hourly).join(keys, ["STATION_NUMBER", "Parameter"], "left_semi")
-            .select(*HOURLY_COLUMNS))
+    return (read_hourly(spark, wh.hourly, keep_partitions=True).where(in_folders(folders))
+            .join(keys, ["STATION_NUMBER", "Parameter"], "left_semi").select(*HOURLY_COLUMNS))
 
 
 def run_refresh(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_ranges: DataFrame,

@@ -97,6 +97,10 @@ STATUS = T.StructType(
     ]
 )
 
+# Which folders of the hourly table hold rows of a station's parameter.
+FOLDER_INDEX = T.StructType([T.StructField(c, T.StringType()) for c in ("STATION_NUMBER", "Parameter", "month")]
+                            + [T.StructField("sbucket", T.IntegerType())])
+
 # Pages whose rows an update has appended; ``landed`` is the month of the fetch.
 CONSUMED = T.StructType(
     [

@@ -21,9 +21,10 @@ from pyspark.sql import types as T
 from gaugeflow.constants import CSV_NULL
 from gaugeflow.operators.links import all_valid
 from gaugeflow.session import staging_path
-from gaugeflow.schemas import CONSUMED
+from gaugeflow.operators.dedup import new_rows
+from gaugeflow.schemas import CONSUMED, FOLDER_INDEX
 from gaugeflow.sinks.swap import commit_swap, delete as _delete, exists, file_system as _file_system, finish_swaps, new_swap
-from gaugeflow.sources.tables import PARTITION_COLUMNS, Warehouse, month_key, read_table
+from gaugeflow.sources.tables import PARTITION_COLUMNS, Warehouse, index_path, month_key, read_hourly, read_table
 
 # Buckets of a table created without a number. A station reset rewrites one
 # bucket of each touched month, so large tables are created with more.
@@ -105,6 +106,7 @@ def write_partitioned(df: DataFrame, path: str, mode: str, buckets: int | None =
 def append_hourly(rows: DataFrame, path: str) -> None:
     """K1: append new rows in one write (atomic per job, not per page)."""
     finish_swaps(rows.sparkSession, path)
+    note_folders(rows, path)
     write_partitioned(rows, path, "append")
 
 
@@ -116,6 +118,7 @@ def append_recorded(rows: DataFrame, accepted: DataFrame, wh: Warehouse,
     done neither."""
     spark = rows.sparkSession
     finish_swaps(spark, *wh.tables)
+    note_folders(rows, wh.hourly)
     swap = new_swap(wh.root)
     new = f"{swap}/new"
     write_partitioned(rows, f"{new}/hourly", "errorifexists", table_buckets(spark, wh.hourly))
@@ -210,6 +213,77 @@ def overwrite_partitions(df: DataFrame, path: str, touched: list[tuple[str, int]
     commit_swap(spark, swap, path, folders, mover)
 
 
+# The folder index: distinct (STATION_NUMBER, Parameter, month) of the hourly
+# table by bucket. It may name folders that no longer hold a pair (a job that
+# failed), never leave one out: entries are written before the rows.
+
+
+def _entries(df: DataFrame) -> DataFrame:
+    return df.select(*FOLDER_INDEX.names).distinct()
+
+
+def create_index(spark: SparkSession, path: str) -> None:
+    """The folder index of the table at ``path``, built from its rows (one scan
+    of two columns); tables of ``reset_tables`` have one from the start. Rows
+    that other tools write into the table need it built again."""
+    index = index_path(path)
+    finish_swaps(spark, path, index)
+    swap = new_swap(index)
+    (_entries(read_hourly(spark, path, keep_partitions=True)).hint("rebalance", "sbucket")
+     .write.partitionBy("sbucket").parquet(f"{swap}/new"))
+    commit_swap(spark, swap, index, {"": True})
+
+
+def note_folders(rows: DataFrame, path: str) -> None:
+    """Enter the folders that hourly ``rows`` are about to be written to, those
+    that are not listed yet (a table without an index stays so)."""
+    spark, index = rows.sparkSession, index_path(path)
+    finish_swaps(spark, index)
+    if not exists(spark, index):
+        return
+    with Staging(spark) as stage:
+        entries = stage(_entries(with_partitions(rows, table_buckets(spark, path))))
+        listed = read_table(spark, FOLDER_INDEX, index).where(F.col("sbucket").isin(_buckets_of(entries)))
+        fresh = stage(new_rows(entries, listed))
+        if not fresh.isEmpty():
+            fresh.hint("rebalance", "sbucket").write.mode("append").partitionBy("sbucket").parquet(index)
+
+
+def _buckets_of(df: DataFrame) -> list[int]:
+    """Distinct station buckets (at most the table's number of them)."""
+    return sorted(r[0] for r in df.select("sbucket").distinct().collect())
+
+
+def folders_holding(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
+    """(month, sbucket) folders of the hourly table at ``path`` that hold rows of
+    ``keys`` (STATION_NUMBER, Parameter). Read from the keys' buckets of the index;
+    without one, from two columns of these buckets in all months."""
+    placed = keys.select("STATION_NUMBER", "Parameter", station_bucket(buckets=table_buckets(spark, path)).alias("sbucket"))
+    if exists(spark, index_path(path)):
+        held = read_table(spark, FOLDER_INDEX, index_path(path))
+    else:
+        held = read_hourly(spark, path, keep_partitions=True)
+    held = held.where(F.col("sbucket").isin(_buckets_of(placed)))
+    return held.join(keys, ["STATION_NUMBER", "Parameter"], "left_semi").select(*PARTITION_COLUMNS).distinct()
+
+
+def refresh_index(spark: SparkSession, path: str, folders: list[tuple[str, int]]) -> None:
+    """Make the index exact for folders that were just rewritten: their buckets'
+    entries are read from the new rows, those of other months are kept."""
+    index = index_path(path)
+    finish_swaps(spark, index)
+    if not folders or not exists(spark, index):
+        return
+    hit = sorted({b for _, b in folders})
+    kept = read_table(spark, FOLDER_INDEX, index).where(F.col("sbucket").isin(hit) & ~in_folders(folders))
+    written = read_hourly(spark, path, keep_partitions=True).where(in_folders(folders))
+    swap = new_swap(index)
+    (_entries(kept.unionByName(_entries(written))).hint("rebalance", "sbucket")
+     .write.partitionBy("sbucket").parquet(f"{swap}/new"))
+    left = set(_buckets_of(spark.read.schema(FOLDER_INDEX).parquet(f"{swap}/new")))
+    commit_swap(spark, swap, index, {f"sbucket={b}": b in left for b in hit})
+
+
 # Folders whose marts are to be refreshed, with the mart's name.
 PENDING = T.StructType([T.StructField("mart", T.StringType()), T.StructField("month", T.StringType()),
                         T.StructField("sbucket", T.IntegerType())])
@@ -303,6 +377,7 @@ def reset_tables(spark: SparkSession, wh: Warehouse, buckets: int | None = None)
 
     buckets = buckets or table_buckets(spark, wh.hourly)
     create_empty(spark, HOURLY, wh.hourly, True, buckets)
+    create_index(spark, wh.hourly)
     create_empty(spark, DAILY, wh.daily, True, buckets)
     create_empty(spark, HOURLY, wh.hourly_recent, True, buckets)
     create_empty(spark, STATIONS, wh.station_metadata)

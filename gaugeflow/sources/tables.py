@@ -27,6 +27,11 @@ def month_key(date: str = "Date") -> Column:
     return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(NO_MONTH))
 
 
+def index_path(path: str) -> str:
+    """The folder index beside the hourly table at ``path``."""
+    return f"{path.rstrip('/')}.index"
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Locations of the stored tables under one root folder."""
@@ -56,7 +61,8 @@ class Warehouse:
     @property
     def tables(self) -> list[str]:
         """The tables whose folders are replaced by swaps, the root first."""
-        return [self.root, self.hourly, self.daily, self.hourly_recent, self.station_metadata, self.consumed]
+        return [self.root, self.hourly, self.daily, self.hourly_recent, self.station_metadata, self.consumed,
+                index_path(self.hourly)]
 
     @property
     def consumed(self) -> str:
