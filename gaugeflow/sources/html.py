@@ -22,6 +22,18 @@ _ROW_TAG = r"<[tT][rR]\b[^>]*+>"
 _CELL = r"<[tT][dDhH]\b([^>]*+)>([^<]*+(?:<(?!(?i:/?t(?:[dhr]|head|body|foot)\b))[^<]*+)*+)"
 _SPAN = r"""(?i)(?:^|\s){name}\s*=\s*["']?\s*(\d+)"""
 MAX_SPAN = 1000  # larger spans count as this, as browsers hold it
+# Before a tag; one alternative, so that most characters fail at once.
+_LIST_TAG = r"(?=</?[uU][lL]\b)"
+_LIST_OR_ENTRY_TAG = r"(?=<(?:/?[uU][lL]|[lL][iI])\b)"
+# The first list of a text, without its end tag, if no list is inside it.
+_NO_LIST = r"[^<]*+(?:<(?!/?[uU][lL]\b)[^<]*+)*+"
+_FLAT_LIST = r"\A[^<]*+(?:<(?![uU][lL]\b)[^<]*+)*+(<[uU][lL]\b" + _NO_LIST + r")(?=</[uU][lL]>|\z)"
+# An entry whose lists hold no others, and a text that begins with a list of
+# such entries (without the mark of list_entries).
+_NO_ENTRY = r"<(?!(?:/?[uU][lL]|[lL][iI])\b)[^<\x01]*+"
+_PLAIN_ENTRY = (r"<[lL][iI]\b[^<\x01]*+(?:" + _NO_ENTRY
+                + r"|<[uU][lL]\b[^<\x01]*+(?:<(?!/?[uU][lL]\b)[^<\x01]*+)*+</[uU][lL]>[^<\x01]*+)*+")
+_PLAIN_ENTRIES = r"\A(<[uU][lL]\b[^<\x01]*+(?:" + _NO_ENTRY + r")*+(?:" + _PLAIN_ENTRY + r")*+)(?=</[uU][lL]>|\z)"
 LOCATIONS_MARK = "var locations = "
 _ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 
@@ -69,8 +81,7 @@ def _up_to_its_end(tail: Column) -> Column:
         return F.array_join(F.filter(inside, lambda p: p.isNotNull()), "")
 
     def short(head: Column) -> Column:
-        inside = _has_tag(head, "<table") | _has_tag(head, "</table")
-        return F.when(inside, _let(F.split(tail, _TABLE_TAG), cut)).otherwise(head)
+        return F.when(head.rlike(r"</?[tT][aA][bB][lL][eE]"), _let(F.split(tail, _TABLE_TAG), cut)).otherwise(head)
 
     # mostly the text up to the first end tag holds no other table tag
     end = F.instr(tail, "</table")
@@ -94,8 +105,10 @@ def data_table(html, cls: str = DATA_TABLE_CLASS) -> Column:
 
 
 def _span(attributes: Column, name: str) -> Column:
-    n = F.regexp_extract(attributes, _SPAN.format(name=name), 1).try_cast("int")
-    return F.coalesce(F.least(F.greatest(n, F.lit(1)), F.lit(MAX_SPAN)), F.lit(1))
+    # most cells have none: an empty text is not tried as a number
+    n = _let(F.regexp_extract(attributes, _SPAN.format(name=name), 1), lambda t: F.when(t != "", t.try_cast("int")))
+    return F.when(attributes == "", F.lit(1)).otherwise(
+        F.coalesce(_let(n, lambda x: F.least(F.greatest(x, F.lit(1)), F.lit(MAX_SPAN))), F.lit(1)))
 
 
 _HELD = "array<struct<col:int,text:string,left:int>>"
@@ -163,7 +176,7 @@ def html_table_rows(html, cls: str = DATA_TABLE_CLASS) -> Column:
 
         def parts(raw: Column) -> Column:
             head = F.regexp_extract(table, r"(?is)<thead\b[^>]*>(.*?)(?:</thead\b|<tbody\b|\z)", 1)
-            n_head = F.when(_has_tag(table, "<thead"), F.size(F.split(head, _ROW_TAG)) - 1).otherwise(0)
+            n_head = F.when(table.rlike("<[tT][hH][eE][aA][dD]"), F.size(F.split(head, _ROW_TAG)) - 1).otherwise(0)
             data_at = F.array_position(F.transform(raw, lambda r: r.rlike("<[tT][dD]")), True)
             top = F.when(data_at > 0, data_at - 1).otherwise(F.size(raw)).cast("int")
             n = F.when(n_head > 0, n_head).otherwise(top)
@@ -193,36 +206,38 @@ def html_table_rows(html, cls: str = DATA_TABLE_CLASS) -> Column:
 def _list_depths(pieces: Column) -> Column:
     """Per piece (cut before every list tag, and maybe before entries) how many
     lists are open in it; -1 once the first list has ended."""
-    zero = F.struct(F.lit(0).alias("now"), F.array().cast("array<int>").alias("all"))
+    def change(p: Column) -> Column:
+        return F.when(F.lower(F.left(p, F.lit(3))) == "<ul", 1).when(F.lower(F.left(p, F.lit(5))) == "</ul>", -1).otherwise(0)
 
-    def step(acc: Column, p: Column) -> Column:
-        head = F.lower(F.substring(p, 1, 5))
-        before = acc["now"]
-        after = before + F.when(head.startswith("<ul"), 1).otherwise(0) - F.when((head == "</ul>") & (before > 0), 1).otherwise(0)
-        now = F.when((before < 0) | ((before > 0) & (after == 0)), -1).otherwise(after)
-        return F.struct(now.alias("now"), F.array_append(acc["all"], now).alias("all"))
+    def step(acc: Column, change: Column) -> Column:
+        before = F.element_at(acc, -1)
+        now = F.when((before < 0) | ((before > 0) & (before + change == 0)), -1).otherwise(F.greatest(before + change, F.lit(0)))
+        return F.array_append(acc, now)
 
-    return F.aggregate(pieces, zero, step, lambda acc: acc["all"])
+    return F.aggregate(F.transform(pieces, change), F.array(F.lit(0)), step, lambda acc: F.slice(acc, 2, 1 << 30))
 
 
 def first_list(text) -> Column:
     """The first ``<ul>...</ul>`` of ``text`` with every list nested in it.
 
-    The text is cut before each ``<ul`` and ``</ul>``; only the depths are
-    folded, so nested lists stay inside and the first list ends where its depth
-    returns to zero."""
+    A list that holds no other is matched as one text. Otherwise the text is cut
+    before each ``<ul`` and ``</ul>``; only the depths are folded, so nested
+    lists stay inside and the first list ends where its depth returns to zero."""
     def cut(pieces: Column) -> Column:
         kept = F.zip_with(pieces, _list_depths(pieces), lambda p, d: F.when(d >= 1, p))
         return F.array_join(F.filter(kept, lambda p: p.isNotNull()), "")
 
-    return _let(F.split(_c(text), r"(?i)(?=</?ul\b)"), cut)
+    t = _c(text)
+    return _let(F.regexp_extract(t, _FLAT_LIST, 1), lambda flat: F.when(flat != "", flat).otherwise(_let(F.split(t, _LIST_TAG), cut)))
 
 
 def list_entries(text) -> Column:
     """The direct ``<li>`` entries, as texts, of the first list of ``text``.
 
-    Cut before each ``<ul``, ``</ul>`` and ``<li``; the entries that open at
-    depth one are marked and the text is cut once more at the marks."""
+    Where the lists inside the entries hold no others, the entries are matched
+    as they are. Otherwise the text is cut before each ``<ul``, ``</ul>`` and
+    ``<li``; the entries that open at depth one are marked and the text is cut
+    once more at the marks."""
     mark = "\u0001"
 
     def cut(pieces: Column) -> Column:
@@ -233,7 +248,12 @@ def list_entries(text) -> Column:
         kept = F.filter(F.zip_with(pieces, _list_depths(pieces), piece), lambda p: p.isNotNull())
         return F.slice(F.split(F.array_join(kept, ""), mark), 2, 1 << 30)
 
-    return _let(F.split(F.translate(_c(text), mark, ""), r"(?i)(?=</?ul\b)|(?=<li\b)"), cut)
+    def entries(t: Column) -> Column:
+        return _let(F.regexp_extract(t, _PLAIN_ENTRIES, 1), lambda plain: F.when(
+            plain != "", F.regexp_extract_all(plain, F.lit(_PLAIN_ENTRY), 0)).otherwise(
+            _let(F.split(F.translate(t, mark, ""), _LIST_OR_ENTRY_TAG), cut)))
+
+    return _let(_c(text), entries)
 
 
 def station_links(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
@@ -248,20 +268,25 @@ def station_links(pages: DataFrame, html: str = "html", keep: list[str] | None =
     keep = keep if keep is not None else [c for c in pages.columns if c != html]
     opening = r"""(?is)(<ul\b[^>]*\bid\s*=\s*["']?""" + NAV_LIST_ID + r"""\b.*)"""
     title = r"(?is)<p\b[^>]*" + _CLASS.format(cls=NAV_TITLE_CLASS) + r"[^>]*>(.*?)</p>"
-    held = pages.where(F.instr(F.col(html), NAV_TITLE_CLASS) > 0).select(
-        *keep, F.posexplode(list_entries(F.regexp_extract(html, opening, 1))).alias("_p", "_li"))
-    titled = held.where(F.col("_li").rlike(title)).select(
-        *keep, F.col("_p"), F.regexp_extract("_li", title, 1).alias("_title"),
-        F.regexp_extract_all(first_list(F.col("_li")), F.lit(_ANCHOR), 0).alias("_a"))
-    links = titled.select(*keep, "_p", "_title", F.posexplode("_a").alias("_i", "_l"))
-    return links.select(
-        *keep,
-        (F.col("_p") + 1).cast("int").alias("section_pos"),
-        html_text(F.col("_title")).alias("title"),
-        (F.col("_i") + 1).cast("int").alias("link_pos"),
-        html_text(F.regexp_extract(F.col("_l"), _ANCHOR, 2)).alias("label"),
-        html_unescape(F.regexp_extract(F.col("_l"), _ANCHOR, 1)).alias("href"),
-    )
+
+    def section(li: Column, pos: Column) -> Column:
+        anchors = _let(first_list(li), lambda body: F.zip_with(
+            F.regexp_extract_all(body, F.lit(_ANCHOR), 2), F.regexp_extract_all(body, F.lit(_ANCHOR), 1),
+            lambda label, href: F.struct(label.alias("label"), href.alias("href"))))
+        return _let(F.get(F.regexp_extract_all(li, F.lit(title), 1), 0), lambda t: F.when(t.isNotNull(), F.struct(
+            (pos + 1).cast("int").alias("pos"), _let(t, html_text).alias("title"), anchors.alias("links"))))
+
+    # The outer forms: the others make Spark test the array for rows first, which
+    # computes it, and all it is made of, once more; and what a generator gives is
+    # not computed again in the filters that follow.
+    sections = F.transform(list_entries(F.regexp_extract(html, opening, 1)), section)
+    held = pages.where(F.instr(F.col(html), NAV_TITLE_CLASS) > 0).select(*keep, F.explode_outer(sections).alias("_s"))
+    links = held.select(*keep, F.col("_s.pos").alias("section_pos"), F.col("_s.title").alias("title"),
+                        F.posexplode_outer("_s.links").alias("_i", "_l"))
+    texts = links.where(F.col("_i").isNotNull()).select(
+        *keep, "section_pos", "title", (F.col("_i") + 1).cast("int").alias("link_pos"), F.explode(F.array(F.struct(
+            _let(F.col("_l.label"), html_text).alias("label"), _let(F.col("_l.href"), html_unescape).alias("href")))).alias("_t"))
+    return texts.select(*keep, "section_pos", "title", "link_pos", F.col("_t.label").alias("label"), F.col("_t.href").alias("href"))
 
 
 def nav_links(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:

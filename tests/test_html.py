@@ -122,3 +122,49 @@ def test_station_links_follow_the_sidebar_structure(spark):
         (1, 2, "Sarita", 1, "Staff Gauge", "a.aspx"), (1, 2, "Sarita", 2, "Voltage", "b.aspx"),
         (1, 2, "Sarita", 3, "Voltage", "c.aspx"), (1, 4, "Admin", 1, "Login", "Login.aspx"),
     ]
+
+
+def _reference_lists(text):
+    """The direct entries of the first list, and that list, cut tag by tag."""
+    import re
+
+    def walk(pattern):
+        depth, out = 0, []
+        for p in re.split(pattern, text):
+            head = p.lower()
+            if depth >= 0:
+                after = depth + head.startswith("<ul") - (head.startswith("</ul>") and depth > 0)
+                depth = -1 if depth > 0 and after == 0 else after
+            out.append((p, depth))
+        return out
+
+    whole = "".join(p for p, d in walk(r"(?i)(?=</?ul\b)") if d >= 1)
+    entries = []
+    for p, d in walk(r"(?i)(?=</?ul\b)|(?=<li\b)"):
+        if d == 1 and p.lower().startswith("<li"):
+            entries.append(p)
+        elif d >= 1 and entries:
+            entries[-1] += p
+    return whole, entries
+
+
+def test_lists_by_either_way_equal_a_cut_tag_by_tag(spark):
+    import random
+
+    from gaugeflow.sources.html import first_list, list_entries
+
+    rng = random.Random(3)
+    tags = ["<ul>", "<UL id=x>", "</ul>", "</UL>", "</ul >", "<li>", "<Li a>", "</li>", "<link>", "<ulx>", "a", " b <", "<p>"]
+    texts = ["<ul>" + "".join(rng.choices(tags, k=rng.randint(0, 14))) for _ in range(600)]
+    texts += ["<ul><li>a<ul><li>b</li></ul></li><li>c</li></ul>z", "<ul><ul><li>x</li></ul><li>y</li></ul>", "<ul>"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", first_list("t").alias("f"), list_entries("t").alias("e")).collect()
+    for r in got:
+        assert (r.f, r.e) == _reference_lists(r.t), r.t
+
+
+def test_sidebar_lists_are_cut_once(spark):
+    from gaugeflow.plans.stations import station_urls
+
+    df = spark.createDataFrame([(1, "u", NAV)], "page_id long, url string, html string")
+    text = station_urls(df, "http://x/")._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("regexp_extract(html") == 1 and text.count("aggregate(") == 2  # entries, and the list of one
