@@ -10,9 +10,11 @@ from gaugeflow.llm.common import prepare, stage, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the known languages (no letters, other scripts or languages and random letters: out; mixed texts stay)."""
+    """Documents in the known languages (no letters, other scripts or languages and random letters: out; mixed texts stay),
+    their ``lang`` the one recognised in the text."""
     prepare(spark)
-    return language_crf.keep_known(docs, language_crf.train(docs))
+    model = language_crf.train(docs)
+    return language_crf.with_language(language_crf.keep_known(docs, model), model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

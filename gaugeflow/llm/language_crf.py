@@ -15,6 +15,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from gaugeflow.llm.common import uniform
 # documents at most, and one passage of at most this many characters of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 2048, 900
 BUCKETS, LEXICON = 1 << 17, 1 << 20
+PIECE_BYTES = 1 << 20  # of text recognised at a time
 PIECE = 24  # longer runs of letters go as pieces of at most this many
 SPAN, EPOCHS, BATCH, RATE, SEED = 24, 4, 128, 0.3, 5
 CHUNK = 64
@@ -426,6 +428,18 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = S
     return fit([(r.text, r.lang) for r in rows])
 
 
+def _pieces(batches, at: int):
+    """The batches cut to PIECE_BYTES of text (column ``at``), or one row: what a
+    worker holds of words and scores does not grow with the batch."""
+    for batch in batches:
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+        group = np.cumsum(sizes) // PIECE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(batch)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def _predict(model):
     def run(batches):
         predictor = Predictor(model.value)
@@ -462,7 +476,7 @@ def keep_known(docs: DataFrame, model: Crf) -> DataFrame:
 
     def run(batches):
         letters, known, scores = shared.value, {}, np.zeros((0, 2))
-        for batch in batches:
+        for batch in _pieces(batches, at):
             texts = [words_of(t) for t in batch.column(at).to_pylist()]
             if len(known) > 500_000:
                 known, scores = {}, np.zeros((0, 2))
@@ -476,3 +490,22 @@ def keep_known(docs: DataFrame, model: Crf) -> DataFrame:
             keep = (size > 0) & (mean >= letters.least - SHORT / np.sqrt(np.maximum(size, 1)))
             yield batch.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
+
+
+def with_language(docs: DataFrame, model: Crf) -> DataFrame:
+    """``docs``, all rows and columns, with the language the model reads in the
+    text as ``lang``, whatever it was labelled (``und`` for null texts and
+    texts without a letter). Labels stay where no language was learned."""
+    if not model.langs or "lang" not in docs.columns:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+    at, to = docs.columns.index("text"), docs.columns.index("lang")
+
+    def run(batches):
+        predictor = Predictor(shared.value)
+        for batch in _pieces(batches, at):
+            found = predictor.predict(batch.column(at).to_pylist())
+            columns = list(batch.columns)
+            columns[to] = pa.array([lang for lang, _ in found], batch.schema.field(to).type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+    return docs.mapInArrow(run, docs.schema)

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from gaugeflow.llm import decontam, language_crf
 from gaugeflow.llm.common import prepare, table
 
@@ -46,3 +47,16 @@ def test_stages_and_run(spark):
     assert again.columns == at.columns
     assert Counter((r.doc_id, r.shard) for r in again.collect()) == Counter((r.doc_id, r.shard) for r in at.collect())
     assert language_crf.UNKNOWN == "und"
+
+
+def test_the_recognised_language_reaches_the_shards(spark):
+    """Wrong and missing labels: every later stage hands on what the text says."""
+    prepare(spark)
+    docs = table(spark, SF, "documents")
+    asked = {r.doc_id: r.lang_pred for r in language_crf.predict_language(docs, language_crf.train(docs)).collect()}
+    mislabelled = docs.withColumn("lang", F.when(~language_crf.held_out(F.col("doc_id")), F.col("lang")))
+    at = mislabelled
+    for _, stage in corpus_pipeline.STAGES:
+        at = stage(spark, at, SF)
+    got = at.select("doc_id", "lang").collect()
+    assert got and any(r.doc_id in asked for r in got) and all(r.lang == asked[r.doc_id] for r in got)
