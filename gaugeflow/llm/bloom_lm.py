@@ -42,6 +42,7 @@ BITS = 1.5  # per entry and probe
 LEVELS = 120  # more than 1.5 ** 120 counts do not occur
 BUCKET_BYTES = 32 << 20  # text per bucket of n-grams
 CHUNK_BYTES = 12 << 20  # text worked on at a time
+SCORE_BYTES = 2 << 20  # the same where nothing is sent elsewhere per chunk
 BROADCAST_BYTES = 96 << 20
 HEAVY = 1 << 18
 
@@ -141,14 +142,15 @@ def read_levels(hashes: np.ndarray, family: int, size: int, bits: bytes) -> np.n
     return found
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.Table, list[bytes]]]:
-    """The rows of a partition, CHUNK_BYTES of text (or one text) at a time."""
+def _chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int | None = None) -> Iterator[tuple[pa.Table, list[bytes]]]:
+    """The rows of a partition, ``limit`` bytes (CHUNK_BYTES) of text, or one text, at a time."""
+    limit = CHUNK_BYTES if limit is None else limit
     held, texts, size = [], [], 0
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text)).to_pylist()
         begin = 0
         for i, t in enumerate(column):
-            if texts and size + len(t) > CHUNK_BYTES:
+            if texts and size + len(t) > limit:
                 yield pa.Table.from_batches([*held, batch.slice(begin, i - begin)]), texts
                 held, texts, size, begin = [], [], 0, i
             texts.append(t)
@@ -317,7 +319,7 @@ def _score_broadcast(rows: DataFrame, keep: list[str], model: Model, heavy) -> D
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = _segmented(segments.value, plan.buckets)
-        for table, texts in _chunks(batches, "_t"):
+        for table, texts in _chunks(batches, "_t", SCORE_BYTES):
             columns = [table.column(c).combine_chunks() for c in keep] + _score_chunk(texts, plan, lookup, words.value)
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *(f.name for f in SCORED)])
 
