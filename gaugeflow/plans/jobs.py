@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.constants import HOURLY_COLUMNS, LOOKBACK_DAYS, RECENT_DAYS
-from gaugeflow.operators.aggregate import has_new
+from gaugeflow.operators.aggregate import distinct_parameters, has_new
 from gaugeflow.operators.filters import select_station, window_start
+from gaugeflow.operators.joins import new_stations
 from gaugeflow.operators.links import all_links, fetch_manifest
 from gaugeflow.plans.marts import build_marts, touched_daily
 from gaugeflow.plans.reset import reset_stations
@@ -33,8 +34,9 @@ from gaugeflow.sinks.tables import (
     folders_holding,
     forget_pages,
     in_folders,
+    index_entries,
     mark_pending,
-    note_folders,
+    note_entries,
     overwrite_partitions,
     pending_folders,
     refresh_index,
@@ -128,12 +130,13 @@ def refresh_recent(spark: SparkSession, wh: Warehouse, as_of, folders: list[tupl
 
 def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: str = "", as_of=None,
               station: str | None = None, regex: bool = False, recent_days: int = RECENT_DAYS,
-              mover: Callable | None = None) -> DataFrame:
+              mover: Callable | None = None, marts: bool = True) -> DataFrame:
     """C3 + K4: replace station archives, rewriting only touched folders, and
     refresh their marts. ``station`` limits the job to one id (with ``regex``
     to ids that match at their start). Returns the replaced (station,
     parameter) pairs' rows as stored. ``mover``: how folders are moved
-    (:func:`gaugeflow.sinks.swap.move`)."""
+    (:func:`gaugeflow.sinks.swap.move`). ``marts`` False leaves the folders
+    recorded for a caller that builds the marts itself."""
     finish_swaps(spark, *wh.tables)
     stations = read_station_metadata(spark, wh.station_metadata)
     if station is not None:
@@ -144,18 +147,21 @@ def run_reset(spark: SparkSession, wh: Warehouse, pages: DataFrame, base_url: st
     with Staging(spark) as stage:
         result = reset_stations(pages, stations, current.drop("month", "sbucket"), base_url, stage=stage)
         new = result.new_rows
-        keys = new.select("STATION_NUMBER", "Parameter").distinct().checkpoint()  # bounded by the dimension
-        new_folders = folder_ids(with_partitions(new, buckets))
+        # one pass over the parsed rows: their (station, parameter, month), bounded by the folders they fill
+        entries = stage(index_entries(with_partitions(new, buckets)))
+        keys = distinct_parameters(entries).checkpoint()  # bounded by the dimension
+        new_folders = folder_ids(entries)
         # with the folders that hold rows of a replaced (station, parameter)
         folders = sorted(set(new_folders) | set(folder_ids(folders_holding(spark, wh.hourly, keys))))
         scoped = current.where(in_folders(folders)).drop("month", "sbucket")
         mark_pending(spark, wh, folders)
         forget_pages(spark, wh, pages.select("station_url_name").distinct())
-        note_folders(new, wh.hourly)
-        overwrite_partitions(replace_rows(scoped, new), wh.hourly, folders, buckets, mover=mover)
+        note_entries(entries, wh.hourly)
+        overwrite_partitions(replace_rows(scoped, new, keys), wh.hourly, folders, buckets, mover=mover)
         refresh_index(spark, wh.hourly, folders)
         write_report(result.status, wh.report, dt.datetime.now().isoformat(), "reset")
-    refresh_marts(spark, wh, as_of, recent_days)
+    if marts:
+        refresh_marts(spark, wh, as_of, recent_days)
     return (read_hourly(spark, wh.hourly, keep_partitions=True).where(in_folders(folders))
             .join(keys, ["STATION_NUMBER", "Parameter"], "left_semi").select(*HOURLY_COLUMNS))
 
@@ -167,7 +173,8 @@ def run_refresh(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series
     current = read_station_metadata(spark, wh.station_metadata)
     result = refresh_stations(nav_pages, series_ranges, current, base_url)
     stations = result.stations.checkpoint()
-    new_ids = result.new_ids.join(stations.select("station_id"), "station_id").checkpoint()
+    # from the stored copy: the pages are parsed once
+    new_ids = new_stations(stations, current).join(stations.select("station_id"), "station_id").checkpoint()
     replace_table(stations, wh.station_metadata)
     write_station_csv(stations, wh.station_csv)
     return new_ids
@@ -214,7 +221,7 @@ def full_reset(spark: SparkSession, wh: Warehouse, nav_pages: DataFrame, series_
     beside = Warehouse(f"{swap}/new")
     reset_tables(spark, beside, buckets or table_buckets(spark, wh.hourly))
     run_refresh(spark, beside, nav_pages, series_ranges, base_url)
-    run_reset(spark, beside, archive_pages, base_url)
+    run_reset(spark, beside, archive_pages, base_url, marts=False)
     run_marts(spark, beside, as_of)
     fs, hadoop = file_system(spark, wh.root)
 

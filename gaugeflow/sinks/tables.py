@@ -218,7 +218,7 @@ def overwrite_partitions(df: DataFrame, path: str, touched: list[tuple[str, int]
 # failed), never leave one out: entries are written before the rows.
 
 
-def _entries(df: DataFrame) -> DataFrame:
+def index_entries(df: DataFrame) -> DataFrame:
     return df.select(*FOLDER_INDEX.names).distinct()
 
 
@@ -229,7 +229,7 @@ def create_index(spark: SparkSession, path: str) -> None:
     index = index_path(path)
     finish_swaps(spark, path, index)
     swap = new_swap(index)
-    (_entries(read_hourly(spark, path, keep_partitions=True)).hint("rebalance", "sbucket")
+    (index_entries(read_hourly(spark, path, keep_partitions=True)).hint("rebalance", "sbucket")
      .write.partitionBy("sbucket").parquet(f"{swap}/new"))
     commit_swap(spark, swap, index, {"": True})
 
@@ -237,12 +237,19 @@ def create_index(spark: SparkSession, path: str) -> None:
 def note_folders(rows: DataFrame, path: str) -> None:
     """Enter the folders that hourly ``rows`` are about to be written to, those
     that are not listed yet (a table without an index stays so)."""
-    spark, index = rows.sparkSession, index_path(path)
+    finish_swaps(rows.sparkSession, index_path(path))
+    if exists(rows.sparkSession, index_path(path)):
+        with Staging(rows.sparkSession) as stage:
+            note_entries(stage(index_entries(with_partitions(rows, table_buckets(rows.sparkSession, path)))), path)
+
+
+def note_entries(entries: DataFrame, path: str) -> None:
+    """The same from the rows' distinct (station, parameter, month) and bucket, written once."""
+    spark, index = entries.sparkSession, index_path(path)
     finish_swaps(spark, index)
     if not exists(spark, index):
         return
     with Staging(spark) as stage:
-        entries = stage(_entries(with_partitions(rows, table_buckets(spark, path))))
         listed = read_table(spark, FOLDER_INDEX, index).where(F.col("sbucket").isin(_buckets_of(entries)))
         fresh = stage(new_rows(entries, listed))
         if not fresh.isEmpty():
@@ -278,7 +285,7 @@ def refresh_index(spark: SparkSession, path: str, folders: list[tuple[str, int]]
     kept = read_table(spark, FOLDER_INDEX, index).where(F.col("sbucket").isin(hit) & ~in_folders(folders))
     written = read_hourly(spark, path, keep_partitions=True).where(in_folders(folders))
     swap = new_swap(index)
-    (_entries(kept.unionByName(_entries(written))).hint("rebalance", "sbucket")
+    (index_entries(kept.unionByName(index_entries(written))).hint("rebalance", "sbucket")
      .write.partitionBy("sbucket").parquet(f"{swap}/new"))
     left = set(_buckets_of(spark.read.schema(FOLDER_INDEX).parquet(f"{swap}/new")))
     commit_swap(spark, swap, index, {f"sbucket={b}": b in left for b in hit})
