@@ -42,7 +42,8 @@ BITS = 1.5  # per entry and probe
 LEVELS = 120  # more than 1.5 ** 120 counts do not occur
 BUCKET_BYTES = 32 << 20  # text per bucket of n-grams
 CHUNK_BYTES = 12 << 20  # text worked on at a time
-SCORE_BYTES = 2 << 20  # the same where nothing is sent elsewhere per chunk
+SCORE_BYTES = 2 << 20  # the same where nothing is sent elsewhere per chunk, and the tokens held at once
+MERGE_ENTRIES = 1 << 19  # counts merged at a time
 BROADCAST_BYTES = 96 << 20
 HEAVY = 1 << 18
 
@@ -120,9 +121,11 @@ def build_filter(hashes: np.ndarray, counts: np.ndarray, family: int) -> tuple[i
     levels = level(counts)
     size = max(64, int(levels.sum() * BITS * (WORD_HASHES if family == 1 else HASHES)))
     bits = np.zeros(size, bool)
-    for q in range(1, int(levels.max(initial=0)) + 1):
-        for at in _probes(hashes[levels >= q], q, size, family):
-            bits[at] = True
+    for a in range(0, len(hashes), MERGE_ENTRIES):
+        h, top = hashes[a:a + MERGE_ENTRIES], levels[a:a + MERGE_ENTRIES]
+        for q in range(1, int(top.max(initial=0)) + 1):
+            for at in _probes(h[top >= q], q, size, family):
+                bits[at] = True
     return size, np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -160,6 +163,55 @@ def _chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int | None = No
         yield pa.Table.from_batches(held), texts
 
 
+def _parts(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Texts, SCORE_BYTES or one at a time."""
+    begin, size = 0, 0
+    for i, t in enumerate(texts):
+        if i > begin and size + len(t) > SCORE_BYTES:
+            yield texts[begin:i]
+            begin, size = i, 0
+        size += len(t)
+    if begin < len(texts):
+        yield texts[begin:]
+
+
+def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct hashes and their summed counts, from blocks of ascending
+    distinct hashes with counts. Ranges of hashes are merged one after the other."""
+    found = [x for x in found if len(x[0])]
+    if not found:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    low, high = min(int(h[0]) for h, _ in found), max(int(h[-1]) for h, _ in found)
+    steps = -(-sum(len(h) for h, _ in found) // MERGE_ENTRIES)
+    edges = np.array([low + (high - low) * i // steps for i in range(1, steps)], np.uint64)
+    cuts = [[0, *np.searchsorted(h, edges).tolist(), len(h)] for h, _ in found]
+    hashes, counts = [], []
+    for i in range(steps):
+        h = np.concatenate([x[c[i]:c[i + 1]] for (x, _), c in zip(found, cuts)])
+        n = np.concatenate([x[c[i]:c[i + 1]] for (_, x), c in zip(found, cuts)])
+        if len(h):
+            by = np.argsort(h)
+            h = h[by]
+            first = np.append(True, h[1:] != h[:-1]).nonzero()[0]
+            hashes.append(h[first])
+            counts.append(np.add.reduceat(n[by], first, dtype=np.int64))
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
+def tally(texts: list[bytes], order: int) -> tuple[dict[bytes, int], dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """The count of every word (and END), and of every n-gram by family, as
+    ascending hashes and counts; the tokens of SCORE_BYTES of text are held at once."""
+    words: dict[bytes, int] = {}
+    found: dict[int, list] = {f: [] for f in families(order)}
+    for part in _parts(texts):
+        tokens = Tokens(part)
+        for w, n in zip(tokens.words, np.bincount(tokens.ids, minlength=len(tokens.words)).tolist()):
+            words[w] = words.get(w, 0) + n
+        for f, blocks in found.items():
+            blocks.append(np.unique(tokens.grams(f), return_counts=True))
+    return words, {f: _merged(blocks) for f, blocks in found.items()}
+
+
 # -- training ---------------------------------------------------------------------
 
 BLOCKS = "kind string, family int, bucket int, data binary, counts binary"
@@ -188,16 +240,15 @@ def fit(docs: DataFrame, text: str = "text", order: int = ORDER) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, part in _chunks(batches, "t"):
-            tokens = Tokens(part)
-            each = np.bincount(tokens.ids, minlength=len(tokens.words)).astype(np.uint32)
-            word_hash = np.fromiter((xxhash.xxh64_intdigest(w, 1) for w in tokens.words), np.uint64, len(tokens.words))
+            counted, grams = tally(part, order)
+            words, each = list(counted), np.fromiter(counted.values(), np.uint32, len(counted))
+            word_hash = np.fromiter((xxhash.xxh64_intdigest(w, 1) for w in words), np.uint64, len(words))
             place = _scaled(word_hash, buckets).astype(np.int64)
             by = np.argsort(place, kind="stable")
             rows = []
             for b, members in _split(place[by], by):
-                rows.append(("word", 0, b, b" ".join([tokens.words[i] for i in members.tolist()]), each[members].tobytes()))
-            for f in families(order):
-                h, n = np.unique(tokens.grams(f), return_counts=True)
+                rows.append(("word", 0, b, b" ".join([words[i] for i in members.tolist()]), each[members].tobytes()))
+            for f, (h, n) in grams.items():
                 for b, members in _split(_scaled(h, buckets).astype(np.int64), np.arange(len(h))):
                     rows.append(("gram", f, b, h[members].tobytes(), n[members].astype(np.uint32).tobytes()))
             for kind, f, b, data, counts in rows:
@@ -207,18 +258,14 @@ def fit(docs: DataFrame, text: str = "text", order: int = ORDER) -> Model:
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
         kind, f, b = (k.as_py() for k in key)
-        counts = np.concatenate([np.frombuffer(c.as_py(), np.uint32) for c in table.column("counts")]).astype(np.int64)
+        blocks = [(d.as_buffer(), np.frombuffer(c.as_buffer(), np.uint32)) for d, c in zip(table.column("data"), table.column("counts"))]
         if kind == "word":
             total: dict[bytes, int] = {}
-            words = [w for d in table.column("data") for w in d.as_py().split(b" ")]
-            for w, c in zip(words, counts.tolist()):
-                total[w] = total.get(w, 0) + c
+            for data, counts in blocks:
+                for w, c in zip(data.to_pybytes().split(b" "), counts.tolist()):
+                    total[w] = total.get(w, 0) + c
             return _rows("word", f, b, list(total), [None] * len(total), list(total.values()), [None] * len(total))
-        h = np.concatenate([np.frombuffer(d.as_py(), np.uint64) for d in table.column("data")])
-        by = np.argsort(h)
-        h, counts = h[by], counts[by]
-        first = np.append(True, h[1:] != h[:-1]).nonzero()[0]
-        h, counts = h[first], np.add.reduceat(counts, first)
+        h, counts = _merged([(np.frombuffer(data, np.uint64), counts) for data, counts in blocks])
         bits_n, bits = build_filter(h, counts, f)
         levels = level(counts)
         number, mass = np.bincount(levels), np.bincount(levels, weights=counts.astype(float))
@@ -346,9 +393,7 @@ def _score_routed(rows: DataFrame, keep: list[str], model: Model, heavy) -> Data
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tokens = Tokens(texts)
-                for f in families(plan.order):
-                    h = np.unique(tokens.grams(f))
+                for f, (h, _) in tally(texts, plan.order)[1].items():
                     for b, members in _split(_scaled(h, plan.buckets).astype(np.int64), np.arange(len(h))):
                         yield pa.RecordBatch.from_pydict(
                             {"chunk": [chunk], "family": pa.array([f], pa.int32()), "bucket": pa.array([b], pa.int32()),
@@ -378,7 +423,9 @@ def _score_routed(rows: DataFrame, keep: list[str], model: Model, heavy) -> Data
         joined = {f: np.frombuffer(b"".join(v for _, v in sorted(found)), np.uint8) for f, found in levels.items()}
         held = left.column("rows").combine_chunks().flatten()
         texts = held.field("_t").to_pylist()
-        columns = [held.field(c) for c in keep] + _score_chunk(texts, plan, lambda f, h: joined[f], words.value)
+        asked = {f: h for f, (h, _) in tally(texts, plan.order)[1].items()}
+        scored = [_score_chunk(part, plan, lambda f, h: joined[f][np.searchsorted(asked[f], h)], words.value) for part in _parts(texts)]
+        columns = [held.field(c) for c in keep] + [pa.concat_arrays(c) for c in zip(*scored)]
         return pa.table(columns, names=[*keep, *(f.name for f in SCORED)])
 
     return (chunks.groupBy("chunk").cogroup(answers.groupBy("chunk"))

@@ -136,3 +136,27 @@ def test_empty_tables_and_other_columns(spark):
     (row,) = B.score_texts(docs, model).collect()
     assert row["my key"] == "k" and row["n_tokens"] == 3 and row["n_known"] == 0 and row["score"] == 0.0
     assert B.score_texts(docs, model, broadcast_bytes=-1).collect() == [row]
+
+
+@pytest.mark.parametrize("order", [1, 3])
+def test_tally_holds_the_tokens_of_a_part_only(order, monkeypatch):
+    """The counts of a chunk, gone through in parts, are those of the whole; no part exceeds the bound."""
+    texts = [f"a{i % 7} b{i % 11} the c{i % 3}".encode() * (1 + i % 4) for i in range(400)] + [b"", b"x " * 3000]
+    whole = B.Tokens(texts)
+    want = dict(zip(whole.words, np.bincount(whole.ids).tolist()))
+    grams = {f: np.unique(whole.grams(f), return_counts=True) for f in B.families(order)}
+    held, make = [], B.Tokens
+
+    def tokens(part):
+        held.append((len(part), sum(map(len, part))))
+        return make(part)
+
+    monkeypatch.setattr(B, "Tokens", tokens)
+    monkeypatch.setattr(B, "SCORE_BYTES", 500)
+    monkeypatch.setattr(B, "MERGE_ENTRIES", 16)
+    words, found = B.tally(texts, order)
+    assert list(words.items()) == list(want.items())
+    assert len(held) > 10 and all(n == 1 or size <= 500 for n, size in held)
+    for f, (h, n) in grams.items():
+        assert found[f][0].tolist() == h.tolist() and found[f][1].tolist() == n.tolist()
+    assert [len(x) for x in B._merged([])] == [0, 0]
