@@ -44,6 +44,36 @@ def uniform(*key: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*key), 11).cast("double") / F.lit(float(1 << 53))
 
 
+# Bits of an id filter at most (16 MB).
+FILTER_BITS = 1 << 27
+_PART = 1 << 15
+
+
+def _filter_place(key: Column, size: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(size))
+
+
+def maybe_among(rows: DataFrame, key: str, ids: DataFrame, bits: int | None = None) -> DataFrame:
+    """``rows`` with ``__maybe``: false only where ``key`` is none of the values of
+    ``ids`` (one column of the key's type; a null counts as a value). The others
+    are to be joined exactly, so that rows which cannot match are not shuffled.
+
+    The values' hashes are marked in a bitmap of 16 bits and more a value, up to
+    ``bits`` (FILTER_BITS); beyond that more rows are let through."""
+    name, count = ids.columns[0], ids.count()
+    size = min(FILTER_BITS if bits is None else bits, max(_PART, 1 << (16 * count).bit_length()))
+    marks = (ids.select(_filter_place(F.col(name), size).alias("p"))
+             .select(F.floor(F.col("p") / _PART).cast("int").alias("__part"), F.pmod("p", F.lit(_PART)).alias("at"))
+             .repartition("__part").groupBy("__part").agg(F.bitmap_construct_agg("at").alias("__bits")))
+    place = _filter_place(F.col(key), size)
+    at = F.pmod(place, F.lit(_PART))
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (rows.withColumn("__part", F.floor(place / _PART).cast("int"))
+            .join(F.broadcast(stage(marks, "id-filter")), "__part", "left")
+            .withColumn("__maybe", F.coalesce(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1, F.lit(False)))
+            .drop("__part", "__bits"))
+
+
 def exclusive_sums(df: DataFrame, keys: list[str], index: str, value: str, out: str,
                    fan: int = 4096) -> DataFrame:
     """Add ``out``: the sum of ``value`` over rows of the same ``keys`` with a

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.common import stage
+from gaugeflow.llm.common import maybe_among, stage
 from gaugeflow.llm.components import components
 
 NGRAM, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.999, 64
@@ -270,6 +270,13 @@ def _compare_center(n, threshold):
     return run
 
 
+def _assigned_texts(texts: DataFrame, assign: DataFrame) -> DataFrame:
+    """The columns of ``assign`` with the ``text`` of each row's ``rep``. Texts
+    of no row's rep are left out before the shuffle."""
+    held = maybe_among(texts, "__doc", assign.select("rep").distinct()).filter("__maybe").drop("__maybe")
+    return held.join(assign, F.col("__doc").eqNullSafe(F.col("rep")))
+
+
 def _star_links(texts: DataFrame, classes: DataFrame, bucketed: DataFrame, n: int, threshold: float) -> DataFrame:
     """(a, b): classes at least ``threshold`` similar to the center of one of
     their buckets. A class's text is sent once per center, the center's once
@@ -281,7 +288,7 @@ def _star_links(texts: DataFrame, classes: DataFrame, bucketed: DataFrame, n: in
     sides = (members.select("pid", F.col("center").alias("cid"), F.lit(0).alias("side")).distinct()
              .unionByName(members.select("pid", "cid", F.lit(1).alias("side"))))
     assign = stage(sides.join(classes.select("cid", "rep"), "cid"), "join-star-assign")
-    return stage(texts.join(assign, F.col("__doc").eqNullSafe(F.col("rep"))).select("pid", "cid", "side", "text")
+    return stage(_assigned_texts(texts, assign).select("pid", "cid", "side", "text")
                  .repartition("pid").sortWithinPartitions("pid", "side", "cid")
                  .mapInArrow(_compare_center(n, threshold), "a binary, b binary"), "join-star-links")
 
@@ -372,8 +379,7 @@ def similarity_members(docs: DataFrame, n: int = NGRAM, threshold: float = THRES
     known = stage(classes.select("cid").join(tied.withColumnRenamed("node", "cid"), "cid", "left")
                   .select("cid", F.coalesce("root", "cid").alias("comp")), "join-known")
     assign = _open_meetings(classes, bucketed, known)
-    found = stage(texts.join(assign, F.col("__doc").eqNullSafe(F.col("rep")))
-                  .select("pid", "cid", "side", "copies", "text")
+    found = stage(_assigned_texts(texts, assign).select("pid", "cid", "side", "copies", "text")
                   .repartition("pid").sortWithinPartitions("pid", "side", "cid")
                   .mapInArrow(_compare(n, threshold), _FOUND), "join-found")
     linked = stage(components(links.unionByName(found.filter("b is not null").select("a", "b")))
@@ -394,8 +400,11 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
     Texts without n-grams stay, as do rows with a null doc_id."""
     found = similarity_members(docs, **options)
     gone = stage(found.filter("class_id is not null and doc_id != class_id").select(F.col("doc_id").alias("__gone")).distinct(), "join-gone")
-    kept = docs.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("__doc"))
-    kept = kept.join(gone.hint("shuffle_hash"), F.col("__doc") == F.col("__gone"), "left_anti")
+    rows = docs.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("__doc"))
+    rows = maybe_among(rows, "__doc", gone)
+    # the filter's matches only are looked up exactly; most rows stay where they are
+    kept = rows.filter("not __maybe").drop("__maybe").unionByName(
+        rows.filter("__maybe").drop("__maybe").join(gone.hint("shuffle_hash"), F.col("__doc") == F.col("__gone"), "left_anti"))
     # ids that still stand on several linked rows: equal rows, one stays
     many = stage(found.filter("doc_id = class_id and linked").groupBy("doc_id").agg(F.count("*").alias("n"))
                  .filter("n > 1").select(F.col("doc_id").alias("__many")), "join-many")

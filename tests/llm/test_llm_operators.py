@@ -733,3 +733,38 @@ def test_segments_add_up_to_the_library_count():
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(6000)]
     assert count(texts) == [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
     assert not token_cache._splits_at_spaces(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@pytest.mark.parametrize("bits", [None, 1 << 15])
+def test_maybe_among_rules_out_only_what_is_not_there(spark, bits):
+    from gaugeflow.llm.common import maybe_among
+
+    rows = spark.createDataFrame([(i,) for i in [*range(-50, 5000), None, None]], "id long")
+    for ids in ([], [None], [3, 3, -50, 4999, None], list(range(0, 5000, 7))):
+        got = maybe_among(rows, "id", spark.createDataFrame([(i,) for i in ids], "x long"), bits).collect()
+        assert len(got) == 5052
+        assert all(r["__maybe"] for r in got if r["id"] in ids)
+        assert sum(not r["__maybe"] for r in got) > 3500
+
+
+def test_one_per_class_shuffles_no_text_that_has_no_near_copy(spark, monkeypatch):
+    """Rows without a near copy reach no exchange, also where the id filter is full."""
+    from gaugeflow.llm import ngram_join
+
+    rows = [(i, " ".join(f"w{i}_{j}" for j in range(30)), "s") for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + " more", None) for i in range(20)] + [(None, rows[3][1], "n"), (7, rows[7][1], "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    sent = []
+    star = ngram_join.maybe_among
+
+    def counted(df, key, ids):
+        out = star(df, key, ids)
+        sent.append((df.count(), out.filter("__maybe").count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "maybe_among", counted)
+    want = sorted(str(tuple(r)) for r in rows[:300] + [rows[320]])
+    assert sorted(str(tuple(r)) for r in ngram_join.one_per_class(docs).collect()) == want
+    assert len(sent) == 3 and all(some <= 60 < every for every, some in sent)
+    monkeypatch.setattr(ngram_join, "maybe_among", lambda df, key, ids: star(df, key, ids, 2))
+    assert sorted(str(tuple(r)) for r in ngram_join.one_per_class(docs).collect()) == want
