@@ -77,6 +77,33 @@ def test_components(spark):
     assert got == {x: min(s) for x, s in group.items()}
 
 
+@pytest.mark.parametrize("links,batch,most,roots", [
+    ([(i % 7, i) for i in range(7, 200)], 9, 5, 7),  # stars round their smallest node
+    ([(f"n{i % 7}", f"m{i}") for i in range(200)], 9, 9, 7),  # round their largest
+    ([(i, i + 1) for i in range(300)], 200_000, 3, 1),  # a path in order, read by one task
+    ([(i, i + 1) for i in range(120)], 1, 50, 1),  # link by link: more rounds
+])
+def test_components_stage_few_tables(spark, monkeypatch, links, batch, most, roots):
+    staged, put = [], components.stage
+    monkeypatch.setattr(components, "stage", lambda df, name: staged.append(name) or put(df, name))
+    monkeypatch.setattr(components, "TIED_LINKS", batch)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        kind = "string" if isinstance(links[0][0], str) else "long"
+        rows = spark.createDataFrame(links, f"a {kind}, b {kind}").coalesce(1)
+        got = {r.node: r.root for r in components.components(rows).collect()}
+    finally:
+        prepare(spark)
+    group = {x: x for link in links for x in link}
+    for _ in range(len(links)):
+        before = dict(group)
+        for a, b in links:
+            group[a] = group[b] = min(group[a], group[b])
+        if group == before:
+            break
+    assert got == group and len(set(got.values())) == roots and len(staged) <= most
+
+
 def brute_repeats(texts, size):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i:i + size] for d in data for i in range(len(d) - size + 1))
