@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.operators.links import all_links
+from gaugeflow.plans.normalize import PAGE_KEYS
 from gaugeflow.plans.update import link_errors, outcome_of_errors, update_hourly
 from gaugeflow.schemas import LINK_ERRORS, PAGES
 from gaugeflow.sinks.swap import finish_swaps
@@ -43,6 +44,13 @@ def stream_status(spark: SparkSession, stations: DataFrame, report_path: str, ba
     return outcome_of_errors(all_links(stations, base_url), read_table(spark, LINK_ERRORS, path))
 
 
+def spread_pages(pages: DataFrame) -> DataFrame:
+    """The pages dealt out over the tasks of a shuffle, the parts of about the
+    same size. A batch is a few files, each read by few tasks however large,
+    while parsing costs far more than moving the pages."""
+    return pages.hint("rebalance", *PAGE_KEYS)
+
+
 def stream_update(spark: SparkSession, pages_dir: str, stations: DataFrame, hourly_path: str, as_of=None,
                   base_url: str = "", checkpoint: str | None = None,
                   max_files: int = 1, report_path: str | None = None) -> None:
@@ -57,6 +65,7 @@ def stream_update(spark: SparkSession, pages_dir: str, stations: DataFrame, hour
     stream = spark.readStream.schema(PAGES).option("maxFilesPerTrigger", max_files).parquet(pages_dir)
 
     def batch(pages: DataFrame, batch_id: int) -> None:
+        pages = spread_pages(pages)
         stored = read_hourly(spark, hourly_path, keep_partitions=True)
         with Staging(spark) as stage:
             result = update_hourly(pages, stations, stored, as_of, None, base_url, stage=stage)

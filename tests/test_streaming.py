@@ -1,6 +1,7 @@
 """Structured Streaming jobs: multi-batch results equal the batch results."""
 
 import datetime as dt
+import hashlib
 import re
 
 from pyspark.sql import functions as F
@@ -188,3 +189,24 @@ def test_link_errors_merge_in_any_order_and_repeatedly(spark, tmp_dir):
             merge_errors(part, path)
         got.append(sorted((r.station_url_name, r.error) for r in read_table(spark, LINK_ERRORS, path).collect()))
     assert got[0] == got[1] == got[2] == [("x", None), ("y", "Error: b"), ("z", "Error: c")]
+
+
+def test_stream_update_deals_a_batch_out_before_the_parse(spark, tmp_dir, monkeypatch):
+    """A batch of one file is read by one task, its pages are parsed by several."""
+    from gaugeflow.schemas import PAGES
+    from gaugeflow.streaming import update
+
+    texts = ["".join(hashlib.sha512(f"{i} {j}".encode()).hexdigest() for j in range(20)) for i in range(300)]
+    rows = [("Pressure", "A", None if i % 2 else f"u{i}", 200, f"<p>{t}</p>", dt.datetime(2024, 1, 1)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, PAGES).coalesce(1).write.parquet(f"{tmp_dir}/pages")
+    seen, real = [], update.update_hourly
+
+    def spy(pages, *args, **more):
+        seen.append((pages.rdd.getNumPartitions(), sorted(r.html for r in pages.select("html").collect())))
+        return real(pages, *args, **more)
+
+    monkeypatch.setattr(update, "update_hourly", spy)
+    stations = S.stations(spark.read.parquet(f"{SF}/customer.parquet"))
+    stream_update(spark, f"{tmp_dir}/pages", stations, f"{tmp_dir}/hourly", "2024-01-30")
+    assert [s[1] for s in seen] == [sorted(r[4] for r in rows)]
+    assert seen[0][0] > 1
