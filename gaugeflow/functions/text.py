@@ -99,6 +99,8 @@ def html_text(col) -> Column:
     return F.when((F.instr(src, "<") > 0) | (F.instr(src, "&") > 0), full).otherwise(src)
 
 
+# Words of visible ASCII characters, but < and &, with single spaces between them.
+_ASCII_CELL_RE = r"\A(?:[!-%'-;=-~]++(?: [!-%'-;=-~]++)*+)?+\z"
 _PLAIN_CELL_RE = rf"[<&\r\n]|^{SPACE}|{SPACE}$|{SPACE}{{2}}"
 
 
@@ -109,7 +111,7 @@ def cell_text(col) -> Column:
     common case) are returned as they are after one cheap check."""
     c = _c(col)
     full = F.regexp_replace(py_strip(html_text(c)), rf"[\r\n]+|{SPACE}{{2,}}", " ")
-    return F.when(c.rlike(_PLAIN_CELL_RE), full).otherwise(c)
+    return F.when(c.rlike(_ASCII_CELL_RE), c).when(c.rlike(_PLAIN_CELL_RE), full).otherwise(c)
 
 
 def is_estimated(col) -> Column:
@@ -145,13 +147,18 @@ def numeric_value(col) -> Column:
         .otherwise(F.lit(float("inf")))
     )
     value = (
-        F.when(plain, F.replace(raw, F.lit(ESTIMATED_TAG), F.lit("")).try_cast("double"))
-        .when(is_missing, F.lit(None).cast("double"))
+        F.when(is_missing, F.lit(None).cast("double"))
         .when(text.rlike(_NUMBER_RE), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
         .when(text.rlike(_SPECIAL_RE), special_value)
     )
     error = F.when(
-        ~plain & ~is_missing & ~text.rlike(_NUMBER_RE) & ~text.rlike(_SPECIAL_RE),
+        ~is_missing & ~text.rlike(_NUMBER_RE) & ~text.rlike(_SPECIAL_RE),
         F.concat(F.lit("could not convert string to float: '"), text, F.lit("'")),
     )
-    return F.struct(value.alias("value"), error.alias("error"))
+    none = F.lit(None).cast("string")
+    plain_value = F.replace(raw, F.lit(ESTIMATED_TAG), F.lit("")).try_cast("double")
+    return (
+        F.when(plain, F.struct(plain_value.alias("value"), none.alias("error")))
+        .when(raw == "", F.struct(F.lit(None).cast("double").alias("value"), none.alias("error")))
+        .otherwise(F.struct(value.alias("value"), error.alias("error")))
+    )

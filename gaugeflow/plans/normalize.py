@@ -36,13 +36,12 @@ PAGE_KEYS = ["group", "station_url_name", "url"]
 
 def _parse_row(names: Column):
     def parse(row: Column) -> Column:
-        cells = F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.try_element_at(row, i + 1))
-        ts = parse_page_time(F.try_element_at(row, F.lit(1)))
+        time_text = F.get(row, 0)
         return F.struct(
-            F.try_element_at(row, F.lit(1)).alias("time_text"),
-            ts.alias("ts"),
-            estimated_code(cells).alias("code"),
-            F.transform(cells, numeric_value).alias("vals"),
+            time_text.alias("time_text"),
+            parse_page_time(time_text).alias("ts"),
+            estimated_code(row).alias("code"),  # a tagged time is no time, its page is rejected
+            F.transform(names, lambda _, i: numeric_value(F.get(row, i + 1))).alias("vals"),
         )
 
     return parse

@@ -47,14 +47,10 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def _has_tag(text: Column, tag: str) -> Column:
-    return F.contains(F.lower(text), F.lit(tag))
-
-
 def without_comments(html) -> Column:
     """HTML without its comments (an unclosed one goes to the end)."""
     h = _c(html)
-    return F.when(F.instr(h, "<!--") > 0, F.regexp_replace(h, _COMMENT, "")).otherwise(h)
+    return F.when(F.contains(h, F.lit("<!--")), F.regexp_replace(h, _COMMENT, "")).otherwise(h)
 
 
 def _depths(pieces: Column) -> Column:
@@ -84,8 +80,8 @@ def _up_to_its_end(tail: Column) -> Column:
         return F.when(head.rlike(r"</?[tT][aA][bB][lL][eE]"), _let(F.split(tail, _TABLE_TAG), cut)).otherwise(head)
 
     # mostly the text up to the first end tag holds no other table tag
-    end = F.instr(tail, "</table")
-    return F.when(end > 0, _let(F.left(tail, end - 1), short)).otherwise(_let(F.split(tail, _TABLE_TAG), cut))
+    return F.when(F.contains(tail, F.lit("</table")), _let(F.substring_index(tail, "</table", 1), short)).otherwise(
+        _let(F.split(tail, _TABLE_TAG), cut))
 
 
 def data_table(html, cls: str = DATA_TABLE_CLASS) -> Column:
@@ -95,7 +91,7 @@ def data_table(html, cls: str = DATA_TABLE_CLASS) -> Column:
     Comments are left out."""
     def after(h: Column, opening: str, otherwise) -> Column:
         def found(tail: Column) -> Column:
-            return F.when(F.length(tail) > 0, _up_to_its_end(tail)).otherwise(otherwise)
+            return F.when(tail != "", _up_to_its_end(tail)).otherwise(otherwise)
         return _let(F.regexp_extract(h, opening.format(cls=cls), 1), found)
 
     def find(h: Column) -> Column:
@@ -174,16 +170,23 @@ def html_table_rows(html, cls: str = DATA_TABLE_CLASS) -> Column:
                 lambda a, t: F.struct(t.alias("text"), _span(a, "colspan").alias("across"),
                                       _span(a, "rowspan").alias("down")))))
 
+        def has_cell(row: Column) -> Column:
+            return row.rlike("<[tT][dD]")
+
         def parts(raw: Column) -> Column:
             head = F.regexp_extract(table, r"(?is)<thead\b[^>]*>(.*?)(?:</thead\b|<tbody\b|\z)", 1)
             n_head = F.when(table.rlike("<[tT][hH][eE][aA][dD]"), F.size(F.split(head, _ROW_TAG)) - 1).otherwise(0)
-            data_at = F.array_position(F.transform(raw, lambda r: r.rlike("<[tT][dD]")), True)
+            # mostly the first or second row: the others are not searched then
+            data_at = F.when(has_cell(F.get(raw, 0)), 1).when(has_cell(F.get(raw, 1)), 2).otherwise(
+                F.array_position(F.transform(raw, has_cell), True))
             top = F.when(data_at > 0, data_at - 1).otherwise(F.size(raw)).cast("int")
             n = F.when(n_head > 0, n_head).otherwise(top)
-            spans = F.when(_has_tag(table, "span"), table.rlike(r"(?i)\b(?:row|col)span\b")).otherwise(False)
+            spans = table.rlike("[sS][pP][aA][nN]")
 
             def grid(rows: Column) -> Column:
-                return F.when(spans, spanned(rows)).otherwise(F.filter(plain(rows), lambda r: F.size(r) > 0))
+                # header and body each: mostly the spans are in the header only
+                held = spans & F.exists(rows, lambda r: r.rlike(r"(?i)\b(?:row|col)span\b"))
+                return F.when(held, spanned(rows)).otherwise(F.filter(plain(rows), lambda r: F.size(r) > 0))
 
             def both(n: Column) -> Column:
                 return F.struct(grid(F.slice(raw, 1, n)).alias("head"),

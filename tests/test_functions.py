@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeflow.functions import (
+    cell_text,
     coord_station_id,
     estimated_code,
     link_status,
@@ -53,6 +54,22 @@ def test_numeric_value_specials(spark):
     assert one(spark, numeric_value(F.col("s")), "nan")["value"] is None
 
 
+def test_plain_number_is_matched_once_a_cell(spark):
+    expr = numeric_value(F.col("s"))
+    plan = spark.createDataFrame([("1",)], "s string").select(expr.alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count(r"^-?\d+(?:\.\d+)?(?:\*\*Estimated)?$") == 1
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [("", ""), (None, None), ("Jan 04, 2024 10:15", "Jan 04, 2024 10:15"), (" a", "a"), ("a ", "a"), ("a  b", "a b"), (" ", ""),
+     ("a\nb", "a b"), ("a\n", "a"), ("a\tb", "a\tb"), ("1<b>2</b>", "12"), ("a &amp; b", "a & b"), ("Café é", "Café é"),
+     ("\u00a0a", "a"), ("a\u00a0\u00a0b", "a b"), ("~!%';=", "~!%';=")],
+)
+def test_cell_text_with_and_without_odd_characters(spark, text, expected):
+    assert one(spark, cell_text(F.col("s")), text) == expected
+
+
 def test_split_timestamp(spark):
     ts = parse_page_time(F.col("s"))
     d, t = split_timestamp(ts)

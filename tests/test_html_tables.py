@@ -7,6 +7,7 @@ from html.parser import HTMLParser
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeflow.constants import DATA_TABLE_CLASS
 from gaugeflow.functions.text import html_unescape
 from gaugeflow.sources.html import html_table_rows
 
@@ -185,3 +186,13 @@ def test_references_equal_the_standard_decoder(spark):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate([*REFERENCES, None])], "i int, t string")
     got = [r.u for r in rows.select("i", html_unescape("t").alias("u")).orderBy("i").collect()]
     assert got == [python_html.unescape(t) for t in REFERENCES] + [None]
+
+
+def test_spans_of_the_header_leave_the_body_as_it_is(spark):
+    head = "<tr><th rowspan=2>Time</th><th colspan=2>Water</th></tr><tr><th>Level</th><th>Depth</th></tr>"
+    page = '<table class="%s">%s{}</table>' % (DATA_TABLE_CLASS, head)
+    bodies = ["<tr><td>t</td><td>1</td><td>spans</td></tr><tr></tr><tr><td>u</td></tr>",
+              "<tr><td>t</td><td ROWSPAN=2>1</td></tr><tr><td>u</td><td>2</td></tr>", "", "<tr><td colspan=4>t</td></tr>"]
+    df = spark.createDataFrame([(i, page.format(b)) for i, b in enumerate(bodies)], "i int, html string")
+    got = [(r.t.width, r.t.rows) for r in df.select("i", html_table_rows(F.col("html")).alias("t")).orderBy("i").collect()]
+    assert got == [(3, [["t", "1", "spans"], ["u"]]), (3, [["t", "1"], ["u", "1", "2"]]), (3, []), (4, [["t"] * 4])]
